@@ -120,14 +120,20 @@ def _values_at(doc: Column, path: str) -> Column:
     for part in rest:
         quoted = "$['" + part.replace("'", "\\'") + "']"
 
-        def step(v: Column, quoted: str = quoted) -> Column:
-            inner = F.coalesce(as_list(v), F.array(v))
-            return F.transform(inner, lambda x: F.try_variant_get(x, quoted, "variant"))
-
-        found = F.array_compact(F.flatten(F.transform(found, step)))
+        found = F.array_compact(F.flatten(F.transform(found, _member_reader(quoted))))
     return found
 
 
+def _member_reader(path: str):
+    """Reads a member of an object, or of every object in a list."""
+
+    def read(v: Column) -> Column:
+        inner = F.coalesce(as_list(v), F.array(v))
+        return F.transform(inner, lambda x: F.try_variant_get(x, path, "variant"))
+
+    return read
+
+
 def _leaves(values: Column) -> Column:
     """Values and, for lists, also their elements."""
     return F.flatten(
@@ -163,6 +169,14 @@ def _ranged(value: Column, op: str, like: Any) -> Column:
     return F.coalesce(right_type & COMPARE[op](read, F.lit(like)), F.lit(False))
 
 
+def _sized(value: Column, op: str, like: int) -> Column:
+    return F.coalesce(F.size(as_list(value)) == like, F.lit(False))
+
+
+def _some(values: Column, test, op: str, like: Any) -> Column:
+    return F.exists(values, lambda v: test(v, op, like))
+
+
 def _matches(values: Column, like: Any) -> Column:
     hit = F.exists(_leaves(values), lambda v: _equals(v, like))
     return (F.size(values) == 0) | hit if like is None else hit
@@ -183,13 +197,13 @@ def _field_test(values: Column, test: Any) -> Column:
                 hit = hit | _matches(values, one)
             parts.append(hit if op == "$in" else ~hit)
         elif op in COMPARE:
-            parts.append(F.exists(_leaves(values), lambda v, op=op, like=like: _ranged(v, op, like)))
+            parts.append(_some(_leaves(values), _ranged, op, like))
         elif op == "$not":
             parts.append(~_field_test(values, like))
         elif op == "$exists":
             parts.append((F.size(values) > 0) == F.lit(bool(like)))
         elif op == "$size":
-            parts.append(F.exists(values, lambda v, like=like: F.coalesce(F.size(as_list(v)) == like, F.lit(False))))
+            parts.append(_some(values, _sized, op, like))
         else:
             raise FilterError(f"operator not allowed: {op}")
     return _all(parts)

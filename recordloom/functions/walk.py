@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .naming import snake_case
 from .plan import last_wins, let
-from .values import OBJECT, as_list, as_object, is_object, is_object_list
+from .values import as_list, as_object, is_object, is_object_list
 
 MAX_DEPTH = 10
 

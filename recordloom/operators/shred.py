@@ -213,72 +213,80 @@ def reconstruct(root: DataFrame, key: str, documents: DataFrame | None = None,
     """One logical record per root row: structured columns, document fields (which win on a
     clash), and each child as a JSON list named without the ``root_`` prefix.
 
-    ``documents`` is ``(key, doc)``; each child frame is the output of ``child_lists`` keyed
-    by ``key``.  A record whose child list is split shows its further parts as rows with the
-    same key and ``part`` above 0, which hold only the list.
+    ``documents`` is ``(key, doc)``; ``children`` maps table names to the output of
+    ``child_lists`` keyed by ``key``.  A record with a split child list appears once per
+    ``part``, each row holding one part of the list; children without a root row are left out.
     """
     fields = F.from_json(F.to_json(F.struct(*[c for c in root.columns if c != key])), OBJECT)
-    base = root.select(key, fields.alias("_own"))
+    base = once(root.select(key, *[c for c in root.columns if c != key]), _own=fields).select(key, "_own")
     if documents is not None:
         base = base.join(documents.select(key, "doc"), key, "left")
         rest = F.map_filter("_own", lambda k, v: ~F.map_contains_key("doc", k))
         base = base.select(
             key, F.when(F.col("doc").isNull(), F.col("_own")).otherwise(F.map_concat(rest, F.col("doc"))).alias("_own")
         )
-    out = base.withColumn("part", F.lit(0))
-    lists = []
-    for name, frame in (children or {}).items():
-        short = name.replace("root_", "", 1) if name.startswith("root_") else name
-        lists.append(short)
-        out = out.join(frame.drop("n"), [key, "part"], "full_outer" if _may_split(frame) else "left")
-    record = F.to_json(F.to_variant_object(F.coalesce("_own", F.create_map().cast(OBJECT))))
-    return out.select(key, "part", record.alias("record"), *[F.coalesce(c, F.lit("[]")).alias(c) for c in lists])
-
-
-def _may_split(frame: DataFrame) -> bool:
-    return "part" in frame.columns
-
-
-def rebuild_records(rows: DataFrame, table: str = "root", max_list: int = MAX_LIST) -> DataFrame:
-    """Undo ``shred`` bottom-up for the direct children of ``table``: per root row its flat
-    fields and, per child table, its list in position order."""
-    root = rows.filter(F.col("table") == table).select("uuid", "fields")
-    kids = rows.filter(F.col("parent_table") == table)
-    lists = (
-        kids.withColumn("part", F.floor(F.col("pos") / max_list).cast("int"))
-        .groupBy(F.col("parent_id").alias("uuid"), "part", "table")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", F.to_json(F.to_variant_object("fields")).alias("json"))))
-             .alias("items"))
-        .select("uuid", "part", F.substring(F.col("table"), F.lit(len(table) + 2), F.length("table")).alias("name"),
-                F.concat(F.lit("["), F.array_join(F.transform("items", lambda r: r["json"]), ","), F.lit("]"))
-                .alias("list"))
-        .groupBy("uuid", "part")
-        .agg(F.map_from_entries(F.collect_list(F.struct("name", "list"))).alias("lists"))
-    )
-    full = root.withColumn("part", F.lit(0)).join(lists, ["uuid", "part"], "full_outer")
-    return full.select(
-        "uuid", "part", F.coalesce("fields", F.create_map().cast(OBJECT)).alias("fields"),
-        F.coalesce("lists", F.create_map().cast("map<string,string>")).alias("lists"),
+    lists, names = None, []
+    for table, frame in (children or {}).items():
+        short = table.removeprefix("root_")
+        names.append(short)
+        one = frame.select(key, "part", F.col(frame.columns[-1]).alias(short))
+        lists = one if lists is None else lists.join(one, [key, "part"], "full_outer")
+    out = base.withColumn("part", F.lit(0)) if lists is None else base.join(lists, key, "left")
+    return out.select(
+        key, F.coalesce("part", F.lit(0)).alias("part"), F.to_json(F.to_variant_object("_own")).alias("record"),
+        *[F.coalesce(c, F.lit("[]")).alias(c) for c in names],
     )
 
 
+def rebuild_records(rows: DataFrame, depth: int | None = None, max_list: int = MAX_LIST) -> DataFrame:
+    """Undo ``shred``: ``(uuid, fields)`` with every child list back in its parent, deepest
+    level first, one shuffle per level.
+
+    ``rows`` should be a stored table, as every level reads it.  A list longer than
+    ``max_list`` is cut in parts, and its owner appears once per part with ``_part`` set.
+    """
+    if depth is None:
+        depth = rows.agg(F.max("depth")).first()[0] or 0
+    lists = None
+    for level in range(depth, -1, -1):
+        here = rows.filter(F.col("depth") == level)
+        if lists is not None:
+            joined = here.join(lists, "uuid", "left")
+            mark = F.when(F.col("_n") > 0, F.create_map(F.lit("_part"), F.col("_n").cast("variant"))).otherwise(
+                F.create_map().cast(OBJECT))
+            whole = F.when(F.col("_lists").isNull(), F.col("fields")).otherwise(
+                F.map_concat("fields", "_lists", mark))
+            here = joined.withColumn("fields", whole).drop("_lists", "_n")
+        if level == 0:
+            return here.select("uuid", "fields")
+        name = F.substring(F.col("table"), F.length("parent_table") + 2, F.length("table"))
+        item = F.struct("pos", F.to_json(F.to_variant_object("fields")).alias("json"))
+        per_list = (
+            here.groupBy("parent_id", F.floor(F.col("pos") / max_list).cast("int").alias("_n"), name.alias("name"))
+            .agg(F.array_join(F.transform(F.sort_array(F.collect_list(item)), lambda r: r["json"]), ",").alias("items"))
+        )
+        value = F.parse_json(F.concat(F.lit("["), F.col("items"), F.lit("]")))
+        lists = per_list.groupBy(F.col("parent_id").alias("uuid"), "_n").agg(
+            F.map_from_entries(F.collect_list(F.struct("name", value.alias("value")))).alias("_lists"))
+    return rows.select("uuid", "fields")
+
+
 def lossless_check(rows: DataFrame, rebuilt: DataFrame) -> DataFrame:
-    """Counts on both sides of a shred and rebuild: records and direct child rows."""
-    before = rows.agg(
-        F.sum((F.col("depth") == 0).cast("bigint")).alias("records_before"),
-        F.sum((F.col("depth") == 1).cast("bigint")).alias("children_before"),
-    )
-    sizes = F.aggregate(
-        F.map_values("lists"), F.lit(0), lambda acc, t: acc + F.coalesce(F.json_array_length(t), F.lit(0))
-    )
-    after = rebuilt.agg(
-        F.sum((F.col("part") == 0).cast("bigint")).alias("records_after"),
-        F.sum(sizes.cast("bigint")).alias("children_after"),
+    """Shred the rebuilt records again and compare: per table the rows on both sides, and how
+    many are on one side only.  One aggregation over the union, no join."""
+    again = shred(rebuilt)
+
+    def digests(df: DataFrame, side: int) -> DataFrame:
+        text = F.concat_ws("|", "uuid", "parent_id", F.col("pos").cast("string"), F.to_json(F.to_variant_object("fields")))
+        return df.select("table", F.sha2(text, 256).alias("digest"), F.lit(side).alias("side"))
+
+    both = digests(rows, 1).unionByName(digests(again, -1)).groupBy("table", "digest").agg(
+        F.count(F.when(F.col("side") == 1, 1)).alias("a"), F.count(F.when(F.col("side") == -1, 1)).alias("b")
     )
-    return before.select(
-        "records_before", "children_before",
-        after.select("records_after").scalar().alias("records_after"),
-        after.select("children_after").scalar().alias("children_after"),
+    return both.groupBy("table").agg(
+        F.sum("a").alias("rows_before"), F.sum("b").alias("rows_after"),
+        F.sum(F.greatest(F.col("a") - F.col("b"), F.lit(0))).alias("missing"),
+        F.sum(F.greatest(F.col("b") - F.col("a"), F.lit(0))).alias("extra"),
     )
 
 

@@ -8,7 +8,6 @@ from ..functions import walk
 from ..functions.values import type_name
 from ..operators import classify as C
 from ..operators import profile as P
-from ..operators.query import project_document_fields
 from ..operators.records import assign_uuid
 from ..operators.route import decompose_large, resolve_references, route_records
 from ..operators.shred import (
@@ -24,12 +23,11 @@ from ..operators.shred import (
     table_info,
     verify_foreign_keys,
 )
-from ..sources.records import read_records, to_document
+from ..session import landed
+from ..sources.records import read_records
 from . import inputs as I
 from .registry import query
 
-# Stored documents of the routing queries: everything except the structured fields.
-_ORDER_DECISIONS = [("orderKey", "SQL", "INT"), ("orderStatus", "SQL", "TEXT"), ("totalCents", "SQL", "INT")]
 
 
 def _order_routed(spark, sf):
@@ -261,24 +259,28 @@ def d6_reconstruct(spark, sf):
         F.aggregate(parsed, F.lit(0).cast("bigint"), lambda acc, i: acc + i["l_partkey"]).alias("item_parts"))
 
 
-@query("d7_lossless_check", f"""WITH {I.ORDER_SQL}
-SELECT (SELECT COUNT(*) FROM o) AS records_before, (SELECT COUNT(*) FROM pay) AS children_before,
-       (SELECT COUNT(*) FROM o) AS records_after, (SELECT COUNT(*) FROM pay) AS children_after""")
-def d7_lossless_check(spark, sf):
-    rows = shred(I.order_records(spark, sf))
-    return lossless_check(rows, rebuild_records(rows))
-
-
-@query("d7_rebuilt_values", f"""WITH {I.ORDER_SQL}
-SELECT o.o_orderkey, o.cents AS total_cents, CAST(n AS INT) AS payments, COALESCE(CAST(SUM(amount) AS BIGINT), 0) AS paid
-FROM o LEFT JOIN pay USING (o_orderkey) GROUP BY o.o_orderkey, o.cents, n""")
-def d7_rebuilt_values(spark, sf):
-    rebuilt = rebuild_records(shred(I.order_records(spark, sf)))
-    kids = F.from_json(F.coalesce(F.try_element_at("lists", F.lit("payments")), F.lit("[]")), "array<struct<amount_cents:bigint>>")
+@query("d6_reconstruct_all_depths", f"""WITH {I.ORDER_SQL}, e AS (SELECT o_orderkey, COUNT(*) AS entries, CAST(SUM(cents) AS BIGINT) AS cents FROM entry GROUP BY 1)
+SELECT o.o_orderkey, o.cents AS total_cents, CAST(n AS INT) AS payments, COALESCE(entries, 0) AS entries, COALESCE(e.cents, 0) AS paid
+FROM o LEFT JOIN e USING (o_orderkey)""")
+def d6_reconstruct_all_depths(spark, sf):
+    rebuilt = rebuild_records(landed(shred(I.order_records(spark, sf)), "rows"))
+    kids = F.from_json(
+        F.coalesce(F.to_json(F.try_element_at("fields", F.lit("payments"))), F.lit("[]")),
+        "array<struct<entries:array<struct<cents:bigint>>>>")
+    entries = F.flatten(F.transform(kids, lambda k: k["entries"]))
     return rebuilt.select(
         F.col("fields")["order_key"].cast("bigint").alias("o_orderkey"),
         F.col("fields")["total_cents"].cast("bigint").alias("total_cents"), F.size(kids).alias("payments"),
-        F.aggregate(kids, F.lit(0).cast("bigint"), lambda acc, k: acc + k["amount_cents"]).alias("paid"))
+        F.size(entries).cast("bigint").alias("entries"),
+        F.aggregate(entries, F.lit(0).cast("bigint"), lambda acc, k: acc + k["cents"]).alias("paid"))
+
+
+@query("d7_lossless_check", f"""WITH {I.ORDER_SQL}
+SELECT t AS "table", n AS rows_before, n AS rows_after, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra FROM (
+ SELECT 'root' AS t, COUNT(*) AS n FROM o UNION ALL SELECT 'root_payments', COUNT(*) FROM pay UNION ALL SELECT 'root_payments_entries', COUNT(*) FROM entry)""")
+def d7_lossless_check(spark, sf):
+    rows = landed(shred(I.order_records(spark, sf)), "rows")
+    return lossless_check(rows, rebuild_records(rows))
 
 
 _CUSTOMER_COLUMNS = [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
