@@ -1,4 +1,4 @@
-"""Two small helpers that make Spark compute a costly expression once."""
+"""Small helpers over plans: compute a costly expression once, spread a small input."""
 
 from __future__ import annotations
 
@@ -42,3 +42,10 @@ def last_wins(pairs: Column) -> Column:
         )
 
     return let(pairs, build)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input that arrives in fewer splits than there are cores, before costly
+    parsing; an input of many splits is left as it lies."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -93,52 +93,92 @@ def deepest_level(paths: DataFrame) -> DataFrame:
     return paths.agg(F.coalesce(F.max("level"), F.lit(0)).alias("deepest_level"), F.count(F.lit(1)).alias("paths"))
 
 
-def functional_dependencies(df: DataFrame, columns: Sequence[str] | None = None, mode: str = "strict",
-                            sample: int | None = None) -> DataFrame:
-    """Dependencies X -> Y between columns: ``(determinant, dependent, values, rows, confidence)``.
+def _dependency_verdicts(df: DataFrame, names: Sequence[str], wanted: dict[int, set[int]], mode: str) -> DataFrame:
+    """``(x, y, values, rows)`` for wanted pairs that hold over all rows of ``df``.
 
-    ``strict``: every X value has exactly one Y; ``any``: some X value does.  Each row is
-    repeated once per determinant, never per pair: a group keeps the least and greatest
-    128-bit digest of every other column, which merge before the shuffle, and Y depends on
-    X when they agree in all groups.  ``sample`` looks at that many rows only, as an option.
+    Each row is repeated once per determinant, never per pair: a group keeps the least and
+    greatest 128-bit digest of the other columns, which merge before the shuffle, and Y
+    depends on X when they agree in all groups.
     """
-    names = list(columns) if columns is not None else [
-        f.name for f in df.schema.fields if column_type_name(f.dataType) not in ("dict", "list")
-    ]
-    if sample is not None:
-        df = df.limit(sample)
-    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in names}
+    targets = sorted(set().union(*wanted.values()))
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in names]
     digests = []
-    for i, c in enumerate(names):
-        digests.append(F.xxhash64(texts[c]).alias(f"a{i}"))
-        digests.append(F.xxhash64(F.lit(i), F.reverse(texts[c])).alias(f"b{i}"))
+    for y in targets:
+        digests += [F.xxhash64(texts[y]).alias(f"a{y}"), F.xxhash64(F.lit(y), F.reverse(texts[y])).alias(f"b{y}")]
     dets = F.array(*[
-        F.struct(F.lit(i).alias("x"), fingerprint(F.when(F.col(c).isNotNull(), texts[c])).alias("xv"))
-        for i, c in enumerate(names)
+        F.struct(F.lit(x).alias("x"), fingerprint(F.when(F.col(names[x]).isNotNull(), texts[x])).alias("xv"))
+        for x in sorted(wanted)
     ])
-    long = df.select(F.inline(dets), *digests).filter(F.col("xv").isNotNull())
+    long = once(df.select(*names), _dets=dets).select(F.inline("_dets"), *digests).filter(F.col("xv").isNotNull())
     spread = []
-    for i in range(len(names)):
-        spread += [F.min(f"a{i}").alias(f"la{i}"), F.max(f"a{i}").alias(f"ha{i}"),
-                   F.min(f"b{i}").alias(f"lb{i}"), F.max(f"b{i}").alias(f"hb{i}")]
+    for y in targets:
+        # A digest is only carried for determinants that still ask for it.
+        asked = F.col("x").isin(*[x for x, ys in wanted.items() if y in ys])
+        for d in ("a", "b"):
+            value = F.when(asked, F.col(f"{d}{y}"))
+            spread += [F.min(value).alias(f"l{d}{y}"), F.max(value).alias(f"h{d}{y}")]
     groups = long.groupBy("x", "xv").agg(F.count(F.lit(1)).alias("n"), *spread)
-    one = [(F.col(f"la{i}") == F.col(f"ha{i}")) & (F.col(f"lb{i}") == F.col(f"hb{i}")) for i in range(len(names))]
     fold = F.bool_and if mode == "strict" else F.bool_or
     verdict = groups.groupBy("x").agg(
-        F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"), *[fold(c).alias(f"d{i}") for i, c in enumerate(one)]
+        F.count(F.lit(1)).alias("values"),
+        F.sum("n").alias("rows"),
+        *[fold((F.col(f"la{y}") == F.col(f"ha{y}")) & (F.col(f"lb{y}") == F.col(f"hb{y}"))).alias(f"d{y}") for y in targets],
     )
-    pairs = F.array(*[F.struct(F.lit(i).alias("y"), F.col(f"d{i}").alias("holds")) for i in range(len(names))])
+    pairs = F.array(*[F.struct(F.lit(y).alias("y"), F.col(f"d{y}").alias("holds")) for y in targets])
+    return verdict.select("x", "values", "rows", F.inline(pairs)).filter(F.col("holds") & (F.col("x") != F.col("y"))).drop("holds")
+
+
+def functional_dependencies(df: DataFrame, columns: Sequence[str] | None = None, mode: str = "strict",
+                            sample: int | None = None, probe_rows: int = 100_000) -> DataFrame:
+    """Dependencies X -> Y between columns: ``(determinant, dependent, values, rows, confidence)``.
+
+    ``strict``: every X value has exactly one Y; ``any``: some X value does.  ``sample`` is an
+    option that looks at that many rows only.
+
+    Strict mode works in three steps.  A pair that fails on some rows fails on all, so
+    a probe of ``probe_rows`` rows refutes most pairs.  A column without repeats determines
+    every other, which a distinct count per column shows.  Only the pairs then still open go
+    through the full comparison over all rows.  What the steps read to the driver is
+    bounded by the number of columns.
+    """
+    names = list(columns) if columns is not None else [
+        f.name for f in df.schema.fields if column_type_name(f.dataType) not in ("dict", "list")
+    ]
+    if sample is not None:
+        df = df.limit(sample)
+    every = {x: {y for y in range(len(names)) if y != x} for x in range(len(names))}
+    if mode != "strict":
+        found = _dependency_verdicts(df, names, every, mode)
+    else:
+        wanted: dict[int, set[int]] = {}
+        for r in _dependency_verdicts(df.limit(probe_rows), names, every, mode).select("x", "y").collect():
+            wanted.setdefault(r["x"], set()).add(r["y"])
+        # A column that is NULL throughout the probe is not refuted by it.
+        seen = df.limit(probe_rows).agg(*[F.count(c).alias(str(i)) for i, c in enumerate(names)]).first()
+        wanted.update({x: every[x] for x in every if seen[str(x)] == 0})
+        found = None
+        if wanted:
+            some = [names[x] for x in sorted(wanted)]
+            counts = {r["field"]: r for r in key_analysis(df, some).collect()}
+            whole = {x for x in wanted if names[x] in counts
+                     and counts[names[x]]["unique_count"] == counts[names[x]]["total_count"] - counts[names[x]]["null_count"]}
+            facts = [(x, y, counts[names[x]]["unique_count"], counts[names[x]]["unique_count"])
+                     for x in sorted(whole) for y in sorted(every[x]) if counts[names[x]]["unique_count"]]
+            if facts:
+                found = df.sparkSession.createDataFrame(facts, "x int, y int, values bigint, rows bigint")
+            rest = {x: ys for x, ys in wanted.items() if x not in whole}
+            if rest:
+                tested = _dependency_verdicts(df, names, rest, mode).select("x", "y", "values", "rows")
+                found = tested if found is None else found.unionByName(tested)
+        if found is None:
+            found = df.sparkSession.createDataFrame([], "x int, y int, values bigint, rows bigint")
     name_of = {i: c for i, c in enumerate(names)}
-    return (
-        verdict.select("x", "values", "rows", F.inline(pairs))
-        .filter(F.col("holds") & (F.col("x") != F.col("y")))
-        .select(
-            lookup(name_of, F.col("x")).alias("determinant"),
-            lookup(name_of, F.col("y")).alias("dependent"),
-            F.col("values").alias("num_determinant_values"),
-            F.col("rows").alias("num_samples"),
-            F.least(F.col("values") / F.col("rows"), F.lit(MAX_CONFIDENCE)).alias("confidence"),
-        )
+    return found.select(
+        lookup(name_of, F.col("x")).alias("determinant"),
+        lookup(name_of, F.col("y")).alias("dependent"),
+        F.col("values").alias("num_determinant_values"),
+        F.col("rows").alias("num_samples"),
+        F.least(F.col("values") / F.col("rows"), F.lit(MAX_CONFIDENCE)).alias("confidence"),
     )
 
 

@@ -120,16 +120,50 @@ def finish_profile(counts: DataFrame, total: Column, keep: Sequence[str] = ("key
 
 
 def record_total(records: DataFrame) -> Column:
-    """Number of records as a scalar subquery: no join, and answered from file footers
-    when ``records`` is a stored table."""
+    """Number of records as a scalar subquery; answered from file footers when ``records``
+    is a stored table."""
     return records.agg(F.count(F.lit(1))).scalar()
 
 
+# Key of the one extra cell that stands for the record itself.
+RECORD_MARK = "\u0000record"
+
+
+def _marked(records: DataFrame) -> DataFrame:
+    mark = F.create_map(F.lit(RECORD_MARK), F.lit(None).cast("variant"))
+    return records.select(F.map_concat("fields", mark).alias("fields"))
+
+
+def _finish_marked(counts: DataFrame, unique_cap: int | None = None) -> DataFrame:
+    """Finish counts in which the record mark gives the total.
+
+    The total is a scalar subquery over the same counts.  It asks for the whole row, so its
+    plan equals the main one and Spark reuses the shuffle instead of reading the source twice.
+    """
+    is_mark = F.col("marks") > 0
+    total = counts.filter(is_mark).select(F.struct(*counts.columns)).scalar()["count"]
+    fields = counts.filter(~is_mark)
+    return finish_profile(fields, total, unique_cap=unique_cap)
+
+
+def _marked_counts(cell_df: DataFrame, approximate: bool) -> DataFrame:
+    # An aggregate rather than a test of the key, so that filters on it stay above the shuffle.
+    marks = F.max((F.col("key") == RECORD_MARK).cast("int")).alias("marks")
+    if approximate:
+        return cell_df.groupBy("key").agg(
+            F.count(F.lit(1)).alias("count"),
+            F.bit_or(lookup(TYPE_BITS, F.col("type_name"))).alias("types"),
+            F.hll_sketch_estimate(F.hll_sketch_agg(fingerprint(F.col("text")))).alias("unique_count"),
+            marks,
+        )
+    return value_partials(cell_df).groupBy("key").agg(
+        F.sum("n").alias("count"), F.bit_or("types").alias("types"), F.count("fp").alias("unique_count"), marks
+    )
+
+
 def field_profile(records: DataFrame, approximate: bool = False, unique_cap: int | None = None) -> DataFrame:
-    """One row per field of a record set."""
-    long = cells(records, keep=())
-    partials = sketch_partials(long) if approximate else value_partials(long)
-    return finish_profile(field_counts(partials), record_total(records), unique_cap=unique_cap)
+    """One row per field of a record set, from one scan."""
+    return _finish_marked(_marked_counts(cells(_marked(records), keep=()), approximate), unique_cap)
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -138,9 +172,27 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return finish_profile(field_counts(partials), record_total(df))
 
 
-def field_profile_capped(records: DataFrame, cap: int = UNIQUE_CAP) -> DataFrame:
-    """``field_profile`` whose distinct count stops at ``cap``."""
-    return field_profile(records, unique_cap=cap)
+def field_profile_capped(records: DataFrame, cap: int = UNIQUE_CAP, probe_rows: int | None = None) -> DataFrame:
+    """``field_profile`` whose distinct count stops at ``cap``.
+
+    A field that already has ``cap`` distinct values among some records has at least as many
+    among all, so a probe over ``probe_rows`` settles the key-like fields.  Their values then
+    stay out of the shuffle, which carries only fields whose count is still open.  The probe
+    saves work and never decides a count below the cap.
+    """
+    probe = cells(records.limit(probe_rows or 4 * cap), keep=())
+    settled = [
+        r["key"]
+        for r in field_counts(value_partials(probe)).filter(F.col("unique_count") >= cap).select("key").collect()
+    ]
+    open_cells = cells(_marked(records), keep=())
+    if settled:
+        open_cells = open_cells.withColumn("text", F.when(~F.col("key").isin(*settled), F.col("text")))
+    counts = _marked_counts(open_cells, approximate=False)
+    if settled:
+        known = F.when(F.col("key").isin(*settled), F.lit(cap).cast("bigint")).otherwise(F.col("unique_count"))
+        counts = counts.withColumn("unique_count", known)
+    return _finish_marked(counts, cap)
 
 
 def sample_values(cell_df: DataFrame, order_col: str = "rec_id", count: int = SAMPLE_COUNT,

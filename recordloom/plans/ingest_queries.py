@@ -9,8 +9,8 @@ from ..functions.values import coerce_literal, type_name
 from ..operators import classify as C
 from ..operators import profile as P
 from ..operators.records import assign_uuid, normalize_keys, stamp_ingest
-from ..operators.shred import structure_map, shred, table_catalog
-from ..session import landed, work_folder
+from ..operators.shred import shred, structure_map
+from ..session import work_folder
 from ..sources.catalog import load_catalog, save_catalog
 from ..sources.records import read_records, stream_records
 from ..sources.tables import (
@@ -129,8 +129,7 @@ UNION ALL SELECT 'root_payments', COUNT(*), CAST(SUM(amount) AS BIGINT), 0 FROM
 UNION ALL SELECT 'root_payments_entries', COUNT(*), CAST(SUM(cents) AS BIGINT), 0 FROM entry""")
 def s6_write_tables(spark, sf):
     path = work_folder(spark, "s6")
-    rows = landed_rows(spark, sf)
-    write_tables(rows, table_catalog(rows), path)
+    write_tables(shred(I.order_records(spark, sf)), path)
     root = spark.read.parquet(f"{path}/root")
     pay = spark.read.parquet(f"{path}/root_payments")
     entry = spark.read.parquet(f"{path}/root_payments_entries")
@@ -147,12 +146,6 @@ def s6_write_tables(spark, sf):
     ).unionByName(line("root_payments_entries", entry, "cents", pay, "root_payments_id"))
 
 
-def landed_rows(spark, sf):
-    """Shredded order rows, written once and read back."""
-    rows = shred(I.order_records(spark, sf))
-    return landed(rows, "rows")
-
-
 @query("s7_table_preview", "SELECT * FROM customer ORDER BY c_custkey LIMIT 10")
 def s7_table_preview(spark, sf):
     return table_preview(I.table(spark, sf, "customer"), 10, "c_custkey")
@@ -296,7 +289,7 @@ def _column_sql(table, columns):
     ("l_extendedprice", "float"), ("l_discount", "float"), ("l_tax", "float"), ("l_returnflag", "str"),
     ("l_linestatus", "str"), ("l_shipdate", "datetime")]))
 def p2_column_profile(spark, sf):
-    return I.round_profile(P.column_profile(I.table(spark, sf, "lineitem")))
+    return I.round_profile(P.column_profile(I.spread(I.table(spark, sf, "lineitem"))))
 
 
 @query("p3_field_profile_capped", f"""WITH {I.DOCUMENT_SQL} {I.rounded(I.profile_sql(

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.plan import spread
 from ..operators.records import assign_uuid, normalize_keys
 from ..sources.records import Parsed, read_records
 
@@ -19,13 +20,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer splits than there are cores, before costly
-    parsing; an input of many splits is left as it lies."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def event_json(events: DataFrame) -> DataFrame:
     """Events as JSON text ``(event_id, ts, raw)`` in camel case.
 

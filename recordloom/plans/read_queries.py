@@ -132,7 +132,7 @@ def q7_distinct_values(spark, sf):
 @query("q8_count_preview", """
 SELECT LEAST(n, 10000) AS count, n > 10000 AS truncated, CASE WHEN n <= 10000 THEN n END AS actual_count FROM (
   SELECT COUNT(*) AS n FROM lineitem WHERE l_quantity > 10)
-UNION ALL SELECT n, n > 100000, CASE WHEN n <= 100000 THEN n END FROM (SELECT COUNT(*) AS n FROM orders)""")
+UNION ALL SELECT LEAST(n, 100000), n > 100000, CASE WHEN n <= 100000 THEN n END FROM (SELECT COUNT(*) AS n FROM orders)""")
 def q8_count_preview(spark, sf):
     wide = Q.count_preview(I.table(spark, sf, "lineitem"), structured_filter({"l_quantity": {"$gt": 10}}), cap=10_000)
     return wide.unionByName(Q.count_preview(I.table(spark, sf, "orders")))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import STORE_TYPES
-from ..operators.shred import table_frame
+from ..operators.shred import table_catalog, table_frame
 from .records import to_document
 
 
@@ -39,25 +39,23 @@ def write_side(side: DataFrame, path: str, mode: str = "append") -> None:
     side.write.mode(mode).partitionBy("collection").parquet(path)
 
 
-def write_tables(rows: DataFrame, catalog: DataFrame, path: str, mode: str = "append") -> list[str]:
+def write_tables(rows: DataFrame, path: str, catalog: DataFrame | None = None, mode: str = "append") -> list[str]:
     """Write each shredded table with its catalog types.
 
-    The long frame lands once, one folder per table, and each typed table then reads
-    only its own folder: the source is scanned once however many tables there are.
+    The long frame lands once, one folder per table, and the catalog and each typed table
+    then read only what they need of it: the source is scanned once however many tables
+    there are.
     """
-    spark = rows.sparkSession
     landing = f"{path}/_rows"
-    rows.withColumn("fields", to_document(F.col("fields"))).write.mode("overwrite").partitionBy("table").parquet(landing)
-    stored = spark.read.schema(
-        "uuid string, parent_table string, parent_id string, pos int, depth int, fields string, table string"
-    ).parquet(landing).withColumn("fields", F.from_json("fields", "map<string,variant>"))
-    # The catalog has one row per table and column, so it is small by construction.
+    rows.write.mode("overwrite").partitionBy("table").parquet(landing)
+    stored = rows.sparkSession.read.schema(rows.schema).parquet(landing)
     tables: dict[str, dict] = {}
-    for r in catalog.collect():
+    # The catalog has one row per table and column, so it is small by construction.
+    for r in (table_catalog(stored) if catalog is None else catalog).collect():
         entry = tables.setdefault(r["table"], {"columns": {}, "parent": None})
-        if r["role"] == "foreign_key" and r["references"] and r["column"] == f"{r['references']}_id" \
-                and r["table"].startswith(r["references"] + "_"):
-            entry["parent"] = r["references"]
+        parent = r["references"]
+        if r["role"] == "foreign_key" and r["type"] == "VARCHAR(36)" and r["table"].startswith(f"{parent}_"):
+            entry["parent"] = parent
         elif r["column"] != "uuid":
             entry["columns"][r["column"]] = r["type"] if r["type"] in STORE_TYPES else "TEXT"
     for name, entry in sorted(tables.items()):

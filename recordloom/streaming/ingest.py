@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.plan import spread
 from ..operators.classify import decide_targets
 from ..operators.profile import (
     cells,
@@ -36,7 +37,7 @@ BATCH_PAUSE = "2 seconds"
 def ingest_batch(batch: DataFrame, batch_id: int, base: str, json_col: str, id_col: str, ingested_at=None) -> None:
     """One micro-batch through the whole pipeline, writing below ``base``."""
     spark = batch.sparkSession
-    parsed = read_records(batch, json_col, id_col)
+    parsed = read_records(spread(batch), json_col, id_col)
     records = assign_uuid(stamp_ingest(normalize_keys(parsed.records), ingested_at))
     records.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -96,7 +97,7 @@ def stream_profile(stream: DataFrame, base: str, json_col: str, id_col: str, ava
     """Running field profile: every batch leaves its exact partials and its record count."""
 
     def step(batch: DataFrame, n: int) -> None:
-        records = normalize_keys(read_records(batch, json_col, id_col).records)
+        records = normalize_keys(read_records(spread(batch), json_col, id_col).records)
         records.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             value_partials(cells(records)).write.mode("overwrite").parquet(f"{base}/partials/batch_id={n}")
