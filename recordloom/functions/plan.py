@@ -44,6 +44,23 @@ def last_wins(pairs: Column) -> Column:
     return let(pairs, build)
 
 
+def distinct_keys(fields: Column) -> Column:
+    """A parsed map in which a repeated key keeps its first place and its last value."""
+
+    def merged(keys: Column) -> Column:
+        values = F.map_values(fields)
+        names = F.array_distinct(keys)
+        backwards = F.reverse(keys)
+        last = F.transform(
+            names, lambda k: F.get(values, (F.size(keys) - F.array_position(backwards, k)).cast("int"))
+        )
+        return F.map_from_arrays(names, last)
+
+    return F.when(F.size(F.array_distinct(F.map_keys(fields))) == F.size(fields), fields).otherwise(
+        let(F.map_keys(fields), merged)
+    )
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread an input that arrives in fewer splits than there are cores, before costly
     parsing; an input of many splits is left as it lies."""

@@ -40,12 +40,14 @@ def shred(records: DataFrame, root: str = "root", depth: int = walk.MAX_DEPTH) -
     One scan and no shuffle; lists of objects become ``<parent>_<key>`` rows whose id is
     derived from parent, key and position.
     """
+    return once(_nodes(records, root, True, depth), fields=walk.flat_fields(F.col("fields")))
+
+
+def _nodes(records: DataFrame, root: str, rename: bool, depth: int) -> DataFrame:
     # A record always has its root node, so the outer form drops nothing; it only keeps
     # Spark from evaluating the walk a second time in an inferred filter.
-    nodes = records.select(
-        F.explode_outer(walk.table_nodes(F.col("uuid"), F.col("fields"), root, True, depth)).alias("n")
-    )
-    return once(nodes.select("n.*"), fields=walk.flat_fields(F.col("fields")))
+    nodes = walk.table_nodes(F.col("uuid"), F.col("fields"), root, rename, depth)
+    return records.select(F.explode_outer(nodes).alias("n")).select("n.*")
 
 
 def flatten_object(fields: Column) -> Column:
@@ -105,9 +107,8 @@ def shred_all(records: DataFrame, entity: str = "root") -> Shredded:
 def structure_map(records: DataFrame, root: str = "root") -> DataFrame:
     """Tables, flattened columns and child tables found anywhere in the records:
     ``(table, column, kind, child_table)`` with kind ``column`` or ``child``."""
-    nodes = records.select(
-        F.explode_outer(walk.table_nodes(F.lit("r"), F.col("fields"), root, rename=False)).alias("n")
-    ).select("n.table", F.explode("n.fields").alias("key", "value"))
+    named = records.select(F.lit("").alias("uuid"), "fields")
+    nodes = _nodes(named, root, False, walk.MAX_DEPTH).select("table", F.explode("fields").alias("key", "value"))
     key, value = F.col("key"), F.col("value")
     sub = F.transform(F.map_keys(as_object(value)), lambda s: F.concat_ws("_", key, s))
     names = (
@@ -272,9 +273,10 @@ def rebuild_records(rows: DataFrame, depth: int | None = None, max_list: int = M
 
 
 def lossless_check(rows: DataFrame, rebuilt: DataFrame) -> DataFrame:
-    """Shred the rebuilt records again and compare: per table the rows on both sides, and how
-    many are on one side only.  One aggregation over the union, no join."""
-    again = shred(rebuilt)
+    """Take the rebuilt records apart again and compare: per table the rows on both sides, and
+    how many are on one side only.  One aggregation over the union, no join."""
+    own = F.map_filter("fields", lambda k, v: as_list(v).isNull())
+    again = once(_nodes(rebuilt, "root", False, walk.MAX_DEPTH), fields=own)
 
     def digests(df: DataFrame, side: int) -> DataFrame:
         text = F.concat_ws("|", "uuid", "parent_id", F.col("pos").cast("string"), F.to_json(F.to_variant_object("fields")))

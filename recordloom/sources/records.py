@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.plan import once
+from ..functions.plan import distinct_keys, once
 from ..functions.values import OBJECT
 
 
@@ -22,7 +22,8 @@ def _parsed(df: DataFrame, json_col: str, rec_id: Column) -> DataFrame:
     # would stop at the end of the first object and miss it.
     closed = F.rtrim(F.col(json_col), F.lit(" \t\r\n")).endswith("}")
     fields = F.when(closed, F.from_json(F.col(json_col), OBJECT))
-    return once(df.select(rec_id.alias("rec_id"), F.col(json_col).alias("raw")), fields=fields)
+    parsed = once(df.select(rec_id.alias("rec_id"), F.col(json_col).alias("raw")), fields=fields)
+    return once(parsed, fields=distinct_keys(F.col("fields")))
 
 
 def read_records(df: DataFrame, json_col: str, id_col: str) -> Parsed:
