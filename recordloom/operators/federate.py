@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import OBJECT
 from .route import resolve_references
 from .shred import child_lists, reconstruct
 
@@ -30,11 +29,11 @@ def read_by_id(structured: DataFrame, documents: DataFrame, uuid: str,
         name: child_lists(df.filter(F.col(fk) == uuid).withColumnRenamed(fk, "uuid"), "uuid", name, order)
         for name, (df, fk, order) in (children or {}).items()
     }
-    found = reconstruct(structured.filter(F.col("uuid") == uuid), "uuid", docs, lists)
-    asked = structured.sparkSession.range(1).select(F.lit(uuid).alias("uuid"))
-    return asked.join(found, "uuid", "left").withColumn(
-        "status", F.when(F.col("record").isNull(), "404").otherwise("success")
-    )
+    own = structured.filter(F.col("uuid") == uuid)
+    found = reconstruct(own, "uuid", docs, lists).withColumn("status", F.lit("success"))
+    unknown = own.agg(F.count(F.lit(1))).scalar() == 0
+    missing = structured.sparkSession.range(1).filter(unknown).select(F.lit(uuid).alias("uuid"), F.lit("404").alias("status"))
+    return found.unionByName(missing, allowMissingColumns=True)
 
 
 def read_by_filter(structured: DataFrame, condition: Column, documents: DataFrame,
@@ -80,11 +79,10 @@ def federated_merge(structured: DataFrame, documents: DataFrame, seq: str = "seq
     """
     left = structured.select(F.col("fields").alias("own"), merge_key(F.col("fields")).alias("merge_key"))
     right = documents.select("fields", F.col(seq).alias("_seq"), merge_key(F.col("fields")).alias("merge_key"))
-    text = F.to_json("fields")
     first = (
         right.filter(F.col("merge_key").isNotNull())
         .groupBy("merge_key")
-        .agg(F.from_json(F.min_by(text, "_seq"), OBJECT).alias("doc"))
+        .agg(F.min_by("fields", "_seq").alias("doc"))
     )
     rest = F.map_filter("own", lambda k, v: ~F.map_contains_key("doc", k))
     merged = left.join(first, "merge_key", "left").select(

@@ -161,10 +161,15 @@ def next_status(outcome: Column, retries: Column, max_retries: int = MAX_RETRIES
 def advance_op_state(txlog: DataFrame, outcomes: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
     """The log after attempts ``(tx_id, op_index, outcome)``.
 
-    Outcomes gather to one small map per transaction, then the ops change in place.
+    Of several outcomes of one operation a success counts.  They gather to one map per
+    transaction, no larger than its operation list, and the ops change in place.
     """
-    by_tx = outcomes.groupBy("tx_id").agg(
-        F.map_from_entries(F.collect_set(F.struct("op_index", "outcome"))).alias("_outcomes")
+    good = F.col("outcome").isin("applied", "present", "duplicate")
+    per_op = outcomes.groupBy("tx_id", "op_index").agg(
+        F.when(F.bool_or(good), "applied").otherwise("error").alias("outcome")
+    )
+    by_tx = per_op.groupBy("tx_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("op_index", "outcome"))).alias("_outcomes")
     )
 
     def advanced(op: Column, i: Column) -> Column:

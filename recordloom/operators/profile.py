@@ -129,9 +129,9 @@ def record_total(records: DataFrame) -> Column:
 RECORD_MARK = "\u0000record"
 
 
-def _marked(records: DataFrame) -> DataFrame:
+def _marked(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     mark = F.create_map(F.lit(RECORD_MARK), F.lit(None).cast("variant"))
-    return records.select(F.map_concat("fields", mark).alias("fields"))
+    return records.select(*keep, F.map_concat("fields", mark).alias("fields"))
 
 
 def _finish_marked(counts: DataFrame, unique_cap: int | None = None) -> DataFrame:
@@ -146,17 +146,17 @@ def _finish_marked(counts: DataFrame, unique_cap: int | None = None) -> DataFram
     return finish_profile(fields, total, unique_cap=unique_cap)
 
 
-def _marked_counts(cell_df: DataFrame, approximate: bool) -> DataFrame:
+def _marked_counts(cell_df: DataFrame, approximate: bool, by: Sequence[str] = ("key",)) -> DataFrame:
     # An aggregate rather than a test of the key, so that filters on it stay above the shuffle.
     marks = F.max((F.col("key") == RECORD_MARK).cast("int")).alias("marks")
     if approximate:
-        return cell_df.groupBy("key").agg(
+        return cell_df.groupBy(*by).agg(
             F.count(F.lit(1)).alias("count"),
             F.bit_or(lookup(TYPE_BITS, F.col("type_name"))).alias("types"),
             F.hll_sketch_estimate(F.hll_sketch_agg(fingerprint(F.col("text")))).alias("unique_count"),
             marks,
         )
-    return value_partials(cell_df).groupBy("key").agg(
+    return value_partials(cell_df, by).groupBy(*by).agg(
         F.sum("n").alias("count"), F.bit_or("types").alias("types"), F.count("fp").alias("unique_count"), marks
     )
 
@@ -218,12 +218,18 @@ def sample_lists(samples: DataFrame) -> DataFrame:
     return samples.groupBy("key").agg(F.transform(ordered, lambda s: s["sample"]).alias("samples"))
 
 
-def table_profile(cell_df: DataFrame, row_counts: DataFrame) -> DataFrame:
-    """Field profile per table: cells carry ``table``; ``uuid`` is skipped; the
-    denominator is the table's own row count ``(table, rows)``."""
-    by = ("table", "key")
-    counts = field_counts(value_partials(cell_df.filter(F.col("key") != "uuid"), by), by)
-    return finish_profile(counts.join(row_counts, "table"), F.col("rows"), keep=by)
+def table_profile(rows: DataFrame) -> DataFrame:
+    """Field profile per table over shredded rows ``(table, fields)``; ``uuid`` is skipped and
+    the denominator is the table's own row count.
+
+    One scan: each row's mark gives the row count, which a window over the table's field
+    counts (as many rows as the table has columns) hands to its fields.
+    """
+    marked = _marked(rows, keep=("table",))
+    counts = _marked_counts(cells(marked, keep=("table",)).filter(F.col("key") != "uuid"), False, ("table", "key"))
+    total = F.max(F.when(F.col("marks") > 0, F.col("count"))).over(Window.partitionBy("table"))
+    fields = counts.withColumn("_rows", total).filter(F.col("marks") == 0)
+    return finish_profile(fields, F.col("_rows"), keep=("table", "key"))
 
 
 def profile_lookup(profile: DataFrame, field: str) -> DataFrame:

@@ -94,9 +94,9 @@ def shred_m2m(records: DataFrame, entity: str = "root") -> tuple[DataFrame, Data
 
     The dimension id is a digest of its value, so the junction needs no join back.
     """
-    elements = _scalar_lists(records, entity).withColumn("dimension_id", _dimension_id())
-    dimensions = elements.groupBy("dimension", F.col("dimension_id").alias("id")).agg(F.min("name").alias("name"))
-    junctions = elements.select("junction", "entity_id", "dimension", "dimension_id", "pos")
+    elements = _scalar_lists(records, entity)
+    dimensions = elements.select("dimension", "name").distinct().withColumn("id", _dimension_id())
+    junctions = elements.select("junction", "entity_id", "dimension", _dimension_id().alias("dimension_id"), "pos")
     return dimensions, junctions
 
 

@@ -12,7 +12,7 @@ from ..operators.records import assign_uuid, normalize_keys, stamp_ingest
 from ..operators.shred import shred, structure_map
 from ..session import work_folder
 from ..sources.catalog import load_catalog, save_catalog
-from ..sources.records import read_records, stream_records
+from ..sources.records import read_records
 from ..sources.tables import (
     document_preview,
     export_results,
@@ -49,17 +49,12 @@ def s1_read_records(spark, sf):
     return good.unionByName(bad)
 
 
-def _events_stream(spark, sf, files=None):
-    schema = I.table(spark, sf, "events").schema
-    return stream_records(spark, sf, "parquet", schema, files, "events.parquet")
-
-
 @query("s2_stream_records", """
 SELECT event_type, COUNT(*) AS events, MIN(event_id) AS first_event, MAX(event_id) AS last_event
 FROM events GROUP BY event_type""")
 def s2_stream_records(spark, sf):
     base = work_folder(spark, "s2")
-    _events_stream(spark, sf).writeStream.format("parquet").option("path", f"{base}/out").option(
+    I.event_stream(spark, sf).writeStream.format("parquet").option("path", f"{base}/out").option(
         "checkpointLocation", f"{base}/checkpoint"
     ).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(
@@ -74,7 +69,7 @@ def s3_micro_batches(spark, sf):
     def step(batch, n):
         batch.select("event_id").write.mode("overwrite").parquet(f"{base}/out/batch_id={n}")
 
-    _events_stream(spark, sf, files=1).writeStream.foreachBatch(step).option(
+    I.event_stream(spark, sf, files_per_trigger=1).writeStream.foreachBatch(step).option(
         "checkpointLocation", f"{base}/checkpoint"
     ).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{base}/out").agg(
@@ -331,9 +326,7 @@ SELECT c.tbl AS "table", key AS field, COUNT(*) AS count, round(COUNT(*) / MIN(r
   COUNT(DISTINCT text) AS unique_count, round(COUNT(DISTINCT text) / COUNT(*)::DOUBLE, 6) AS unique_ratio
 FROM c JOIN n USING (tbl) GROUP BY c.tbl, key""")
 def p5_table_profile(spark, sf):
-    rows = shred(I.order_records(spark, sf))
-    counts = rows.groupBy("table").agg(F.count(F.lit(1)).alias("rows"))
-    return I.round_profile(P.table_profile(P.cells(rows, keep=("table",)), counts))
+    return I.round_profile(P.table_profile(shred(I.order_records(spark, sf))))
 
 
 @query("p6_structure_map", """

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.plan import spread
 from ..operators.records import assign_uuid, normalize_keys
-from ..sources.records import Parsed, read_records
+from ..sources.records import Parsed, read_records, stream_records
 
 # Events before this moment form the early period, the others the late one.
 PERIOD_CUT = "2024-01-15 00:00:00"
@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def event_stream(spark: SparkSession, sf: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The event table as a stream.  Written as a pattern, the path may be one file or a folder."""
+    schema = table(spark, sf, "events").schema
+    return stream_records(spark, f"{sf}/events.parque[t]", "parquet", schema, files_per_trigger)
+
+
 def event_json(events: DataFrame) -> DataFrame:
     """Events as JSON text ``(event_id, ts, raw)`` in camel case.
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..operators import oplog as T
 from ..session import work_folder
-from ..sources.records import stream_records
 from ..streaming.ingest import (
     adaptive_ingest,
     read_documents,
@@ -15,7 +14,7 @@ from ..streaming.ingest import (
     stream_profile,
     streamed_profile,
 )
-from ..streaming.sessions import stream_sessions
+from ..streaming.sessions import once_per_key, stream_sessions
 from . import inputs as I
 from .ingest_queries import EVENT_PROFILE
 from .registry import query
@@ -172,8 +171,7 @@ def t11_reconcile_stores(spark, sf):
 
 def _event_stream(spark, sf):
     """The event table as a stream of JSON texts."""
-    schema = I.table(spark, sf, "events").schema
-    return I.event_json(stream_records(spark, sf, "parquet", schema, glob="events.parquet"))
+    return I.event_json(I.event_stream(spark, sf))
 
 
 @query("st1_adaptive_ingest", f"""WITH {I.EVENT_SQL}
@@ -222,8 +220,17 @@ def _naive(sessions):
 SELECT * FROM ses WHERE session_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE""")
 def st3_stream_sessions(spark, sf):
     base = work_folder(spark, "st3")
-    schema = I.table(spark, sf, "events").schema
-    sessions = stream_sessions(stream_records(spark, sf, "parquet", schema, glob="events.parquet"), "user_id", "ts")
+    sessions = stream_sessions(I.event_stream(spark, sf), "user_id", "ts")
     sessions.writeStream.format("parquet").option("path", f"{base}/out").option(
         "checkpointLocation", f"{base}/checkpoint").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return _naive(spark.read.schema(sessions.schema).parquet(f"{base}/out"))
+
+
+@query("w6_once_per_key_stream", "SELECT DISTINCT user_id, event_type FROM events")
+def w6_once_per_key_stream(spark, sf):
+    base = work_folder(spark, "w6")
+    # The lateness covers the whole span of the events, so each key passes once.
+    once = once_per_key(I.event_stream(spark, sf), ["user_id", "event_type"], "ts", late="60 days").select("user_id", "event_type")
+    once.writeStream.format("parquet").option("path", f"{base}/out").option(
+        "checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(once.schema).parquet(f"{base}/out")

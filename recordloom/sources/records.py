@@ -45,14 +45,11 @@ def stream_records(
     fmt: str = "text",
     schema: T.StructType | str = "value string",
     files_per_trigger: int | None = None,
-    glob: str | None = None,
 ) -> DataFrame:
-    """A folder of files as a stream; the same transforms apply as in batch."""
+    """A folder of files, or a path pattern, as a stream; the same transforms apply as in batch."""
     reader = spark.readStream.format(fmt).schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     return reader.load(folder)
 
 

@@ -1,7 +1,9 @@
-"""Idle-gap sessions of users on a stream."""
+"""Idle-gap sessions and repeated events on a stream."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +25,10 @@ def stream_sessions(log: DataFrame, user: str, ts: str, late: str = "10 minutes"
     return timed.groupBy(F.session_window(ts, gap).alias("w"), F.col(user)).agg(F.count(F.lit(1)).alias("events")).select(
         user, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "events"
     )
+
+
+def once_per_key(stream: DataFrame, keys: Sequence[str], ts: str, late: str = "1 hour") -> DataFrame:
+    """Let each key pass once; keys are forgotten ``late`` after their event time, so the
+    state stays bounded."""
+    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    return timed.dropDuplicatesWithinWatermark(list(keys))
