@@ -39,14 +39,15 @@ def child_id(parent: Column, key: Column, pos: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", parent, key, pos.cast("string")), 256), 1, 32)
 
 
-def table_nodes(uuid: Column, fields: Column, root: str = "root", rename: bool = True,
+def table_nodes(uuid: Column | None, fields: Column, root: str = "root", rename: bool = True,
                 depth: int = MAX_DEPTH) -> Column:
-    """Every row a record shreds into: the root, and one node per object in each list of objects."""
+    """Every row a record shreds into: the root, and one node per object in each list of
+    objects.  Without ``uuid`` the nodes carry no ids."""
     name = snake_case if rename else (lambda c: c)
     none = F.lit(None).cast("string")
     top = F.array(
         F.struct(
-            F.lit(root).alias("table"), uuid.alias("uuid"), none.alias("parent_table"), none.alias("parent_id"),
+            F.lit(root).alias("table"), (none if uuid is None else uuid).alias("uuid"), none.alias("parent_table"), none.alias("parent_id"),
             F.lit(0).alias("pos"), F.lit(0).alias("depth"), fields.alias("fields"),
         )
     )
@@ -57,7 +58,7 @@ def table_nodes(uuid: Column, fields: Column, root: str = "root", rename: bool =
             as_list(entry["value"]),
             lambda item, i: F.struct(
                 F.concat_ws("_", node["table"], key).alias("table"),
-                child_id(node["uuid"], key, i).alias("uuid"),
+                (none if uuid is None else child_id(node["uuid"], key, i)).alias("uuid"),
                 node["table"].alias("parent_table"),
                 node["uuid"].alias("parent_id"),
                 i.alias("pos"),

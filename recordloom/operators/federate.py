@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.plan import let, once
+from ..functions.values import type_name
 from .route import resolve_references
 from .shred import child_lists, reconstruct
 
@@ -57,11 +59,19 @@ def read_by_filter(structured: DataFrame, condition: Column, documents: DataFram
 
 
 def merge_key(fields: Column, names: Sequence[str] = MERGE_KEYS) -> Column:
-    """First of the key fields that holds something."""
+    """First of the key fields that holds something: not null, empty, zero or false."""
 
     def usable(name: str) -> Column:
-        value = F.try_variant_get(F.try_element_at(fields, F.lit(name)), "$", "string")
-        return F.when(~value.isin("", "0", "false"), value)
+        def text(value: Column) -> Column:
+            kind, plain = type_name(value), F.try_variant_get(value, "$", "string")
+            holds = (
+                F.when(kind == "str", plain != "")
+                .when(kind.isin("int", "float"), F.try_variant_get(value, "$", "double") != 0)
+                .otherwise(~plain.isin("false", "[]", "{}"))
+            )
+            return F.when(holds, plain)
+
+        return let(F.try_element_at(fields, F.lit(name)), text)
 
     return F.coalesce(*[usable(n) for n in names])
 
@@ -77,8 +87,8 @@ def federated_merge(structured: DataFrame, documents: DataFrame, seq: str = "seq
     a third of them does not multiply or crowd a task; Spark splits a crowded key of the
     structured side.
     """
-    left = structured.select(F.col("fields").alias("own"), merge_key(F.col("fields")).alias("merge_key"))
-    right = documents.select("fields", F.col(seq).alias("_seq"), merge_key(F.col("fields")).alias("merge_key"))
+    left = once(structured.select(F.col("fields").alias("own")), merge_key=merge_key(F.col("own")))
+    right = once(documents.select("fields", F.col(seq).alias("_seq")), merge_key=merge_key(F.col("fields")))
     first = (
         right.filter(F.col("merge_key").isNotNull())
         .groupBy("merge_key")

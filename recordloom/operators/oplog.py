@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import landed
+
 # Reported percentiles, slow limit, idle time, ring size, retry limit.
 PERCENTILES = {"p50_ms": 0.50, "p95_ms": 0.95, "p99_ms": 0.99}
 SLOW_MS = 1000
@@ -16,21 +18,37 @@ RING_SIZE = 500
 MAX_RECENT = 200
 MAX_RETRIES = 3
 
+# Numbers a broadcast of cut points may hold over all keys (8 MB).
+BROADCAST_CELLS = 1 << 20
+
 
 def error_key(operation: Column, failed: Column) -> Column:
     """Failed calls are counted under their own ``<operation>_ERROR`` key."""
     return F.when(failed, F.concat(operation, F.lit("_ERROR"))).otherwise(operation)
 
 
-def _narrow(hist: DataFrame, keys: list[str], targets: DataFrame, buckets: int) -> DataFrame:
+def _bucket(df: DataFrame, cuts: str, value: str, steps: int) -> DataFrame:
+    """Number of cut points below the value, by bisection over ``2**steps - 1`` sorted cuts."""
+    out = df.withColumn("_b", F.lit(0))
+    for step in reversed(range(steps)):
+        half = 1 << step
+        beyond = F.get(cuts, F.col("_b") + (half - 1)) < F.col(value)
+        out = out.withColumn("_b", F.col("_b") + F.when(beyond, half).otherwise(0))
+    return out
+
+
+def _narrow(hist: DataFrame, keys: list[str], targets: DataFrame, steps: int, few_keys: bool) -> DataFrame:
     """Keep, for each target rank, only the value bucket that contains it.
 
     Cut points split each key's distinct values into about equal buckets; bucket totals say
     where a rank falls.  Bucketing depends on values alone, so a rerun task agrees.
     """
+    # A broadcast side holds at most one row of cut points, or three ranks, per key.
+    side = F.broadcast if few_keys else (lambda df: df)
+    buckets = 1 << steps
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = hist.groupBy(*keys).agg(F.percentile_approx("value", shares, buckets * 20).alias("_cuts"))
-    marked = hist.join(cuts, keys).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("value")))).drop("_cuts")
+    cuts = hist.groupBy(*keys).agg(F.percentile_approx("value", shares, buckets * 10).alias("_cuts"))
+    marked = _bucket(hist.join(side(cuts), keys), "_cuts", "value", steps).drop("_cuts")
     running = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = marked.groupBy(*keys, "_b").agg(F.sum("n").alias("_n")).withColumn("_upto", F.sum("_n").over(running))
     hit = (
@@ -38,21 +56,23 @@ def _narrow(hist: DataFrame, keys: list[str], targets: DataFrame, buckets: int)
         .filter((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_n")))
         .select(*keys, "_b", "label", (F.col("rank") - F.col("_upto") + F.col("_n")).alias("rank"))
     )
-    return marked.join(hit, [*keys, "_b"]).drop("_b")
+    return marked.join(side(hit), [*keys, "_b"]).drop("_b")
 
 
-def values_at_ranks(hist: DataFrame, keys: list[str], targets: DataFrame, buckets: int = 128,
-                    levels: int = 1) -> DataFrame:
+def values_at_ranks(hist: DataFrame, keys: list[str], targets: DataFrame, steps: int = 7, levels: int = 1,
+                    few_keys: bool = False) -> DataFrame:
     """Exact values at 0-based ranks: ``hist (keys…, value, n)``, ``targets (keys…, label, rank)``.
 
-    A key with endless distinct values is never sorted as a whole: each level cuts what one
-    task sorts by ``buckets``.
+    A key with endless distinct values is never sorted as a whole: each level divides what
+    one task sorts by ``2**steps``.  ``few_keys`` says that the number of keys was checked to
+    be small enough for broadcasts.
     """
-    near = _narrow(hist, keys, targets, buckets)
+    near = _narrow(hist, keys, targets, steps, few_keys)
     for _ in range(levels - 1):
         again = near.groupBy(*keys, "label").agg(F.max("rank").alias("rank")).withColumnRenamed("label", "_of")
         inner = near.drop("rank").withColumnRenamed("label", "_of")
-        near = _narrow(inner, [*keys, "_of"], again.withColumn("label", F.col("_of")), buckets).drop("_of")
+        again = again.withColumn("label", F.col("_of"))
+        near = _narrow(inner, [*keys, "_of"], again, steps, few_keys).drop("_of")
     running = Window.partitionBy(*keys, "label").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         near.withColumn("_upto", F.sum("n").over(running))
@@ -61,30 +81,36 @@ def values_at_ranks(hist: DataFrame, keys: list[str], targets: DataFrame, bucket
     )
 
 
-def latency_stats(log: DataFrame, operation: str, duration: str, buckets: int = 128, levels: int = 1) -> DataFrame:
+def latency_stats(log: DataFrame, operation: str, duration: str, steps: int = 7, levels: int = 1) -> DataFrame:
     """Per operation: count, total, average, least, greatest and the exact values at sorted
     positions ``floor(share * count)``.
 
     Repeated durations collapse to (value, count) before the shuffle, spread by operation and
-    value, so one dominant operation loads no single task.
+    value, so one dominant operation loads no single task.  That histogram is written once,
+    since it is read several times; no later step moves all of it.
     """
-    hist = (
+    hist = landed(
         log.filter(F.col(duration).isNotNull())
         .groupBy(F.col(operation).alias("operation"), F.col(duration).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "histogram",
     )
-    totals = hist.groupBy("operation").agg(
-        F.sum("n").alias("count"),
-        F.sum(F.col("value") * F.col("n")).alias("total_ms"),
-        F.min("value").alias("min_ms"),
-        F.max("value").alias("max_ms"),
+    totals = landed(
+        hist.groupBy("operation").agg(
+            F.sum("n").alias("count"),
+            F.sum(F.col("value") * F.col("n")).alias("total_ms"),
+            F.min("value").alias("min_ms"),
+            F.max("value").alias("max_ms"),
+        ),
+        "totals",
     )
+    few_keys = totals.count() <= BROADCAST_CELLS >> steps
     ranks = F.array(*[
         F.struct(F.lit(name).alias("label"), F.floor(F.col("count") * share).alias("rank"))
         for name, share in PERCENTILES.items()
     ])
     targets = totals.select("operation", F.inline(ranks))
-    found = values_at_ranks(hist, ["operation"], targets, buckets, levels)
+    found = values_at_ranks(hist, ["operation"], targets, steps, levels, few_keys)
     wide = found.groupBy("operation").agg(
         *[F.max(F.when(F.col("label") == name, F.col("value"))).alias(name) for name in PERCENTILES]
     )

@@ -172,19 +172,20 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return finish_profile(field_counts(partials), record_total(df))
 
 
-def field_profile_capped(records: DataFrame, cap: int = UNIQUE_CAP, probe_rows: int | None = None) -> DataFrame:
+def field_profile_capped(records: DataFrame, cap: int = UNIQUE_CAP, share: int | None = 64) -> DataFrame:
     """``field_profile`` whose distinct count stops at ``cap``.
 
-    A field that already has ``cap`` distinct values among some records has at least as many
-    among all, so a probe over ``probe_rows`` settles the key-like fields.  Their values then
-    stay out of the shuffle, which carries only fields whose count is still open.  The probe
-    saves work and never decides a count below the cap.
+    A first pass counts only values whose hash falls in one of ``share`` classes.  A field
+    with ``cap`` distinct values in that class alone has at least as many in all, so it is
+    settled, and its values stay out of the shuffle of the second pass, which counts the open
+    fields exactly.  Both passes together then shuffle at most about ``share * cap`` values
+    per field however large the data is.  ``share=None`` counts everything in one pass.
     """
-    probe = cells(records.limit(probe_rows or 4 * cap), keep=())
-    settled = [
-        r["key"]
-        for r in field_counts(value_partials(probe)).filter(F.col("unique_count") >= cap).select("key").collect()
-    ]
+    settled: list[str] = []
+    if share is not None:
+        some = cells(records, keep=()).filter(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
+        counted = field_counts(value_partials(some.filter(F.col("text").isNotNull())))
+        settled = [r["key"] for r in counted.filter(F.col("unique_count") >= cap).select("key").collect()]
     open_cells = cells(_marked(records), keep=())
     if settled:
         open_cells = open_cells.withColumn("text", F.when(~F.col("key").isin(*settled), F.col("text")))

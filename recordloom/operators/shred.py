@@ -43,10 +43,10 @@ def shred(records: DataFrame, root: str = "root", depth: int = walk.MAX_DEPTH) -
     return once(_nodes(records, root, True, depth), fields=walk.flat_fields(F.col("fields")))
 
 
-def _nodes(records: DataFrame, root: str, rename: bool, depth: int) -> DataFrame:
+def _nodes(records: DataFrame, root: str, rename: bool, depth: int, ids: bool = True) -> DataFrame:
     # A record always has its root node, so the outer form drops nothing; it only keeps
     # Spark from evaluating the walk a second time in an inferred filter.
-    nodes = walk.table_nodes(F.col("uuid"), F.col("fields"), root, rename, depth)
+    nodes = walk.table_nodes(F.col("uuid") if ids else None, F.col("fields"), root, rename, depth)
     return records.select(F.explode_outer(nodes).alias("n")).select("n.*")
 
 
@@ -107,8 +107,7 @@ def shred_all(records: DataFrame, entity: str = "root") -> Shredded:
 def structure_map(records: DataFrame, root: str = "root") -> DataFrame:
     """Tables, flattened columns and child tables found anywhere in the records:
     ``(table, column, kind, child_table)`` with kind ``column`` or ``child``."""
-    named = records.select(F.lit("").alias("uuid"), "fields")
-    nodes = _nodes(named, root, False, walk.MAX_DEPTH).select("table", F.explode("fields").alias("key", "value"))
+    nodes = _nodes(records, root, False, walk.MAX_DEPTH, ids=False).select("table", F.explode("fields").alias("key", "value"))
     key, value = F.col("key"), F.col("value")
     sub = F.transform(F.map_keys(as_object(value)), lambda s: F.concat_ws("_", key, s))
     names = (

@@ -112,7 +112,7 @@ def r4_resolve_as_list(spark, sf):
     back = resolve_references(parts.documents, parts.side, unwrap=False).documents
     value = F.try_element_at("doc", F.lit("text"))
     return back.select("uuid", type_name(value).alias("kind"),
-                       F.size(F.try_variant_get(value, "$", "array<variant>")).alias("payloads"))
+                       F.array_size(F.try_variant_get(value, "$", "array<variant>")).alias("payloads"))
 
 
 @query("r5_resolve_nested", """

@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.plan import spread
-from ..operators.classify import decide_targets
+from ..operators.classify import decide_targets, detect_drift, migrate_drifted
 from ..operators.profile import (
     cells,
     field_counts,
     finish_profile,
     merge_sketch_partials,
     merge_value_partials,
+    schema_changes,
     sketch_partials,
     value_partials,
 )
@@ -38,24 +39,26 @@ def ingest_batch(batch: DataFrame, batch_id: int, base: str, json_col: str, id_c
     """One micro-batch through the whole pipeline, writing below ``base``."""
     spark = batch.sparkSession
     parsed = read_records(spread(batch), json_col, id_col)
-    records = assign_uuid(stamp_ingest(normalize_keys(parsed.records), ingested_at))
-    records.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
     try:
+        records = keep(assign_uuid(stamp_ingest(normalize_keys(parsed.records), ingested_at)))
         # The catalog this batch extends is the one of the batch before it, so that a retry
         # of the same batch starts from the same state.
         before = load_catalog(spark, f"{base}/catalog", batch_id - 1) if batch_id > 0 else {}
-        field_cells = cells(records.select("rec_id", F.map_filter("fields", lambda k, v: k != "uuid").alias("fields")))
-        partials = sketch_partials(field_cells)
+        without_id = records.select("rec_id", F.map_filter("fields", lambda k, v: k != "uuid").alias("fields"))
+        partials = sketch_partials(cells(without_id))
         total = records.agg(F.count(F.lit(1)).alias("records"))
         if before:
             partials = merge_sketch_partials(partials, before["partials"])
             total = total.unionByName(before["total"]).agg(F.sum("records").alias("records"))
-        save_catalog({"partials": partials, "total": total}, f"{base}/catalog_work", batch_id)
-        work = load_catalog(spark, f"{base}/catalog_work", batch_id)
-        profile = finish_profile(field_counts(work["partials"]), work["total"].scalar())
-        decisions = decide_targets(profile, before.get("decisions"))
-        save_catalog({**work, "profile": profile, "decisions": decisions}, f"{base}/catalog", batch_id)
-        decisions = load_catalog(spark, f"{base}/catalog", batch_id)["decisions"]
+        partials, total = keep(partials), keep(total)
+        profile = finish_profile(field_counts(partials), total.scalar())
+        decisions = keep(decide_targets(profile, before.get("decisions")))
         routed = route_records(records, decisions)
         parts = decompose_large(routed.documents)
         here = f"batch_id={batch_id}"
@@ -63,8 +66,24 @@ def ingest_batch(batch: DataFrame, batch_id: int, base: str, json_col: str, id_c
         write_documents(parts.documents, f"{base}/documents/{here}", "documents", mode="overwrite")
         write_side(parts.side, f"{base}/side/{here}", mode="overwrite")
         parsed.rejected.write.mode("overwrite").parquet(f"{base}/rejected/{here}")
+        catalog = {"partials": partials, "total": total, "profile": profile, "decisions": decisions}
+        save_catalog({**catalog, **_history(before, decisions)}, f"{base}/catalog", batch_id)
     finally:
-        records.unpersist()
+        for df in kept:
+            df.unpersist()
+
+
+def _history(before: dict[str, DataFrame], decisions: DataFrame) -> dict[str, DataFrame]:
+    """Schema changes so far and the fields that drifted in this batch."""
+    if not before:
+        nothing = decisions.limit(0)
+        return {"history": schema_changes(nothing, decisions), "drift": detect_drift(nothing, decisions)}
+    last = before["history"].agg(F.coalesce(F.max("schema_version"), F.lit(0))).first()[0]
+    changes = schema_changes(before["decisions"], decisions, last + 1)
+    return {
+        "history": before["history"].unionByName(changes),
+        "drift": detect_drift(before["decisions"], decisions),
+    }
 
 
 def adaptive_ingest(stream: DataFrame, base: str, json_col: str, id_col: str, available_now: bool = False,
@@ -93,6 +112,17 @@ def read_side(spark, base: str) -> DataFrame:
     ).parquet(f"{base}/side").drop("batch_id")
 
 
+def current_view(spark, base: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides as the newest decisions want them: values of fields that drifted from the
+    structured side after they were written appear in the documents."""
+    structured = read_structured(spark, base)
+    documents = read_documents(spark, base).select("uuid", "doc")
+    newest = load_catalog(spark, f"{base}/catalog")["decisions"]
+    # Only columns of the structured table are asked for, so the answer is schema-sized.
+    moved = newest.filter((F.col("target") == "MONGO") & F.col("field").isin(*structured.columns)).select("field")
+    return migrate_drifted(structured, documents, [r["field"] for r in moved.collect()])
+
+
 def stream_profile(stream: DataFrame, base: str, json_col: str, id_col: str, available_now: bool = True) -> StreamingQuery:
     """Running field profile: every batch leaves its exact partials and its record count."""
 

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from recordloom.operators import oplog as T
 from recordloom.operators.profile import field_profile
+from recordloom.operators.route import resolve_references
+from recordloom.operators.shred import reconstruct
 from recordloom.session import work_folder
 from recordloom.sources.catalog import load_catalog, newest_version, save_catalog
 from recordloom.sources.records import read_records, stream_records, to_document
 from recordloom.sources.tables import export_results, write_structured
 from recordloom.streaming.ingest import (
     adaptive_ingest,
+    current_view,
     ingest_batch,
     read_documents,
     read_side,
@@ -30,13 +33,13 @@ def test_latency_literals(spark):
     assert (row["count"], row.min_ms, row.max_ms, row.p50_ms, row.p95_ms) == (3, 10.5, 20.3, 15.2, 20.3) and row.avg_ms > 15
 
 
-@pytest.mark.parametrize("buckets, levels", [(2, 1), (8, 1), (4, 2), (3, 3)])
-def test_exact_percentiles_match_sorting(spark, buckets, levels):
-    rng = random.Random(buckets)
+@pytest.mark.parametrize("steps, levels", [(1, 1), (3, 1), (2, 2), (1, 3)])
+def test_exact_percentiles_match_sorting(spark, steps, levels):
+    rng = random.Random(steps)
     data = {"hot": [float(rng.randint(0, 400)) for _ in range(3000)], "one": [5.0], "same": [2.0] * 50,
             "wide": [rng.random() * 1e6 for _ in range(777)]}
     df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs], "operation string, ms double")
-    got = {r.operation: r for r in T.latency_stats(df, "operation", "ms", buckets, levels).collect()}
+    got = {r.operation: r for r in T.latency_stats(df, "operation", "ms", steps, levels).collect()}
     for k, vs in data.items():
         vs = sorted(vs)
         want = [vs[math.floor(len(vs) * q)] for q in (0.5, 0.95, 0.99)]
@@ -182,6 +185,30 @@ def test_adaptive_ingest_over_batches(spark):
         assert ("steady" in by_id[r.uuid]) != (r.steady is not None)
 
 
+    catalog = load_catalog(spark, f"{base}/catalog")
+    assert sorted(r.field for r in catalog["drift"].collect()) == ["mood", "steady"]
+    history = catalog["history"].orderBy("schema_version").collect()
+    assert [r.schema_version for r in history] == list(range(1, len(history) + 1))
+    assert {(r.field, r.change) for r in history if r.change == "retargeted"} == {("mood", "retargeted"), ("steady", "retargeted")}
+    left, moved = current_view(spark, base)
+    assert not {"mood", "steady"} & set(left.columns) and moved.count() == 60
+    steady = moved.select(F.try_variant_get(F.col("doc")["steady"], "$", "string").alias("s"))
+    assert steady.filter("s = 's'").count() == 40 and steady.filter("s IS NULL").count() == 0
+
+
+def test_both_sides_give_the_record_back(spark):
+    base = work_folder(spark, "out")
+    df = spark.createDataFrame([(t,) for t in BATCHES[0]], "value string")
+    ingest_batch(keyed(df), 0, base, "raw", "key", "2024-01-01 00:00:00")
+    docs = resolve_references(read_documents(spark, base).select("uuid", "doc"), read_side(spark, base)).documents
+    made = reconstruct(read_structured(spark, base), "uuid", docs)
+    got = sorted((json.loads(r.record) for r in made.collect()), key=lambda d: d["rec_id"])
+    for record, text in zip(got, BATCHES[0], strict=True):
+        source = json.loads(text)
+        assert record.pop("sys_ingested_at") == "2024-01-01T00:00:00" and len(record.pop("uuid")) == 32
+        assert record == {{"userName": "user_name", "recId": "rec_id"}.get(k, k): v for k, v in source.items()}
+
+
 def test_a_retried_batch_changes_nothing(spark):
     base = work_folder(spark, "retry")
 

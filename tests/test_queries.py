@@ -199,6 +199,8 @@ MERGE_CASES = [
      [{"username": "a", "x": None, "z": 1}, {"username": "a", "x": 9}, {"username": "c", "z": 1}, {"username": "c", "z": 2}, {"z": 3},
       {"username": None, "sys_ingested_at": "", "user_id": "u", "w": 1}]),
     ([], [{"username": "a"}, {"z": 1}]),
+    ([{"username": 0, "user_id": 7, "x": 1}, {"username": False, "sys_ingested_at": "0"}, {"username": 0.0}],
+     [{"user_id": 7, "y": 1}, {"sys_ingested_at": "0", "y": 2}, {"username": "false", "y": 3}]),
     ([{"username": "a"}], []),
 ]
 
