@@ -140,3 +140,20 @@ STORE_TYPES = {
 def typed(value: Column, store_type: str) -> Column:
     """A VARIANT read as a store column; a value that does not fit becomes NULL."""
     return F.try_variant_get(value, "$", STORE_TYPES.get(store_type, "string"))
+
+
+def _as_variant(name: str, dtype: T.DataType) -> Column:
+    column = F.col(f"`{name}`")
+    if isinstance(dtype, (T.VariantType,)):
+        return column
+    if isinstance(dtype, (T.StructType, T.MapType, T.ArrayType)):
+        return F.to_variant_object(column)
+    return column.cast("variant")
+
+
+def row_fields(schema: T.StructType, names: list[str]) -> Column:
+    """Columns of a typed row as record fields; NULL counts as absent."""
+    if not names:
+        return F.create_map().cast(OBJECT)
+    pairs = [x for n in names for x in (F.lit(n), _as_variant(n, schema[n].dataType))]
+    return F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull())

@@ -23,9 +23,10 @@ class Deleted(NamedTuple):
 
 
 def insert_records(structured: DataFrame, documents: DataFrame, records: DataFrame,
-                   decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Append records to both sides by their routing; new columns appear on old rows as NULL."""
-    new = route_records(records, decisions)
+                   decisions: DataFrame, default: str = "MONGO") -> tuple[DataFrame, DataFrame]:
+    """Append records to both sides by their routing; new columns appear on old rows as NULL.
+    ``default`` is the target of fields without a decision."""
+    new = route_records(records, decisions, default)
     return (
         structured.unionByName(new.structured, allowMissingColumns=True),
         documents.unionByName(new.documents),

@@ -25,6 +25,7 @@ from ..functions.values import (
     type_name,
     types_in,
 )
+from ..session import landed
 
 UNIQUE_CAP = 100_000
 SAMPLE_COUNT = 5
@@ -197,19 +198,30 @@ def field_profile_capped(records: DataFrame, cap: int = UNIQUE_CAP, share: int |
 
 
 def sample_values(cell_df: DataFrame, order_col: str = "rec_id", count: int = SAMPLE_COUNT,
-                  chars: int = SAMPLE_CHARS) -> DataFrame:
-    """The first few distinct scalar values per field, shortened for display.
-
-    Rows ``(key, rank, sample)``.  The rank limit is applied in every task before the
-    shuffle (window group limit), so a field with endless distinct values stays cheap.
+                  chars: int = SAMPLE_CHARS, head_rows: int = 50) -> DataFrame:
+    """The first few distinct scalar values per field in arrival order, shortened for display:
+    rows ``(key, rank, sample)``.
+
+    The first ``head_rows`` cells of a field usually hold them already; tasks cut each field to
+    that many before the shuffle (window group limit), and the cut is written once.  Only
+    fields with fewer distinct values in their head, whose repeats collapse in each task,
+    are then looked at in full.
     """
-    firsts = (
-        cell_df.filter(F.col("text").isNotNull())
-        .select("key", F.substring("text", 1, chars).alias("sample"), F.col(order_col).alias("seen"))
-        .groupBy("key", "sample")
-        .agg(F.min("seen").alias("seen"))
+    shown = cell_df.filter(F.col("text").isNotNull()).select(
+        "key", F.substring("text", 1, chars).alias("sample"), F.col(order_col).alias("seen")
+    )
+    arrival = Window.partitionBy("key").orderBy("seen", "sample")
+    head = landed(
+        shown.withColumn("rank", F.row_number().over(arrival)).filter(F.col("rank") <= head_rows).drop("rank"), "head"
     )
-    ranked = firsts.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("seen", "sample")))
+    firsts = head.groupBy("key", "sample").agg(F.min("seen").alias("seen"))
+    per_key = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect()
+    still_open = [r["key"] for r in per_key if r["n"] < count]
+    if still_open:
+        is_open = F.col("key").isin(*still_open)
+        rest = shown.filter(is_open).groupBy("key", "sample").agg(F.min("seen").alias("seen"))
+        firsts = firsts.filter(~is_open).unionByName(rest)
+    ranked = firsts.withColumn("rank", F.row_number().over(arrival))
     return ranked.filter(F.col("rank") <= count).select("key", "rank", "sample")
 
 

@@ -43,13 +43,20 @@ class Resolved(NamedTuple):
 def route_records(records: DataFrame, decisions: DataFrame, default: str = "MONGO") -> Routed:
     """Split ``(uuid, fields)`` by decision; link fields go to both sides.
 
-    An undecided field follows ``default`` for documents; a field is never dropped.  Only
-    structured decisions come to the driver (see ``evolve_schema`` for the bound).
+    A field without a decision goes to the documents, or with ``default="SQL"`` becomes a
+    text column; it is never dropped.  Only structured decisions come to the driver (see
+    ``evolve_schema`` for the bound), and with ``default="SQL"`` the names of the columns to add.
     """
+    if default not in ("MONGO", "SQL"):
+        raise ValueError(f"unknown default target: {default}")
     chosen = {
         r.field: (r.target, r.sql_type)
         for r in decisions.filter(F.col("target") != "MONGO").select("field", "target", "sql_type").collect()
     }
+    if default == "SQL":
+        names = records.select(F.explode(F.map_keys("fields")).alias("field")).distinct()
+        unknown = names.join(decisions.select("field"), "field", "left_anti").collect()
+        chosen.update({r.field: ("SQL", "TEXT") for r in unknown})
     link = [c for c in LINK_FIELDS if c != "uuid"]
     link_columns = [typed(F.col("fields")[c], "TEXT").alias(c) for c in link]
     columns = [
@@ -57,8 +64,6 @@ def route_records(records: DataFrame, decisions: DataFrame, default: str = "MONG
         for name, (_, store_type) in sorted(chosen.items())
         if name not in LINK_FIELDS
     ]
-    if default != "MONGO":
-        raise ValueError("undecided fields can only default to the document side")
     only_structured = [n for n, (target, _) in chosen.items() if target == "SQL" and n not in LINK_FIELDS]
     doc = F.col("fields")
     if only_structured:

@@ -17,6 +17,7 @@ from ..functions.values import (
     as_object,
     is_object_list,
     plain_text,
+    row_fields,
     type_name,
     typed,
 )
@@ -79,7 +80,7 @@ def _scalar_lists(records: DataFrame, entity: str) -> DataFrame:
         F.concat_ws("_", F.lit(entity), F.col("key")).alias("junction"),
         singular(F.col("key")).alias("dimension"),
         "pos",
-        plain_text(F.col("value"), type_name(F.col("value"))).alias("name"),
+        F.coalesce(plain_text(F.col("value"), type_name(F.col("value"))), F.to_json("value")).alias("name"),
     )
 
 
@@ -125,38 +126,60 @@ def structure_map(records: DataFrame, root: str = "root") -> DataFrame:
 
 
 def table_catalog(rows: DataFrame) -> DataFrame:
-    """Per shredded table and column: store type and the part it plays
-    (``primary_key``, ``foreign_key`` with the table it references, or ``column``)."""
-    typed_cells = cells(rows, keep=("table",))
-    mixed = typed_cells.groupBy("table", "key").agg(F.collect_set("type_name").alias("types"))
+    """Per shredded table and column: store type, the part it plays (``primary_key``,
+    ``foreign_key`` with the table it references, or ``column``), and whether it is unique."""
+    per_column = cells(rows, keep=("table",)).groupBy("table", "key").agg(F.collect_set("type_name").alias("types"))
     real = F.array_remove("types", "NoneType")
-    numeric = F.size(F.array_except(real, F.array(F.lit("int"), F.lit("float")))) == 0
+
+    def only(*kinds: str) -> Column:
+        return F.size(F.array_except(real, F.array(*[F.lit(k) for k in kinds]))) == 0
+
+    key, table = F.col("key"), F.col("table")
     col_type = (
-        F.when(F.col("key").endswith("_id") | (F.col("key") == "uuid"), "VARCHAR(36)")
+        F.when(key.endswith("_id") | (key == "uuid"), "VARCHAR(36)")
         .when(F.size(real) == 0, "VARCHAR(255)")
-        .when(F.size(F.array_except(real, F.array(F.lit("bool")))) == 0, "BOOLEAN")
-        .when(F.size(F.array_except(real, F.array(F.lit("int")))) == 0, "BIGINT")
-        .when(numeric, "FLOAT")
+        .when(only("bool"), "BOOLEAN")
+        .when(only("int"), "BIGINT")
+        .when(only("int", "float"), "FLOAT")
         .otherwise("VARCHAR(255)")
     )
-    is_fk = F.col("key").endswith("_id") & (F.col("key") != F.concat(F.col("table"), F.lit("_id")))
-    columns = mixed.select(
+    is_fk = key.endswith("_id") & (key != F.concat(table, F.lit("_id")))
+    columns = per_column.filter(key != "uuid").select(
         "table",
-        F.col("key").alias("column"),
+        key.alias("column"),
         col_type.alias("type"),
-        F.when(F.col("key") == "uuid", "primary_key").when(is_fk, "foreign_key").otherwise("column").alias("role"),
+        F.when(is_fk, "foreign_key").otherwise("column").alias("role"),
         F.when(is_fk, F.regexp_replace("key", "_id$", "")).alias("references"),
-    ).filter(F.col("column") != "uuid")
-    keys = rows.groupBy("table", "parent_table").agg(F.count(F.lit(1)).alias("_n"))
-    pk = keys.select("table").distinct().select(
-        "table", F.lit("uuid").alias("column"), F.lit("VARCHAR(36)").alias("type"),
-        F.lit("primary_key").alias("role"), F.lit(None).cast("string").alias("references"),
+        F.lit(False).alias("is_unique"),
     )
-    fk = keys.filter(F.col("parent_table").isNotNull()).select(
-        "table", F.concat(F.col("parent_table"), F.lit("_id")).alias("column"), F.lit("VARCHAR(36)").alias("type"),
-        F.lit("foreign_key").alias("role"), F.col("parent_table").alias("references"),
+    tables = rows.select("table", "parent_table").distinct()
+    own = _catalog_row(F.lit("uuid"), "primary_key", None, True)
+    parent = _catalog_row(F.concat("parent_table", F.lit("_id")), "foreign_key", F.col("parent_table"), False)
+    return columns.unionByName(tables.select("table").distinct().select("table", *own)).unionByName(
+        tables.filter(F.col("parent_table").isNotNull()).select("table", *parent)
     )
-    return columns.unionByName(pk).unionByName(fk)
+
+
+def _catalog_row(column: Column, role: str, references: Column | None, unique: bool, kind: str = "VARCHAR(36)") -> list[Column]:
+    refers = F.lit(None).cast("string") if references is None else references
+    return [column.alias("column"), F.lit(kind).alias("type"), F.lit(role).alias("role"), refers.alias("references"),
+            F.lit(unique).alias("is_unique")]
+
+
+def m2m_catalog(dimensions: DataFrame, junctions: DataFrame, entity: str = "root") -> DataFrame:
+    """Catalog rows of the M:N tables: a dimension has its id as key and a unique name; a
+    junction has both its foreign keys as a composite key."""
+    dims = dimensions.select("dimension").distinct()
+    own = F.concat("dimension", F.lit("_id"))
+    links = junctions.select("junction", "dimension").distinct()
+    out = dims.select(F.col("dimension").alias("table"), *_catalog_row(own, "primary_key", None, True))
+    out = out.unionByName(dims.select(
+        F.col("dimension").alias("table"),
+        *_catalog_row(F.concat("dimension", F.lit("_name")), "column", None, True, "VARCHAR(255)")))
+    out = out.unionByName(links.select(
+        F.col("junction").alias("table"), *_catalog_row(F.lit(f"{entity}_id"), "primary_key", F.lit(entity), False)))
+    return out.unionByName(links.select(
+        F.col("junction").alias("table"), *_catalog_row(own, "primary_key", F.col("dimension"), False)))
 
 
 def verify_foreign_keys(tables: dict[str, DataFrame], links: Sequence[tuple[str, str, str, str]]) -> DataFrame:
@@ -217,8 +240,7 @@ def reconstruct(root: DataFrame, key: str, documents: DataFrame | None = None,
     ``child_lists`` keyed by ``key``.  A record with a split child list appears once per
     ``part``, each row holding one part of the list; children without a root row are left out.
     """
-    fields = F.from_json(F.to_json(F.struct(*[c for c in root.columns if c != key])), OBJECT)
-    base = once(root.select(key, *[c for c in root.columns if c != key]), _own=fields).select(key, "_own")
+    base = root.select(key, row_fields(root.schema, [c for c in root.columns if c != key]).alias("_own"))
     if documents is not None:
         base = base.join(documents.select(key, "doc"), key, "left")
         rest = F.map_filter("_own", lambda k, v: ~F.map_contains_key("doc", k))

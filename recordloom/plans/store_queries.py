@@ -14,6 +14,7 @@ from ..operators.shred import (
     child_lists,
     describe_table,
     lossless_check,
+    m2m_catalog,
     rebuild_records,
     reconstruct,
     shred,
@@ -207,7 +208,7 @@ def d3_m2m_embeddings(spark, sf):
 
 
 @query("d4_table_catalog", """
-SELECT t AS "table", c AS "column", y AS type, r AS role, f AS "references" FROM (VALUES
+SELECT t AS "table", c AS "column", y AS type, r AS role, f AS "references", c = 'uuid' AS is_unique FROM (VALUES
  ('root','uuid','VARCHAR(36)','primary_key',NULL),('root','order_key','BIGINT','column',NULL),
  ('root','order_status','VARCHAR(255)','column',NULL),('root','total_cents','BIGINT','column',NULL),
  ('root','customer_cust_key','BIGINT','column',NULL),('root','customer_order_priority','VARCHAR(255)','column',NULL),
@@ -221,6 +222,15 @@ def d4_table_catalog(spark, sf):
     return table_catalog(shred(I.order_records(spark, sf)))
 
 
+@query("d4_m2m_catalog", """
+SELECT t AS "table", c AS "column", y AS type, r AS role, f AS "references", t = 'tag' AS is_unique FROM (VALUES
+ ('tag','tag_id','VARCHAR(36)','primary_key',NULL),('tag','tag_name','VARCHAR(255)','column',NULL),
+ ('root_tags','root_id','VARCHAR(36)','primary_key','root'),('root_tags','tag_id','VARCHAR(36)','primary_key','tag')
+) v(t, c, y, r, f) WHERE EXISTS (SELECT 1 FROM orders)""")
+def d4_m2m_catalog(spark, sf):
+    return m2m_catalog(*shred_m2m(I.order_records(spark, sf)))
+
+
 _LINKS = [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"),
           ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("customer", "c_nationkey", "nation", "n_nationkey"),
           ("labels", "doc_id", "documents", "doc_id"), ("events", "user_id", "nation", "n_nationkey")]
@@ -245,7 +255,7 @@ def d6_reconstruct(spark, sf):
     docs = orders.select("uuid", F.create_map(
         F.lit("status"), F.lit("from document").cast("variant"), F.lit("priority"), F.col("o_orderpriority").cast("variant"),
     ).alias("doc"))
-    items = I.table(spark, sf, "lineitem").select(
+    items = I.spread(I.table(spark, sf, "lineitem")).select(
         F.col("l_orderkey").cast("string").alias("uuid"), "l_linenumber", "l_partkey", "l_quantity")
     lists = {"root_items": child_lists(items, "uuid", "items", ["l_linenumber", "l_partkey"])}
     made = reconstruct(root, "uuid", docs, lists)

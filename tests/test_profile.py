@@ -57,10 +57,11 @@ def test_capped_counts_do_not_depend_on_the_first_pass(spark, share):
     assert p["key"]["count"] == 300 and p["key"].frequency_ratio == 1.0
 
 
-def test_samples_follow_arrival(records):
-    texts = ['{"v": "%s"}' % v for v in ("c", "a", "c", "b", "d", "e", "f")] + ['{"v": "%s"}' % ("z" * 150)]
-    lists = P.sample_lists(P.sample_values(P.cells(records(*texts)))).first()
-    assert lists.samples == ["c", "a", "b", "d", "e"]
+@pytest.mark.parametrize("head", [1, 4, 6, 50])
+def test_samples_follow_arrival(records, head):
+    texts = ['{"v": "%s", "w": 1}' % v for v in ("c", "a", "c", "b", "d", "e", "f")] + ['{"v": "%s"}' % ("z" * 150)]
+    lists = {r.key: r.samples for r in P.sample_lists(P.sample_values(P.cells(records(*texts)), head_rows=head)).collect()}
+    assert lists == {"v": ["c", "a", "b", "d", "e"], "w": ["1"]}
     short = P.sample_lists(P.sample_values(P.cells(records('{"v": "%s"}' % ("z" * 150))))).first()
     assert short.samples == ["z" * 100]
 

@@ -174,6 +174,17 @@ def test_split_then_merge_keeps_every_field(records):
     assert [json.loads(r.record) for r in got] == want
 
 
+def test_unknown_fields_follow_the_default(records):
+    source = assign_uuid(records('{"a": 1, "odd": {"x": 1}}', '{"a": 2, "late": "v"}'))
+    decisions = decide_targets(field_profile(source)).filter("field = 'a'")
+    to_docs = route_records(source, decisions)
+    assert "odd" not in to_docs.structured.columns and to_docs.documents.filter(F.map_contains_key("doc", "late")).count() == 1
+    to_columns = route_records(source, decisions, default="SQL")
+    got = {r.a: (r.odd, r.late) for r in to_columns.structured.collect()}
+    assert got == {1: ('{"x":1}', None), 2: (None, "v")}
+    assert to_columns.documents.filter(F.map_contains_key("doc", "late")).count() == 0
+
+
 def test_evolve_schema_adds_null_columns(spark, records):
     old = spark.createDataFrame([(1,)], "id bigint")
     decisions = spark.createDataFrame([("id", "SQL", "INT"), ("n", "SQL", "FLOAT"), ("d", "MONGO", None)],
