@@ -91,17 +91,13 @@ def flat_fields(fields: Column, rename: bool = True) -> Column:
 
     def columns_of(entry: Column) -> Column:
         own = F.array(F.struct(name(entry["key"]).alias("key"), entry["value"].alias("value")))
-
-        def nested(sub: Column) -> Column:
-            parts = F.transform(
-                F.map_entries(sub),
-                lambda s: F.struct(
-                    F.concat_ws("_", name(entry["key"]), name(s["key"])).alias("key"), s["value"].alias("value")
-                ),
-            )
-            return F.coalesce(parts, own)
-
-        return let(as_object(entry["value"]), nested)
+        sub = F.transform(
+            F.map_entries(as_object(entry["value"])),
+            lambda s: F.struct(
+                F.concat_ws("_", name(entry["key"]), name(s["key"])).alias("key"), s["value"].alias("value")
+            ),
+        )
+        return F.coalesce(sub, own)
 
     kept = F.filter(F.map_entries(fields), lambda e: as_list(e["value"]).isNull())
     return last_wins(F.flatten(F.transform(kept, columns_of)))

@@ -18,12 +18,14 @@ class Parsed(NamedTuple):
 
 
 def _parsed(df: DataFrame, json_col: str, rec_id: Column) -> DataFrame:
-    # A text that does not close with a brace carries trailing matter; the JSON reader
-    # would stop at the end of the first object and miss it.
-    closed = F.rtrim(F.col(json_col), F.lit(" \t\r\n")).endswith("}")
-    fields = F.when(closed, F.from_json(F.col(json_col), OBJECT))
-    parsed = once(df.select(rec_id.alias("rec_id"), F.col(json_col).alias("raw")), fields=fields)
-    return once(parsed, fields=distinct_keys(F.col("fields")))
+    # The JSON reader stops after the first value and would miss trailing matter.  Read as the
+    # first of exactly two list elements, a text that is not one whole object shows.
+    listed = F.from_json(
+        F.concat(F.lit("["), F.col(json_col), F.lit(",{}]")), f"array<{OBJECT}>", {"allowSingleQuotes": "false"}
+    )
+    parsed = once(df.select(rec_id.alias("rec_id"), F.col(json_col).alias("raw")), _listed=listed)
+    first = F.when(F.array_size("_listed") == 2, F.get("_listed", F.lit(0)))
+    return once(once(parsed, fields=first), fields=distinct_keys(F.col("fields"))).drop("_listed")
 
 
 def read_records(df: DataFrame, json_col: str, id_col: str) -> Parsed:

@@ -29,11 +29,13 @@ def test_singular_strips_every_trailing_s(spark):
 
 
 def test_malformed_texts_are_rejected(spark):
-    texts = ['{"a": 1}', "nope", "[1,2]", '"text"', '{"a": 1} trailing', '{"a":', None, "{}", ' {"a": {"b": 1}} \n']
-    df = spark.createDataFrame(list(enumerate(texts)), "id int, raw string")
+    good = ['{"a": 1}', "{}", ' {"a": {"b": 1}} \n', '{"a": "],[{"}']
+    bad = ["nope", "[1,2]", '"text"', '{"a": 1} trailing', '{"a":', None, "", "null", '{"a":1} {"b":2}', '{"a":1},{"b":2}',
+           '{"a":1}] [{"b":2}', "{'a': 1}", '{"a":1,}']
+    df = spark.createDataFrame(list(enumerate(good + bad)), "id int, raw string")
     parsed = read_records(df, "raw", "id")
-    assert sorted(r.rec_id for r in parsed.records.collect()) == [0, 7, 8]
-    assert sorted(r.rec_id for r in parsed.rejected.collect()) == [1, 2, 3, 4, 5, 6]
+    assert sorted(r.rec_id for r in parsed.records.collect()) == list(range(len(good)))
+    assert sorted(r.rec_id for r in parsed.rejected.collect()) == list(range(len(good), len(good + bad)))
 
 
 def test_null_and_absent_differ(records):
