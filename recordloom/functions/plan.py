@@ -61,8 +61,13 @@ def distinct_keys(fields: Column) -> Column:
     )
 
 
+# An input of fewer splits than this counts as small (2 GB at the default split size).
+SMALL_SPLITS = 16
+SPREAD_TO = 256
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer splits than there are cores, before costly
-    parsing; an input of many splits is left as it lies."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Spread a small input that arrives in fewer splits than there are cores, before costly
+    parsing; an input of many splits is left as it lies.  Meant for plain scans."""
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_TO)
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, SMALL_SPLITS) else df

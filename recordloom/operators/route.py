@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.naming import LINK_FIELDS
 from ..functions.plan import let, once
-from ..functions.values import type_name, typed
+from ..functions.values import typed
 from ..sources.records import to_document
 
 # Decomposition limits and the reference format.
@@ -120,25 +120,29 @@ def decompose_large(documents: DataFrame, created_at: Column | None = None) -> D
 MEMBER_STUB = r':"(REF::MONGO::[^"\\]*)"'
 
 
-def _payloads(refs: DataFrame, side: DataFrame, unwrap: bool, max_payloads: int):
-    """Payload text per reference ``(uuid, stub)``, and payload rows of references that
-    hold more than ``max_payloads`` (kept as rows rather than gathered into one list)."""
+def _payloads(refs: DataFrame, side: DataFrame, unwrap: bool, max_payloads: int) -> tuple[DataFrame, DataFrame]:
+    """Payload text by stub for each document ``(uuid, _found)``, and payload rows of
+    references that hold more than ``max_payloads`` (kept as rows, not gathered)."""
     parts = F.split("stub", "::")
     located = once(refs, _parts=parts).filter(F.size("_parts") == 4).select(
         "uuid", "stub", F.col("_parts")[2].alias("collection"), F.col("_parts")[3].alias("parent_uuid")
     )
     key = ["collection", "parent_uuid"]
     crowded = side.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_payloads).drop("n")
-    quiet = located.join(crowded, key, "left_anti")
-    overflow = (
-        located.join(crowded, key, "left_semi").join(side, key).select("uuid", "stub", "data")
-    )
-    gathered = quiet.join(side, key, "left").groupBy("uuid", "stub").agg(
-        F.sort_array(F.collect_list("data")).alias("data")
-    )
-    as_list = F.concat(F.lit("["), F.array_join("data", ","), F.lit("]"))
-    payload = F.when(F.size("data") == 1, F.col("data")[0]).otherwise(as_list) if unwrap else as_list
-    return gathered.select("uuid", "stub", payload.alias("payload")), overflow
+    quiet = located.join(crowded, key, "left_anti").join(side.select(*key, "data"), key, "left")
+    overflow = located.join(crowded, key, "left_semi").join(side, key).select("uuid", "stub", "data")
+
+    def payload(data: Column) -> Column:
+        as_list = F.concat(F.lit("["), F.array_join(data, ","), F.lit("]"))
+        return F.when(F.size(data) == 1, data[0]).otherwise(as_list) if unwrap else as_list
+
+    def entry(stub: Column) -> Column:
+        own = F.filter("_rows", lambda r: (r["stub"] == stub) & r["data"].isNotNull())
+        return F.struct(stub.alias("stub"), let(F.transform(own, lambda r: r["data"]), payload).alias("payload"))
+
+    gathered = quiet.groupBy("uuid").agg(F.sort_array(F.collect_list(F.struct("stub", "data"))).alias("_rows"))
+    stubs = F.array_distinct(F.transform("_rows", lambda r: r["stub"]))
+    return gathered.select("uuid", F.map_from_entries(F.transform(stubs, entry)).alias("_found")), overflow
 
 
 def resolve_references(documents: DataFrame, side: DataFrame, unwrap: bool = True, nested: bool = False,
@@ -158,20 +162,14 @@ def resolve_references(documents: DataFrame, side: DataFrame, unwrap: bool = Tru
     if nested:
         stubs = F.array_distinct(F.regexp_extract_all(to_document(F.col("doc")), F.lit(MEMBER_STUB), F.lit(1)))
     else:
-        texts = F.filter(
-            F.map_values("doc"),
-            lambda v: (type_name(v) == "str") & is_reference(v.cast("string")),
-        )
-        stubs = F.array_distinct(F.transform(texts, lambda v: v.cast("string")))
+        # Only a text can begin like a stub: other values read as numbers, words or JSON.
+        texts = F.transform(F.map_values("doc"), lambda v: v.cast("string"))
+        stubs = F.array_distinct(F.filter(texts, is_reference))
     marked = once(documents, _stubs=stubs)
     plain = marked.filter(F.size("_stubs") == 0).select("uuid", "doc")
     linked = marked.filter(F.size("_stubs") > 0)
-    payloads, overflow = _payloads(linked.select("uuid", F.explode("_stubs").alias("stub")), side, unwrap, max_payloads)
-    # At most one entry per stub of the document itself, so the list is row-sized.
-    by_doc = payloads.groupBy("uuid").agg(
-        F.map_from_entries(F.collect_list(F.struct("stub", "payload"))).alias("_found")
-    )
-    joined = linked.join(by_doc, "uuid", "left").withColumn(
+    found, overflow = _payloads(linked.select("uuid", F.explode("_stubs").alias("stub")), side, unwrap, max_payloads)
+    joined = linked.join(found, "uuid", "left").withColumn(
         "_found", F.coalesce("_found", F.create_map().cast("map<string,string>"))
     )
     return Resolved(plain.unionByName(joined.select("uuid", _filled(nested).alias("doc"))), overflow)
@@ -181,9 +179,7 @@ def _filled(nested: bool) -> Column:
     if not nested:
         return F.transform_values(
             "doc",
-            lambda k, v: F.coalesce(
-                F.parse_json(F.when(type_name(v) == "str", F.try_element_at("_found", v.cast("string")))), v
-            ),
+            lambda k, v: F.coalesce(F.parse_json(F.try_element_at("_found", v.cast("string"))), v),
         )
     # Cut the text at every stub and fill all gaps at once, so payload text is never scanned.
     def woven(text: Column) -> Column:
