@@ -17,30 +17,36 @@ class Parsed(NamedTuple):
     rejected: DataFrame
 
 
-def _parsed(df: DataFrame, json_col: str, rec_id: Column) -> DataFrame:
+def parse_records(df: DataFrame, json_col: str, id_col: str) -> DataFrame:
+    """JSON text to ``(rec_id, raw, fields)``: either ``fields``, or ``raw`` where the text is
+    not one JSON object.
+
+    Keys keep their input order and a present null stays apart from an absent key.
+    """
     # The JSON reader stops after the first value and would miss trailing matter.  Read as the
     # first of exactly two list elements, a text that is not one whole object shows.
     listed = F.from_json(
         F.concat(F.lit("["), F.col(json_col), F.lit(",{}]")), f"array<{OBJECT}>", {"allowSingleQuotes": "false"}
     )
-    parsed = once(df.select(rec_id.alias("rec_id"), F.col(json_col).alias("raw")), _listed=listed)
+    parsed = once(df.select(F.col(id_col).alias("rec_id"), F.col(json_col).alias("raw")), _listed=listed)
     first = F.when(F.array_size("_listed") == 2, F.get("_listed", F.lit(0)))
-    return once(once(parsed, fields=first), fields=distinct_keys(F.col("fields"))).drop("_listed")
+    keyed = once(once(parsed, fields=first), fields=distinct_keys(F.col("fields")))
+    return keyed.select("rec_id", F.when(F.col("fields").isNull(), F.col("raw")).alias("raw"), "fields")
 
 
-def read_records(df: DataFrame, json_col: str, id_col: str) -> Parsed:
-    """JSON text to records ``(rec_id, fields MAP<STRING, VARIANT>)``.
-
-    Keys keep their input order and a present null stays apart from an absent key.
-    Texts that are not one JSON object come back as ``rejected (rec_id, raw)``.
-    """
-    parsed = _parsed(df, json_col, F.col(id_col))
+def split_parsed(parsed: DataFrame) -> Parsed:
+    """Records and rejected texts of a parsed frame."""
     return Parsed(
-        parsed.filter(F.col("fields").isNotNull()).select("rec_id", "fields"),
+        parsed.filter(F.col("fields").isNotNull()).drop("raw"),
         parsed.filter(F.col("fields").isNull()).select("rec_id", "raw"),
     )
 
 
+def read_records(df: DataFrame, json_col: str, id_col: str) -> Parsed:
+    """JSON text to ``records (rec_id, fields MAP<STRING, VARIANT>)`` and ``rejected (rec_id, raw)``."""
+    return split_parsed(parse_records(df, json_col, id_col))
+
+
 def stream_records(
     spark: SparkSession,
     folder: str,

@@ -28,7 +28,7 @@ from ..operators.profile import (
 from ..operators.records import assign_uuid, normalize_keys, stamp_ingest
 from ..operators.route import decompose_large, route_records
 from ..sources.catalog import load_catalog, save_catalog
-from ..sources.records import read_records
+from ..sources.records import parse_records, read_records, split_parsed
 from ..sources.tables import write_documents, write_side
 
 # Fixed value: pause between micro-batches of a continuous stream.
@@ -38,7 +38,6 @@ BATCH_PAUSE = "2 seconds"
 def ingest_batch(batch: DataFrame, batch_id: int, base: str, json_col: str, id_col: str, ingested_at=None) -> None:
     """One micro-batch through the whole pipeline, writing below ``base``."""
     spark = batch.sparkSession
-    parsed = read_records(spread(batch), json_col, id_col)
     kept = []
 
     def keep(df: DataFrame) -> DataFrame:
@@ -46,7 +45,10 @@ def ingest_batch(batch: DataFrame, batch_id: int, base: str, json_col: str, id_c
         return df
 
     try:
-        records = keep(assign_uuid(stamp_ingest(normalize_keys(parsed.records), ingested_at)))
+        texts = parse_records(spread(batch), json_col, id_col)
+        # Rejected texts travel along with NULL fields, so that the batch is parsed once.
+        parsed = split_parsed(keep(assign_uuid(stamp_ingest(normalize_keys(texts), ingested_at))))
+        records = parsed.records
         # The catalog this batch extends is the one of the batch before it, so that a retry
         # of the same batch starts from the same state.
         before = load_catalog(spark, f"{base}/catalog", batch_id - 1) if batch_id > 0 else {}
