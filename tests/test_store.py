@@ -16,10 +16,12 @@ from recordloom.operators.shred import (
     shred,
     shred_m2m,
     structure_map,
+    table_catalog,
     verify_foreign_keys,
 )
-from recordloom.session import landed
+from recordloom.session import landed, work_folder
 from recordloom.sources.records import to_document
+from recordloom.sources.tables import write_tables
 
 NESTED = json.dumps({
     "user_id": "u1", "username": "nested", "profile": {"bio": "b", "location": {"city": "x"}},
@@ -48,6 +50,40 @@ def test_shred_counts_and_links(records):
     assert "tags" not in root and "orders" not in root
 
 
+MULTI_LEVEL = json.dumps({
+    "username": "u", "timestamp": "2024-01-01T00:00:00", "email": "u@x", "subscription_tier": "gold", "is_active": True,
+    "device_info": {"device_id": "d1", "os_name": "os"}, "location": {"city": "c", "gps_lat": 1.5, "altitude": 3.0},
+    "orders": [
+        {"order_id": "o1", "total_amount": 10.5, "items": [{"item_id": "i1", "quantity": 1}, {"item_id": "i2", "quantity": 2}]},
+        {"order_id": "o2", "total_amount": 3.25, "items": [{"item_id": "i3", "quantity": 3}]},
+    ],
+    "health_metrics": [{"heart_rate": 70, "sleep_hours": 7.5}, {"heart_rate": 72, "sleep_hours": 0}],
+    "system_metrics": [{"cpu_usage": 10, "battery_level": 90}],
+})
+
+
+def test_multi_level_record(records):
+    rows = shred(assign_uuid(records(MULTI_LEVEL)))
+    assert tables(rows) == {"root": 1, "root_orders": 2, "root_orders_items": 3, "root_health_metrics": 2, "root_system_metrics": 1}
+    catalog = {(r["table"], r["column"]): (r["type"], r["role"], r["references"]) for r in table_catalog(rows).collect()}
+    assert catalog["root", "is_active"] == ("BOOLEAN", "column", None) and catalog["root", "location_gps_lat"][0] == "FLOAT"
+    assert catalog["root_health_metrics", "sleep_hours"][0] == "FLOAT" and catalog["root_orders_items", "quantity"][0] == "BIGINT"
+    assert catalog["root_orders_items", "root_orders_id"] == ("VARCHAR(36)", "foreign_key", "root_orders")
+    assert catalog["root", "uuid"][1] == "primary_key" and catalog["root_orders", "order_id"][1:] == ("foreign_key", "order")
+
+
+def test_typed_tables_are_written_once_per_table(spark, records):
+    path = work_folder(spark, "tables")
+    names = write_tables(shred(assign_uuid(records(MULTI_LEVEL))), path)
+    assert names == ["root", "root_health_metrics", "root_orders", "root_orders_items", "root_system_metrics"]
+    health = spark.read.parquet(f"{path}/root_health_metrics")
+    assert dict(health.dtypes) == {"uuid": "string", "root_id": "string", "pos": "int", "heart_rate": "bigint", "sleep_hours": "double"}
+    assert sorted(r.sleep_hours for r in health.collect()) == [0.0, 7.5]
+    items = spark.read.parquet(f"{path}/root_orders_items")
+    orders = spark.read.parquet(f"{path}/root_orders")
+    assert items.join(orders, items.root_orders_id == orders.uuid).count() == 3 and orders.columns[:3] == ["uuid", "root_id", "pos"]
+
+
 def test_empty_list_gives_no_child_table(records):
     assert tables(shred(assign_uuid(records('{"items": [], "a": 1}')))) == {"root": 1}
 
