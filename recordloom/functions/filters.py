@@ -61,50 +61,48 @@ def structured_filter(spec: dict[str, Any]) -> Column:
     return _all(conditions)
 
 
-def conditions_to_spec(conditions: list[dict[str, Any]]) -> dict[str, Any]:
-    """``[{field, op, value}, …]`` to the filter-object shape."""
-    spec: dict[str, Any] = {}
+def conditions_to_spec(conditions: list[dict[str, Any]]) -> list[dict[str, Any]]:
+    """``[{field, op, value}, …]`` to one filter object each, so that none replaces another."""
     for c in conditions:
         if c["op"] not in CONDITION_OPS:
             raise FilterError(f"operator not allowed: {c['op']}")
-        spec.setdefault(c["field"], {})["$" + c["op"]] = c["value"]
-    return spec
+    return [{c["field"]: {"$" + c["op"]: c["value"]}} for c in conditions]
 
 
 def filter_conditions(conditions: list[dict[str, Any]], documents: bool = False) -> Column:
-    """A list of conditions for either side."""
-    spec = conditions_to_spec(conditions)
-    return document_filter(spec) if documents else structured_filter(spec)
+    """A list of conditions for either side; all must hold."""
+    return _all([(document_filter if documents else structured_filter)(s) for s in conditions_to_spec(conditions)])
 
 
-def check_filter(spec: Any, depth: int = 0) -> None:
-    """Refuse unknown operators, deep nesting and long lists."""
-    if depth > MAX_FILTER_DEPTH:
+def check_filter(spec: Any, depth: int = 0, max_depth: int = MAX_FILTER_DEPTH, max_list: int = MAX_FILTER_LIST) -> None:
+    """Refuse unknown operators, and filters nested deeper or with longer lists than allowed."""
+    if depth > max_depth:
         raise FilterError("filter is nested too deeply")
     if isinstance(spec, dict):
         for key, value in spec.items():
             if isinstance(key, str) and key.startswith("$") and key not in DOCUMENT_OPS:
                 raise FilterError(f"operator not allowed: {key}")
-            check_filter(value, depth + 1)
+            check_filter(value, depth + 1, max_depth, max_list)
     elif isinstance(spec, (list, tuple)):
-        if len(spec) > MAX_FILTER_LIST:
+        if len(spec) > max_list:
             raise FilterError("list in filter is too long")
         for value in spec:
-            check_filter(value, depth + 1)
+            check_filter(value, depth + 1, max_depth, max_list)
 
 
-def document_filter(spec: dict[str, Any], doc: str = "doc") -> Column:
+def document_filter(spec: dict[str, Any], doc: str = "doc", max_depth: int = MAX_FILTER_DEPTH,
+                    max_list: int = MAX_FILTER_LIST) -> Column:
     """A document filter over a ``MAP<STRING, VARIANT>`` column; dotted names reach into
     nested objects, also through lists."""
-    check_filter(spec)
+    check_filter(spec, 0, max_depth, max_list)
     conditions = []
     for key, test in spec.items():
         if key == "$and":
-            conditions.append(_all([document_filter(s, doc) for s in test]))
+            conditions.append(_all([document_filter(s, doc, max_depth, max_list) for s in test]))
         elif key == "$or":
             any_of = F.lit(False)
             for s in test:
-                any_of = any_of | document_filter(s, doc)
+                any_of = any_of | document_filter(s, doc, max_depth, max_list)
             conditions.append(any_of)
         elif key.startswith("$"):
             raise FilterError(f"{key} needs a field")
@@ -141,18 +139,36 @@ def _leaves(values: Column) -> Column:
     )
 
 
-def _typed_as(value: Any, like: Any) -> tuple[Column, Column]:
-    """(type check, reading) that let a dynamic value be compared with ``like``."""
+def _number_test(value: Column, kind: Column, like: int, compare) -> Column:
+    """Compare a number with a whole number by the value's own type: whole numbers as such, decimals at a
+    scale that holds their digits, doubles as doubles.  Beyond that scale's range the double decides."""
+    right = F.lit(like) if -(2**63) <= like < 2**63 else F.lit(float(like))
+    schema = F.schema_of_variant(value)
+    scale = F.regexp_extract(schema, r"^DECIMAL\(\d+,\s*(\d+)\)", 1).try_cast("int")
+    as_double = compare(F.try_variant_get(value, "$", "double"), F.lit(float(like)))
+
+    def decimal(digits: int) -> Column:
+        return F.coalesce(compare(F.try_variant_get(value, "$", f"decimal(38,{digits})"), right), as_double)
+
+    whole = F.coalesce(compare(F.try_variant_get(value, "$", "bigint"), right), as_double)
+    exact = F.when(scale <= 9, decimal(9)).when(scale <= 18, decimal(18)).when(scale <= 28, decimal(28)).otherwise(decimal(37))
+    return F.when(kind == "int", whole).when(scale.isNotNull(), exact).otherwise(as_double)
+
+
+def _compared(value: Column, like: Any, compare) -> Column:
+    """Compare a dynamic value with ``like``; values of another kind do not match."""
     kind = type_name(value)
     if isinstance(like, bool):
-        return kind == "bool", F.try_variant_get(value, "$", "boolean")
-    if isinstance(like, int):
-        return kind.isin("int", "float"), F.try_variant_get(value, "$", "decimal(38,9)")
-    if isinstance(like, float):
-        return kind.isin("int", "float"), F.try_variant_get(value, "$", "double")
-    if isinstance(like, (datetime, date)):
-        return kind.isin("str", "datetime"), F.try_variant_get(value, "$", "timestamp")
-    return kind == "str", F.try_variant_get(value, "$", "string")
+        right_type, hit = kind == "bool", compare(F.try_variant_get(value, "$", "boolean"), F.lit(like))
+    elif isinstance(like, int):
+        right_type, hit = kind.isin("int", "float"), _number_test(value, kind, like, compare)
+    elif isinstance(like, float):
+        right_type, hit = kind.isin("int", "float"), compare(F.try_variant_get(value, "$", "double"), F.lit(like))
+    elif isinstance(like, (datetime, date)):
+        right_type, hit = kind.isin("str", "datetime"), compare(F.try_variant_get(value, "$", "timestamp"), F.lit(like))
+    else:
+        right_type, hit = kind == "str", compare(F.try_variant_get(value, "$", "string"), F.lit(like))
+    return F.coalesce(right_type & hit, F.lit(False))
 
 
 def _equals(value: Column, like: Any) -> Column:
@@ -160,13 +176,11 @@ def _equals(value: Column, like: Any) -> Column:
         return F.is_variant_null(value)
     if isinstance(like, (dict, list)):
         return F.to_json(value) == F.to_json(F.parse_json(F.lit(json.dumps(like))))
-    right_type, read = _typed_as(value, like)
-    return F.coalesce(right_type & (read == F.lit(like)), F.lit(False))
+    return _compared(value, like, lambda a, b: a == b)
 
 
 def _ranged(value: Column, op: str, like: Any) -> Column:
-    right_type, read = _typed_as(value, like)
-    return F.coalesce(right_type & COMPARE[op](read, F.lit(like)), F.lit(False))
+    return _compared(value, like, COMPARE[op])
 
 
 def _sized(value: Column, op: str, like: int) -> Column:

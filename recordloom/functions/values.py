@@ -142,6 +142,30 @@ def typed(value: Column, store_type: str) -> Column:
     return F.try_variant_get(value, "$", STORE_TYPES.get(store_type, "string"))
 
 
+def fits(value: Column, store_type: str) -> Column:
+    """Does a store column hold the value as it is?  The kind must be that of the column and the
+    typed reading must say the same: ``2.5`` or ``"1"`` do not fit an integer column.  Null fits, as NULL."""
+    kind, read = type_name(value), typed(value, store_type)
+    spark_type = STORE_TYPES.get(store_type, "string")
+    same = {
+        "string": kind == "str",
+        "boolean": kind == "bool",
+        "timestamp": kind.isin("str", "datetime"),
+        "bigint": kind == "int",
+        # A double holds an integer or a decimal only if it gives it back.
+        "double": (kind == "float") & (F.schema_of_variant(value).startswith("DOUBLE") | (read.cast("string") == value.cast("string"))
+                                       | (read.cast("decimal(38,18)") == F.try_variant_get(value, "$", "decimal(38,18)")))
+                  | (kind == "int") & (F.abs(F.try_variant_get(value, "$", "bigint")) <= 2**53),
+    }[spark_type]
+    return (kind == "NoneType") | F.coalesce(same & read.isNotNull(), F.lit(False))
+
+
+def typed_if_fits(value: Column, store_type: str) -> Column:
+    """The store column's value; a text column also shows other values as text."""
+    read = typed(value, store_type)
+    return read if STORE_TYPES.get(store_type, "string") == "string" else F.when(fits(value, store_type), read)
+
+
 def _as_variant(name: str, dtype: T.DataType) -> Column:
     column = F.col(f"`{name}`")
     if isinstance(dtype, (T.VariantType,)):

@@ -16,18 +16,22 @@ from .naming import snake_case
 from .plan import last_wins, let
 from .values import as_list, as_object, is_object, is_object_list
 
-MAX_DEPTH = 10
-
-NODE = ("array<struct<table:string,uuid:string,parent_table:string,parent_id:string,pos:int,"
+NODE = ("array<struct<table:string,uuid:string,parent_table:string,parent_id:string,list_key:string,pos:int,"
         "depth:int,fields:map<string,variant>>>")
 PATH = "array<struct<path:string,parent:string,child:string,level:int,fields:map<string,variant>,is_list:boolean>>"
 
 
-def levels(first: Column, step: Callable[[Column], Column], dtype: str, depth: int = MAX_DEPTH) -> Column:
-    """All levels, flattened: ``first``, ``step(first)``, … up to ``depth`` steps."""
+def depth_bound(value: Column, marks: str) -> Column:
+    """No value is nested deeper than its JSON text has opening brackets."""
+    text = F.to_json(value)
+    return F.coalesce(F.length(text) - F.length(F.translate(text, marks, "")), F.lit(0))
+
+
+def levels(first: Column, step: Callable[[Column], Column], dtype: str, depth: Column) -> Column:
+    """All levels, flattened: ``first``, ``step(first)``, … up to ``depth`` steps, a bound that no level exceeds."""
     start = F.array(first.cast(dtype))
     grown = F.aggregate(
-        F.sequence(F.lit(1), F.lit(depth)),
+        F.slice(F.sequence(F.lit(0), depth), 2, F.greatest(depth, F.lit(1))),
         start,
         lambda acc, _: F.array_append(acc, step(F.element_at(acc, -1)).cast(dtype)),
     )
@@ -40,15 +44,15 @@ def child_id(parent: Column, key: Column, pos: Column) -> Column:
 
 
 def table_nodes(uuid: Column | None, fields: Column, root: str = "root", rename: bool = True,
-                depth: int = MAX_DEPTH) -> Column:
+                depth: int | None = None) -> Column:
     """Every row a record shreds into: the root, and one node per object in each list of
-    objects.  Without ``uuid`` the nodes carry no ids."""
+    objects, at all depths or down to ``depth``.  Without ``uuid`` the nodes carry no ids."""
     name = snake_case if rename else (lambda c: c)
     none = F.lit(None).cast("string")
     top = F.array(
         F.struct(
             F.lit(root).alias("table"), (none if uuid is None else uuid).alias("uuid"), none.alias("parent_table"), none.alias("parent_id"),
-            F.lit(0).alias("pos"), F.lit(0).alias("depth"), fields.alias("fields"),
+            none.alias("list_key"), F.lit(0).alias("pos"), F.lit(0).alias("depth"), fields.alias("fields"),
         )
     )
 
@@ -61,6 +65,7 @@ def table_nodes(uuid: Column | None, fields: Column, root: str = "root", rename:
                 (none if uuid is None else child_id(node["uuid"], key, i)).alias("uuid"),
                 node["table"].alias("parent_table"),
                 node["uuid"].alias("parent_id"),
+                entry["key"].alias("list_key"),
                 i.alias("pos"),
                 (node["depth"] + 1).alias("depth"),
                 as_object(item).alias("fields"),
@@ -81,29 +86,98 @@ def table_nodes(uuid: Column | None, fields: Column, root: str = "root", rename:
             )
         )
 
-    return levels(top, step, NODE, depth)
+    bound = depth_bound(F.to_variant_object(fields), "[")
+    return levels(top, step, NODE, bound if depth is None else F.least(bound, F.lit(depth)))
 
 
-def flat_fields(fields: Column, rename: bool = True) -> Column:
-    """Columns of one shredded row: scalars as they are, an object one level deep as
-    ``key_sub``, lists left out (they are child or junction tables)."""
+def columns_of(fields: Column, rename: bool = True) -> Column:
+    """Columns of one shredded row as ``(key, path, value)``: scalars as they are, an object one level
+    deep as ``key_sub``, lists left out.  ``path`` holds the member names a column came from."""
     name = snake_case if rename else (lambda c: c)
 
-    def columns_of(entry: Column) -> Column:
-        own = F.array(F.struct(name(entry["key"]).alias("key"), entry["value"].alias("value")))
+    def made(entry: Column) -> Column:
+        own = F.array(F.struct(name(entry["key"]).alias("key"), F.array(entry["key"]).alias("path"), entry["value"].alias("value")))
         sub = F.transform(
             F.map_entries(as_object(entry["value"])),
             lambda s: F.struct(
-                F.concat_ws("_", name(entry["key"]), name(s["key"])).alias("key"), s["value"].alias("value")
+                F.concat_ws("_", name(entry["key"]), name(s["key"])).alias("key"),
+                F.array(entry["key"], s["key"]).alias("path"), s["value"].alias("value"),
             ),
         )
         return F.coalesce(sub, own)
 
     kept = F.filter(F.map_entries(fields), lambda e: as_list(e["value"]).isNull())
-    return last_wins(F.flatten(F.transform(kept, columns_of)))
+    return F.flatten(F.transform(kept, made))
+
+
+def row_of(columns: Column) -> Column:
+    """Columns ``(key, path, value)`` as a map; the last of a name wins."""
+    return last_wins(F.transform(columns, lambda c: F.struct(c["key"], c["value"])))
+
+
+def flat_fields(fields: Column, rename: bool = True) -> Column:
+    """Columns of one shredded row as a map."""
+    return row_of(columns_of(fields, rename))
+
+
+def _repeated(keys: Column) -> Column:
+    return F.filter(F.array_distinct(keys), lambda k: F.size(F.filter(keys, lambda x: x == k)) > 1)
+
+
+def clashing(columns: Column) -> Column:
+    """Column names that several members of a row ask for."""
+
+    def found(keys: Column) -> Column:
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.array().cast("array<string>")).otherwise(_repeated(keys))
+
+    return let(F.transform(columns, lambda c: c["key"]), found)
+
+
+def member_paths(columns: Column, clashes: Column) -> Column:
+    """Column -> the member path it came from, where that is not its name; an empty path for a name that clashes."""
+    none = F.array().cast("array<string>")
+    odd = F.filter(columns, lambda c: (c["path"] != F.array(c["key"])) & ~F.array_contains(clashes, c["key"]))
+    return F.map_from_entries(F.concat(
+        F.transform(odd, lambda c: F.struct(c["key"].alias("key"), c["path"].alias("path"))),
+        F.transform(clashes, lambda k: F.struct(k.alias("key"), none.alias("path")))))
+
+
+def remainder(fields: Column, columns: Column, clashes: Column, cut: Column) -> Column:
+    """Members that columns and child rows do not hold in full: empty lists and objects, lists with an element that
+    is no object, members whose column name clashes, and where ``cut``, all lists."""
+    members = F.transform(F.filter(columns, lambda c: F.array_contains(clashes, c["key"])), lambda c: c["path"][0])
+
+    def left(key: Column, value: Column) -> Column:
+        listed = let(as_list(value), lambda x: cut & x.isNotNull() | F.coalesce(
+            (F.size(x) == 0) | F.exists(x, lambda i: as_object(i).isNull()), F.lit(False)))
+        return listed | F.coalesce(F.size(as_object(value)) == 0, F.lit(False)) | F.array_contains(members, key)
+
+    return F.map_filter(fields, left)
+
+
+def members_of(fields: Column, names: Column) -> Column:
+    """Undo ``row_of``: members under their first names, objects put together again."""
+    items = F.transform(F.map_entries(fields), lambda e: F.struct(
+        F.coalesce(F.try_element_at(names, e["key"]), F.array(e["key"])).alias("path"), e["value"].alias("value")))
+
+    def built(all_items: Column) -> Column:
+        single = F.transform(F.filter(all_items, lambda e: F.size(e["path"]) == 1), lambda e: F.struct(
+            e["path"][0].alias("key"), e["value"].alias("value")))
+
+        def objects(spread: Column) -> Column:
+            def whole(key: Column) -> Column:
+                own = F.filter(spread, lambda e: e["path"][0] == key)
+                inner = F.map_from_entries(F.transform(own, lambda e: F.struct(e["path"][1].alias("key"), e["value"].alias("value"))))
+                return F.struct(key.alias("key"), F.to_variant_object(inner).alias("value"))
+
+            return F.transform(F.array_distinct(F.transform(spread, lambda e: e["path"][0])), whole)
+
+        return F.concat(single, let(F.filter(all_items, lambda e: F.size(e["path"]) == 2), objects))
+
+    return F.map_from_entries(let(items, built))
 
 
-def object_paths(fields: Column, root: str = "root", depth: int = MAX_DEPTH) -> Column:
+def object_paths(fields: Column, root: str = "root") -> Column:
     """Every nested object reached through lists of objects and plain objects, with its path."""
     none = F.lit(None).cast("string")
     top = F.array(
@@ -137,18 +211,19 @@ def object_paths(fields: Column, root: str = "root", depth: int = MAX_DEPTH) ->
             )
         )
 
-    return levels(top, step, PATH, depth)
+    return levels(top, step, PATH, depth_bound(F.to_variant_object(fields), "{"))
 
 
-def nesting_depth(value: Column, depth: int = 32) -> Column:
+def nesting_depth(value: Column) -> Column:
     """Depth of a value: each object or list adds one; a list is judged by its first element."""
 
     def inner(v: Column) -> Column:
         as_obj, as_arr = as_object(v), as_list(v)
         return F.coalesce(F.map_values(as_obj), F.slice(as_arr, 1, 1), F.array().cast("array<variant>"))
 
+    bound = depth_bound(value, "[{")
     grown = F.aggregate(
-        F.sequence(F.lit(1), F.lit(depth)),
+        F.sequence(F.lit(0), bound),
         F.struct(F.array(value).alias("frontier"), F.lit(0).alias("depth")),
         lambda acc, _: let(
             F.flatten(F.transform(acc["frontier"], inner)),

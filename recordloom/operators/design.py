@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import walk
 from ..functions.naming import singular
@@ -102,14 +101,13 @@ def _dependency_verdicts(df: DataFrame, names: Sequence[str], wanted: dict[int,
     depends on X when they agree in all groups.
     """
     targets = sorted(set().union(*wanted.values()))
-    texts = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in names]
+    texts = [F.col(c).cast("string") for c in names]
     digests = []
     for y in targets:
-        digests += [F.xxhash64(texts[y]).alias(f"a{y}"), F.xxhash64(F.lit(y), F.reverse(texts[y])).alias(f"b{y}")]
-    dets = F.array(*[
-        F.struct(F.lit(x).alias("x"), fingerprint(F.when(F.col(names[x]).isNotNull(), texts[x])).alias("xv"))
-        for x in sorted(wanted)
-    ])
+        # NULL is a value of its own, unlike any text.
+        null = texts[y].isNull()
+        digests += [F.xxhash64(null, texts[y]).alias(f"a{y}"), F.xxhash64(F.lit(y), null, F.reverse(texts[y])).alias(f"b{y}")]
+    dets = F.array(*[F.struct(F.lit(x).alias("x"), fingerprint(texts[x]).alias("xv")) for x in sorted(wanted)])
     long = once(df.select(*names), _dets=dets).select(F.inline("_dets"), *digests).filter(F.col("xv").isNotNull())
     spread = []
     for y in targets:
@@ -129,57 +127,40 @@ def _dependency_verdicts(df: DataFrame, names: Sequence[str], wanted: dict[int,
     return verdict.select("x", "values", "rows", F.inline(pairs)).filter(F.col("holds") & (F.col("x") != F.col("y"))).drop("holds")
 
 
-def _short(text: Column) -> Column:
-    return F.when(F.length(text) <= 64, text).otherwise(F.concat(F.lit("h"), F.sha2(text, 256)))
-
-
-def functional_dependencies(df: DataFrame, columns: Sequence[str] | None = None, mode: str = "strict",
-                            sample: int | None = None, probe_rows: int = 20_000) -> DataFrame:
+def functional_dependencies(df: DataFrame, columns: Sequence[str] | None = None, mode: str = "strict") -> DataFrame:
     """Dependencies X -> Y between columns: ``(determinant, dependent, values, rows, confidence)``.
 
-    ``strict``: every X value has exactly one Y; ``any``: some X value does.  ``sample`` is an
-    option that looks at that many rows only.
+    ``strict``: every X value has exactly one Y (NULL is a value of Y); ``any``: some X value does.
 
-    Strict mode works in three steps.  A pair that fails on some rows fails on all, so
-    a probe of ``probe_rows`` rows refutes most pairs.  A column without repeats determines
-    every other, which a distinct count per column shows.  Only the pairs then still open go
-    through the full comparison over all rows.  What the steps read to the driver is
-    bounded by the number of columns.
+    Strict mode settles most pairs by one distinct count per column, over all rows: a column without repeats determines every
+    other, a constant is determined by every other, and a column without NULLs never determines one of more values.
+    Only the pairs then open go through the full comparison, also over all rows.  What comes to the
+    driver are counts, one row per column.
     """
     names = list(columns) if columns is not None else [
         f.name for f in df.schema.fields if column_type_name(f.dataType) not in ("dict", "list")
     ]
-    if sample is not None:
-        df = df.limit(sample)
     every = {x: {y for y in range(len(names)) if y != x} for x in range(len(names))}
     if mode != "strict":
         found = _dependency_verdicts(df, names, every, mode)
     else:
-        # ``take`` reads only as many partitions as it needs; long values travel as digests.
-        short = [_short(F.col(c).cast("string")).alias(c) for c in names]
-        rows = df.select(*short).take(probe_rows)
-        probe = df.sparkSession.createDataFrame(rows, T.StructType([T.StructField(c, T.StringType()) for c in names]))
-        wanted: dict[int, set[int]] = {}
-        for r in _dependency_verdicts(probe, names, every, mode).select("x", "y").collect():
-            wanted.setdefault(r["x"], set()).add(r["y"])
-        # A column that is NULL throughout the probe is not refuted by it.
-        wanted.update({x: every[x] for x in every if all(r[x] is None for r in rows)})
-        found = None
+        counts = {r["field"]: r for r in key_analysis(df, names).collect()}
+        facts, wanted = [], {}
+        for x, ys in every.items():
+            if names[x] not in counts or not counts[names[x]]["unique_count"]:
+                continue
+            values, nulls = counts[names[x]]["unique_count"], counts[names[x]]["null_count"]
+            rows = counts[names[x]]["total_count"] - nulls
+            for y in sorted(ys):
+                of_y = counts[names[y]]
+                distinct = of_y["unique_count"] + (of_y["null_count"] > 0)
+                if values == rows or distinct == 1:
+                    facts.append((x, y, values, rows))
+                elif nulls or values >= distinct:
+                    wanted.setdefault(x, set()).add(y)
+        found = df.sparkSession.createDataFrame(facts, "x int, y int, values bigint, rows bigint")
         if wanted:
-            some = [names[x] for x in sorted(wanted)]
-            counts = {r["field"]: r for r in key_analysis(df, some).collect()}
-            whole = {x for x in wanted if names[x] in counts
-                     and counts[names[x]]["unique_count"] == counts[names[x]]["total_count"] - counts[names[x]]["null_count"]}
-            facts = [(x, y, counts[names[x]]["unique_count"], counts[names[x]]["unique_count"])
-                     for x in sorted(whole) for y in sorted(every[x]) if counts[names[x]]["unique_count"]]
-            if facts:
-                found = df.sparkSession.createDataFrame(facts, "x int, y int, values bigint, rows bigint")
-            rest = {x: ys for x, ys in wanted.items() if x not in whole}
-            if rest:
-                tested = _dependency_verdicts(df, names, rest, mode).select("x", "y", "values", "rows")
-                found = tested if found is None else found.unionByName(tested)
-        if found is None:
-            found = df.sparkSession.createDataFrame([], "x int, y int, values bigint, rows bigint")
+            found = found.unionByName(_dependency_verdicts(df, names, wanted, mode).select("x", "y", "values", "rows"))
     name_of = {i: c for i, c in enumerate(names)}
     return found.select(
         lookup(name_of, F.col("x")).alias("determinant"),

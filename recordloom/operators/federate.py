@@ -26,7 +26,7 @@ def read_by_id(structured: DataFrame, documents: DataFrame, uuid: str,
     """
     docs = documents.filter(F.col("uuid") == uuid)
     if side is not None:
-        docs = resolve_references(docs, side.filter(F.col("parent_uuid") == uuid)).documents
+        docs = resolve_references(docs, side, nested=True).documents
     lists = {
         name: child_lists(df.filter(F.col(fk) == uuid).withColumnRenamed(fk, "uuid"), "uuid", name, order)
         for name, (df, fk, order) in (children or {}).items()
@@ -50,7 +50,7 @@ def read_by_filter(structured: DataFrame, condition: Column, documents: DataFram
     ids = matched.select("uuid")
     docs = documents.join(ids, "uuid", "left_semi")
     if side is not None:
-        docs = resolve_references(docs, side).documents
+        docs = resolve_references(docs, side, nested=True).documents
     lists = {}
     for name, (df, fk, order) in (children or {}).items():
         mine = df.withColumnRenamed(fk, "uuid").join(ids, "uuid", "left_semi")
@@ -59,17 +59,20 @@ def read_by_filter(structured: DataFrame, condition: Column, documents: DataFram
 
 
 def merge_key(fields: Column, names: Sequence[str] = MERGE_KEYS) -> Column:
-    """First of the key fields that holds something: not null, empty, zero or false."""
+    """First of the key fields that holds something: not null, empty, zero or false.  The key keeps its type,
+    so the number 5 and the text ``"5"`` differ, while 1 and 1.0 are one number."""
 
     def usable(name: str) -> Column:
         def text(value: Column) -> Column:
             kind, plain = type_name(value), F.try_variant_get(value, "$", "string")
-            holds = (
-                F.when(kind == "str", plain != "")
-                .when(kind.isin("int", "float"), F.try_variant_get(value, "$", "double") != 0)
-                .otherwise(~plain.isin("false", "[]", "{}"))
+            number = F.try_variant_get(value, "$", "double")
+            whole = F.when(kind == "int", plain).when(
+                (number == F.floor(number)) & (F.abs(number) < 2**53), number.cast("bigint").cast("string")).otherwise(plain)
+            return (
+                F.when((kind == "str") & (plain != ""), F.concat(F.lit("s:"), plain))
+                .when(kind.isin("int", "float") & (number != 0), F.concat(F.lit("n:"), whole))
+                .when(~kind.isin("str", "int", "float") & ~plain.isin("false", "[]", "{}"), F.concat(F.lit("o:"), plain))
             )
-            return F.when(holds, plain)
 
         return let(F.try_element_at(fields, F.lit(name)), text)
 
@@ -81,19 +84,18 @@ def federated_merge(structured: DataFrame, documents: DataFrame, seq: str = "seq
 
     A structured row takes the first matching document in ``seq`` order, whose fields win even
     when null; keyed documents without a structured row follow; documents without a key
-    only appear when there is no structured row at all.
+    only appear when there is no structured row at all.  ``merge_key`` is the key's text.
 
-    Documents are cut to one per key before the join (partial aggregation), so a key held by
-    a third of them does not multiply or crowd a task; Spark splits a crowded key of the
-    structured side.
+    The first document of a key is found from keys and positions alone (``min`` in a hash aggregate); whole documents are
+    joined once, after that.  Spark splits a crowded key of the structured side.
     """
     left = once(structured.select(F.col("fields").alias("own")), merge_key=merge_key(F.col("own")))
     right = once(documents.select("fields", F.col(seq).alias("_seq")), merge_key=merge_key(F.col("fields")))
-    first = (
-        right.filter(F.col("merge_key").isNotNull())
-        .groupBy("merge_key")
-        .agg(F.min_by("fields", "_seq").alias("doc"))
-    )
+    keyed = right.filter(F.col("merge_key").isNotNull())
+    at = keyed.groupBy("merge_key").agg(F.min("_seq").alias("_seq"))
+    # Rows may share a position; one of them is taken.
+    first = keyed.join(at, ["merge_key", "_seq"], "left_semi").dropDuplicates(["merge_key", "_seq"]).select(
+        "merge_key", F.col("fields").alias("doc"))
     rest = F.map_filter("own", lambda k, v: ~F.map_contains_key("doc", k))
     merged = left.join(first, "merge_key", "left").select(
         F.when(F.col("doc").isNull(), "structured").otherwise("both").alias("source"),
@@ -101,11 +103,12 @@ def federated_merge(structured: DataFrame, documents: DataFrame, seq: str = "seq
         F.when(F.col("doc").isNull(), F.col("own")).otherwise(F.map_concat(rest, F.col("doc"))).alias("fields"),
     )
     known = left.filter(F.col("merge_key").isNotNull()).select("merge_key").distinct()
-    unmatched = right.filter(F.col("merge_key").isNotNull()).join(known, "merge_key", "left_anti")
+    unmatched = keyed.join(known, "merge_key", "left_anti")
     no_rows = structured.limit(1).agg(F.count(F.lit(1))).scalar() == 0
     keyless = right.filter(F.col("merge_key").isNull() & no_rows)
     others = unmatched.select("merge_key", "fields").unionByName(keyless.select("merge_key", "fields"))
-    return merged.unionByName(others.select(F.lit("document").alias("source"), "merge_key", "fields"))
+    out = merged.unionByName(others.select(F.lit("document").alias("source"), "merge_key", "fields"))
+    return out.withColumn("merge_key", F.substring("merge_key", 3, 2**31 - 1))
 
 
 def enrich(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:

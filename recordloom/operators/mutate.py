@@ -8,6 +8,7 @@ from typing import Any, NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.filters import document_filter
 from .route import route_records
 
 
@@ -33,44 +34,94 @@ def insert_records(structured: DataFrame, documents: DataFrame, records: DataFra
     )
 
 
-def _single(spec: dict[str, Any]) -> tuple[str, list]:
-    if len(spec) != 1:
-        raise ValueError("exactly one filter field is supported")
-    field, value = next(iter(spec.items()))
-    if isinstance(value, dict):
-        if set(value) != {"$in"}:
-            raise ValueError("only equality and $in are supported")
-        value = value["$in"]
-    return field, list(value) if isinstance(value, (list, tuple)) else [value]
+def _tests(spec: dict[str, Any]) -> dict[str, list]:
+    """Field -> allowed values; every field must match."""
+    if not spec:
+        raise ValueError("no filter")
+    out = {}
+    for field, value in spec.items():
+        if isinstance(value, dict):
+            if set(value) != {"$in"}:
+                raise ValueError("only equality and $in are supported")
+            value = value["$in"]
+        out[field] = list(value) if isinstance(value, (list, tuple)) else [value]
+    return out
+
+
+def chosen_ids(structured: DataFrame, documents: DataFrame, spec: dict[str, Any]) -> DataFrame:
+    """Ids of the records that satisfy all conditions.  A field is tested in the structured table if that has a column for
+    it, else in the documents; with conditions on both sides the two lists of ids are joined."""
+    left = F.lit(True)
+    in_docs = {}
+    for field, values in _tests(spec).items():
+        if field in structured.columns:
+            left = left & F.coalesce(F.col(f"`{field}`").isin(*values), F.lit(False))
+        else:
+            in_docs[field] = {"$in": values}
+    ids = structured.filter(left).select("uuid").withColumn("_hit", F.lit(True))
+    if in_docs:
+        ids = ids.join(documents.filter(document_filter(in_docs, max_list=max(map(len, _tests(spec).values())))).select("uuid"), "uuid", "left_semi")
+    return ids
 
 
 def update_where(structured: DataFrame, documents: DataFrame, spec: dict[str, Any], changes: dict[str, Any],
                  routes: dict[str, str], default: str = "MONGO") -> Changed:
-    """Set fields on the side or sides they route to, in rows chosen by one field.
+    """Set fields on the side or sides they route to, in records chosen by equality or ``$in`` on any fields
+    of either side, all of which must hold.
 
-    The filter field lives in the structured table; documents follow by id.  One pass over
-    the structured side, and a join only when document fields change.
+    Conditions on structured columns alone are tested in place, in one pass; others go by joined ids.  A value that
+    the column's type would not hold as it is goes to the document by the router's rule, and the column becomes NULL.
     """
     if not changes:
         raise ValueError("no data to update")
-    field, values = _single(spec)
-    hit = F.coalesce(F.col(field).isin(*values), F.lit(False))
+    kinds = dict(structured.dtypes)
     left = {k: v for k, v in changes.items() if routes.get(k, default) in ("SQL", "BOTH")}
     right = {k: v for k, v in changes.items() if routes.get(k, default) in ("MONGO", "BOTH")}
-    updated = structured.withColumns({
-        k: F.when(hit, F.lit(v)).otherwise(F.col(k) if k in structured.columns else F.lit(None)) for k, v in left.items()
-    }) if left else structured
+    for k, v in list(left.items()):
+        if k in kinds and not _holds(kinds[k], v):
+            left[k], right[k] = None, v
+    ids = chosen_ids(structured, documents, spec)
+    in_place = all(f in structured.columns for f in spec)
+    rows = structured if in_place else structured.join(ids, "uuid", "left")
+    hit = F.lit(True) if in_place else F.coalesce(F.col("_hit"), F.lit(False))
+    for field, values in _tests(spec).items() if in_place else []:
+        hit = hit & F.coalesce(F.col(f"`{field}`").isin(*values), F.lit(False))
+    updated = rows.select(
+        *[F.when(hit, F.lit(left[c]).cast(kinds[c])).otherwise(F.col(f"`{c}`")).alias(c) if c in left else F.col(f"`{c}`") for c in structured.columns],
+        *[F.when(hit, F.lit(v)).alias(k) for k, v in left.items() if k not in kinds]) if left else structured
     docs = documents
     if right:
-        ids = structured.filter(hit).select("uuid").withColumn("_hit", F.lit(True))
         new = F.create_map(*[x for k, v in right.items() for x in (F.lit(k), _variant(v))])
         kept = F.map_filter("doc", lambda k, v: ~k.isin(*right))
         docs = documents.join(ids, "uuid", "left").select(
             *[F.when(F.col("_hit"), F.map_concat(kept, new)).otherwise(F.col("doc")).alias("doc") if c == "doc" else c
               for c in documents.columns]
         )
-    affected = structured.filter(hit).agg(F.count(F.lit(1)).alias("affected"))
-    return Changed(updated, docs, affected)
+    return Changed(updated, docs, ids.agg(F.count(F.lit(1)).alias("affected")))
+
+
+def _holds(kind: str, value: Any) -> bool:
+    """Does a column of this type hold the value as it is?"""
+    if value is None:
+        return True
+    if kind == "boolean":
+        return isinstance(value, bool)
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        bits = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}[kind]
+        return isinstance(value, int) and not isinstance(value, bool) and -(1 << bits) <= value < 1 << bits
+    if kind in ("double", "float"):
+        return isinstance(value, (int, float)) and not isinstance(value, bool) and float(value) == value
+    if kind == "string":
+        return isinstance(value, str)
+    return True
+
+
+def delete_ids(tables: dict[str, DataFrame], root: str, documents: DataFrame, spec: dict[str, Any],
+               links: Sequence[tuple[str, str, str, str]]) -> Deleted:
+    """``delete_where`` by conditions on fields of either side."""
+    ids = chosen_ids(tables[root], documents, spec).select("uuid")
+    doomed = tables[root].join(ids, "uuid", "left_semi")
+    return _cascade(tables, root, doomed, tables[root].join(ids, "uuid", "left_anti"), links)
 
 
 def _variant(value: Any) -> Column:
@@ -85,9 +136,14 @@ def delete_where(tables: dict[str, DataFrame], root: str, condition: Column,
     parents; document and side collections are children like any other.  Every table loses
     rows by an anti join, and ``counts`` says how many per table.
     """
-    doomed = {root: tables[root].filter(condition)}
-    kept = {root: tables[root].filter(~F.coalesce(condition, F.lit(False)))}
-    for child, fk, parent, key in links if cascade else []:
+    kept = tables[root].filter(~F.coalesce(condition, F.lit(False)))
+    return _cascade(tables, root, tables[root].filter(condition), kept, links if cascade else [])
+
+
+def _cascade(tables: dict[str, DataFrame], root: str, gone: DataFrame, left: DataFrame,
+             links: Sequence[tuple[str, str, str, str]]) -> Deleted:
+    doomed, kept = {root: gone}, {root: left}
+    for child, fk, parent, key in links:
         keys = doomed[parent].select(F.col(key).alias(fk)).distinct()
         doomed[child] = tables[child].join(keys, fk, "left_semi")
         kept[child] = tables[child].join(keys, fk, "left_anti")

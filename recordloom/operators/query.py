@@ -13,7 +13,6 @@ from ..functions.values import plain_text, type_name
 
 # Row limits of the read calls.
 DEFAULT_LIMIT, MAX_LIMIT = 50, 100
-READ_LIMIT, LIST_LIMIT, DISTINCT_LIMIT = 1000, 100, 50
 REPORT_CAP = 100_000
 
 
@@ -47,28 +46,32 @@ def project_document_fields(documents: DataFrame, fields: Sequence[str], keep: S
 
 
 def read_fields(structured: DataFrame, documents: DataFrame, routes: dict[str, str], fields: Sequence[str],
-                order_by: str = "uuid", limit: int = READ_LIMIT) -> tuple[DataFrame | None, DataFrame | None]:
-    """A field list answered by each store that holds some of it, at most ``limit`` rows each
-    (the first by ``order_by``, so that the answer is the same every time)."""
+                order_by: str = "uuid", limit: int | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """A field list answered by each store that holds some of it: all rows, or if the caller sets a
+    ``limit``, the first so many by ``order_by``."""
     unknown = [f for f in fields if f not in routes]
     if unknown:
         raise ValueError(f"unknown fields: {', '.join(unknown)}")
     left = [f for f in fields if routes[f] in ("SQL", "BOTH")]
     right = [f for f in fields if routes[f] in ("MONGO", "BOTH")]
-    a = structured.orderBy(order_by).limit(limit).select(order_by, *[f for f in left if f != order_by]) if left else None
-    b = project_document_fields(documents.orderBy(order_by).limit(limit), [f for f in right if f != order_by],
+    a = _first(structured, order_by, limit).select(order_by, *[f for f in left if f != order_by]) if left else None
+    b = project_document_fields(_first(documents, order_by, limit), [f for f in right if f != order_by],
                                 (order_by,)) if right else None
     return a, b
 
 
-def list_values(df: DataFrame, field: str, order_by: str, limit: int = LIST_LIMIT) -> DataFrame:
-    """Non-null values of one field among the first rows."""
-    return df.select(order_by, F.col(field).alias("value")).orderBy(order_by).limit(limit).filter("value IS NOT NULL")
+def _first(df: DataFrame, order_by: str, limit: int | None) -> DataFrame:
+    return df if limit is None else df.orderBy(order_by).limit(limit)
 
 
-def distinct_values(df: DataFrame, field: str, limit: int = DISTINCT_LIMIT) -> DataFrame:
-    """The first distinct values of a field in sort order."""
-    return df.select(field).distinct().orderBy(field).limit(limit)
+def list_values(df: DataFrame, field: str, order_by: str, limit: int | None = None) -> DataFrame:
+    """Non-null values of one field, of all rows or among the first ``limit``."""
+    return _first(df.select(order_by, F.col(field).alias("value")), order_by, limit).filter("value IS NOT NULL")
+
+
+def distinct_values(df: DataFrame, field: str, limit: int | None = None) -> DataFrame:
+    """The distinct values of a field, all or the first ``limit`` in sort order."""
+    return _first(df.select(field).distinct(), field, limit)
 
 
 def count_preview(df: DataFrame, condition: Column | None = None, cap: int = REPORT_CAP) -> DataFrame:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.naming import LINK_FIELDS
 from ..functions.plan import let, once
-from ..functions.values import typed
+from ..functions.values import fits, typed, typed_if_fits
 from ..sources.records import to_document
 
 # Decomposition limits and the reference format.
@@ -22,8 +22,6 @@ LARGE_FIELD_SHARE = 0.10
 REFERENCE_PREFIX = "REF::MONGO::"
 SIDE_PREFIX = "decomposed_"
 
-MAX_PAYLOADS = 1000
-
 
 class Routed(NamedTuple):
     structured: DataFrame
@@ -36,15 +34,18 @@ class Decomposed(NamedTuple):
 
 
 class Resolved(NamedTuple):
+    """``payloads``: rows (uuid, stub, pos, data) of the references with several payloads that stay stubs."""
+
     documents: DataFrame
-    overflow: DataFrame
+    payloads: DataFrame
 
 
 def route_records(records: DataFrame, decisions: DataFrame, default: str = "MONGO") -> Routed:
     """Split ``(uuid, fields)`` by decision; link fields go to both sides.
 
     A field without a decision goes to the documents, or with ``default="SQL"`` becomes a
-    text column; it is never dropped.  Only structured decisions come to the driver (see
+    text column; it is never dropped.  A value that its column would not hold as it is (a text or a
+    fraction for an integer column) stays in the document; the column is NULL, or its text in a text column.  Only structured decisions come to the driver (see
     ``evolve_schema`` for the bound), and with ``default="SQL"`` the names of the columns to add.
     """
     if default not in ("MONGO", "SQL"):
@@ -60,14 +61,23 @@ def route_records(records: DataFrame, decisions: DataFrame, default: str = "MONG
     link = [c for c in LINK_FIELDS if c != "uuid"]
     link_columns = [typed(F.col("fields")[c], "TEXT").alias(c) for c in link]
     columns = [
-        typed(F.col("fields")[name], store_type).alias(name)
+        typed_if_fits(F.try_element_at("fields", F.lit(name)), store_type).alias(name)
         for name, (_, store_type) in sorted(chosen.items())
         if name not in LINK_FIELDS
     ]
-    only_structured = [n for n, (target, _) in chosen.items() if target == "SQL" and n not in LINK_FIELDS]
+    by_type: dict[str, list[str]] = {}
+    for name, (target, store_type) in sorted(chosen.items()):
+        if target == "SQL" and name not in LINK_FIELDS:
+            by_type.setdefault(store_type, []).append(name)
     doc = F.col("fields")
-    if only_structured:
-        doc = F.map_filter("fields", lambda k, v: ~k.isin(*only_structured))
+    if by_type:
+        def left_over(k: Column, v: Column) -> Column:
+            stored = F.lit(False)
+            for store_type, names in by_type.items():
+                stored = stored | (k.isin(*names) & fits(v, store_type))
+            return ~stored
+
+        doc = F.map_filter("fields", left_over)
     return Routed(
         records.select("uuid", *link_columns, *columns),
         records.select("uuid", doc.alias("doc")),
@@ -78,9 +88,18 @@ def is_reference(text: Column) -> Column:
     return text.startswith(REFERENCE_PREFIX)
 
 
+def escape(part: Column) -> Column:
+    """A name or id with its colons written ``%3A`` (and ``%`` as ``%25``), so that ``::`` only separates."""
+    return F.replace(F.replace(part, F.lit("%"), F.lit("%25")), F.lit(":"), F.lit("%3A"))
+
+
+def unescape(part: Column) -> Column:
+    return F.replace(F.replace(part, F.lit("%3A"), F.lit(":")), F.lit("%25"), F.lit("%"))
+
+
 def stub_reference(field: Column, uuid: Column) -> Column:
-    """``REF::MONGO::decomposed_<field>::<uuid>``"""
-    return F.concat(F.lit(REFERENCE_PREFIX + SIDE_PREFIX), field, F.lit("::"), uuid)
+    """``REF::MONGO::decomposed_<field>::<uuid>``, colons inside field and uuid escaped."""
+    return F.concat(F.lit(REFERENCE_PREFIX + SIDE_PREFIX), escape(field), F.lit("::"), escape(uuid))
 
 
 def decompose_large(documents: DataFrame, created_at: Column | None = None) -> Decomposed:
@@ -120,17 +139,24 @@ def decompose_large(documents: DataFrame, created_at: Column | None = None) -> D
 MEMBER_STUB = r':"(REF::MONGO::[^"\\]*)"'
 
 
-def _payloads(refs: DataFrame, side: DataFrame, unwrap: bool, max_payloads: int) -> tuple[DataFrame, DataFrame]:
-    """Payload text by stub for each document ``(uuid, _found)``, and payload rows of
-    references that hold more than ``max_payloads`` (kept as rows, not gathered)."""
+def _payloads(refs: DataFrame, side: DataFrame, unwrap: bool, lists: bool) -> tuple[DataFrame, DataFrame]:
+    """Payload text by stub for each document ``(uuid, _found)``, and the payload rows of references
+    that hold several and are not asked for as lists."""
     parts = F.split("stub", "::")
     located = once(refs, _parts=parts).filter(F.size("_parts") == 4).select(
-        "uuid", "stub", F.col("_parts")[2].alias("collection"), F.col("_parts")[3].alias("parent_uuid")
+        "uuid", "stub", unescape(F.col("_parts")[2]).alias("collection"), unescape(F.col("_parts")[3]).alias("parent_uuid")
     )
     key = ["collection", "parent_uuid"]
-    crowded = side.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_payloads).drop("n")
-    quiet = located.join(crowded, key, "left_anti").join(side.select(*key, "data"), key, "left")
-    overflow = located.join(crowded, key, "left_semi").join(side, key).select("uuid", "stub", "data")
+    if lists:
+        rows = located.join(side.select(*key, "data"), key, "left")
+        many = rows.filter(F.lit(False)).select("uuid", "stub", F.lit(0).alias("pos"), "data")
+    else:
+        # Counted without the payloads, so that none is gathered only to be counted.
+        counted = located.join(side.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), key, "left")
+        rows = counted.filter(F.coalesce("_n", F.lit(0)) < 2).join(side.select(*key, "data"), key, "left")
+        by_stub = Window.partitionBy("uuid", "stub").orderBy("data")
+        many = counted.filter("_n > 1").join(side.select(*key, "data"), key).select(
+            "uuid", "stub", (F.row_number().over(by_stub) - 1).alias("pos"), "data")
 
     def payload(data: Column) -> Column:
         as_list = F.concat(F.lit("["), F.array_join(data, ","), F.lit("]"))
@@ -140,13 +166,13 @@ def _payloads(refs: DataFrame, side: DataFrame, unwrap: bool, max_payloads: int)
         own = F.filter("_rows", lambda r: (r["stub"] == stub) & r["data"].isNotNull())
         return F.struct(stub.alias("stub"), let(F.transform(own, lambda r: r["data"]), payload).alias("payload"))
 
-    gathered = quiet.groupBy("uuid").agg(F.sort_array(F.collect_list(F.struct("stub", "data"))).alias("_rows"))
+    gathered = rows.groupBy("uuid").agg(F.sort_array(F.collect_list(F.struct("stub", "data"))).alias("_rows"))
     stubs = F.array_distinct(F.transform("_rows", lambda r: r["stub"]))
-    return gathered.select("uuid", F.map_from_entries(F.transform(stubs, entry)).alias("_found")), overflow
+    return gathered.select("uuid", F.map_from_entries(F.transform(stubs, entry)).alias("_found")), many
 
 
 def resolve_references(documents: DataFrame, side: DataFrame, unwrap: bool = True, nested: bool = False,
-                       max_payloads: int = MAX_PAYLOADS) -> Resolved:
+                       lists: bool = True) -> Resolved:
     """Put decomposed payloads back in place of their stubs.
 
     ``unwrap`` writes a single payload as itself, so that decompose and resolve are
@@ -155,9 +181,9 @@ def resolve_references(documents: DataFrame, side: DataFrame, unwrap: bool = Tru
     inside objects in lists; payloads are not resolved again and plain texts in lists are
     left alone.
 
-    Documents without a stub skip the joins altogether.  A reference with more than
-    ``max_payloads`` payloads keeps its stub and its payloads come back as ``overflow``
-    rows ``(uuid, stub, data)``.
+    Several payloads become a list inside their document, all of them; with ``lists=False`` such a
+    stub stays and its payloads come as ``payloads`` rows, for references too crowded for one row.
+    Documents without a stub skip the joins altogether.
     """
     if nested:
         stubs = F.array_distinct(F.regexp_extract_all(to_document(F.col("doc")), F.lit(MEMBER_STUB), F.lit(1)))
@@ -168,11 +194,11 @@ def resolve_references(documents: DataFrame, side: DataFrame, unwrap: bool = Tru
     marked = once(documents, _stubs=stubs)
     plain = marked.filter(F.size("_stubs") == 0).select("uuid", "doc")
     linked = marked.filter(F.size("_stubs") > 0)
-    found, overflow = _payloads(linked.select("uuid", F.explode("_stubs").alias("stub")), side, unwrap, max_payloads)
+    found, many = _payloads(linked.select("uuid", F.explode("_stubs").alias("stub")), side, unwrap, lists)
     joined = linked.join(found, "uuid", "left").withColumn(
         "_found", F.coalesce("_found", F.create_map().cast("map<string,string>"))
     )
-    return Resolved(plain.unionByName(joined.select("uuid", _filled(nested).alias("doc"))), overflow)
+    return Resolved(plain.unionByName(joined.select("uuid", _filled(nested).alias("doc"))), many)
 
 
 def _filled(nested: bool) -> Column:

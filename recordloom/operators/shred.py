@@ -12,7 +12,6 @@ from ..functions import walk
 from ..functions.naming import singular, snake_case
 from ..functions.plan import once
 from ..functions.values import (
-    OBJECT,
     as_list,
     as_object,
     is_object_list,
@@ -23,8 +22,6 @@ from ..functions.values import (
 )
 from .profile import cells
 
-MAX_LIST = 10_000
-
 
 class Shredded(NamedTuple):
     """Rows of all tables in one long frame, and the M:N tables."""
@@ -34,17 +31,27 @@ class Shredded(NamedTuple):
     junctions: DataFrame
 
 
-def shred(records: DataFrame, root: str = "root", depth: int = walk.MAX_DEPTH) -> DataFrame:
+def shred(records: DataFrame, root: str = "root", depth: int | None = None) -> DataFrame:
     """Records ``(uuid, fields)`` to the rows of all their tables:
-    ``(table, uuid, parent_table, parent_id, pos, depth, fields)``.
+    ``(table, uuid, parent_table, parent_id, list_key, pos, depth, fields, rest, names)``.
 
-    One scan and no shuffle; lists of objects become ``<parent>_<key>`` rows whose id is
-    derived from parent, key and position.
+    One scan and no shuffle; lists of objects become ``<parent>_<key>`` rows whose id is derived from parent, key and
+    position, at all depths or down to ``depth``.  What columns and child rows cannot hold in full stays beside the row
+    in ``rest``: lists of other or mixed values, empty lists and objects, members whose column name clashes, and
+    lists below ``depth``.  ``names`` maps a column to the member path it came from where that differs, and
+    ``list_key`` is the member a child row was an element of.
     """
-    return once(_nodes(records, root, True, depth), fields=walk.flat_fields(F.col("fields")))
+    nodes = once(_nodes(records, root, True, depth), _columns=walk.columns_of(F.col("fields")))
+    nodes = once(nodes, _clashes=walk.clashing(F.col("_columns")))
+    cut = F.lit(False) if depth is None else F.col("depth") >= depth
+    return nodes.select(
+        "table", "uuid", "parent_table", "parent_id", "list_key", "pos", "depth",
+        walk.row_of(F.col("_columns")).alias("fields"),
+        walk.remainder(F.col("fields"), F.col("_columns"), F.col("_clashes"), cut).alias("rest"),
+        walk.member_paths(F.col("_columns"), F.col("_clashes")).alias("names"))
 
 
-def _nodes(records: DataFrame, root: str, rename: bool, depth: int, ids: bool = True) -> DataFrame:
+def _nodes(records: DataFrame, root: str, rename: bool, depth: int | None, ids: bool = True) -> DataFrame:
     # A record always has its root node, so the outer form drops nothing; it only keeps
     # Spark from evaluating the walk a second time in an inferred filter.
     nodes = walk.table_nodes(F.col("uuid") if ids else None, F.col("fields"), root, rename, depth)
@@ -108,7 +115,7 @@ def shred_all(records: DataFrame, entity: str = "root") -> Shredded:
 def structure_map(records: DataFrame, root: str = "root") -> DataFrame:
     """Tables, flattened columns and child tables found anywhere in the records:
     ``(table, column, kind, child_table)`` with kind ``column`` or ``child``."""
-    nodes = _nodes(records, root, False, walk.MAX_DEPTH, ids=False).select("table", F.explode("fields").alias("key", "value"))
+    nodes = _nodes(records, root, False, None, ids=False).select("table", F.explode("fields").alias("key", "value"))
     key, value = F.col("key"), F.col("value")
     sub = F.transform(F.map_keys(as_object(value)), lambda s: F.concat_ws("_", key, s))
     names = (
@@ -203,32 +210,32 @@ def verify_foreign_keys(tables: dict[str, DataFrame], links: Sequence[tuple[str,
     return out
 
 
-def child_lists(children: DataFrame, fk: str, name: str, order: Sequence[str], pos: str | None = None,
-                max_list: int = MAX_LIST) -> DataFrame:
-    """Children gathered per parent as ordered JSON lists ``(fk, part, n, name)``.
+def child_rows(root: DataFrame, key: str, children: dict[str, tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
+    """Children of the root rows as rows ``(key, child, order, data)``, one shape at every size: nothing is
+    gathered, so a parent may have any number of them.  ``children`` maps table names to (frame, foreign key, order columns);
+    ``order`` is a struct's JSON text of the order columns, ``data`` the child without its foreign key."""
+    ids = root.select(key)
+    out = None
+    for table, (frame, fk, order) in children.items():
+        mine = frame.withColumnRenamed(fk, key).join(ids, key, "left_semi")
+        payload = [c for c in mine.columns if c != key]
+        one = mine.select(key, F.lit(table.removeprefix("root_")).alias("child"),
+                          F.to_json(F.struct(*order)).alias("order"), F.to_json(F.struct(*payload)).alias("data"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def child_lists(children: DataFrame, fk: str, name: str, order: Sequence[str]) -> DataFrame:
+    """Children gathered per parent as one ordered JSON list ``(fk, n, name)``.
 
-    No list exceeds about ``max_list`` rows: a parent with more gets several ``part`` rows,
-    so one dominant parent is spread over tasks and no child is dropped.  With ``pos`` (a
-    0-based position) the part is known at once; otherwise parents are counted first and
-    the few crowded ones are salted by a digest of the row.
+    For callers that ask for lists inside records: a list takes a row, so a parent's children must fit in
+    one.  Where they may not, use ``child_rows``.
     """
     payload = [c for c in children.columns if c != fk]
     row = F.struct(*[F.col(c) for c in order], F.to_json(F.struct(*payload)).alias("_json"))
-    if pos is not None:
-        split = children.withColumn("part", F.floor(F.col(pos) / max_list).cast("int"))
-    else:
-        crowded = (
-            children.groupBy(fk).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_list)
-            .select(fk, F.ceil(F.col("_n") / max_list).cast("int").alias("_parts"))
-        )
-        salt = F.pmod(F.xxhash64(*payload), F.col("_parts")).cast("int")
-        split = children.join(crowded, fk, "left").withColumn("part", F.coalesce(salt, F.lit(0))).drop("_parts")
-    listed = split.groupBy(fk, "part").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    listed = children.groupBy(fk).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
     texts = F.transform("_rows", lambda r: r["_json"])
-    return listed.select(
-        fk, "part", F.size("_rows").alias("n"),
-        F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias(name),
-    )
+    return listed.select(fk, F.size("_rows").alias("n"), F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias(name))
 
 
 def reconstruct(root: DataFrame, key: str, documents: DataFrame | None = None,
@@ -237,8 +244,7 @@ def reconstruct(root: DataFrame, key: str, documents: DataFrame | None = None,
     clash), and each child as a JSON list named without the ``root_`` prefix.
 
     ``documents`` is ``(key, doc)``; ``children`` maps table names to the output of
-    ``child_lists`` keyed by ``key``.  A record with a split child list appears once per
-    ``part``, each row holding one part of the list; children without a root row are left out.
+    ``child_lists`` keyed by ``key``; children without a root row are left out.
     """
     base = root.select(key, row_fields(root.schema, [c for c in root.columns if c != key]).alias("_own"))
     if documents is not None:
@@ -247,67 +253,63 @@ def reconstruct(root: DataFrame, key: str, documents: DataFrame | None = None,
         base = base.select(
             key, F.when(F.col("doc").isNull(), F.col("_own")).otherwise(F.map_concat(rest, F.col("doc"))).alias("_own")
         )
-    lists, names = None, []
+    names = []
     for table, frame in (children or {}).items():
-        short = table.removeprefix("root_")
-        names.append(short)
-        one = frame.select(key, "part", F.col(frame.columns[-1]).alias(short))
-        lists = one if lists is None else lists.join(one, [key, "part"], "full_outer")
-    out = base.withColumn("part", F.lit(0)) if lists is None else base.join(lists, key, "left")
-    return out.select(
-        key, F.coalesce("part", F.lit(0)).alias("part"), F.to_json(F.to_variant_object("_own")).alias("record"),
-        *[F.coalesce(c, F.lit("[]")).alias(c) for c in names],
-    )
+        names.append(table.removeprefix("root_"))
+        base = base.join(frame.select(key, F.col(frame.columns[-1]).alias(names[-1])), key, "left")
+    return base.select(
+        key, F.to_json(F.to_variant_object("_own")).alias("record"), *[F.coalesce(c, F.lit("[]")).alias(c) for c in names])
+
 
+def _over(first: Column, second: Column) -> Column:
+    """Two maps as one; the second wins."""
+    return F.map_concat(F.map_filter(first, lambda k, v: ~F.map_contains_key(second, k)), second)
 
-def rebuild_records(rows: DataFrame, depth: int | None = None, max_list: int = MAX_LIST) -> DataFrame:
-    """Undo ``shred``: ``(uuid, fields)`` with every child list back in its parent, deepest
-    level first, one shuffle per level.
 
-    ``rows`` should be a stored table, as every level reads it.  A list longer than
-    ``max_list`` is cut in parts, and its owner appears once per part with ``_part`` set.
+def rebuild_records(rows: DataFrame, depth: int | None = None) -> DataFrame:
+    """Undo ``shred``: ``(uuid, fields)`` with columns back in their members and every child list back in its
+    parent, deepest level first, one shuffle per level.
+
+    ``rows`` should be a stored table, as every level reads it.  A record was one row before it was
+    shredded, so its lists fit in a row again.
     """
     if depth is None:
         depth = rows.agg(F.max("depth")).first()[0] or 0
     lists = None
     for level in range(depth, -1, -1):
-        here = rows.filter(F.col("depth") == level)
+        here = once(rows.filter(F.col("depth") == level), _own=walk.members_of(F.col("fields"), F.col("names")))
+        whole = _over(F.col("_own"), F.col("rest"))
         if lists is not None:
-            joined = here.join(lists, "uuid", "left")
-            mark = F.when(F.col("_n") > 0, F.create_map(F.lit("_part"), F.col("_n").cast("variant"))).otherwise(
-                F.create_map().cast(OBJECT))
-            whole = F.when(F.col("_lists").isNull(), F.col("fields")).otherwise(
-                F.map_concat("fields", "_lists", mark))
-            here = joined.withColumn("fields", whole).drop("_lists", "_n")
+            here = here.join(lists, "uuid", "left")
+            # A list kept in the remainder is complete; child rows add to it nothing.
+            whole = F.when(F.col("_lists").isNull(), whole).otherwise(_over(F.col("_lists"), whole))
+        full = here.select("uuid", "parent_id", "list_key", "pos", whole.alias("fields"))
         if level == 0:
-            return here.select("uuid", "fields")
-        name = F.substring(F.col("table"), F.length("parent_table") + 2, F.length("table"))
+            return full.select("uuid", "fields")
         item = F.struct("pos", F.to_json(F.to_variant_object("fields")).alias("json"))
-        per_list = (
-            here.groupBy("parent_id", F.floor(F.col("pos") / max_list).cast("int").alias("_n"), name.alias("name"))
-            .agg(F.array_join(F.transform(F.sort_array(F.collect_list(item)), lambda r: r["json"]), ",").alias("items"))
-        )
+        per_list = full.groupBy("parent_id", "list_key").agg(
+            F.array_join(F.transform(F.sort_array(F.collect_list(item)), lambda r: r["json"]), ",").alias("items"))
         value = F.parse_json(F.concat(F.lit("["), F.col("items"), F.lit("]")))
-        lists = per_list.groupBy(F.col("parent_id").alias("uuid"), "_n").agg(
-            F.map_from_entries(F.collect_list(F.struct("name", value.alias("value")))).alias("_lists"))
+        lists = per_list.groupBy(F.col("parent_id").alias("uuid")).agg(
+            F.map_from_entries(F.collect_list(F.struct("list_key", value.alias("value")))).alias("_lists"))
     return rows.select("uuid", "fields")
 
 
-def lossless_check(rows: DataFrame, rebuilt: DataFrame) -> DataFrame:
-    """Take the rebuilt records apart again and compare: per table the rows on both sides, and
-    how many are on one side only.  One aggregation over the union, no join."""
-    own = F.map_filter("fields", lambda k, v: as_list(v).isNull())
-    again = once(_nodes(rebuilt, "root", False, walk.MAX_DEPTH), fields=own)
+def lossless_check(source: DataFrame, rebuilt: DataFrame) -> DataFrame:
+    """Compare source records ``(uuid, fields)`` with rebuilt ones, member by member: per member the records
+    that have it on either side, and how many values are on one side only.  One aggregation over the union, no join."""
 
     def digests(df: DataFrame, side: int) -> DataFrame:
-        text = F.concat_ws("|", "uuid", "parent_id", F.col("pos").cast("string"), F.to_json(F.to_variant_object("fields")))
-        return df.select("table", F.sha2(text, 256).alias("digest"), F.lit(side).alias("side"))
+        # VARIANT objects keep their members sorted, so equal values have equal texts.
+        members = df.select("uuid", F.explode("fields").alias("field", "value"))
+        text = F.concat_ws("|", F.col("uuid"), F.coalesce(F.to_json(F.to_variant_object(F.array("value"))), F.lit("")))
+        return members.select("field", F.sha2(text, 256).alias("digest"), F.lit(side).alias("side"))
 
-    both = digests(rows, 1).unionByName(digests(again, -1)).groupBy("table", "digest").agg(
+    both = digests(source, 1).unionByName(digests(rebuilt, -1)).groupBy("field", "digest").agg(
         F.count(F.when(F.col("side") == 1, 1)).alias("a"), F.count(F.when(F.col("side") == -1, 1)).alias("b")
     )
-    return both.groupBy("table").agg(
-        F.sum("a").alias("rows_before"), F.sum("b").alias("rows_after"),
+    return both.groupBy("field").agg(
+        F.sum("a").alias("records_before"), F.sum("b").alias("records_after"),
         F.sum(F.greatest(F.col("a") - F.col("b"), F.lit(0))).alias("missing"),
         F.sum(F.greatest(F.col("b") - F.col("a"), F.lit(0))).alias("extra"),
     )

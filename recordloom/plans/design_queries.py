@@ -40,7 +40,8 @@ def _fd_sql(table, columns, mode="strict"):
                 pairs.append(
                     f"""SELECT '{x}' AS determinant, '{y}' AS dependent, COUNT(*) AS num_determinant_values,
                     CAST(SUM(n) AS BIGINT) AS num_samples, round(LEAST(COUNT(*) / SUM(n)::DOUBLE, 0.99), 6) AS confidence
-                    FROM (SELECT {x}, COUNT(DISTINCT {y}) AS d, COUNT(*) AS n FROM {table} GROUP BY {x}) HAVING {test}""")
+                    FROM (SELECT {x}, COUNT(DISTINCT {y}) + CAST(COUNT(*) > COUNT({y}) AS INT) AS d, COUNT(*) AS n FROM {table}
+                    WHERE {x} IS NOT NULL GROUP BY {x}) HAVING {test}""")
     return " UNION ALL ".join(pairs)
 
 
@@ -62,6 +63,20 @@ def a3_dependencies_joined(spark, sf):
         "confidence", F.round("confidence", 6))
 
 
+_MAYBE = ["doc_id", "lang", "source", "quality", "toxic", "mark", "fixed"]
+_MAYBE_SQL = """(SELECT d.doc_id, lang, source, quality, toxic, CASE WHEN quality IS NULL THEN NULL WHEN toxic = 1 THEN 'None' ELSE 'ok' END AS mark,
+ CASE WHEN lang = 'en' THEN 1 END AS fixed FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
+
+
+@query("a3_dependencies_with_nulls", _fd_sql(_MAYBE_SQL, _MAYBE))
+def a3_dependencies_with_nulls(spark, sf):
+    """NULL is a value of the dependent, unlike any text; NULL determinants say nothing."""
+    rows = I.table(spark, sf, "documents").select("doc_id", "lang", "source").join(I.table(spark, sf, "labels"), "doc_id", "left")
+    rows = rows.withColumn("mark", F.when(F.col("quality").isNotNull(), F.when(F.col("toxic") == 1, "None").otherwise("ok"))).withColumn(
+        "fixed", F.when(F.col("lang") == "en", 1))
+    return D.functional_dependencies(rows, _MAYBE).withColumn("confidence", F.round("confidence", 6))
+
+
 @query("a3_dependencies_any", _fd_sql("lineitem", _LINE, "any"))
 def a3_dependencies_any(spark, sf):
     return D.functional_dependencies(I.spread(I.table(spark, sf, "lineitem")), _LINE, mode="any").withColumn(

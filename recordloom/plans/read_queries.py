@@ -81,6 +81,30 @@ def q2_filter_documents_rows(spark, sf):
     return hit.select("o_orderkey", F.try_variant_get(F.col("doc")["customer"], "$.custKey", "bigint").alias("o_custkey"))
 
 
+@query("q2_filter_numbers", """
+SELECT o_orderkey, o_orderkey % 5 AS form FROM orders WHERE o_orderkey % 5 IN (0, 1, 2) OR (o_orderkey % 5 = 3 AND o_custkey > 5)""")
+def q2_filter_numbers(spark, sf):
+    """``$gt 5`` over every form of number: beyond any fixed scale, just above, whole, and equal."""
+    key = F.col("o_orderkey")
+    forms = F.element_at(F.array(F.lit("1e30"), F.lit("5.0000000001"), F.lit("12345678901234567890123456789012345678"),
+                                 F.col("o_custkey").cast("string"), F.lit("5.0")), (key % 5 + 1).cast("int"))
+    raw = I.spread(I.table(spark, sf, "orders")).select("o_orderkey", "o_custkey", F.concat(F.lit('{"x": '), forms, F.lit("}")).alias("raw"))
+    docs = raw.select("o_orderkey", F.from_json("raw", "map<string,variant>").alias("doc"))
+    return Q.filter_documents(docs, {"x": {"$gt": 5}}).select("o_orderkey", (key % 5).alias("form"))
+
+
+@query("q3_repeated_conditions", """
+SELECT 'structured' AS side, o_orderkey FROM orders WHERE o_custkey > 20 AND o_custkey > 10 AND o_custkey < 90 AND o_custkey < 120
+UNION ALL SELECT 'documents', o_orderkey FROM orders WHERE o_custkey > 20 AND o_custkey > 10 AND o_custkey < 90 AND o_custkey < 120""")
+def q3_repeated_conditions(spark, sf):
+    """Conditions that repeat a field and an operator must all hold."""
+    orders = I.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    tests = [{"field": "o_custkey", "op": op, "value": v} for op, v in (("gt", 20), ("gt", 10), ("lt", 90), ("lt", 120))]
+    docs = orders.select("o_orderkey", F.create_map(F.lit("o_custkey"), F.col("o_custkey").cast("variant")).alias("doc"))
+    left = Q.filter_by_conditions(orders, tests).select(F.lit("structured").alias("side"), "o_orderkey")
+    return left.unionByName(Q.filter_by_conditions(docs, tests, documents=True).select(F.lit("documents").alias("side"), "o_orderkey"))
+
+
 _CONDITIONS = [{"field": "balance", "op": "gte", "value": 0}, {"field": "segment", "op": "in", "value": ["BUILDING", "MACHINERY"]},
                {"field": "nation", "op": "lt", "value": 12}]
 
@@ -108,8 +132,8 @@ def q4_project_document_fields(spark, sf):
 
 
 @query("q5_read_fields", f"""WITH {_ACCOUNT}
-SELECT * FROM (SELECT 'structured' AS side, uuid, segment, CAST(NULL AS VARCHAR) AS note FROM acct ORDER BY uuid LIMIT 1000)
-UNION ALL SELECT * FROM (SELECT 'documents', uuid, segment, username FROM acct ORDER BY uuid LIMIT 1000)""")
+SELECT * FROM (SELECT 'structured' AS side, uuid, segment, CAST(NULL AS VARCHAR) AS note FROM acct)
+UNION ALL SELECT * FROM (SELECT 'documents', uuid, segment, username FROM acct)""")
 def q5_read_fields(spark, sf):
     accounts = I.customer_accounts(spark, sf)
     docs = accounts.select("uuid", F.create_map(
@@ -119,12 +143,12 @@ def q5_read_fields(spark, sf):
         right.select(F.lit("documents").alias("side"), "uuid", "segment", "note"))
 
 
-@query("q6_list_values", "SELECT c_custkey, c_mktsegment AS value FROM customer ORDER BY c_custkey LIMIT 100")
+@query("q6_list_values", "SELECT c_custkey, c_mktsegment AS value FROM customer WHERE c_mktsegment IS NOT NULL")
 def q6_list_values(spark, sf):
     return Q.list_values(I.table(spark, sf, "customer"), "c_mktsegment", "c_custkey")
 
 
-@query("q7_distinct_values", "SELECT DISTINCT o_custkey FROM orders ORDER BY o_custkey LIMIT 50")
+@query("q7_distinct_values", "SELECT DISTINCT o_custkey FROM orders")
 def q7_distinct_values(spark, sf):
     return Q.distinct_values(I.table(spark, sf, "orders"), "o_custkey")
 
@@ -163,10 +187,9 @@ def q11_first_available_table(spark, sf):
     return df.select(F.lit(name).alias("chosen"), "s_suppkey", "s_acctbal")
 
 
-@query("q12_order_by", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
+@query("q12_order_by", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC")
 def q12_order_by(spark, sf):
-    ordered = Q.order_rows(I.table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", "desc")
-    return ordered.limit(100)
+    return Q.order_rows(I.table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", "desc")
 
 
 # --- federated reads ---------------------------------------------------------------------
@@ -226,6 +249,41 @@ def j2_read_with_references(spark, sf):
                        F.md5(F.try_variant_get(record, "$.text", "string")).alias("text_digest"))
 
 
+@query("j2_read_nested_references", """
+SELECT CAST(page_id AS VARCHAR) AS uuid, md5(html) AS inner_digest, CAST(page_id % 3 AS INT) AS payloads FROM pages WHERE page_id % 2 = 0""")
+def j2_read_nested_references(spark, sf):
+    """A reference inside an object, and one with several payloads, read through a filter."""
+    pages = I.table(spark, sf, "pages").withColumn("uuid", F.col("page_id").cast("string"))
+    stub = lambda c: F.concat(F.lit(f"REF::MONGO::{c}::"), F.col("uuid"))
+    docs = pages.select("uuid", F.from_json(F.to_json(F.struct(
+        F.struct(stub("one").alias("html")).alias("body"), stub("many").alias("list"))), "map<string,variant>").alias("doc"))
+    one = pages.select(F.lit("one").alias("collection"), F.col("uuid").alias("parent_uuid"), F.to_json(F.col("html").cast("variant")).alias("data"))
+    many = pages.select(F.lit("many").alias("collection"), F.col("uuid").alias("parent_uuid"), F.explode(
+        F.slice(F.array(F.lit("[1]"), F.lit("[2]")), F.lit(1), (F.col("page_id") % 3).cast("int"))).alias("data"))
+    structured = pages.select("uuid", "page_id")
+    rows = J.read_by_filter(structured, F.col("page_id") % 2 == 0, docs, side=one.unionByName(many))
+    record = F.parse_json("record")
+    held = F.to_json(F.try_variant_get(record, "$.list", "variant"))
+    return rows.select("uuid", F.md5(F.try_variant_get(record, "$.body.html", "string")).alias("inner_digest"),
+                       F.when(held == "[1]", 1).otherwise(F.size(F.from_json(held, "array<string>"))).alias("payloads"))
+
+
+@query("j3_typed_keys", """
+SELECT 'both' AS source, CAST(c_custkey + 1 AS VARCHAR) AS merge_key, c_custkey + 1 AS own, 'number' AS other FROM customer WHERE c_custkey % 2 = 0
+UNION ALL SELECT 'structured', CAST(c_custkey + 1 AS VARCHAR), c_custkey + 1, NULL FROM customer WHERE c_custkey % 2 = 1
+UNION ALL SELECT 'document', CAST(c_custkey + 1 AS VARCHAR), NULL, 'text' FROM customer WHERE c_custkey % 2 = 1""")
+def j3_typed_keys(spark, sf):
+    """Numbers meet numbers, whole or with a point; a text of the same digits does not."""
+    customers = I.table(spark, sf, "customer")
+    key, even = F.col("c_custkey") + 1, F.col("c_custkey") % 2 == 0
+    structured = customers.select(F.create_map(F.lit("user_id"), key.cast("variant"), F.lit("own"), key.cast("variant")).alias("fields"))
+    value = F.when(even, key.cast("double").cast("variant")).otherwise(key.cast("string").cast("variant"))
+    documents = customers.select(key.alias("seq"), F.create_map(
+        F.lit("user_id"), value, F.lit("other"), F.when(even, "number").otherwise("text").cast("variant")).alias("fields"))
+    field = lambda n, t: F.try_variant_get(F.try_element_at("fields", F.lit(n)), "$", t).alias(n)
+    return J.federated_merge(structured, documents).select("source", "merge_key", field("own", "bigint"), field("other", "string"))
+
+
 @query("j3_federated_merge", """
 WITH s AS (SELECT c_name AS k, c_mktsegment AS segment FROM customer WHERE c_acctbal >= 5000),
 d AS (SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL ELSE c_name END AS k, o_orderkey,
@@ -313,6 +371,34 @@ def w2_update_where(spark, sf):
     return done.structured.join(note, "uuid").withColumn("affected", done.affected.scalar())
 
 
+@query("w2_update_by_either_side", f"""WITH {_ACCOUNT}, hit AS (SELECT uuid FROM acct WHERE segment IN ('BUILDING', 'MACHINERY') AND nation = 3)
+SELECT uuid, CASE WHEN uuid IN (FROM hit) THEN NULL ELSE balance END AS balance, CASE WHEN uuid IN (FROM hit) THEN 'unknown' END AS doc_balance,
+       (SELECT COUNT(*) FROM hit) AS affected FROM acct""")
+def w2_update_by_either_side(spark, sf):
+    """Two conditions, one on a column and one on a document field; the new text does not fit the number column."""
+    accounts = I.customer_accounts(spark, sf)
+    docs = accounts.select("uuid", F.create_map(F.lit("nation"), F.col("nation").cast("variant")).alias("doc"))
+    done = W.update_where(accounts.select("uuid", "segment", "balance"), docs, {"segment": {"$in": ["BUILDING", "MACHINERY"]}, "nation": 3},
+                          {"balance": "unknown"}, {"balance": "SQL"})
+    text = F.try_variant_get(F.try_element_at("doc", F.lit("balance")), "$", "string").alias("doc_balance")
+    return done.structured.select("uuid", "balance").join(done.documents.select("uuid", text), "uuid").withColumn("affected", done.affected.scalar())
+
+
+@query("w3_delete_by_either_side", f"""WITH {_ACCOUNT}, hit AS (SELECT uuid FROM acct WHERE segment = 'BUILDING' AND nation IN (1, 2, 3, 4, 5))
+SELECT 'root' AS "table", (SELECT COUNT(*) FROM hit) AS deleted, (SELECT COUNT(*) FROM acct) - (SELECT COUNT(*) FROM hit) AS kept
+UNION ALL SELECT 'documents', (SELECT COUNT(*) FROM hit), (SELECT COUNT(*) FROM acct) - (SELECT COUNT(*) FROM hit)""")
+def w3_delete_by_either_side(spark, sf):
+    accounts = I.customer_accounts(spark, sf)
+    docs = accounts.select("uuid", F.create_map(F.lit("nation"), F.col("nation").cast("variant")).alias("doc"))
+    tables = {"root": accounts.select("uuid", "segment"), "documents": docs}
+    done = W.delete_ids(tables, "root", docs, {"segment": "BUILDING", "nation": {"$in": [1, 2, 3, 4, 5]}}, [("documents", "uuid", "root", "uuid")])
+    kept = None
+    for name, df in done.tables.items():
+        n = df.agg(F.count(F.lit(1)).alias("kept")).select(F.lit(name).alias("table"), "kept")
+        kept = n if kept is None else kept.unionByName(n)
+    return done.counts.join(kept, "table")
+
+
 _CASCADE = [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey")]
 
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import walk
-from ..functions.values import type_name
+from ..functions.values import lookup, type_name
 from ..operators import classify as C
 from ..operators import profile as P
-from ..operators.records import assign_uuid
+from ..operators.records import assign_uuid, normalize_keys
 from ..operators.route import decompose_large, resolve_references, route_records
 from ..operators.shred import (
     child_lists,
+    child_rows,
     describe_table,
     lossless_check,
     m2m_catalog,
@@ -246,7 +247,7 @@ def d5_verify_foreign_keys(spark, sf):
 
 @query("d6_reconstruct", """
 WITH li AS (SELECT l_orderkey, COUNT(*) AS n, CAST(SUM(l_partkey) AS BIGINT) AS parts FROM lineitem GROUP BY 1)
-SELECT CAST(o_orderkey AS VARCHAR) AS uuid, 0 AS part, o_custkey AS cust, 'from document' AS status, o_orderpriority AS priority,
+SELECT CAST(o_orderkey AS VARCHAR) AS uuid, o_custkey AS cust, 'from document' AS status, o_orderpriority AS priority,
        CAST(COALESCE(n, 0) AS INT) AS items, COALESCE(parts, 0) AS item_parts
 FROM orders LEFT JOIN li ON l_orderkey = o_orderkey""")
 def d6_reconstruct(spark, sf):
@@ -262,7 +263,7 @@ def d6_reconstruct(spark, sf):
     record = F.parse_json("record")
     parsed = F.from_json("items", "array<struct<l_partkey:bigint>>")
     return made.select(
-        "uuid", "part", F.try_variant_get(record, "$.cust", "bigint").alias("cust"),
+        "uuid", F.try_variant_get(record, "$.cust", "bigint").alias("cust"),
         F.try_variant_get(record, "$.status", "string").alias("status"),
         F.try_variant_get(record, "$.priority", "string").alias("priority"),
         F.size(parsed).alias("items"),
@@ -279,18 +280,149 @@ def d6_reconstruct_all_depths(spark, sf):
         "array<struct<entries:array<struct<cents:bigint>>>>")
     entries = F.flatten(F.transform(kids, lambda k: k["entries"]))
     return rebuilt.select(
-        F.col("fields")["order_key"].cast("bigint").alias("o_orderkey"),
-        F.col("fields")["total_cents"].cast("bigint").alias("total_cents"), F.size(kids).alias("payments"),
+        F.col("fields")["orderKey"].cast("bigint").alias("o_orderkey"),
+        F.col("fields")["totalCents"].cast("bigint").alias("total_cents"), F.size(kids).alias("payments"),
         F.size(entries).cast("bigint").alias("entries"),
         F.aggregate(entries, F.lit(0).cast("bigint"), lambda acc, k: acc + k["cents"]).alias("paid"))
 
 
-@query("d7_lossless_check", f"""WITH {I.ORDER_SQL}
-SELECT t AS "table", n AS rows_before, n AS rows_after, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra FROM (
- SELECT 'root' AS t, COUNT(*) AS n FROM o UNION ALL SELECT 'root_payments', COUNT(*) FROM pay UNION ALL SELECT 'root_payments_entries', COUNT(*) FROM entry)""")
+@query("d6_child_rows", """
+SELECT c_mktsegment AS uuid, 'customers' AS child, COUNT(*) AS n, CAST(SUM(c_custkey) AS BIGINT) AS keys, MIN(c_custkey) AS first FROM customer
+WHERE c_mktsegment IS NOT NULL GROUP BY 1
+UNION ALL SELECT 'all', 'customers', COUNT(*), CAST(SUM(c_custkey) AS BIGINT), MIN(c_custkey) FROM customer""")
+def d6_child_rows(spark, sf):
+    """Parents with any number of children, one of them with all of the table's rows."""
+    customer = I.table(spark, sf, "customer")
+    root = customer.select(F.col("c_mktsegment").alias("uuid")).distinct().unionByName(spark.createDataFrame([("all",)], "uuid string"))
+    kids = customer.select(F.col("c_mktsegment").alias("parent"), "c_custkey").unionByName(
+        customer.select(F.lit("all").alias("parent"), "c_custkey"))
+    rows = child_rows(root, "uuid", {"root_customers": (kids, "parent", ["c_custkey"])})
+    key = F.get_json_object("data", "$.c_custkey").cast("bigint")
+    return rows.groupBy("uuid", "child").agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("keys"), F.min(key).alias("first"))
+
+
+@query("d7_lossless_check", """
+SELECT f AS field, n AS records_before, n AS records_after, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra
+FROM (SELECT COUNT(*) AS n FROM orders), (VALUES ('orderKey'), ('orderStatus'), ('totalCents'), ('customer'), ('payments'), ('tags'), ('uuid')) v(f)""")
 def d7_lossless_check(spark, sf):
-    rows = landed(shred(I.order_records(spark, sf)), "rows")
-    return lossless_check(rows, rebuild_records(rows))
+    source = landed(I.order_records(spark, sf).select("uuid", "fields"), "source")
+    return lossless_check(source, rebuild_records(landed(shred(source), "rows")))
+
+
+@query("d7_planted_loss", """
+SELECT 'payments' AS field, COUNT(*) AS records_before, COUNT(*) AS records_after,
+       COUNT(*) FILTER (WHERE o_orderstatus IN ('F', 'O')) AS missing, COUNT(*) FILTER (WHERE o_orderstatus IN ('F', 'O')) AS extra FROM orders
+UNION ALL SELECT 'tags', COUNT(*), 0, COUNT(*), 0 FROM orders""")
+def d7_planted_loss(spark, sf):
+    """The second entry of every payment and all tags are lost on the way; the check says so."""
+    source = landed(I.order_records(spark, sf).select("uuid", "fields"), "source")
+    rows = shred(source).filter((F.col("depth") < 2) | (F.col("pos") == 0)).withColumn(
+        "rest", F.map_filter("rest", lambda k, v: k != "tags"))
+    return lossless_check(source, rebuild_records(landed(rows, "rows"))).filter("missing > 0 OR extra > 0")
+
+
+def _odd_shapes(spark, sf):
+    """Orders with the shapes that tables cannot hold: mixed and null-led lists, lists of lists, empty values, clashing names."""
+    key, status = F.col("o_orderkey"), F.to_json(F.struct("o_orderstatus"))
+    raw = F.concat(
+        F.lit('{"k": '), key, F.lit(', "mixed": [{"a": '), key, F.lit('}, 5, null], "led": [null, "b"], "grid": [[1], [2, {"x": '), key,
+        F.lit('}]], "none": [], "void": {}, "null": null, "obj": {"in": '), status, F.lit(', "camelCase": 1}, "obj_in": '), key,
+        F.lit(', "deepList": [{"items": [{"subItems": [{"q": '), key, F.lit('}, {"q": 1.50}], "empty": []}]}]}'))
+    orders = I.spread(I.table(spark, sf, "orders")).select("o_orderkey", raw.alias("raw"))
+    return assign_uuid(read_records(orders, "raw", "o_orderkey").records).select("uuid", "fields")
+
+
+@query("d7_odd_shapes", """
+SELECT f AS field, n AS records_before, n AS records_after, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra
+FROM (SELECT COUNT(*) AS n FROM orders), (VALUES ('k'), ('mixed'), ('led'), ('grid'), ('none'), ('void'), ('null'), ('obj'), ('obj_in'), ('deep_list'), ('uuid')) v(f)""")
+def d7_odd_shapes(spark, sf):
+    source = landed(normalize_keys(_odd_shapes(spark, sf)).select("uuid", "fields"), "source")
+    return lossless_check(source, rebuild_records(landed(shred(source), "rows")))
+
+
+@query("d1_deep_levels", """
+SELECT depth, COUNT(*) AS rows, CAST(SUM(o_orderkey) AS BIGINT) AS keys FROM orders, unnest(range(0, 16)) AS t(depth) GROUP BY 1""")
+def d1_deep_levels(spark, sf):
+    """Fifteen lists within lists: a row for each level, none cut off."""
+    key = F.col("o_orderkey").cast("string")
+    nested = F.concat(F.lit('{"k": '), key, F.lit("}"))
+    for _ in range(15):
+        nested = F.concat(F.lit('{"k": '), key, F.lit(', "l": ['), nested, F.lit("]}"))
+    orders = I.spread(I.table(spark, sf, "orders")).select("o_orderkey", nested.alias("raw"))
+    rows = shred(assign_uuid(read_records(orders, "raw", "o_orderkey").records))
+    return rows.groupBy("depth").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("fields")["k"].cast("bigint")).alias("keys"))
+
+
+@query("r4_crowded_reference", """
+SELECT source AS uuid, COUNT(*) AS payloads, CAST(SUM(doc_id) AS BIGINT) AS ids, MIN(pos) AS first, MAX(pos) + 1 AS last, 'REF::MONGO::c::' || source AS left_in_place
+FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY CAST(doc_id AS VARCHAR)) - 1 AS pos FROM documents) GROUP BY 1""")
+def r4_crowded_reference(spark, sf):
+    """References with any number of payloads: they come as rows, whatever their number."""
+    documents = I.table(spark, sf, "documents")
+    side = documents.select(F.lit("c").alias("collection"), F.col("source").alias("parent_uuid"), F.col("doc_id").cast("string").alias("data"))
+    stub = F.concat(F.lit("REF::MONGO::c::"), "source")
+    docs = documents.select("source").distinct().select(
+        F.col("source").alias("uuid"), F.create_map(F.lit("docs"), stub.cast("variant")).alias("doc"))
+    out = resolve_references(docs, side, lists=False)
+    rows = out.payloads.groupBy("uuid").agg(
+        F.count(F.lit(1)).alias("payloads"), F.sum(F.col("data").cast("bigint")).alias("ids"),
+        F.min("pos").cast("bigint").alias("first"), (F.max("pos") + 1).cast("bigint").alias("last"))
+    return rows.join(out.documents.select("uuid", F.col("doc")["docs"].cast("string").alias("left_in_place")), "uuid")
+
+
+@query("r4_list_of_payloads", """
+SELECT source AS uuid, CAST(COUNT(*) AS INT) AS payloads, CAST(SUM(doc_id) AS BIGINT) AS ids FROM documents GROUP BY 1 HAVING COUNT(*) > 1
+UNION ALL SELECT source, 1, doc_id FROM documents QUALIFY COUNT(*) OVER (PARTITION BY source) = 1""")
+def r4_list_of_payloads(spark, sf):
+    """The same references with their payloads in the document, none left out."""
+    documents = I.table(spark, sf, "documents")
+    side = documents.select(F.lit("c").alias("collection"), F.col("source").alias("parent_uuid"), F.col("doc_id").cast("string").alias("data"))
+    stub = F.concat(F.lit("REF::MONGO::c::"), "source")
+    docs = documents.select("source").distinct().select(
+        F.col("source").alias("uuid"), F.create_map(F.lit("docs"), stub.cast("variant")).alias("doc"))
+    held = F.from_json(F.to_json(F.col("doc")["docs"]), "array<bigint>")
+    return resolve_references(docs, side, unwrap=False).documents.select(
+        "uuid", F.size(held).alias("payloads"), F.aggregate(held, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("ids"))
+
+
+@query("r3_stub_escapes", """
+SELECT CAST(page_id AS VARCHAR) || '::%3A' AS uuid, md5(html) AS digest, 'REF::MONGO::decomposed_a%3A%3Ab::' || page_id || '%3A%3A%253A' AS stub FROM pages""")
+def r3_stub_escapes(spark, sf):
+    """Field names and ids that hold the separator still decompose and resolve."""
+    pages = I.table(spark, sf, "pages")
+    pad = F.repeat(F.lit("x"), 100)
+    docs = pages.select(
+        F.concat(F.col("page_id").cast("string"), F.lit("::%3A")).alias("uuid"), "html",
+        F.create_map(F.lit("a::b"), F.concat("html", F.repeat(pad, 20)).cast("variant")).alias("doc"))
+    parts = decompose_large(docs.select("uuid", "doc"), F.lit("2024-01-01").cast("timestamp"))
+    back = resolve_references(parts.documents, parts.side).documents
+    text = F.col("doc")["a::b"].cast("string")
+    return back.select("uuid", F.md5(F.substring(text, F.lit(1), F.length(text) - 2000)).alias("digest")).join(
+        parts.documents.select("uuid", text.alias("stub")), "uuid")
+
+
+@query("r1_misfits", """
+SELECT CASE event_id % 4 WHEN 0 THEN 'int' WHEN 1 THEN 'text' WHEN 2 THEN 'fraction' ELSE 'list' END AS kind,
+       COUNT(*) AS rows, COUNT(*) FILTER (WHERE event_id % 4 = 0) AS in_column, COUNT(*) FILTER (WHERE event_id % 4 <> 0) AS in_document,
+       CAST(0 AS BIGINT) AS lost FROM events GROUP BY 1""")
+def r1_misfits(spark, sf):
+    """Texts, fractions and lists in a field decided as an integer column: split, merge, and compare with the source."""
+    e = F.col("event_id")
+    value = (F.when(e % 4 == 0, e.cast("string")).when(e % 4 == 1, F.concat(F.lit('"t'), e, F.lit('"')))
+             .when(e % 4 == 2, F.concat(e, F.lit(".5"))).otherwise(F.concat(F.lit("["), e, F.lit("]"))))
+    raw = I.spread(I.table(spark, sf, "events")).select("event_id", F.concat(F.lit('{"x": '), value, F.lit("}")).alias("raw"))
+    source = assign_uuid(read_records(raw, "raw", "event_id").records)
+    decisions = spark.createDataFrame([("x", "SQL", "INT")], "field string, target string, sql_type string")
+    parts = route_records(source, decisions)
+    merged = reconstruct(parts.structured.select("uuid", "x"), "uuid", parts.documents)
+    kind = lookup({"int": "int", "str": "text", "float": "fraction", "list": "list"}, type_name(F.col("fields")["x"]))
+    whole = source.select("uuid", kind.alias("kind"), F.to_json(F.col("fields")["x"]).alias("before"))
+    again = merged.select("uuid", F.to_json(F.try_variant_get(F.parse_json("record"), "$.x", "variant")).alias("after"))
+    column = parts.structured.select("uuid", F.col("x").isNotNull().cast("long").alias("c"))
+    document = parts.documents.select("uuid", F.map_contains_key("doc", "x").cast("long").alias("d"))
+    return whole.join(again, "uuid", "left").join(column, "uuid").join(document, "uuid").groupBy("kind").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("c").alias("in_column"), F.sum("d").alias("in_document"),
+        F.count(F.when(~F.col("before").eqNullSafe(F.col("after")), 1)).alias("lost"))
 
 
 _CUSTOMER_COLUMNS = [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),

@@ -223,7 +223,14 @@ def test_update_touches_only_matching_rows(people):
     new = {r.uuid: json.loads(r.d) for r in done.documents.select("uuid", to_document(F.col("doc")).alias("d")).collect()}
     assert new["1"] == {"old": 1, "tag": None, "flag": True} and new["2"] == {"old": 1}
     with pytest.raises(ValueError):
-        W.update_where(people, docs, {"a": 1, "b": 2}, {"age": 1}, {})
+        W.update_where(people, docs, {}, {"age": 1}, {})
+    two = W.update_where(people, docs, {"status": {"$in": ["active", "gone"]}, "old": 1}, {"age": "old", "tag": 2}, {"age": "SQL", "tag": "MONGO"})
+    hit = two.affected.first()[0]
+    new = {r.uuid: json.loads(r.d) for r in two.documents.select("uuid", to_document(F.col("doc")).alias("d")).collect()}
+    assert hit >= 1 and new["1"] == {"old": 1, "age": "old", "tag": 2}  # a text does not fit the column
+    assert {r.uuid: r.age for r in two.structured.collect()}["1"] is None
+    gone = W.delete_ids({"root": people}, "root", docs, {"status": "active", "old": 1}, [])
+    assert "1" not in {r.uuid for r in gone.tables["root"].collect()}
 
 
 def test_delete_cascades(spark):

@@ -10,6 +10,7 @@ from recordloom.operators.records import assign_uuid, stamp_ingest
 from recordloom.operators.route import decompose_large, resolve_references, route_records
 from recordloom.operators.shred import (
     child_lists,
+    child_rows,
     lossless_check,
     rebuild_records,
     reconstruct,
@@ -92,7 +93,9 @@ def test_depth_limit(records):
     text = '{"v": 0}'
     for _ in range(14):
         text = '{"n": [' + text + "]}"
-    got = tables(shred(assign_uuid(records(text))))
+    source = assign_uuid(records(text))
+    assert len(tables(shred(source))) == 15
+    got = tables(shred(source, depth=10))
     assert len(got) == 11 and got["root" + "_n" * 10] == 1
 
 
@@ -111,25 +114,49 @@ def test_structure_map(records):
     assert not any(c in ("tags", "empty", "profile") for _, c, _ in got)
 
 
-def test_rebuild_is_lossless_also_with_split_lists(spark, records):
-    rows = landed(shred(assign_uuid(records(NESTED, '{"a": 1}', '{"l": [{"x": 1}, {"x": 2}, {"x": 3}]}'))), "rows")
-    for r in lossless_check(rows, rebuild_records(rows)).collect():
-        assert r.rows_before == r.rows_after and r.missing == 0 and r.extra == 0
-    parts = rebuild_records(rows, max_list=2).filter(F.map_contains_key("fields", "l")).collect()
-    assert sorted(p.fields["l"].toPython().__len__() for p in parts) == [1, 2]
-    whole = json.loads(rebuild_records(rows).filter(F.map_contains_key("fields", "orders"))
-                       .select(to_document(F.col("fields"))).first()[0])
-    assert [len(o["items"]) for o in whole["orders"]] == [2, 1]
+ODD = ('{"mixed": [{"a": 1}, 5, null, {"b": []}], "led": [null, {"c": 1}], "grid": [[1], [{"d": 2}]], "none": [], "void": {},'
+       ' "null": null, "obj": {"in": 1, "list": [{"e": 1}], "Deep": {"x": {}}}, "obj_in": 2, "camelCase": {"subKey": [1]}}')
 
 
-def test_child_lists_split_a_dominant_parent(spark):
+def canonical(df):
+    return sorted((r.uuid, r.t) for r in df.select("uuid", to_document(F.col("fields")).alias("t")).collect())
+
+
+def as_values(df):
+    return {u: json.loads(t) for u, t in canonical(df)}
+
+
+def test_rebuild_is_lossless(records):
+    source = assign_uuid(records(NESTED, '{"a": 1}', '{"l": [{"x": 1}, {"x": 2}, {"x": 3}]}', ODD, "{}"))
+    rows = landed(shred(source), "rows")
+    rebuilt = rebuild_records(rows)
+    assert as_values(rebuilt) == as_values(source)
+    for r in lossless_check(source, rebuilt).collect():
+        assert r.records_before == r.records_after and r.missing == 0 and r.extra == 0
+    lost = rows.withColumn("rest", F.map_filter("rest", lambda k, v: k != "grid"))
+    found = {r.field: (r.missing, r.extra) for r in lossless_check(source, rebuild_records(lost)).collect() if r.missing or r.extra}
+    assert found == {"grid": (1, 0)}
+
+
+def test_a_depth_limit_keeps_what_lies_below(records):
+    deep = '{"k": 0}'
+    for i in range(14):
+        deep = '{"k": %d, "l": [%s]}' % (i + 1, deep)
+    source = assign_uuid(records(deep, NESTED))
+    assert shred(source).agg(F.max("depth")).first()[0] == 14
+    cut = landed(shred(source, depth=3), "rows")
+    assert cut.agg(F.max("depth")).first()[0] == 3
+    assert as_values(rebuild_records(cut)) == as_values(source)
+
+
+def test_children_as_rows_and_lists(spark):
     kids = spark.range(1000).select(F.when(F.col("id") < 900, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 10)).alias("k"), "id")
-    lists = child_lists(kids, "k", "kids", ["id"], max_list=100).collect()
-    assert sum(r.n for r in lists) == 1000 and max(r.n for r in lists) < 200
-    assert sum(1 for r in lists if r.k == "hot") >= 6
-    assert sorted(x["id"] for r in lists for x in json.loads(r.kids)) == list(range(1000))
-    with_pos = child_lists(kids.withColumn("pos", F.col("id")), "k", "kids", ["id"], pos="pos", max_list=100).collect()
-    assert max(r.n for r in with_pos) <= 100 and sum(r.n for r in with_pos) == 1000
+    lists = {r.k: json.loads(r.kids) for r in child_lists(kids, "k", "kids", ["id"]).collect()}
+    assert [x["id"] for x in lists["hot"]] == list(range(900)) and sum(map(len, lists.values())) == 1000
+    root = spark.createDataFrame([("hot",), ("p1",)], "uuid string")
+    rows = child_rows(root, "uuid", {"root_kids": (kids, "k", ["id"])}).collect()
+    assert len(rows) == 910 and {r.child for r in rows} == {"kids"}
+    assert sorted(json.loads(r.data)["id"] for r in rows if r.uuid == "hot") == list(range(900))
 
 
 def test_reconstruct_prefers_documents_and_drops_orphans(spark):
@@ -171,7 +198,7 @@ def side_rows(spark, *rows):
 def resolve_one(spark, records, text, side, **options):
     docs = records(text).select(F.col("rec_id").cast("string").alias("uuid"), F.col("fields").alias("doc"))
     out = resolve_references(docs, side, **options)
-    return json.loads(out.documents.select(to_document(F.col("doc"))).first()[0]), out.overflow.collect()
+    return json.loads(out.documents.select(to_document(F.col("doc"))).first()[0]), out.payloads.collect()
 
 
 def test_reference_forms(spark, records):
@@ -192,10 +219,27 @@ def test_nested_references(spark, records):
                    "l": [{"r": "end"}, "REF::MONGO::c::q"], "s": 'says :"REF::MONGO::c::q"'}
 
 
-def test_crowded_reference_overflows_as_rows(spark, records):
+def test_crowded_references(spark, records):
     side = side_rows(spark, *[("p", str(i)) for i in range(30)], ("q", "7"))
-    got, overflow = resolve_one(spark, records, '{"a": "REF::MONGO::c::p", "b": "REF::MONGO::c::q"}', side, max_payloads=10)
-    assert got == {"a": "REF::MONGO::c::p", "b": 7} and sorted(int(r.data) for r in overflow) == list(range(30))
+    text = '{"a": "REF::MONGO::c::p", "b": "REF::MONGO::c::q"}'
+    got, rows = resolve_one(spark, records, text, side, lists=False)
+    assert got == {"a": "REF::MONGO::c::p", "b": 7} and sorted(int(r.data) for r in rows) == list(range(30))
+    assert sorted(r.pos for r in rows) == list(range(30))
+    got, rows = resolve_one(spark, records, text, side)
+    assert sorted(got["a"]) == list(range(30)) and got["b"] == 7 and not rows
+
+
+def test_misfits_stay_in_the_document(spark, records):
+    source = assign_uuid(records('{"x": 1, "y": 1, "z": true}', '{"x": "abc", "y": 2.5, "z": "no"}', '{"x": 2.5, "y": "t", "z": 0}',
+                                 '{"x": 1e30, "y": 9007199254740993}', '{"x": null}', '{"x": [1], "y": {"a": 1}}'))
+    decisions = spark.createDataFrame([("x", "SQL", "INT"), ("y", "SQL", "FLOAT"), ("z", "SQL", "BOOLEAN")],
+                                      "field string, target string, sql_type string")
+    parts = route_records(source, decisions)
+    assert sorted(r.x for r in parts.structured.collect() if r.x is not None) == [1]
+    assert sorted(r.y for r in parts.structured.collect() if r.y is not None) == [1.0, 2.5]
+    back = {r.uuid: json.loads(r.record) for r in reconstruct(parts.structured.select("uuid", "x", "y", "z"), "uuid", parts.documents).collect()}
+    want = {u: {k: v for k, v in d.items() if k != "uuid" and v is not None} for u, d in as_values(source).items()}
+    assert {u: {k: v for k, v in d.items() if k in ("x", "y", "z")} for u, d in back.items()} == want
 
 
 def test_split_then_merge_keeps_every_field(records):
@@ -273,9 +317,11 @@ def test_dependencies_match_brute_force(spark):
     names = ["id", "a", "b", "c", "d"]
     df = spark.createDataFrame(rows, "id int, a int, b int, c string, d int")
     for mode in ("strict", "any"):
-        for probe in (3, 1000):
-            got = {(r.determinant, r.dependent) for r in D.functional_dependencies(df, names, mode, probe_rows=probe).collect()}
-            assert got == brute_dependencies(rows, names, mode), (mode, probe)
+        got = {(r.determinant, r.dependent) for r in D.functional_dependencies(df, names, mode).collect()}
+        assert got == brute_dependencies(rows, names, mode), mode
+    odd = [(1, None), (1, "None"), (2, "x")]
+    found = D.functional_dependencies(spark.createDataFrame(odd, "x int, y string"), ["x", "y"]).collect()
+    assert {(r.determinant, r.dependent) for r in found} == {("y", "x")}
     row = D.functional_dependencies(df, names).filter("determinant = 'id' AND dependent = 'a'").first()
     assert row.confidence == 0.99 and row.num_samples == 60
 
