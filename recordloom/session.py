@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -23,20 +24,36 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     )
 
 
+#: Folders made in this session, by application id.
+_MADE: dict[str, list[str]] = {}
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
-    On a cluster the setting names storage every executor can reach.  Only when it is
-    unset (tests, one machine) is a temporary folder used instead, and then recorded in
-    the session so that later calls agree.
+    The setting names storage that every executor can reach, and a cluster must have it.  Only with a
+    ``local`` master (tests, one process) is a temporary folder used where it is unset, and then
+    recorded in the session so that later calls agree.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="recordloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+    folder = os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the work folders this session has made, once no DataFrame needs them; returns their number."""
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in made:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    return len(made)
 
 
 def landed(df, purpose: str):

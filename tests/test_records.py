@@ -83,3 +83,14 @@ def test_normalize_keys_matches_a_plain_loop(records, rows):
     want = {i: {snake(k): v for k, v in dict(pairs).items()} for i, pairs in enumerate(rows, 1)}
     got = docs(normalize_keys(records(*texts)))
     assert got == want
+
+
+def test_work_folders_are_released(spark):
+    import os
+
+    from recordloom.session import landed, release
+
+    df = landed(spark.range(3), "numbers")
+    folder = os.path.dirname(df.inputFiles()[0].removeprefix("file:"))
+    assert df.count() == 3 and os.path.isdir(folder)
+    assert release(spark) >= 1 and not os.path.exists(folder) and release(spark) == 0
