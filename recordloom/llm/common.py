@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.plan import let, once
 from ..session import landed, work_folder
 
-__all__ = ["check_fold", "fold", "landed", "let", "of_rows", "once", "ranked", "ship", "table", "utf8_lower", "work_folder"]
+__all__ = ["check_fold", "fold", "landed", "let", "of_rows", "once", "ranked", "ship", "table", "utf8_lower", "work_folder", "worker_memory"]
 
 # One bucket of a ranking is sorted by one task: a 256th of a key's rows.
 RANK_BUCKETS = 256
@@ -29,6 +30,11 @@ def ship(module: str) -> None:
 ship(__name__)
 
 
+def worker_memory() -> dict:
+    """A dictionary that lives as long as the Python worker, shared by the tasks it runs one after another."""
+    return sys.modules.setdefault("_recordloom_worker", types.ModuleType("_recordloom_worker")).__dict__
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

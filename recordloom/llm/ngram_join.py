@@ -13,20 +13,23 @@ from .common import landed, ship
 ship(__name__)
 
 #: Tokens counted together in a task; a token met at least LOCAL_LEAST times among them is a candidate for the frequent ones.
-CHUNK_TOKENS = 1 << 22
-LOCAL_LEAST = 4
+CHUNK_TOKENS = 1 << 21
+LOCAL_LEAST = 2
 #: The most frequent tokens go last in the first order.  Any order gives the same links, so the number only bounds a broadcast.
-FREQUENT = 100_000
-#: While the pairs left between components outnumber the postings by this factor, another round of pivots comes first.
-WORTH_A_ROUND = 2
+FREQUENT = 500_000
+#: While the pairs left between components outnumber the postings by this factor, and the round before at least halved
+#: them, another round of pivots comes first.
+WORTH_A_ROUND = 16
 PIVOT_ROUNDS = 6
 PIVOTS = 3
+#: Up to so many document ids (8 bytes each) are broadcast to fetch texts; beyond, texts are shuffled.
+BROADCAST_IDS = 1_000_000
 
 
 class Shingler:
     """Distinct shingles of a text as sorted 64-bit hashes; words are hashed once and remembered."""
 
-    MEMO = 500_000
+    MEMO = 250_000
 
     def __init__(self, size: int):
         self.size, self.memo = size, {}
@@ -69,40 +72,70 @@ def digest(tokens: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
 
 
-SEEN = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("token", pa.int64()), ("count", pa.int64())])
-SEEN_TYPE = "doc_id long, n long, node long, token long, count long"
+def further_prefixes(tokens: np.ndarray, percent: int) -> bytes:
+    """Prefixes under the second and third order (rising and falling hash), each token cut to 32 bits."""
+    p = prefix_size(len(tokens), percent)
+    return np.concatenate([tokens[:p], tokens[:-p - 1:-1]]).astype("<u4").tobytes()
 
 
-def survey(size: int):
-    """One row per document (set size and digest), and rows of tokens frequent in a chunk of documents."""
+def agree(a: np.ndarray, n: int, b: np.ndarray, m: int, percent: int) -> bool:
+    """Can sets of n and m tokens link, judged by their further prefixes?
+
+    With at least ``o`` tokens in common, prefixes of n - o + l and m - o + l tokens share l or more under any order.
+    Cut tokens can only seem to share more, so no link is lost.
+    """
+    o = -(-percent * (n + m) // (100 + percent))
+    p, q = prefix_size(n, percent), prefix_size(m, percent)
+    least = min(p - (n - o), q - (m - o))
+    if least < 1:
+        return True
+    i, j = n - o + least, m - o + least
+    return all(int(np.isin(x[:i], y[:j]).sum()) >= least for x, y in ((a[:p], b[:q]), (a[p:], b[q:])))
+
+
+SEEN = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("prefixes", pa.binary()),
+                  ("token", pa.int64()), ("count", pa.int64())])
+SEEN_TYPE = "doc_id long, n long, node long, prefixes binary, token long, count long"
+
+
+def survey(size: int, percent: int):
+    """One row per document (set size, digest, further prefixes), and rows of tokens frequent in a chunk of documents."""
 
     def run(batches):
         shingler = Shingler(size)
         chunk: list[np.ndarray] = []
         held = 0
 
+        met: set[int] = set()
+
         def frequent():
             tokens, counts = np.unique(np.concatenate(chunk), return_counts=True)
             many = counts >= LOCAL_LEAST
             k = int(many.sum())
             return pa.RecordBatch.from_arrays([
-                *[pa.nulls(k, pa.int64())] * 3,
+                *[pa.nulls(k, pa.int64())] * 3, pa.nulls(k, pa.binary()),
                 pa.array(tokens[many].view(np.int64)), pa.array(counts[many].astype(np.int64))], schema=SEEN)
 
         for batch in batches:
-            ns, nodes = [], []
+            ns, nodes, prefixes = [], [], []
             for text in batch.column("text"):
                 tokens = shingler(text.as_py())
                 ns.append(len(tokens))
-                nodes.append(digest(tokens) if len(tokens) else None)
+                node = digest(tokens) if len(tokens) else None
+                nodes.append(node)
+                prefixes.append(further_prefixes(tokens, percent) if len(tokens) else None)
+                if node is None or node in met:  # copies make no token frequent
+                    continue
+                met.add(node)
                 chunk.append(tokens)
                 held += len(tokens)
                 if held >= CHUNK_TOKENS:
                     yield frequent()
                     chunk, held = [], 0
+                    met.clear()
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()),
+                batch.column("doc_id"), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(prefixes, pa.binary()),
                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], schema=SEEN)
         if held:
             yield frequent()
@@ -186,10 +219,18 @@ def shared_blocks(batches):
             yield pa.RecordBatch.from_arrays([pa.array(token[shared]), pa.array(node[shared]), pa.array(n[shared].astype(np.int32))], schema=POSTING)
 
 
-def shares_prefix(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Do two sets share a prefix token under the two further orders, rising and falling hash?"""
-    p, q = prefix_size(len(a), percent), prefix_size(len(b), percent)
-    return bool(np.isin(a[:p], b[:q], assume_unique=True).any() and np.isin(a[-p:], b[-q:], assume_unique=True).any())
+def screen(percent: int):
+    """Pairs with their sizes and further prefixes -> the pairs that may link under every order."""
+
+    def run(batches):
+        for batch in batches:
+            left, right = batch.column("prefixes_a"), batch.column("prefixes_b")
+            n, m = batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist()
+            good = [agree(np.frombuffer(left[i].as_buffer(), dtype="<u4"), n[i],
+                          np.frombuffer(right[i].as_buffer(), dtype="<u4"), m[i], percent) for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
 
 
 def verify(percent: int):
@@ -198,15 +239,13 @@ def verify(percent: int):
     def run(batches):
         for batch in batches:
             left, right = batch.column("set_a"), batch.column("set_b")
-            good = np.zeros(batch.num_rows, dtype=bool)
+            good = []
             for i in range(batch.num_rows):
                 a = np.frombuffer(left[i].as_buffer(), dtype="<u8")
                 b = np.frombuffer(right[i].as_buffer(), dtype="<u8")
-                if not shares_prefix(a, b, percent):
-                    continue
                 both = len(np.intersect1d(a, b, assume_unique=True))
-                good[i] = 100 * both >= percent * (len(a) + len(b) - both)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(good)], names=["a", "b", "linked"])
+                good.append(100 * both >= percent * (len(a) + len(b) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return run
 
@@ -271,13 +310,13 @@ def similar(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text
     id of the others, or null); rows with one doc_id are separate texts; other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    seen = landed(rows.mapInArrow(survey(size), SEEN_TYPE), "ngram-survey")
-    sets = seen.where("token is null").select("doc_id", "n", "node")
+    seen = landed(rows.mapInArrow(survey(size, percent), SEEN_TYPE), "ngram-survey")
+    sets = seen.where("token is null").select("doc_id", "n", "node", "prefixes")
     top = (seen.where("token is not null").groupBy("token").agg(F.sum("count").alias("n"))
            .orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas())
     by_count = top["token"].to_numpy(dtype=np.int64).view(np.uint64)[::-1]  # the most frequent last
     by_hash = np.argsort(by_count)
-    postings = rows.mapInArrow(first_prefix(size, percent, (by_count[by_hash], by_hash + 1)), "token long, node long, n int")
+    postings = rows.mapInArrow(first_prefix(size, percent, (by_count[by_hash], (by_hash + 1).astype(np.int32))), "token long, node long, n int")
     blocks = landed(postings.repartition("token").sortWithinPartitions("token", "node").mapInArrow(
         shared_blocks, "token long, node long, n int"), "ngram-blocks")
     roots = linked_nodes(rows, sets, blocks, size, percent)
@@ -331,25 +370,38 @@ def pairs_between(members: DataFrame, split: DataFrame, percent: int) -> DataFra
         F.col("root") != F.col("other_root")) & (F.col("other_main") | (F.col("node") < F.col("other"))) & may_link("n", "m", percent)))
 
 
-def linked_nodes(rows: DataFrame, sets: DataFrame, blocks: DataFrame, size: int, percent: int) -> DataFrame:
-    """Components over nodes: (node, root) for every node with a link."""
-    wanted = blocks.select("node").distinct().join(sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("w_id")), "node")
-    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id"))).select("node", "text")
+def checked(pairs: DataFrame, rows: DataFrame, profiles: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs that link.  First all orders must agree, on prefixes alone; only for the pairs left, texts are
+    read again and whole sets compared."""
+    a, b = (profiles.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("prefixes").alias(f"prefixes_{x}")) for x in "ab")
+    left = landed(pairs.join(a, "a").join(b, "b").mapInArrow(screen(percent), "a long, b long"), "ngram-screened")
+    nodes = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = landed(nodes.join(profiles.select("node", "w_id"), "node"), "ngram-wanted")
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    texts = rows.join(few, F.col("doc_id").eqNullSafe(F.col("w_id"))).select("node", "text")
     tokens = landed(texts.mapInArrow(set_rows(size), "node long, tokens binary"), "ngram-sets")
     set_a, set_b = (tokens.select(F.col("node").alias(x), F.col("tokens").alias(f"set_{x}")) for x in "ab")
-    postings, tried, edges, roots = blocks.count(), None, None, None
+    return landed(left.join(set_a, "a").join(set_b, "b").mapInArrow(verify(percent), "a long, b long"), "ngram-links")
+
+
+def linked_nodes(rows: DataFrame, sets: DataFrame, blocks: DataFrame, size: int, percent: int) -> DataFrame:
+    """Components over nodes: (node, root) for every node with a link."""
+    # One row per node; any row of a node has its prefixes, the least id is where its text is read.
+    profiles = landed(sets.where("n > 0").join(blocks.select("node").distinct(), "node", "left_semi").groupBy("node", "n", "prefixes")
+                      .agg(F.min("doc_id").alias("w_id")), "ngram-profiles")
+    postings, tried, edges, roots, before = blocks.count(), None, None, None, None
     for turn in range(PIVOT_ROUNDS + 1):
         members = with_roots(blocks, roots)
         split = landed(split_blocks(members), "ngram-split")
         work = split.agg(F.sum(F.col("outside") * F.col("size"))).first()[0] or 0
         if not work:
             break
-        final = turn == PIVOT_ROUNDS or (turn > 0 and work <= WORTH_A_ROUND * postings)
+        final = turn == PIVOT_ROUNDS or (turn > 0 and (work <= WORTH_A_ROUND * postings or 2 * work > before))
+        before = work
         here = members.join(split.select(F.col("s_token").alias("token")), "token", "left_semi")
         pairs = pairs_between(members, split, percent) if final else pivot_pairs(here, turn, percent)
         pairs = landed(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
-        found = landed(pairs.join(set_a, "a").join(set_b, "b").mapInArrow(
-            verify(percent), "a long, b long, linked boolean").where("linked").select("a", "b"), "ngram-links")
+        found = checked(pairs, rows, profiles, size, percent)
         if not found.isEmpty():
             edges = found if edges is None else edges.unionByName(found)
             roots = landed(components(edges), "ngram-roots")

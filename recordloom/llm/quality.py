@@ -105,7 +105,8 @@ def fences(sketch: DataFrame) -> DataFrame:
     """Thresholds per (lang, source): metric -> (lower, upper) in one row.
 
     The upper fence of a metric lies ``spreads`` times the distance from the median to the 90th
-    percentile above the median, the lower one likewise below, and neither is stricter than its floor.
+    percentile above the median, the lower one likewise below, and neither is stricter than its floor.  Values are
+    compared by their cells.
     """
     own, lang = quantiles(sketch, ["lang", "source"]), quantiles(sketch, ["lang"])
     small = F.col("own.docs") < LEAST_GROUP
@@ -139,9 +140,9 @@ def quality(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: s
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     good = F.lit(True)
     for m in UPPER:
-        good = good & (metric(m) <= F.col(f"upper_{m}"))
+        good = good & (cell(metric(m)) <= F.col(f"upper_{m}"))
     for m in LOWER:
-        good = good & (metric(m) >= F.col(f"lower_{m}"))
+        good = good & (cell(metric(m)) >= F.col(f"lower_{m}"))
     return joined.select(
         "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         *[f"upper_{m}" for m in UPPER], *[f"lower_{m}" for m in LOWER],

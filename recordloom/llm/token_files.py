@@ -3,30 +3,34 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import zlib
+from array import array
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import ship, work_folder
+from .common import ship, work_folder, worker_memory
 
 ship(__name__)
 
 END_ID = 1
-#: Ids are stored as little-endian unsigned 32-bit integers in four byte planes (all lowest bytes first, ...).
+END_BYTES = np.uint32(END_ID).tobytes()
 DICTIONARY_BYTES = 64 * 1024
 #: The dictionary is trained on at most so many documents (those with the least hash of their id) of at most so many ids each.
 DICTIONARY_DOCS, DICTIONARY_IDS = 2000, 4096
 LEVEL = 3
 #: A page is a row of the file: frames of consecutive documents up to about so many bytes, and their index.
 PAGE_BYTES = 1 << 20
-#: The memory of chunk encodings in a task is emptied at so many chunks.
-MEMO = 600_000
+#: A worker remembers the encodings of at most twice so many chunks and words.
+CHUNKS, WORDS = 250_000, 150_000
+MARKS = ".,;:!?"
 
 PAGE = pa.schema([
     ("first_doc", pa.int64()), ("dictionary_sha256", pa.string()), ("payload", pa.binary()), ("n_tokens", pa.int64()),
@@ -38,35 +42,98 @@ READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa
 
 
 def to_bytes(ids: np.ndarray) -> bytes:
-    """Ids as planes of their bytes; the upper planes are nearly constant and compress to almost nothing."""
-    return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Ids as their number of bytes (2 or 4) and planes of bytes: all lowest bytes first, and so on."""
+    size = 2 if not len(ids) or int(ids.max()) < 1 << 16 else 4
+    return bytes([size]) + ids.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T.tobytes()
 
 
 def from_bytes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    planes = np.frombuffer(data, dtype=np.uint8, offset=1).reshape(data[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{data[0]}").ravel().astype("<u4")
+
+
+class Memo(dict):
+    """A dictionary that fills itself by ``make`` and forgets what was not used for a while: when it is full,
+    it becomes the old half, from which entries in use are taken over."""
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 class Encoder:
-    """Whole texts to ids.  The tokenizer never joins across a space or a line feed, so chunks between
-    them are encoded by it one by one and remembered; the ids are those of the whole text."""
+    """Whole texts to ids.
+
+    The tokenizer never joins across a space or a line feed, so the chunks between them are encoded one by one and
+    remembered; the ids are those of the whole text.  A chunk of visible Latin-1 characters takes a short way if
+    the tokenizer's definition is the known one (lower case, words by one pattern, byte-level BPE): its words go to the
+    library's BPE model directly.  Any other chunk, or definition, goes through the whole tokenizer.
+    """
+
+    #: What the short way stands for, as it is written in a tokenizer's definition.
+    WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    STEPS = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
-        self.memo: dict[str, bytes] = {"": b""}
+        parts = json.loads(definition)
+        steps = ([x["type"] for x in (parts["normalizer"] or {}).get("normalizers", [])],
+                 [x["type"] for x in (parts["pre_tokenizer"] or {}).get("pretokenizers", [])])
+        self.short = (steps == self.STEPS and parts["pre_tokenizer"]["pretokenizers"][0]["pattern"] == {"Regex": self.WORDS}
+                      and parts["normalizer"]["normalizers"][1]["pattern"] == {"Regex": r"\s+"})
+        self.special = [x["content"] for x in parts["added_tokens"]]
+        self.visible = regex.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]*")
+        self.words = regex.compile(self.WORDS)
+        self.model = self.tokenizer.model
+        self.alphabet = str.maketrans({chr(i): "".join(map(byte_letter, chr(i).encode())) for i in range(256)})
+        self.pieces = Memo(self.piece, WORDS)
+        self.chunks = Memo(self.chunk, CHUNKS)
+        self.chunks[""] = b""
+
+    def piece(self, word: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(word.translate(self.alphabet))]).tobytes()
+
+    def chunk(self, text: str) -> bytes:
+        if not text:
+            return b""
+        if self.short:
+            # A word with marks behind it is the common case; letters and marks never share a piece.
+            word = text.rstrip(MARKS)
+            if word.isalpha() and self.visible.fullmatch(word):
+                rest = text[len(word):]
+                return self.pieces[word.lower()] + self.pieces[rest] if rest else self.pieces[word.lower()]
+            if self.visible.fullmatch(text) and not any(x in text for x in self.special):
+                return b"".join(map(self.pieces.__getitem__, self.words.findall(text.lower())))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> np.ndarray:
         chunks = text.replace("\n", " ").split(" ")
-        memo = self.memo
-        new = [c for c in dict.fromkeys(chunks) if c not in memo]
-        if new:
-            if len(memo) > MEMO:
-                memo.clear()
-                memo[""] = b""
-                new = [c for c in dict.fromkeys(chunks) if c]
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                memo[c] = np.array(e.ids, dtype="<u4").tobytes()
-        ids = np.frombuffer(b"".join([memo[c] for c in chunks]), dtype="<u4")
-        return np.append(ids, np.uint32(END_ID)).astype("<u4")
+        return np.frombuffer(b"".join([*map(self.chunks.__getitem__, chunks), END_BYTES]), dtype="<u4")
+
+
+def byte_letter(byte: int) -> str:
+    """The letter that stands for a byte in byte-level BPE: visible Latin-1 characters for themselves, the
+    other bytes, in order, for the characters from U+0100."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return chr(byte) if byte in seen else chr(0x100 + [b for b in range(256) if b not in seen].index(byte))
+
+
+def encoder(definition: str) -> Encoder:
+    """This worker's encoder; loading one costs as much as encoding some hundred documents."""
+    kept = worker_memory()
+    if kept.get("encoder_of") != definition:
+        kept["encoder"], kept["encoder_of"] = Encoder(definition), definition
+    return kept["encoder"]
 
 
 def train_dictionary(docs: DataFrame, definition: str) -> bytes:
@@ -75,7 +142,7 @@ def train_dictionary(docs: DataFrame, definition: str) -> bytes:
     sample = docs.join(F.broadcast(chosen), docs["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
 
     def arrays(batches):
-        encode = Encoder(definition)
+        encode = encoder(definition)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(
                 [to_bytes(encode(t or "")[-DICTIONARY_IDS:]) for t in batch.column("text").to_pylist()], pa.binary())], names=["ids"])
@@ -104,8 +171,10 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, folder: str, text: str =
     spark.createDataFrame([(name, dictionary)], "sha256 string, data binary").coalesce(1).write.parquet(f"{folder}/dictionary")
 
     def pages(batches):
-        encode = Encoder(definition)
+        encode = encoder(definition)
         data = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        if data:
+            data.precompute_compress(level=LEVEL)  # else every document would digest the dictionary again
         squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=data)
         index, frames, at, start = [], [], 0, 0
 
