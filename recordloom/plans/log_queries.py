@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import oplog as T
+from ..operators.route import resolve_references
 from ..session import work_folder
 from ..streaming.ingest import (
     adaptive_ingest,
+    current_view,
+    ingest_batch,
     read_documents,
     read_side,
     read_structured,
@@ -192,6 +195,49 @@ def st1_adaptive_ingest(spark, sf):
     ).unionByName(line("side", read_side(spark, base), F.lit(None).cast("bigint")))
 
 
+def _document_texts(spark, sf):
+    documents = spark.readStream.schema(I.table(spark, sf, "documents").schema).parquet(f"{sf}/documents.parque[t]")
+    return documents.select("doc_id", F.to_json(F.struct("doc_id", F.struct("text").alias("body"), "lang", "source")).alias("raw"))
+
+
+@query("st1_large_documents", """
+SELECT doc_id, md5(text) AS digest, CASE WHEN length(text) > 1400 THEN true WHEN length(text) < 500 THEN false END AS moved FROM documents""")
+def st1_large_documents(spark, sf):
+    """Documents beyond the decomposition limit pass through the stream and come back whole."""
+    base = work_folder(spark, "st1")
+    adaptive_ingest(_document_texts(spark, sf), base, "raw", "doc_id", available_now=True,
+                    ingested_at="2024-02-01 00:00:00").awaitTermination()
+    structured, documents = current_view(spark, base)
+    side = read_side(spark, base)
+    whole = resolve_references(documents, side).documents.select("uuid", F.try_variant_get(F.col("doc")["body"], "$.text", "string").alias("text"))
+    moved = side.select(F.col("parent_uuid").alias("uuid")).distinct().withColumn("m", F.lit(True))
+    n = F.length("text")
+    return structured.select("uuid", "doc_id").join(whole, "uuid").join(moved, "uuid", "left").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.md5("text").alias("digest"),
+        F.when((n > 1400) | (n < 500), F.coalesce("m", F.lit(False))).alias("moved"))
+
+
+@query("st1_drift", """
+SELECT (event_id % 4) AS part, COUNT(*) AS rows, COUNT(*) AS in_documents, false AS in_column,
+       CAST(SUM(CASE WHEN event_id % 2 = 0 THEN event_id ELSE length(CAST(event_id AS VARCHAR)) + 1 END) AS BIGINT) AS total FROM events GROUP BY 1""")
+def st1_drift(spark, sf):
+    """A field that is a number in the first batch and of mixed type in the second: its old values move to the documents."""
+    base = work_folder(spark, "st1")
+    events = I.table(spark, sf, "events").select("event_id")
+    e = F.col("event_id")
+    first = events.filter(e % 2 == 0).select("event_id", F.concat(F.lit('{"uid": '), e, F.lit(', "x": '), e, F.lit("}")).alias("raw"))
+    second = events.filter(e % 2 == 1).select("event_id", F.concat(F.lit('{"uid": '), e, F.lit(', "x": "t'), e, F.lit('"}')).alias("raw"))
+    for n, batch in enumerate((first, second)):
+        ingest_batch(batch, n, base, "raw", "event_id", "2024-02-01 00:00:00")
+    structured, documents = current_view(spark, base)
+    x = F.try_element_at("doc", F.lit("x")).cast("string")
+    whole = structured.select("uuid", F.col("uid").cast("bigint").alias("uid")).join(documents.select("uuid", x.alias("x")), "uuid")
+    value = F.when(F.col("x").startswith("t"), F.length("x")).otherwise(F.col("x").try_cast("bigint"))
+    return whole.groupBy((F.col("uid") % 4).alias("part")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("x").alias("in_documents"), F.sum(value.cast("bigint")).alias("total")).withColumn(
+        "in_column", F.lit("x" in structured.columns))
+
+
 @query("st2_stream_profile", f"WITH {I.EVENT_SQL} {EVENT_PROFILE}")
 def st2_stream_profile(spark, sf):
     base = work_folder(spark, "st2")

@@ -28,7 +28,7 @@ from ..operators.profile import (
 from ..operators.records import assign_uuid, normalize_keys, stamp_ingest
 from ..operators.route import decompose_large, route_records
 from ..sources.catalog import load_catalog, save_catalog
-from ..sources.records import parse_records, read_records, split_parsed
+from ..sources.records import parse_records, read_records, split_parsed, to_document
 from ..sources.tables import write_documents, write_side
 
 # Fixed value: pause between micro-batches of a continuous stream.
@@ -69,12 +69,26 @@ def ingest_batch(batch: DataFrame, batch_id: int, base: str, json_col: str, id_c
         write_side(parts.side, f"{base}/side/{here}", mode="overwrite")
         parsed.rejected.write.mode("overwrite").parquet(f"{base}/rejected/{here}")
         catalog = {"partials": partials, "total": total, "profile": profile, "decisions": decisions}
-        save_catalog({**catalog, **_history(before, decisions)}, f"{base}/catalog", batch_id)
+        history = _history(before, decisions)
+        _move_drifted(spark, base, batch_id, [r["field"] for r in history["drift"].collect()])  # columns of the table
+        save_catalog({**catalog, **history}, f"{base}/catalog", batch_id)
     finally:
         for df in kept:
             df.unpersist()
 
 
+def _move_drifted(spark, base: str, batch_id: int, drifted: list[str]) -> None:
+    """Write the values that earlier batches stored in columns which are document fields from now on.
+
+    Only those columns are read.  A retry of the batch writes the same folder again.
+    """
+    if not drifted or not batch_id:
+        return
+    stored = spark.read.option("mergeSchema", True).parquet(f"{base}/structured").filter(F.col("batch_id") < batch_id)
+    _, moved = migrate_drifted(stored, stored.select("uuid", F.lit(None).cast("map<string,variant>").alias("doc")).limit(0), drifted)
+    moved.select("uuid", to_document(F.col("doc")).alias("doc")).write.mode("overwrite").parquet(f"{base}/moved/batch_id={batch_id}")
+
+
 def _history(before: dict[str, DataFrame], decisions: DataFrame) -> dict[str, DataFrame]:
     """Schema changes so far and the fields that drifted in this batch."""
     if not before:
@@ -114,15 +128,34 @@ def read_side(spark, base: str) -> DataFrame:
     ).parquet(f"{base}/side").drop("batch_id")
 
 
+def read_moved(spark, base: str) -> DataFrame | None:
+    """Values moved out of drifted columns as ``(uuid, doc)``, or None if no field has drifted."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/moved")
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    stored = spark.read.schema("uuid string, doc string, batch_id int").parquet(f"{base}/moved")
+    return stored.select("uuid", F.from_json("doc", "map<string,variant>").alias("_moved"))
+
+
 def current_view(spark, base: str) -> tuple[DataFrame, DataFrame]:
-    """Both sides as the newest decisions want them: values of fields that drifted from the
-    structured side after they were written appear in the documents."""
+    """Both sides as the newest decisions want them: columns that drifted are gone from the structured side, and
+    their values, moved when they drifted, are in the documents."""
     structured = read_structured(spark, base)
     documents = read_documents(spark, base).select("uuid", "doc")
     newest = load_catalog(spark, f"{base}/catalog")["decisions"]
     # Only columns of the structured table are asked for, so the answer is schema-sized.
-    moved = newest.filter((F.col("target") == "MONGO") & F.col("field").isin(*structured.columns)).select("field")
-    return migrate_drifted(structured, documents, [r["field"] for r in moved.collect()])
+    gone = newest.filter((F.col("target") == "MONGO") & F.col("field").isin(*structured.columns)).select("field")
+    structured = structured.drop(*[r["field"] for r in gone.collect()])
+    moved = read_moved(spark, base)
+    if moved is None:
+        return structured, documents
+    # A field may have drifted in several batches, each with rows of its own.
+    merged = moved.groupBy("uuid").agg(F.collect_list("_moved").alias("_all"))
+    joined = documents.join(merged, "uuid", "full_outer")
+    doc = F.coalesce("doc", F.create_map().cast("map<string,variant>"))
+    whole = F.aggregate(F.coalesce("_all", F.array().cast("array<map<string,variant>>")), doc, lambda d, m: F.map_concat(
+        d, F.map_filter(m, lambda k, v: ~F.map_contains_key(d, k))))
+    return structured, joined.select("uuid", whole.alias("doc"))
 
 
 def stream_profile(stream: DataFrame, base: str, json_col: str, id_col: str, available_now: bool = True) -> StreamingQuery:
