@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, ngram_join, quality, secrets, sharding, spans, token_files, toxicity
+from . import decontaminate, language, mixing, ngram_join, quality, secrets, sharding, spans, sql, token_files, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op1_decontamination")
+@query("op1_decontamination", sql.OP1)
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     out = decontaminate.contamination(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
     return out.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
@@ -65,7 +65,7 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-@query("op7_quality_rules")
+@query("op7_quality_rules", sql.OP7)
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

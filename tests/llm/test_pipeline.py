@@ -2,10 +2,13 @@
 
 from collections import Counter
 
+import pytest
+
 import __spark_entry__ as entry
 import corpus_pipeline
-from recordloom.llm import ngram_join
+from recordloom.llm import ngram_join, queries
 from recordloom.llm.common import landed
+from tools.check_queries import rows_of
 
 
 def test_registered():
@@ -13,6 +16,13 @@ def test_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
 
 
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_matches_sql(spark, sf, con, name):
+    df = queries.QUERIES[name](spark, sf)
+    res = con.execute(queries.SQL[name])
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of([d[0] for d in res.description], res.fetchall())
+
+
 def test_stages_keep_columns_and_take_effect(spark, sf, docs, con):
     left, sizes = docs, []
     toxic = {d for (d,) in con.execute("SELECT doc_id FROM labels WHERE toxic = 1").fetchall()}
