@@ -25,7 +25,6 @@ from ..functions.values import (
     type_name,
     types_in,
 )
-from ..session import landed
 
 UNIQUE_CAP = 100_000
 SAMPLE_COUNT = 5
@@ -173,54 +172,24 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return finish_profile(field_counts(partials), record_total(df))
 
 
-def field_profile_capped(records: DataFrame, cap: int = UNIQUE_CAP, share: int | None = 64) -> DataFrame:
-    """``field_profile`` whose distinct count stops at ``cap``.
+def field_profile_capped(records: DataFrame, cap: int = UNIQUE_CAP) -> DataFrame:
+    """``field_profile`` whose distinct count stops at ``cap``; the cap is what this report asks for, and
+    the counts below it are exact."""
+    return field_profile(records, unique_cap=cap)
 
-    A first pass counts only values whose hash falls in one of ``share`` classes.  A field
-    with ``cap`` distinct values in that class alone has at least as many in all, so it is
-    settled, and its values stay out of the shuffle of the second pass, which counts the open
-    fields exactly.  Both passes together then shuffle at most about ``share * cap`` values
-    per field however large the data is.  ``share=None`` counts everything in one pass.
-    """
-    settled: list[str] = []
-    if share is not None:
-        some = cells(records, keep=()).filter(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
-        counted = field_counts(value_partials(some.filter(F.col("text").isNotNull())))
-        settled = [r["key"] for r in counted.filter(F.col("unique_count") >= cap).select("key").collect()]
-    open_cells = cells(_marked(records), keep=())
-    if settled:
-        open_cells = open_cells.withColumn("text", F.when(~F.col("key").isin(*settled), F.col("text")))
-    counts = _marked_counts(open_cells, approximate=False)
-    if settled:
-        known = F.when(F.col("key").isin(*settled), F.lit(cap).cast("bigint")).otherwise(F.col("unique_count"))
-        counts = counts.withColumn("unique_count", known)
-    return _finish_marked(counts, cap)
-
-
-def sample_values(cell_df: DataFrame, order_col: str = "rec_id", count: int = SAMPLE_COUNT,
-                  chars: int = SAMPLE_CHARS, head_rows: int = 50) -> DataFrame:
+
+def sample_values(cell_df: DataFrame, order_col: str = "rec_id", count: int = SAMPLE_COUNT, chars: int = SAMPLE_CHARS) -> DataFrame:
     """The first few distinct scalar values per field in arrival order, shortened for display:
     rows ``(key, rank, sample)``.
 
-    The first ``head_rows`` cells of a field usually hold them already; tasks cut each field to
-    that many before the shuffle (window group limit), and the cut is written once.  Only
-    fields with fewer distinct values in their head, whose repeats collapse in each task,
-    are then looked at in full.
+    Repeats collapse in each task before the shuffle, and tasks keep no more of a field than
+    the ranks asked for (window group limit).
     """
     shown = cell_df.filter(F.col("text").isNotNull()).select(
         "key", F.substring("text", 1, chars).alias("sample"), F.col(order_col).alias("seen")
     )
+    firsts = shown.groupBy("key", "sample").agg(F.min("seen").alias("seen"))
     arrival = Window.partitionBy("key").orderBy("seen", "sample")
-    head = landed(
-        shown.withColumn("rank", F.row_number().over(arrival)).filter(F.col("rank") <= head_rows).drop("rank"), "head"
-    )
-    firsts = head.groupBy("key", "sample").agg(F.min("seen").alias("seen"))
-    per_key = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect()
-    still_open = [r["key"] for r in per_key if r["n"] < count]
-    if still_open:
-        is_open = F.col("key").isin(*still_open)
-        rest = shown.filter(is_open).groupBy("key", "sample").agg(F.min("seen").alias("seen"))
-        firsts = firsts.filter(~is_open).unionByName(rest)
     ranked = firsts.withColumn("rank", F.row_number().over(arrival))
     return ranked.filter(F.col("rank") <= count).select("key", "rank", "sample")
 

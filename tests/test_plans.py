@@ -6,9 +6,12 @@ from recordloom.plans import QUERIES
 
 
 def plan_of(spark, sf, name):
+    """The final plan of the very DataFrame that has run, after all adaptive choices."""
     df = QUERIES[name](spark, sf)
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=false" not in plan
+    return plan.split("== Initial Plan ==")[0]
 
 
 HEAVY = ["p2_field_profile", "p5_table_profile", "r1_route_documents", "r4_resolve_references", "d1_shred", "d6_reconstruct",
