@@ -16,7 +16,7 @@ ship(__name__)
 CHUNK_TOKENS = 1 << 21
 LOCAL_LEAST = 2
 #: The most frequent tokens go last in the first order.  Any order gives the same links, so the number only bounds a broadcast.
-FREQUENT = 500_000
+FREQUENT = 200_000
 #: While the pairs left between components outnumber the postings by this factor, and the round before at least halved
 #: them, another round of pivots comes first.
 WORTH_A_ROUND = 16
@@ -143,11 +143,13 @@ def survey(size: int, percent: int):
     return run
 
 
-POSTING = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32())])
+POSTING = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+POSTING_TYPE = "token long, node long, n int, pos int"
 
 
 def first_prefix(size: int, percent: int, frequent: np.ndarray):
-    """Prefix tokens of each document under the first order: rare tokens by hash, then the frequent ones by count.
+    """Prefix tokens of each document, with their positions, under the first order: rare tokens by hash, then the
+    frequent ones by count.
 
     ``frequent`` is sorted by hash, with ranks beside.  Documents that a task has met before are passed over,
     so a group of copies leaves a task as one document.
@@ -158,7 +160,7 @@ def first_prefix(size: int, percent: int, frequent: np.ndarray):
         shingler = Shingler(size)
         met: set[int] = set()
         for batch in batches:
-            tokens_out, nodes_out, n_out = [], [], []
+            tokens_out, nodes_out, n_out, pos_out = [], [], [], []
             for text in batch.column("text"):
                 tokens = shingler(text.as_py())
                 n = len(tokens)
@@ -185,10 +187,11 @@ def first_prefix(size: int, percent: int, frequent: np.ndarray):
                 tokens_out.append(chosen)
                 nodes_out.append(np.full(len(chosen), node, dtype=np.int64))
                 n_out.append(np.full(len(chosen), n, dtype=np.int32))
+                pos_out.append(np.arange(len(chosen), dtype=np.int32))
             if tokens_out:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate(tokens_out).view(np.int64)), pa.array(np.concatenate(nodes_out)),
-                    pa.array(np.concatenate(n_out))], schema=POSTING)
+                    pa.array(np.concatenate(n_out)), pa.array(np.concatenate(pos_out))], schema=POSTING)
 
     return run
 
@@ -198,25 +201,28 @@ def shared_blocks(batches):
 
     Only the last row is carried from batch to batch, so a block of any size passes through.
     """
-    last = None  # token, node, n of the last row, and whether that row has left already
+    last = None  # the last row, and whether it has left already
     for batch in batches:
         if not batch.num_rows:
             continue
-        token, node, n = (batch.column(c).to_numpy() for c in POSTING.names)
+        rows = [batch.column(c).to_numpy() for c in POSTING.names]
         gone = False
         if last is not None:
-            token, node, n = (np.concatenate([[x], y]) for x, y in zip(last, (token, node, n), strict=False))
-            gone = last[3]
+            rows = [np.concatenate([[x], y]) for x, y in zip(last[0], rows, strict=True)]
+            gone = last[1]
+        token, node = rows[:2]
         new = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])
-        token, node, n = token[new], node[new], n[new]
+        rows = [x[new] for x in rows]
+        token = rows[0]
         to_last = np.concatenate([[False], token[1:] == token[:-1]])
         shared = to_last.copy()
         shared[:-1] |= to_last[1:]
-        last = (token[-1], node[-1], n[-1], bool(shared[-1]) or (len(token) == 1 and gone))
+        last = ([x[-1] for x in rows], bool(shared[-1]) or (len(token) == 1 and gone))
         if gone:
             shared[0] = False
         if shared.any():
-            yield pa.RecordBatch.from_arrays([pa.array(token[shared]), pa.array(node[shared]), pa.array(n[shared].astype(np.int32))], schema=POSTING)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[shared].astype(f.type.to_pandas_dtype())) for x, f in zip(rows, POSTING, strict=True)], schema=POSTING)
 
 
 def screen(percent: int):
@@ -316,9 +322,9 @@ def similar(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text
            .orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas())
     by_count = top["token"].to_numpy(dtype=np.int64).view(np.uint64)[::-1]  # the most frequent last
     by_hash = np.argsort(by_count)
-    postings = rows.mapInArrow(first_prefix(size, percent, (by_count[by_hash], (by_hash + 1).astype(np.int32))), "token long, node long, n int")
+    postings = rows.mapInArrow(first_prefix(size, percent, (by_count[by_hash], (by_hash + 1).astype(np.int32))), POSTING_TYPE)
     blocks = landed(postings.repartition("token").sortWithinPartitions("token", "node").mapInArrow(
-        shared_blocks, "token long, node long, n int"), "ngram-blocks")
+        shared_blocks, POSTING_TYPE), "ngram-blocks")
     roots = linked_nodes(rows, sets, blocks, size, percent)
     named = sets.where("n > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # The least id of a hot class comes from partial minima; its rows are joined, never gathered.
@@ -334,9 +340,11 @@ def with_roots(blocks: DataFrame, roots: DataFrame | None) -> DataFrame:
     return blocks.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def may_link(n: str, m: str, percent: int):
-    """The length bound: the smaller set is large enough."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+def may_link(percent: int):
+    """The length and position bounds on sets of n and m tokens whose first common token stands at ``pos`` and
+    ``other_pos``: what comes from there on must suffice for the overlap that the threshold asks of both."""
+    least = percent * (F.col("n") + F.col("m"))
+    return ((100 + percent) * (F.col("n") - F.col("pos")) >= least) & ((100 + percent) * (F.col("m") - F.col("other_pos")) >= least)
 
 
 def ordered_pairs(pairs: DataFrame) -> DataFrame:
@@ -344,13 +352,15 @@ def ordered_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def pivot_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each member of a block with a few members chosen by a hash of this turn: linear in the block."""
+    """Each member of a block with a few others: linear in the block.  Chosen are the members with the fewest rare tokens
+    before the block's (the middle of a family of near copies), ties by a hash of this turn."""
     chosen = members.groupBy(F.col("token").alias("p_token")).agg(F.array(*[
-        F.min(F.struct(F.xxhash64("node", F.lit(turn * PIVOTS + k)).alias("h"), F.col("node").alias("other"),
+        F.min(F.struct(F.col("pos").alias("other_pos"), F.xxhash64("node", F.lit(turn * PIVOTS + k)).alias("h"), F.col("node").alias("other"),
                        F.col("n").alias("m"), F.col("root").alias("other_root"))) for k in range(PIVOTS if turn else 1)]).alias("pivots"))
-    pivots = chosen.select("p_token", F.explode(F.array_distinct("pivots")).alias("p")).select("p_token", "p.other", "p.m", "p.other_root")
+    pivots = chosen.select("p_token", F.explode(F.array_distinct("pivots")).alias("p")).select(
+        "p_token", "p.other", "p.m", "p.other_pos", "p.other_root")
     return ordered_pairs(members.join(pivots, (F.col("token") == F.col("p_token")) & (F.col("root") != F.col("other_root"))
-                                      & may_link("n", "m", percent)))
+                                      & may_link(percent)))
 
 
 def split_blocks(members: DataFrame) -> DataFrame:
@@ -365,9 +375,9 @@ def pairs_between(members: DataFrame, split: DataFrame, percent: int) -> DataFra
     compared with all others; inside it, nothing is."""
     here = members.join(split.select("s_token", "main"), F.col("token") == F.col("s_token")).drop("s_token")
     others = here.select(F.col("token").alias("o_token"), F.col("node").alias("other"), F.col("n").alias("m"),
-                         F.col("root").alias("other_root"), (F.col("root") == F.col("main")).alias("other_main"))
+                         F.col("pos").alias("other_pos"), F.col("root").alias("other_root"), (F.col("root") == F.col("main")).alias("other_main"))
     return ordered_pairs(here.where("root != main").join(others, (F.col("token") == F.col("o_token")) & (
-        F.col("root") != F.col("other_root")) & (F.col("other_main") | (F.col("node") < F.col("other"))) & may_link("n", "m", percent)))
+        F.col("root") != F.col("other_root")) & (F.col("other_main") | (F.col("node") < F.col("other"))) & may_link(percent)))
 
 
 def checked(pairs: DataFrame, rows: DataFrame, profiles: DataFrame, size: int, percent: int) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import check_fold, fold, landed, ship
 
@@ -110,7 +111,7 @@ def featurize(lexicon: dict[str, float]):
                         second.append(k)
                 n = len(chunks)
                 odd = ODD.findall(text)
-                hidden = sum(1 for w in odd if weight(LETTERS.sub(lambda x: x.group(), w.lower().translate(LEET)).replace("*", "")) > 0)
+                hidden = sum(1 for w in odd if weight(w.lower().translate(LEET).replace("*", "")) > 0)
                 near = 0
                 if hits and second:
                     at = np.array(second)
@@ -153,13 +154,11 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, text: str
         "text", "toxic", fold(F.col("doc_id")).alias("fold")), "toxicity-sample")
     lexicon = learn_lexicon(sample.where(F.col("fold") != CALIBRATE_FOLD).select("text", "toxic"))
     featured = landed(sample.mapInArrow(featurize(lexicon), f"toxic int, fold int, {FEATURE_TYPES}"), "toxicity-features")
-    counts = {(r["fold"] == CALIBRATE_FOLD, r["toxic"]): r["count"] for r in
-              featured.groupBy("fold", "toxic").count().collect()}
     n = {k: 0 for k in ((a, b) for a in (True, False) for b in (0, 1))}
     for r in featured.groupBy((F.col("fold") == CALIBRATE_FOLD).alias("cal"), "toxic").count().collect():
         n[r["cal"], r["toxic"]] = r["count"]
     positive, total = n[True, 1] + n[False, 1], sum(n.values())
-    if not counts or not n[False, 0] or not n[False, 1]:
+    if not n[False, 0] or not n[False, 1]:
         return Model(lexicon, None, None, positive / total if total else 0.0)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(featured)
     trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED,
@@ -175,7 +174,8 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, text: str
 def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, score (0 to 1) and predicted for every row; a narrow map followed by tree expressions."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    featured = rows.mapInArrow(featurize(model.lexicon), f"doc_id {dict(rows.dtypes)['doc_id']}, {FEATURE_TYPES}")
+    schema = T.StructType([rows.schema["doc_id"], *[T.StructField(f, T.DoubleType()) for f in FEATURES]])
+    featured = rows.mapInArrow(featurize(model.lexicon), schema)
     if model.trees is None:
         out = featured.select("doc_id", F.lit(float(model.base)).alias("score"))
     else:

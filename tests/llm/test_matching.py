@@ -143,6 +143,9 @@ def test_prefixes_lose_no_link(a, b, percent):
         p, q = (np.frombuffer(further_prefixes(v, percent), dtype="<u4") for v in (x, y))
         assert agree(p, len(x), q, len(y), percent)
         assert set(sorted(a)[:prefix_size(len(a), percent)]) & set(sorted(b)[:prefix_size(len(b), percent)])
+        first = min(a & b)
+        for s in (a, b):  # the position bound
+            assert (100 + percent) * (len(s) - sorted(s).index(first)) >= percent * (len(a) + len(b))
 
 
 @settings(max_examples=60, deadline=None)
@@ -152,7 +155,7 @@ def test_blocks_over_batch_borders(rows, width):
 
     rows = sorted(rows)
     batches = [pa.RecordBatch.from_arrays([pa.array([t for t, _ in p], pa.int64()), pa.array([n for _, n in p], pa.int64()),
-                                           pa.array([1] * len(p), pa.int32())], schema=ngram_join.POSTING)
+                                           pa.array([1] * len(p), pa.int32()), pa.array([0] * len(p), pa.int32())], schema=ngram_join.POSTING)
                for p in (rows[i:i + width] for i in range(0, len(rows), width))]
     got = [(t, n) for b in shared_blocks(iter(batches)) for t, n in zip(b["token"].to_pylist(), b["node"].to_pylist())]
     nodes = defaultdict(set)
