@@ -24,7 +24,7 @@ SWITCH = 8.0
 #: No single word counts for more than this between two languages.
 WORD_BOUND = 6.0
 #: The memory of word scores in a task is emptied at so many words.
-MEMO = 400_000
+MEMO = 150_000
 #: A padded block of Viterbi holds at most so many words.
 BLOCK_WORDS = 400_000
 

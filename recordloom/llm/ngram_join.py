@@ -13,7 +13,7 @@ from .common import landed, ship
 ship(__name__)
 
 #: Tokens counted together in a task; a token met at least LOCAL_LEAST times among them is a candidate for the frequent ones.
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 LOCAL_LEAST = 2
 #: The most frequent tokens go last in the first order.  Any order gives the same links, so the number only bounds a broadcast.
 FREQUENT = 200_000
@@ -29,7 +29,7 @@ BROADCAST_IDS = 1_000_000
 class Shingler:
     """Distinct shingles of a text as sorted 64-bit hashes; words are hashed once and remembered."""
 
-    MEMO = 250_000
+    MEMO = 100_000
 
     def __init__(self, size: int):
         self.size, self.memo = size, {}
@@ -139,6 +139,7 @@ def survey(size: int, percent: int):
                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], schema=SEEN)
         if held:
             yield frequent()
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -169,7 +170,7 @@ def first_prefix(size: int, percent: int, frequent: np.ndarray):
                 node = digest(tokens)
                 if node in met:
                     continue
-                if len(met) > 1_000_000:  # only spares work
+                if len(met) > 200_000:  # only spares work
                     met.clear()
                 met.add(node)
                 p = prefix_size(n, percent)

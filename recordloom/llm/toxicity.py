@@ -30,7 +30,8 @@ NEAR = 5
 TREES, DEPTH, SEED = 12, 3, 7
 #: Trees learn from folds 2 to 4, calibration from fold 1; fold 0 is held out.
 CALIBRATE_FOLD = 1
-MEMO = 500_000
+MEMO = 150_000
+PLAIN = (0.0, False)
 
 #: Second-person words in the languages at hand.
 SECOND_PERSON = frozenset(
@@ -104,7 +105,8 @@ def featurize(lexicon: dict[str, float]):
                     m = memo.get(c)
                     if m is None:
                         words = LETTERS.findall(c.lower())
-                        m = memo[c] = (max(map(weight, words), default=0.0), any(w in SECOND_PERSON for w in words))
+                        m = (max(map(weight, words), default=0.0), any(w in SECOND_PERSON for w in words))
+                        m = memo[c] = PLAIN if m == PLAIN else m
                     if m[0]:
                         hits.append((k, m[0], c))
                     if m[1]:
@@ -128,6 +130,7 @@ def featurize(lexicon: dict[str, float]):
             keep = [batch.column(c) for c in batch.schema.names if c != "text"]
             names = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*keep, *[pa.array(rows[:, j]) for j in range(len(FEATURES))]], names=[*names, *FEATURES])
+        pa.default_memory_pool().release_unused()
 
     return run
 
