@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,7 @@ ship(__name__)
 #: At most so many labelled documents teach the model (whole texts, those with the least hash of their id).
 TRAIN_DOCS = 6000
 #: Letter n-grams of 1 to 4 letters are counted in so many hashed cells for each language.
-CELLS = 1 << 17
+CELLS = 1 << 17  # the hash keeps 64 - 47 bits
 SMOOTH = 0.5
 #: What a change of language costs, in nats.  One odd word does not pay for it, several do.
 SWITCH = 8.0
@@ -43,25 +42,48 @@ def script(word: str) -> str:
     return next((name for name, first, last in SCRIPTS if first <= c <= last), "other")
 
 
-def grams(word: str) -> list[int]:
-    """Cells of the n-grams of a word with its ends marked."""
-    w = f"<{word}>".encode()
-    crc = zlib.crc32
-    return [crc(w[i:i + n]) % CELLS for n in (2, 3, 4, 5) for i in range(len(w) - n + 1)] or [crc(w) % CELLS]
+SCRIPT_NAMES = ["other", *dict.fromkeys(s[0] for s in SCRIPTS)]
+
+
+def gram_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, cell) of every letter n-gram, for many words at once.  Words are laid end to end with their
+    ends marked, n-grams of 2 to 5 bytes are hashed by multiplication, and those across two words are left out."""
+    raw = [f"<{w}>".encode() for w in words]
+    sizes = np.array([len(x) for x in raw])
+    text = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.uint64)
+    owner = np.repeat(np.arange(len(raw)), sizes)
+    owners, cells = [], []
+    h = text
+    for n in range(2, 6):
+        if len(text) < n:
+            break
+        h = h[:-1] * np.uint64(0x100000001B3) + text[n - 1:]
+        inside = owner[:len(h)] == owner[n - 1:]
+        owners.append(owner[:len(h)][inside])
+        cells.append(((h[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(47)).astype(np.int64))
+    return np.concatenate(owners), np.concatenate(cells)
 
 
 def count_grams(batches):
-    """Per batch: counts of (lang, cell) and of (lang, script) as negative cells."""
-    names = ["other", *dict.fromkeys(s[0] for s in SCRIPTS)]
+    """Per batch: counts of (lang, cell), and of (lang, script) as negative cells."""
     for batch in batches:
-        seen: dict[tuple[str, int], int] = {}
+        by_lang: dict[str, list[str]] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            for w in WORD.findall((text or "").lower()):
-                for cell in [*grams(w), -1 - names.index(script(w))]:
-                    seen[lang, cell] = seen.get((lang, cell), 0) + 1
+            by_lang.setdefault(lang, []).extend(w.lower() for w in WORD.findall(text or ""))
+        langs, cells, counts = [], [], []
+        for lang, words in by_lang.items():
+            if not words:
+                continue
+            n = np.bincount(gram_cells(words)[1], minlength=CELLS)
+            kinds = np.bincount([SCRIPT_NAMES.index(script(w)) for w in words], minlength=len(SCRIPT_NAMES))
+            for first, step, found in ((0, 1, n), (-1, -1, kinds)):
+                at = np.flatnonzero(found)
+                langs += [lang] * len(at)
+                cells.append(first + step * at)
+                counts.append(found[at])
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int64()),
-             pa.array(list(seen.values()), pa.int64())], names=["lang", "cell", "n"])
+            [pa.array(langs, pa.string()), pa.array(np.concatenate([*cells, np.empty(0, dtype=np.int64)])),
+             pa.array(np.concatenate([*counts, np.empty(0, dtype=np.int64)]))], names=["lang", "cell", "n"])
 
 
 class Model:
@@ -70,14 +92,18 @@ class Model:
     def __init__(self, langs: list[str], table: np.ndarray, allowed: dict[str, np.ndarray]):
         self.langs, self.table, self.allowed = langs, table, allowed
 
-    def word(self, w: str) -> np.ndarray | None:
-        """Scores of a word relative to its best language, or None if no language has its script."""
-        ok = self.allowed.get(script(w))
-        if ok is None or not ok.any():
-            return None
-        s = self.table[grams(w)].sum(axis=0)
-        s = np.where(ok, s, -np.inf)
-        return np.maximum(s - s.max(), -WORD_BOUND).astype(np.float32)
+    def words(self, words: list[str]) -> np.ndarray:
+        """Scores of words relative to their best language; zeros for a word in a script that no language uses."""
+        if not words:
+            return np.zeros((0, len(self.langs)), dtype=np.float32)
+        low = [w.lower() for w in words]
+        owner, cell = gram_cells(low)
+        scores = np.stack([np.bincount(owner, weights=self.table[cell, k], minlength=len(low)) for k in range(len(self.langs))], axis=1)
+        ok = np.array([self.allowed[script(w)] for w in low])
+        scores = np.where(ok, scores, -np.inf)
+        known = ok.any(axis=1, keepdims=True)
+        best = np.where(known, scores.max(axis=1, keepdims=True), 0)
+        return np.where(known, np.maximum(scores - best, -WORD_BOUND), 0).astype(np.float32)
 
 
 def train(docs: DataFrame, limit: int = TRAIN_DOCS, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Model:
@@ -91,7 +117,7 @@ def train(docs: DataFrame, limit: int = TRAIN_DOCS, text: str = "text", lang: st
     counts = sample.mapInArrow(count_grams, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     found = counts.toPandas()
     langs = sorted(found["lang"].unique())
-    names = ["other", *dict.fromkeys(s[0] for s in SCRIPTS)]
+    names = SCRIPT_NAMES
     table = np.full((CELLS, len(langs)), SMOOTH, dtype=np.float64)
     scripts = np.zeros((len(names), len(langs)))
     if langs:
@@ -140,15 +166,19 @@ def blocks(work: list) -> list[list]:
     return out
 
 
-def spans_of(labels: np.ndarray, starts: np.ndarray, ends: np.ndarray, langs: list[str]) -> str:
+def spans_of(labels: np.ndarray, text: str, last_word: str, langs: list[str]) -> str:
     """Runs of equal labels as lang:start:end in code points, comma-joined."""
     cuts = np.flatnonzero(np.diff(labels)) + 1
+    if not len(cuts):  # no letter follows the last word, so its last occurrence is it
+        return f"{langs[labels[0]]}:{WORD.search(text).start()}:{text.rfind(last_word) + len(last_word)}"
     first, last = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(labels)]]) - 1
-    return ",".join(f"{langs[labels[a]]}:{starts[a]}:{ends[b]}" for a, b in zip(first, last, strict=True))
+    wanted = {*first.tolist(), *last.tolist()}
+    places = {i: m.span() for i, m in enumerate(WORD.finditer(text)) if i in wanted}
+    return ",".join(f"{langs[labels[a]]}:{places[a][0]}:{places[b][1]}" for a, b in zip(first.tolist(), last.tolist(), strict=True))
 
 
 def decide(model: Model, known: np.ndarray, work: list):
-    """(row, language, score, spans) for documents given as (row, word numbers, starts, ends)."""
+    """(row, language, score, spans) for documents given as (row, word numbers, word lengths, text, last word)."""
     langs = model.langs
     for block in blocks(work):
         lengths = np.array([len(x[1]) for x in block])
@@ -156,48 +186,69 @@ def decide(model: Model, known: np.ndarray, work: list):
         for k, x in enumerate(block):
             scores[k, :lengths[k]] = known[x[1]]
         labels = viterbi(scores, lengths)
-        for k, (row, words, starts, ends) in enumerate(block):
+        for k, (row, words, sizes, text, last_word) in enumerate(block):
             own = labels[k, :len(words)]
-            letters = np.bincount(own, weights=ends - starts, minlength=len(langs))
+            letters = np.bincount(own, weights=sizes, minlength=len(langs))
             best = int(letters.argmax())
             # How sure: the share of letters in spans of that language, times its posterior in those spans.
             total = scores[k, :len(words)][own == best].sum(axis=0, dtype=np.float64)
             posterior = 1.0 / np.exp(np.minimum(total - total[best], 700.0)).sum()
-            yield row, langs[best], float(letters[best] / letters.sum() * posterior), spans_of(own, starts, ends, langs)
+            yield row, langs[best], float(letters[best] / letters.sum() * posterior), spans_of(own, text, last_word, langs)
+
+
+class Numbers(dict):
+    """Word -> number, given out in order; ``fresh`` lists the words that have no scores yet.  Number 0 is no word's."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self) + 1
+        self.fresh.append(word)
+        return number
 
 
 def label(model: Model):
-    """A ``mapInArrow`` function: the language of each document and of its spans."""
+    """A ``mapInArrow`` function: the language of each document and of its spans.
+
+    Words are numbered as they come; new ones are scored together, and so many words make one turn of Viterbi.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("spans", pa.string())])
 
     def run(batches):
-        memo: dict[str, int] = {}
-        known = [np.zeros(len(model.langs), dtype=np.float32)]  # 0: a word that tells nothing
+        memo, known = Numbers(), np.zeros((1, len(model.langs)), dtype=np.float32)
         for batch in batches:
-            ids, out, work = batch.column("doc_id").to_pylist(), [], []
-            for i, text in enumerate(batch.column("text")):
-                found = list(WORD.finditer(text.as_py() or ""))
-                if not found or not model.langs:
+            ids, out, work, held = batch.column("doc_id").to_pylist(), [], [], 0
+
+            def turn(work):
+                nonlocal memo, known
+                known = np.concatenate([known, model.words(memo.fresh)])
+                memo.fresh = []
+                out.extend(decide(model, known, work))
+                if len(memo) > MEMO:
+                    memo, known = Numbers(), known[:1]
+
+            for i, value in enumerate(batch.column("text")):
+                text = value.as_py() or ""
+                words = WORD.findall(text)
+                if not words or not model.langs:
                     out.append((i, "und", 0.0, ""))
                     continue
-                numbers = np.empty(len(found), dtype=np.int32)
-                for k, m in enumerate(found):
-                    w = m.group().lower()
-                    if w not in memo:
-                        s = model.word(w)
-                        memo[w] = 0 if s is None else len(known)
-                        known += [] if s is None else [s]
-                    numbers[k] = memo[w]
-                work.append((i, numbers, np.array([m.start() for m in found]), np.array([m.end() for m in found])))
-                if len(memo) > MEMO:
-                    out += decide(model, np.array(known), work)
-                    memo, known, work = {}, known[:1], []
-            out += decide(model, np.array(known), work)
+                work.append((i, np.fromiter(map(memo.__getitem__, words), dtype=np.int32, count=len(words)),
+                             np.fromiter(map(len, words), dtype=np.int32, count=len(words)), text, words[-1]))
+                held += len(words)
+                if held >= BLOCK_WORDS:
+                    turn(work)
+                    work, held = [], 0
+            if work:
+                turn(work)
             out.sort(key=lambda x: x[0])
             cols = list(zip(*out, strict=True)) if out else [[], [], [], []]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([ids[i] for i in cols[0]], pa.int64()), *[pa.array(c, f.type) for c, f in zip(cols[1:], list(schema)[1:], strict=True)]],
                 schema=schema)
+        pa.default_memory_pool().release_unused()
 
     return run
 
