@@ -58,14 +58,14 @@ def utf8_lower(text: Column) -> Column:
     )
 
 
-def ranked(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
+def ranked(df: DataFrame, keys: list[str], order: list[str], out: str, few: bool = True) -> DataFrame:
     """Add ``out``: a gapless rank from 0 within each key, with no task that holds a key whole.
 
     Rows are dealt by a hash of ``order`` into buckets of their key; bucket counts give each
     bucket its first rank, and rows are numbered inside their bucket.  The order is that of
     the hash: as good as random, and the same in every run.  Equal rows get different ranks.
     ``df`` is read twice, so it should be a scan or a landed table.  Nulls are keys.  Meant for few keys
-    (shards, lanes): the first ranks, 256 short rows a key, are broadcast.
+    (shards, lanes): the first ranks, 256 short rows a key, are broadcast unless ``few`` is false.
     """
     rows = df.withColumn("_hash", F.xxhash64(*order)).withColumn(
         "_bucket", F.pmod(F.shiftright("_hash", 20), F.lit(RANK_BUCKETS))
@@ -82,7 +82,7 @@ def ranked(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFr
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_hash", *order)
     return (
         rows.withColumn("_in", F.row_number().over(inside) - 1)
-        .join(F.broadcast(first), same)  # keys x 256 short rows
+        .join(F.broadcast(first) if few else first, same)  # keys x 256 short rows
         .withColumn(out, F.col("_first") + F.col("_in"))
         .drop("_hash", "_bucket", "_in", "_first", "_at_bucket", *[f"_at_{k}" for k in keys])
     )

@@ -46,7 +46,7 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op4_source_mix")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
-    out = mixing.schedule(table(spark, sf, "documents").select("doc_id", "source"))
+    out = mixing.schedule(table(spark, sf, "documents").select("doc_id", "source"), cap=None)
     return out.select("row.doc_id", "row.source", "lane", "units", "block", "slot", "first", "last", "place", "in_mix")
 
 

@@ -166,6 +166,15 @@ def test_mix_caps_a_hot_source_and_keeps_the_rest(spark):
     assert len({r.doc_id for r in kept}) == len(kept)
 
 
+@pytest.mark.parametrize("sizes", [[3000, 3000, 3000, 5], [20_000, 40], [6600] + [700] * 19])
+def test_mix_by_shares_keeps_every_row(spark, sizes):
+    rows = [(k * 100_000 + i, f"s{k}" if k else None) for k, n in enumerate(sizes) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    assert Counter(map(tuple, mixing.mix(df, cap=None).collect())) == Counter(rows)
+    given_ = mixing.mix(df, weights={f"s{k}" if k else None: 1.0 for k in range(len(sizes))}).collect()
+    assert Counter(map(tuple, given_)) == Counter(rows)  # spent lanes leave, the others go on
+
+
 def test_mix_of_odd_rows(odd, empty):
     assert mixing.schedule(odd).count() == odd.count() and mixing.schedule(empty).count() == 0
     kept = mixing.mix(odd, block_rows=1)
