@@ -13,23 +13,29 @@ from .common import ship
 
 ship(__name__)
 
-#: A span is so many consecutive sentences with so many words at least.
+#: A span is so many consecutive sentences at least, and goes on until it holds so many words.
 RUN, RUN_WORDS = 3, 12
 #: A longer sentence counts as several, cut after each so many words.
 SENTENCE_WORDS = 12
 
+#: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han are written without spaces: there, each character counts as a word.
+UNSPACED = "\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+STOPS = ".!?\u3002\uff01\uff1f"
 WORD = re.compile(r"\S+")
+ANY_UNSPACED = re.compile(f"[{UNSPACED}]")
+WORD_OR_CHARACTER = re.compile(f"[{UNSPACED}][^\\s\\w]*|[^\\s{UNSPACED}]+")
 
 
 def sentences(text: str) -> list[tuple[int, int, str, int]]:
     """(start, end, normal form, words) of every sentence.  A sentence ends after '.', '!' or '?' before
-    white space, and at a line feed; its normal form is its words in lower case with single spaces."""
+    white space, and at a line feed, and in a script without spaces after a full stop of its own; its normal form is its
+    words in lower case with single spaces."""
     out = []
     for line_start, line in lines(text):
         words: list[re.Match] = []
-        for m in WORD.finditer(line):
+        for m in (WORD_OR_CHARACTER if not line.isascii() and ANY_UNSPACED.search(line) else WORD).finditer(line):
             words.append(m)
-            if m.group()[-1] in ".!?" or len(words) == SENTENCE_WORDS:
+            if m.group()[-1] in STOPS or len(words) == SENTENCE_WORDS:
                 out.append(piece(words, line_start))
                 words = []
         if words:
@@ -48,12 +54,25 @@ def piece(words: list[re.Match], at: int) -> tuple[int, int, str, int]:
     return at + words[0].start(), at + words[-1].end(), " ".join(w.group() for w in words).lower(), len(words)
 
 
+def run_ends(parts: list[tuple[int, int, str, int]]) -> list[int]:
+    """For each sentence from the first, the end (exclusive) of the shortest run from there that has three sentences and enough
+    words; sentences behind the last such run have none."""
+    ends, j, words = [], 0, 0
+    for i in range(len(parts)):
+        while j < len(parts) and (j - i < RUN or words < RUN_WORDS):
+            words += parts[j][3]
+            j += 1
+        if j - i < RUN or words < RUN_WORDS:
+            break
+        ends.append(j)
+        words -= parts[i][3]
+    return ends
+
+
 def runs(parts: list[tuple[int, int, str, int]]):
-    """(number of the first sentence, 128-bit hash) of every run of three sentences with enough words."""
-    for i in range(len(parts) - RUN + 1):
-        run = parts[i:i + RUN]
-        if sum(p[3] for p in run) >= RUN_WORDS:
-            yield i, xxhash.xxh3_128_digest("\n".join(p[2] for p in run).encode())
+    """(number of the first sentence, 128-bit hash) of the shortest run of three sentences or more with enough words, from every sentence."""
+    for i, end in enumerate(run_ends(parts)):
+        yield i, xxhash.xxh3_128_digest("\n".join([p[2] for p in parts[i:end]]).encode())
 
 
 RUNS = pa.schema([("high", pa.int64()), ("low", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("at", pa.int32())])
@@ -85,7 +104,8 @@ def cut(batches):
         for doc_id, text, found in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(),
                                        batch.column("found").to_pylist(), strict=True):
             parts = sentences(text or "")
-            gone = sorted({i + k for i in found or () for k in range(RUN)})
+            ends = run_ends(parts) if found else []
+            gone = sorted({k for i in found or () for k in range(i, ends[i])})
             spans: list[list[int]] = []
             for i in gone:
                 start = parts[i - 1][1] if i else 0
@@ -106,7 +126,7 @@ def cut(batches):
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Every row with the text that is left: doc_id, n_sentences, n_removed, removed, text.
 
-    Each run of three sentences is hashed; of equal runs in the whole table the first stays (least doc_id, null ids last,
+    The shortest run of three sentences or more with 12 words is hashed from each sentence; of equal runs in the whole table the first stays (least doc_id, null ids last,
     then the hash of the row's text, then the place) and sentences covered by any other are removed.  ``removed`` are the
     spans cut, as start:end in code points, with the white space before them.  Rows that are equal in id and text
     count as one occurrence and are cut alike.  Texts of fewer than three sentences stay; null texts stay null; other

@@ -221,3 +221,14 @@ def test_long_sentences_are_cut_alike():
     words = " ".join(f"w{i}" for i in range(60))
     a, b = (spans.sentences(x + words + " end.") for x in ("Before this. ", "Another start here.\n"))
     assert {h for _, h in spans.runs(a)} & {h for _, h in spans.runs(b)}
+
+
+def test_repeats_of_short_sentences_are_found(spark):
+    """Shouted words, and lines of a script without spaces: no three of them have twelve words together."""
+    shout = " ".join(f"W{i}!!" for i in range(150))
+    han = "\n".join("".join(chr(0x4E00 + (7 * i + k) % 900) for k in range(6)) for i in range(30))
+    line = "".join(chr(0x4E00 + (11 * i) % 900) + ("\u3002" if i % 9 == 8 else "") for i in range(90))  # one line, its own full stops
+    rows = [(k, t) for k, t in enumerate([shout, shout, han, han, line, line])]
+    got = {r.doc_id: r for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[k].n_removed for k in (0, 2, 4)] == [0, 0, 0]
+    assert [got[k].text for k in (1, 3, 5)] == ["", "", ""]
