@@ -175,6 +175,17 @@ def test_mix_by_shares_keeps_every_row(spark, sizes):
     assert Counter(map(tuple, given_)) == Counter(rows)  # spent lanes leave, the others go on
 
 
+@pytest.mark.parametrize("n", [20, 95])
+def test_near_even_sources_run_out_together(spark, n):
+    rows = [(k * 1000 + i, f"s{k}") for k in range(n) for i in range(100 + k % 3)]
+    got = mixing.schedule(spark.createDataFrame(rows, "doc_id long, source string"), cap=None).collect()
+    assert all(r.in_mix for r in got) and len(got) == len(rows)
+    last = Counter()
+    for r in got:
+        last[r.lane] = max(last[r.lane], r.slot)
+    assert min(last.values()) >= 0.9 * max(last.values())
+
+
 def test_mix_of_odd_rows(odd, empty):
     assert mixing.schedule(odd).count() == odd.count() and mixing.schedule(empty).count() == 0
     kept = mixing.mix(odd, block_rows=1)
