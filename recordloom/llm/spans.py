@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from zlib import crc32
 
 import pyarrow as pa
 import xxhash
@@ -15,8 +16,10 @@ ship(__name__)
 
 #: A span is so many consecutive sentences at least, and goes on until it holds so many words.
 RUN, RUN_WORDS = 3, 12
-#: A longer sentence counts as several, cut after each so many words.
+#: A longer sentence counts as several: it is cut after every word whose hash is 0 modulo CUT_EVERY, so that pieces
+#: inside a passage agree whatever precedes it, and after so many words at the latest.
 SENTENCE_WORDS = 12
+CUT_EVERY = 8
 
 #: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han are written without spaces: there, each character counts as a word.
 UNSPACED = "\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
@@ -35,11 +38,22 @@ def sentences(text: str) -> list[tuple[int, int, str, int]]:
         words: list[re.Match] = []
         for m in (WORD_OR_CHARACTER if not line.isascii() and ANY_UNSPACED.search(line) else WORD).finditer(line):
             words.append(m)
-            if m.group()[-1] in STOPS or len(words) == SENTENCE_WORDS:
-                out.append(piece(words, line_start))
+            if m.group()[-1] in STOPS:
+                out += pieces(words, line_start)
                 words = []
-        if words:
-            out.append(piece(words, line_start))
+        out += pieces(words, line_start)
+    return out
+
+
+def pieces(words: list[re.Match], at: int) -> list[tuple[int, int, str, int]]:
+    """A sentence, or the parts of a long one."""
+    if len(words) <= SENTENCE_WORDS:
+        return [piece(words, at)] if words else []
+    out, first = [], 0
+    for i, m in enumerate(words, 1):
+        if i - first == SENTENCE_WORDS or i == len(words) or crc32(m.group().lower().encode("utf-8", "replace")) % CUT_EVERY == 0:
+            out.append(piece(words[first:i], at))
+            first = i
     return out
 
 

@@ -232,3 +232,14 @@ def test_repeats_of_short_sentences_are_found(spark):
     got = {r.doc_id: r for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [got[k].n_removed for k in (0, 2, 4)] == [0, 0, 0]
     assert [got[k].text for k in (1, 3, 5)] == ["", "", ""]
+
+
+@pytest.mark.parametrize("stops", [False, True])
+def test_passages_inside_a_sentence_are_found(spark, stops):
+    """A passage behind unpunctuated words, three to nine in number, without a stop or with one late stop."""
+    words = [f"p{i}" for i in range(66)]
+    passage = " ".join(w + "." if stops and i == 40 else w for i, w in enumerate(words))
+    rows = [(k, " ".join([*[f"own{k}x{i}" for i in range(k)], passage, *[f"end{k}x{i}" for i in range(9)]])) for k in range(3, 10)]
+    got = spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    left = {r.doc_id: len(set(words) & set(r.text.replace(".", "").split())) for r in got}
+    assert left.pop(3) == len(words) and max(left.values()) <= 2 * spans.SENTENCE_WORDS
