@@ -186,6 +186,26 @@ def test_near_even_sources_run_out_together(spark, n):
     assert min(last.values()) >= 0.9 * max(last.values())
 
 
+@pytest.mark.parametrize("period, bound", [(10_000, 1.001), (50, 2)])
+def test_rare_sources_have_windows_of_their_own(spark, monkeypatch, period, bound):
+    monkeypatch.setattr(mixing, "PERIOD", period)
+    rows = [(k * 10_000 + i, f"s{k}") for k in range(150) for i in range(2000 if k == 0 else 8 + k % 9)]
+    got = mixing.schedule(spark.createDataFrame(rows, "doc_id long, source string"), cap=None).collect()
+    slots = sorted({(r.slot, r.lane) for r in got})
+    n = Counter(lane for _, lane in slots)
+    assert [s for s, _ in slots] == list(range(len(slots))) and len(n) == 150 and all(r.first <= r.slot < r.last for r in got)
+    done = Counter()
+    for t, lane in slots:
+        assert abs(done[lane] - n[lane] * t / len(slots)) < bound
+        done[lane] += 1
+        assert abs(done[lane] - n[lane] * (t + 1) / len(slots)) < bound
+
+
+def test_little_weights_are_weights(spark):
+    df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(40)], "doc_id long, source string")
+    assert {r.row.source for r in mixing.schedule(df, weights={"a": 1.0, "b": 1e-6}).collect() if r.slot is not None} == {"a", "b"}
+
+
 def test_mix_of_odd_rows(odd, empty):
     assert mixing.schedule(odd).count() == odd.count() and mixing.schedule(empty).count() == 0
     kept = mixing.mix(odd, block_rows=1)
