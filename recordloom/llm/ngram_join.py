@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import landed, ship
@@ -93,9 +93,9 @@ def agree(a: np.ndarray, n: int, b: np.ndarray, m: int, percent: int) -> bool:
     return all(int(np.isin(x[:i], y[:j]).sum()) >= least for x, y in ((a[:p], b[:q]), (a[p:], b[q:])))
 
 
-SEEN = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("prefixes", pa.binary()),
+SEEN = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("prefixes", pa.binary()),
                   ("token", pa.int64()), ("count", pa.int64())])
-SEEN_TYPE = "doc_id long, n long, node long, prefixes binary, token long, count long"
+SEEN_TYPE = "doc_id long, hash long, n long, node long, prefixes binary, token long, count long"
 
 
 def survey(size: int, percent: int):
@@ -113,7 +113,7 @@ def survey(size: int, percent: int):
             many = counts >= LOCAL_LEAST
             k = int(many.sum())
             return pa.RecordBatch.from_arrays([
-                *[pa.nulls(k, pa.int64())] * 3, pa.nulls(k, pa.binary()),
+                *[pa.nulls(k, pa.int64())] * 4, pa.nulls(k, pa.binary()),
                 pa.array(tokens[many].view(np.int64)), pa.array(counts[many].astype(np.int64))], schema=SEEN)
 
         for batch in batches:
@@ -135,7 +135,7 @@ def survey(size: int, percent: int):
                     met.clear()
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(prefixes, pa.binary()),
+                batch.column("doc_id"), batch.column("hash"), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(prefixes, pa.binary()),
                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], schema=SEEN)
         if held:
             yield frequent()
@@ -316,9 +316,18 @@ def similar(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text
     Null and blank texts have no shingles and their own id; a null doc_id counts as no id (its component has the least
     id of the others, or null); rows with one doc_id are separate texts; other columns are ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    named, alone = linked(docs, size, percent, text, doc_id)
+    # The least id of a hot class comes from partial minima; its rows are joined, never gathered.
+    least = named.groupBy(F.col("root").alias("l_root")).agg(F.min("doc_id").alias("component_id"))
+    out = named.join(least, F.col("root") == F.col("l_root")).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return out.unionByName(alone.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def linked(docs: DataFrame, size: int, percent: int, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
+    """doc_id, hash of the text, set size and root of every row with words, and the rows without words."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
     seen = landed(rows.mapInArrow(survey(size, percent), SEEN_TYPE), "ngram-survey")
-    sets = seen.where("token is null").select("doc_id", "n", "node", "prefixes")
+    sets = seen.where("token is null").select("doc_id", "hash", "n", "node", "prefixes")
     top = (seen.where("token is not null").groupBy("token").agg(F.sum("count").alias("n"))
            .orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas())
     by_count = top["token"].to_numpy(dtype=np.int64).view(np.uint64)[::-1]  # the most frequent last
@@ -328,11 +337,7 @@ def similar(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text
         shared_blocks, POSTING_TYPE), "ngram-blocks")
     roots = linked_nodes(rows, sets, blocks, size, percent)
     named = sets.where("n > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # The least id of a hot class comes from partial minima; its rows are joined, never gathered.
-    least = named.groupBy(F.col("root").alias("l_root")).agg(F.min("doc_id").alias("component_id"))
-    out = named.join(least, F.col("root") == F.col("l_root")).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return out.unionByName(alone)
+    return named, sets.where("n = 0")
 
 
 def with_roots(blocks: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -422,17 +427,21 @@ def linked_nodes(rows: DataFrame, sets: DataFrame, blocks: DataFrame, size: int,
     return rows.sparkSession.createDataFrame([], "node long, root long") if roots is None else roots
 
 
-def keep_first(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row of each group of similar texts, with all columns of ``docs``: the one with the least doc_id; rows without words all stay.
+def keep_first(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id", unique_ids: bool = True) -> DataFrame:
+    """One row of each group of similar texts, with all columns of ``docs``; rows without words all stay.
 
-    If several rows share that id, the one with the least hash of its text stays, and of equal rows one.
+    It is the one with the least doc_id (null ids last), then the least hash of its text, and of equal rows one.  With ``unique_ids`` an id is
+    that of one text: of several groups whose first rows share an id (null is none) only the one with the least hash is kept.
     """
-    groups = similar(docs, size, percent, text, doc_id)
-    first = groups.where("n_shingles > 0").groupBy("component_id").agg(F.min("doc_id").alias("first")).select("first").distinct()
+    named, _ = linked(docs, size, percent, text, doc_id)
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("f_key"), F.col("hash").alias("f_hash"))
+    firsts = named.groupBy("root").agg(F.min(first).alias("f")).select("f.f_key", "f.f_hash")
+    if unique_ids:
+        shared = firsts.groupBy("f_key").agg(F.min("f_hash").alias("f_hash")).where("f_key is not null")
+        firsts = shared.unionByName(firsts.where("f_key is null"))
     key = F.col(doc_id).cast("long")
     words = F.col(text).isNotNull() & (F.char_length(F.btrim(F.col(text), F.lit(" \t\n\x0b\x0c\r"))) > 0)
     whole = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"), F.xxhash64(text).alias("hash"), words.alias("words"))
-    kept = whole.where("words").join(first, F.col("key").eqNullSafe(F.col("first")), "left_semi")
-    by_id = Window.partitionBy("key").orderBy("hash")
-    return (kept.withColumn("nth", F.row_number().over(by_id)).where("nth = 1").select("row.*")
-            .unionByName(whole.where(~F.col("words")).select("row.*")))
+    kept = whole.where("words").join(firsts, F.col("key").eqNullSafe(F.col("f_key")) & (F.col("hash") == F.col("f_hash")), "left_semi")
+    # Equal rows collapse in partial aggregates before the shuffle.
+    return kept.dropDuplicates(["key", "hash"]).select("row.*").unionByName(whole.where(~F.col("words")).select("row.*"))

@@ -243,3 +243,13 @@ def test_passages_inside_a_sentence_are_found(spark, stops):
     got = spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     left = {r.doc_id: len(set(words) & set(r.text.replace(".", "").split())) for r in got}
     assert left.pop(3) == len(words) and max(left.values()) <= 2 * spans.SENTENCE_WORDS
+
+
+def test_each_group_keeps_a_row(spark):
+    """Different texts without an id, and with one id; the least id of a group may be that of an unrelated text."""
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(30))
+    rows = [(None, text(k % 4)) for k in range(8)] + [(5, text(10)), (5, text(11)), (7, text(11)), (9, text(1)), (5, " "), (5, text(10))]
+    kept = ngram_join.keep_first(spark.createDataFrame(rows, "doc_id long, text string"), unique_ids=False)
+    assert Counter(map(tuple, kept.collect())) == Counter(
+        [(None, text(0)), (9, text(1)), (None, text(2)), (None, text(3)), (5, text(10)), (5, text(11)), (5, " ")])
+    assert sum(r.doc_id is None for r in ngram_join.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == 3
