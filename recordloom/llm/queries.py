@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, ngram_join, quality, secrets, sharding, spans, sql, token_files, toxicity
+from . import decontaminate, language, mixing, negatives, ngram_join, quality, secrets, sharding, spans, sql, token_files, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,10 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_sentence_spans")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return spans.remove_repeats(table(spark, sf, "documents"))
+
+
+@query("op13_hard_negatives", sql.OP13)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").withColumn("label", label)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
