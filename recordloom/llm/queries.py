@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, negatives, ngram_join, quality, secrets, sharding, spans, sql, token_files, toxicity
+from . import bpe, decontaminate, language, mixing, negatives, ngram_join, quality, ranked, secrets, sharding, spans, sql, token_files, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-TOKENIZER = "word_bpe_49k.json"
+TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def query(name: str, sql: str | None = None):
@@ -86,6 +86,18 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return spans.remove_repeats(table(spark, sf, "documents"))
 
 
+@query("op11_ranked_search", sql.OP11)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op12_bpe_automaton")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digests(table(spark, sf, "documents"), public_tokenizers.path(BYTE_TOKENIZER))
+
+
 @query("op13_hard_negatives", sql.OP13)
 def op13(spark: SparkSession, sf: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))

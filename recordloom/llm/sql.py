@@ -85,3 +85,22 @@ SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, p
        other_id AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 QUALIFY rank <= 3"""
+
+_TERMS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(table: str, key: str) -> str:
+    text = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
+    return f"SELECT row_number() OVER () AS r, {key}, list_filter(string_split_regex({text}, '{_TERMS}'), lambda x: x <> '') AS w FROM {table}"
+
+
+OP11 = f"""
+WITH d AS ({_terms("documents", "doc_id")}), b AS ({_terms("benchmark", "item_id")}),
+total AS (SELECT COUNT(*) AS n_docs, SUM(len(w))::BIGINT AS n_words FROM d WHERE len(w) > 0),
+q AS (SELECT DISTINCT r AS item, item_id, unnest(w) AS term FROM b),
+tf AS (SELECT r, doc_id, n, term, COUNT(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS wt FROM tf, total GROUP BY term),
+s AS (SELECT item, item_id, r, doc_id, CAST(SUM(wt * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_words)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN wt USING (term), total GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10"""
