@@ -183,6 +183,16 @@ def _ranged(value: Column, op: str, like: Any) -> Column:
     return _compared(value, like, COMPARE[op])
 
 
+def equal_value(value: Column, like: Any) -> Column:
+    """A dynamic value equals ``like``, or is a list with such an element."""
+    return F.exists(_leaves(F.array(value)), lambda v: _equals(v, like))
+
+
+def compared_value(value: Column, op: str, like: Any) -> Column:
+    """A dynamic value, or an element of it, lies on one side of ``like``."""
+    return F.exists(_leaves(F.array(value)), lambda v: _ranged(v, op, like))
+
+
 def _sized(value: Column, op: str, like: int) -> Column:
     return F.coalesce(F.size(as_list(value)) == like, F.lit(False))
 

@@ -1,14 +1,7 @@
-"""Walking nested values inside one row.
-
-Each walk is one ``aggregate`` expression that keeps a list of levels and derives the next
-level from the last, so any depth is reached in a single scan with no join, no shuffle
-and no need to learn the structure first.
-"""
+"""Expressions over nested values: child rows, columns of a shredded row, and depth."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,26 +9,21 @@ from .naming import snake_case
 from .plan import last_wins, let
 from .values import as_list, as_object, is_object, is_object_list
 
-NODE = ("array<struct<table:string,uuid:string,parent_table:string,parent_id:string,list_key:string,pos:int,"
-        "depth:int,fields:map<string,variant>>>")
-PATH = "array<struct<path:string,parent:string,child:string,level:int,fields:map<string,variant>,is_list:boolean>>"
-
 
-def depth_bound(value: Column, marks: str) -> Column:
-    """No value is nested deeper than its JSON text has opening brackets."""
-    text = F.to_json(value)
-    return F.coalesce(F.length(text) - F.length(F.translate(text, marks, "")), F.lit(0))
+def real_depth(value: Column) -> Column:
+    """How deep brackets stand inside each other in a value's JSON text; those inside texts do not count.
 
-
-def levels(first: Column, step: Callable[[Column], Column], dtype: str, depth: Column) -> Column:
-    """All levels, flattened: ``first``, ``step(first)``, … up to ``depth`` steps, a bound that no level exceeds."""
-    start = F.array(first.cast(dtype))
-    grown = F.aggregate(
-        F.slice(F.sequence(F.lit(0), depth), 2, F.greatest(depth, F.lit(1))),
-        start,
-        lambda acc, _: F.array_append(acc, step(F.element_at(acc, -1)).cast(dtype)),
-    )
-    return F.flatten(grown)
+    Linear in the text: texts go first, then all but brackets, and what is left is counted once.
+    """
+    outside = F.regexp_replace(F.to_json(value), r'"(?:[^"\\]++|\\.)*+"', "")
+    marks = F.split(F.regexp_replace(F.translate(outside, "{}", "[]"), r"[^\[\]]++", ""), "")
+    deepest = F.aggregate(
+        marks, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda acc, mark: let(
+            acc["now"] + F.when(mark == "[", 1).when(mark == "]", -1).otherwise(0),
+            lambda now: F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))),
+        lambda acc: acc["most"])
+    return F.coalesce(deepest, F.lit(0))
 
 
 def child_id(parent: Column, key: Column, pos: Column) -> Column:
@@ -43,51 +31,14 @@ def child_id(parent: Column, key: Column, pos: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", parent, key, pos.cast("string")), 256), 1, 32)
 
 
-def table_nodes(uuid: Column | None, fields: Column, root: str = "root", rename: bool = True,
-                depth: int | None = None) -> Column:
-    """Every row a record shreds into: the root, and one node per object in each list of
-    objects, at all depths or down to ``depth``.  Without ``uuid`` the nodes carry no ids."""
-    name = snake_case if rename else (lambda c: c)
-    none = F.lit(None).cast("string")
-    top = F.array(
-        F.struct(
-            F.lit(root).alias("table"), (none if uuid is None else uuid).alias("uuid"), none.alias("parent_table"), none.alias("parent_id"),
-            none.alias("list_key"), F.lit(0).alias("pos"), F.lit(0).alias("depth"), fields.alias("fields"),
-        )
-    )
+def has_child_rows(fields: Column) -> Column:
+    """Does a record have a list of objects?"""
+    return F.coalesce(F.exists(F.map_values(fields), is_object_list), F.lit(False))
 
-    def rows_of(node: Column, entry: Column) -> Column:
-        key = name(entry["key"])
-        rows = F.transform(
-            as_list(entry["value"]),
-            lambda item, i: F.struct(
-                F.concat_ws("_", node["table"], key).alias("table"),
-                (none if uuid is None else child_id(node["uuid"], key, i)).alias("uuid"),
-                node["table"].alias("parent_table"),
-                node["uuid"].alias("parent_id"),
-                entry["key"].alias("list_key"),
-                i.alias("pos"),
-                (node["depth"] + 1).alias("depth"),
-                as_object(item).alias("fields"),
-            ),
-        )
-        return F.filter(rows, lambda r: r["fields"].isNotNull())
-
-    def step(frontier: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                frontier,
-                lambda node: F.flatten(
-                    F.transform(
-                        F.filter(F.map_entries(node["fields"]), lambda e: is_object_list(e["value"])),
-                        lambda e: rows_of(node, e),
-                    )
-                ),
-            )
-        )
 
-    bound = depth_bound(F.to_variant_object(fields), "[")
-    return levels(top, step, NODE, bound if depth is None else F.least(bound, F.lit(depth)))
+def has_objects(fields: Column) -> Column:
+    """Does a record have an object or a list of objects?"""
+    return F.coalesce(F.exists(F.map_values(fields), lambda v: is_object_list(v) | is_object(v)), F.lit(False))
 
 
 def columns_of(fields: Column, rename: bool = True) -> Column:
@@ -177,43 +128,6 @@ def members_of(fields: Column, names: Column) -> Column:
     return F.map_from_entries(let(items, built))
 
 
-def object_paths(fields: Column, root: str = "root") -> Column:
-    """Every nested object reached through lists of objects and plain objects, with its path."""
-    none = F.lit(None).cast("string")
-    top = F.array(
-        F.struct(
-            F.lit(root).alias("path"), none.alias("parent"), none.alias("child"), F.lit(0).alias("level"),
-            fields.alias("fields"), F.lit(False).alias("is_list"),
-        )
-    )
-
-    def objects_of(node: Column, entry: Column) -> Column:
-        def made(item: Column, listed: bool) -> Column:
-            return F.struct(
-                F.concat_ws(".", node["path"], entry["key"]).alias("path"),
-                F.element_at(F.split(node["path"], "\\."), -1).alias("parent"),
-                entry["key"].alias("child"),
-                (node["level"] + 1).alias("level"),
-                as_object(item).alias("fields"),
-                F.lit(listed).alias("is_list"),
-            )
-
-        listed = F.transform(as_list(entry["value"]), lambda item: made(item, True))
-        single = F.array(made(entry["value"], False))
-        found = F.when(is_object_list(entry["value"]), listed).when(is_object(entry["value"]), single)
-        return F.filter(F.coalesce(found, F.array().cast(PATH)), lambda r: r["fields"].isNotNull())
-
-    def step(frontier: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                frontier,
-                lambda node: F.flatten(F.transform(F.map_entries(node["fields"]), lambda e: objects_of(node, e))),
-            )
-        )
-
-    return levels(top, step, PATH, depth_bound(F.to_variant_object(fields), "{"))
-
-
 def nesting_depth(value: Column) -> Column:
     """Depth of a value: each object or list adds one; a list is judged by its first element."""
 
@@ -221,9 +135,8 @@ def nesting_depth(value: Column) -> Column:
         as_obj, as_arr = as_object(v), as_list(v)
         return F.coalesce(F.map_values(as_obj), F.slice(as_arr, 1, 1), F.array().cast("array<variant>"))
 
-    bound = depth_bound(value, "[{")
     grown = F.aggregate(
-        F.sequence(F.lit(0), bound),
+        F.sequence(F.lit(0), real_depth(value)),
         F.struct(F.array(value).alias("frontier"), F.lit(0).alias("depth")),
         lambda acc, _: let(
             F.flatten(F.transform(acc["frontier"], inner)),

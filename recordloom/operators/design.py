@@ -26,6 +26,7 @@ from ..functions.values import (
     type_name,
     types_in,
 )
+from .levels import object_nodes
 from .profile import column_cells, record_total, value_partials
 
 # Name parts that make a candidate key the preferred one.
@@ -79,8 +80,7 @@ def _attribute_names(item: Column) -> Column:
 
 def nesting_paths(records: DataFrame) -> DataFrame:
     """Paths of nested lists of objects with level, parent, child and attributes."""
-    nodes = records.select(F.explode_outer(walk.object_paths(F.col("fields"))).alias("n")).select("n.*")
-    listed = nodes.filter("is_list")
+    listed = object_nodes(records).filter("is_list")
     base = listed.groupBy("path", "level", "parent", "child").agg(F.count(F.lit(1)).alias("objects"))
     names = (
         listed.select("path", F.explode(F.map_keys("fields")).alias("a")).distinct().groupBy("path")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.either_side import matching
 from ..functions.plan import let, once
 from ..functions.values import type_name
 from .route import resolve_references
@@ -38,15 +40,16 @@ def read_by_id(structured: DataFrame, documents: DataFrame, uuid: str,
     return found.unionByName(missing, allowMissingColumns=True)
 
 
-def read_by_filter(structured: DataFrame, condition: Column, documents: DataFrame,
+def read_by_filter(structured: DataFrame, condition: Column | dict[str, Any], documents: DataFrame,
                    children: dict[str, tuple[DataFrame, str, Sequence[str]]] | None = None,
                    side: DataFrame | None = None) -> DataFrame:
     """Structured rows that match, each completed with its document and child lists.
 
+    A ``Column`` is tested on the structured side alone and reaches its scan; a filter object finds its fields on either side.
     The other sides are first reduced to the matching ids by semi joins, for which Spark
     broadcasts the ids when they turn out small.
     """
-    matched = structured.filter(condition)
+    matched = matching(structured, documents, condition) if isinstance(condition, dict) else structured.filter(condition)
     ids = matched.select("uuid")
     docs = documents.join(ids, "uuid", "left_semi")
     if side is not None:

@@ -8,7 +8,8 @@ from typing import Any, NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.filters import document_filter
+from ..functions.either_side import matching
+from ..functions.values import OBJECT
 from .route import route_records
 
 
@@ -49,19 +50,10 @@ def _tests(spec: dict[str, Any]) -> dict[str, list]:
 
 
 def chosen_ids(structured: DataFrame, documents: DataFrame, spec: dict[str, Any]) -> DataFrame:
-    """Ids of the records that satisfy all conditions.  A field is tested in the structured table if that has a column for
-    it, else in the documents; with conditions on both sides the two lists of ids are joined."""
-    left = F.lit(True)
-    in_docs = {}
-    for field, values in _tests(spec).items():
-        if field in structured.columns:
-            left = left & F.coalesce(F.col(f"`{field}`").isin(*values), F.lit(False))
-        else:
-            in_docs[field] = {"$in": values}
-    ids = structured.filter(left).select("uuid").withColumn("_hit", F.lit(True))
-    if in_docs:
-        ids = ids.join(documents.filter(document_filter(in_docs, max_list=max(map(len, _tests(spec).values())))).select("uuid"), "uuid", "left_semi")
-    return ids
+    """Ids of the records that satisfy all conditions.  Each field is looked up where its value is: in the record's
+    document if that has it, else in its column, by the value's own type."""
+    checked = {field: {"$in": values} for field, values in _tests(spec).items()}
+    return matching(structured, documents, checked).select("uuid").withColumn("_hit", F.lit(True))
 
 
 def update_where(structured: DataFrame, documents: DataFrame, spec: dict[str, Any], changes: dict[str, Any],
@@ -69,34 +61,40 @@ def update_where(structured: DataFrame, documents: DataFrame, spec: dict[str, An
     """Set fields on the side or sides they route to, in records chosen by equality or ``$in`` on any fields
     of either side, all of which must hold.
 
-    Conditions on structured columns alone are tested in place, in one pass; others go by joined ids.  A value that
-    the column's type would not hold as it is goes to the document by the router's rule, and the column becomes NULL.
+    A changed field has one value afterwards: a value that its column's type would not hold as it is goes to the document, by the
+    router's rule, and the column becomes NULL; a value that the column holds takes an older one out of the document.
+    A record without a document gets one if it needs it.
     """
     if not changes:
         raise ValueError("no data to update")
     kinds = dict(structured.dtypes)
-    left = {k: v for k, v in changes.items() if routes.get(k, default) in ("SQL", "BOTH")}
-    right = {k: v for k, v in changes.items() if routes.get(k, default) in ("MONGO", "BOTH")}
-    for k, v in list(left.items()):
-        if k in kinds and not _holds(kinds[k], v):
-            left[k], right[k] = None, v
+    left: dict[str, Any] = {}
+    right: dict[str, Any] = {}
+    for name, value in changes.items():
+        route = routes.get(name, default)
+        held = route in ("SQL", "BOTH") and (name not in kinds or _holds(kinds[name], value))
+        if held:
+            left[name] = value
+        elif name in kinds:
+            left[name] = None
+        if route != "SQL" or not held:
+            right[name] = value
     ids = chosen_ids(structured, documents, spec)
-    in_place = all(f in structured.columns for f in spec)
-    rows = structured if in_place else structured.join(ids, "uuid", "left")
-    hit = F.lit(True) if in_place else F.coalesce(F.col("_hit"), F.lit(False))
-    for field, values in _tests(spec).items() if in_place else []:
-        hit = hit & F.coalesce(F.col(f"`{field}`").isin(*values), F.lit(False))
-    updated = rows.select(
-        *[F.when(hit, F.lit(left[c]).cast(kinds[c])).otherwise(F.col(f"`{c}`")).alias(c) if c in left else F.col(f"`{c}`") for c in structured.columns],
-        *[F.when(hit, F.lit(v)).alias(k) for k, v in left.items() if k not in kinds]) if left else structured
-    docs = documents
+    updated = structured
+    if left:
+        hit = F.coalesce(F.col("_hit"), F.lit(False))
+        updated = structured.join(ids, "uuid", "left").select(
+            *[F.when(hit, F.lit(left[c]).cast(kinds[c])).otherwise(F.col(f"`{c}`")).alias(c) if c in left else F.col(f"`{c}`")
+              for c in structured.columns],
+            *[F.when(hit, F.lit(v)).alias(k) for k, v in left.items() if k not in kinds])
+    new = F.create_map(*[x for k, v in right.items() for x in (F.lit(k), _variant(v))]) if right else F.create_map().cast(OBJECT)
+    kept = F.map_filter("doc", lambda k, v: ~k.isin(*changes))
+    docs = documents.join(ids, "uuid", "left").select(
+        *[F.when(F.col("_hit"), F.map_concat(kept, new)).otherwise(F.col("doc")).alias("doc") if c == "doc" else c
+          for c in documents.columns])
     if right:
-        new = F.create_map(*[x for k, v in right.items() for x in (F.lit(k), _variant(v))])
-        kept = F.map_filter("doc", lambda k, v: ~k.isin(*right))
-        docs = documents.join(ids, "uuid", "left").select(
-            *[F.when(F.col("_hit"), F.map_concat(kept, new)).otherwise(F.col("doc")).alias("doc") if c == "doc" else c
-              for c in documents.columns]
-        )
+        bare = ids.join(documents.select("uuid"), "uuid", "left_anti")
+        docs = docs.unionByName(bare.select("uuid", new.alias("doc")), allowMissingColumns=True)
     return Changed(updated, docs, ids.agg(F.count(F.lit(1)).alias("affected")))
 
 

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.either_side import matching
 from ..functions.filters import document_filter, filter_conditions, structured_filter
 from ..functions.values import plain_text, type_name
 
@@ -29,6 +30,11 @@ def filter_by_conditions(df: DataFrame, conditions: list[dict[str, Any]], docume
     return df.filter(filter_conditions(conditions, documents))
 
 
+def filter_records(structured: DataFrame, documents: DataFrame, spec: dict[str, Any]) -> DataFrame:
+    """Structured rows of the records that satisfy a filter object, wherever each of its fields has its value."""
+    return matching(structured, documents, spec)
+
+
 def project_fields(df: DataFrame, fields: Sequence[str] | None) -> DataFrame:
     """Requested columns that exist, in request order; all when none are requested."""
     return df.select(*[f for f in fields if f in df.columns]) if fields else df

@@ -20,6 +20,7 @@ from ..functions.values import (
     type_name,
     typed,
 )
+from .levels import table_nodes
 from .profile import cells
 
 
@@ -35,13 +36,13 @@ def shred(records: DataFrame, root: str = "root", depth: int | None = None) -> D
     """Records ``(uuid, fields)`` to the rows of all their tables:
     ``(table, uuid, parent_table, parent_id, list_key, pos, depth, fields, rest, names)``.
 
-    One scan and no shuffle; lists of objects become ``<parent>_<key>`` rows whose id is derived from parent, key and
-    position, at all depths or down to ``depth``.  What columns and child rows cannot hold in full stays beside the row
+    No shuffle and no join: level by level (see ``levels``), lists of objects become ``<parent>_<key>`` rows whose id is derived from
+    parent, key and position, at all depths or down to ``depth``.  What columns and child rows cannot hold in full stays beside the row
     in ``rest``: lists of other or mixed values, empty lists and objects, members whose column name clashes, and
     lists below ``depth``.  ``names`` maps a column to the member path it came from where that differs, and
     ``list_key`` is the member a child row was an element of.
     """
-    nodes = once(_nodes(records, root, True, depth), _columns=walk.columns_of(F.col("fields")))
+    nodes = once(table_nodes(records, root, True, depth), _columns=walk.columns_of(F.col("fields")))
     nodes = once(nodes, _clashes=walk.clashing(F.col("_columns")))
     cut = F.lit(False) if depth is None else F.col("depth") >= depth
     return nodes.select(
@@ -51,13 +52,6 @@ def shred(records: DataFrame, root: str = "root", depth: int | None = None) -> D
         walk.member_paths(F.col("_columns"), F.col("_clashes")).alias("names"))
 
 
-def _nodes(records: DataFrame, root: str, rename: bool, depth: int | None, ids: bool = True) -> DataFrame:
-    # A record always has its root node, so the outer form drops nothing; it only keeps
-    # Spark from evaluating the walk a second time in an inferred filter.
-    nodes = walk.table_nodes(F.col("uuid") if ids else None, F.col("fields"), root, rename, depth)
-    return records.select(F.explode_outer(nodes).alias("n")).select("n.*")
-
-
 def flatten_object(fields: Column) -> Column:
     """One row's columns: nested objects one level deep as ``key_sub``."""
     return walk.flat_fields(fields)
@@ -115,7 +109,7 @@ def shred_all(records: DataFrame, entity: str = "root") -> Shredded:
 def structure_map(records: DataFrame, root: str = "root") -> DataFrame:
     """Tables, flattened columns and child tables found anywhere in the records:
     ``(table, column, kind, child_table)`` with kind ``column`` or ``child``."""
-    nodes = _nodes(records, root, False, None, ids=False).select("table", F.explode("fields").alias("key", "value"))
+    nodes = table_nodes(records, root, False, ids=False).select("table", F.explode("fields").alias("key", "value"))
     key, value = F.col("key"), F.col("value")
     sub = F.transform(F.map_keys(as_object(value)), lambda s: F.concat_ws("_", key, s))
     names = (

@@ -49,6 +49,17 @@ def s1_read_records(spark, sf):
     return good.unionByName(bad)
 
 
+@query("s1_read_any_column", f"""WITH {I.EVENT_SQL}
+SELECT event_id, event_type, value, late FROM ev""")
+def s1_read_any_column(spark, sf):
+    """The text may be in a column of any name."""
+    lines = I.event_json(I.table(spark, sf, "events")).select("event_id", F.col("raw").alias("value"))
+    fields = read_records(lines, "value", "event_id").records
+    read = lambda name, kind: F.try_variant_get(F.try_element_at("fields", F.lit(name)), "$", kind)
+    return fields.select(F.col("rec_id").alias("event_id"), read("eventType", "string").alias("event_type"), read("value", "double").alias("value"),
+                         F.coalesce(read("coupon", "boolean"), F.lit(False)).alias("late"))
+
+
 @query("s2_stream_records", """
 SELECT event_type, COUNT(*) AS events, MIN(event_id) AS first_event, MAX(event_id) AS last_event
 FROM events GROUP BY event_type""")

@@ -384,6 +384,43 @@ def w2_update_by_either_side(spark, sf):
     return done.structured.select("uuid", "balance").join(done.documents.select("uuid", text), "uuid").withColumn("affected", done.affected.scalar())
 
 
+def _split_events(spark, sf):
+    """Events routed by what the early ones taught: ``k`` is an integer column, and the texts of late errors stay in documents."""
+    from ..operators.records import assign_uuid
+    from ..operators.route import route_records
+
+    decisions = decide_targets(field_profile(I.event_records(spark, sf, "early")))
+    return route_records(assign_uuid(I.event_records(spark, sf)), decisions)
+
+
+@query("w2_update_misfit", f"""WITH {I.EVENT_SQL}
+SELECT event_id, CASE WHEN NOT (late AND err) THEN k WHEN k IN (5, 6) THEN -1 END AS k, CASE WHEN late AND err AND k NOT IN (5, 6) THEN CAST(k AS VARCHAR) END AS doc_k,
+       (SELECT COUNT(*) FROM ev WHERE late AND err AND k IN (5, 6)) AS affected FROM ev""")
+def w2_update_misfit(spark, sf):
+    """Records are found by values that their column does not hold, and the new value takes the old one's place."""
+    sides = _split_events(spark, sf)
+    done = W.update_where(sides.structured, sides.documents, {"k": {"$in": ["5", "6"]}}, {"k": -1}, {"k": "SQL"})
+    text = F.try_variant_get(F.try_element_at("doc", F.lit("k")), "$", "string").alias("doc_k")
+    return done.structured.select("uuid", "event_id", "k").join(done.documents.select("uuid", text), "uuid").select(
+        "event_id", "k", "doc_k").withColumn("affected", done.affected.scalar())
+
+
+@query("q1_filter_either_side", f"""WITH {I.EVENT_SQL}, t AS (SELECT *, late AND err AS is_text FROM ev)
+SELECT 'equal' AS test, event_id FROM t WHERE CASE WHEN is_text THEN k = 5 ELSE k = 7 END
+UNION ALL SELECT 'range', event_id FROM t WHERE NOT is_text AND k >= 90.5 AND event_type <> 'view'
+UNION ALL SELECT 'text', event_id FROM t WHERE is_text AND CAST(k AS VARCHAR) > '95'
+UNION ALL SELECT 'not', event_id FROM t WHERE event_type = 'error' AND (is_text OR k <> 5)""")
+def q1_filter_either_side(spark, sf):
+    sides = _split_events(spark, sf)
+    specs = {"equal": {"k": {"$in": ["5", 7, 2.5]}}, "range": {"k": {"$gte": 90.5}, "event_type": {"$ne": "view"}}, "text": {"k": {"$gt": "95"}},
+             "not": {"event_type": "error", "k": {"$ne": 5}}}
+    out = None
+    for name, spec in specs.items():
+        rows = Q.filter_records(sides.structured, sides.documents, spec).select(F.lit(name).alias("test"), "event_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("w3_delete_by_either_side", f"""WITH {_ACCOUNT}, hit AS (SELECT uuid FROM acct WHERE segment = 'BUILDING' AND nation IN (1, 2, 3, 4, 5))
 SELECT 'root' AS "table", (SELECT COUNT(*) FROM hit) AS deleted, (SELECT COUNT(*) FROM acct) - (SELECT COUNT(*) FROM hit) AS kept
 UNION ALL SELECT 'documents', (SELECT COUNT(*) FROM hit), (SELECT COUNT(*) FROM acct) - (SELECT COUNT(*) FROM hit)""")

@@ -24,25 +24,27 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     )
 
 
-#: Folders made in this session, by application id.
+#: Folders made in this session, and the base of a local session that names none, by application id.
 _MADE: dict[str, list[str]] = {}
+_LOCAL_BASE: dict[str, str] = {}
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
     The setting names storage that every executor can reach, and a cluster must have it.  Only with a
-    ``local`` master (tests, one process) is a temporary folder used where it is unset, and then
-    recorded in the session so that later calls agree.
+    ``local`` master, where driver and executors are one process, is a folder of its own made if it is unset.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    app = spark.sparkContext.applicationId
     if not base:
         if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="recordloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if app not in _LOCAL_BASE:
+            _LOCAL_BASE[app] = tempfile.mkdtemp(prefix="recordloom-")
+        base = _LOCAL_BASE[app]
     folder = os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
-    _MADE.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    _MADE.setdefault(app, []).append(folder)
     return folder
 
 

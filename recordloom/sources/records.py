@@ -26,7 +26,7 @@ def parse_records(df: DataFrame, json_col: str, id_col: str) -> DataFrame:
     # The JSON reader stops after the first value and would miss trailing matter.  Read as the
     # first of exactly two list elements, a text that is not one whole object shows.
     listed = F.from_json(
-        F.concat(F.lit("["), F.col(json_col), F.lit(",{}]")), f"array<{OBJECT}>", {"allowSingleQuotes": "false"}
+        F.concat(F.lit("["), F.col("raw"), F.lit(",{}]")), f"array<{OBJECT}>", {"allowSingleQuotes": "false"}
     )
     parsed = once(df.select(F.col(id_col).alias("rec_id"), F.col(json_col).alias("raw")), _listed=listed)
     first = F.when(F.array_size("_listed") == 2, F.get("_listed", F.lit(0)))

@@ -233,6 +233,72 @@ def test_update_touches_only_matching_rows(people):
     assert "1" not in {r.uuid for r in gone.tables["root"].collect()}
 
 
+@pytest.fixture
+def split(spark):
+    """``age`` is an integer column; what it would not hold is in the documents.  Record 6 has no document."""
+    rows = spark.createDataFrame([("1", 17, "a"), ("2", None, "b"), ("3", None, "c"), ("4", 30, "d"), ("5", None, "e"), ("6", 2, "f"),
+                                  ("7", None, "g"), ("8", 5, "h")], "uuid string, age int, name string")
+    docs = spark.createDataFrame([("1", "{}"), ("2", '{"age": "abc"}'), ("3", '{"age": 2.5}'), ("4", "{}"), ("5", '{"age": null, "x": 1}'),
+                                  ("7", '{"age": [7, "abc"], "x": 2}'), ("8", '{"age": 3000000000}')], "uuid string, j string")
+    return rows, docs.select("uuid", F.from_json("j", "map<string,variant>").alias("doc"))
+
+
+EITHER = [
+    ({"age": "abc"}, ["2", "7"]), ({"age": 2.5}, ["3"]), ({"age": 17}, ["1"]), ({"age": 17.0}, ["1"]), ({"age": 7}, ["7"]), ({"age": None}, ["5"]),
+    ({"age": 5}, []), ({"age": 3000000000}, ["8"]), ({"age": {"$in": ["abc", 30, 2.5]}}, ["2", "3", "4", "7"]), ({"age": {"$in": "abc"}}, ["2", "7"]),
+    ({"age": {"$gt": 2}}, ["1", "3", "4", "7", "8"]), ({"age": {"$gte": 2.5}}, ["1", "3", "4", "7", "8"]), ({"age": {"$lt": 2.5}}, ["6"]),
+    ({"age": {"$lte": 2.5}}, ["3", "6"]), ({"age": {"$gt": 1e300}}, []), ({"age": {"$lt": float("inf")}}, ["1", "3", "4", "6", "7", "8"]),
+    ({"age": {"$lt": 10**30}}, ["1", "3", "4", "6", "7", "8"]), ({"age": {"$gt": "abb"}}, ["2", "7"]), ({"age": True}, []),
+    ({"age": {"$ne": 17}}, ["2", "3", "4", "6", "7", "8"]), ({"age": {"$ne": "abc"}}, ["1", "3", "4", "6", "8"]), ({"age": {"$gt": 2, "$lt": 20}}, ["1", "3", "7"]),
+    ({"x": 1}, ["5"]), ({"x": {"$gte": 1}, "age": {"$gt": 6}}, ["7"]), ({"name": "b", "age": "abc"}, ["2"]), ({"name": 1}, []), ({}, list("12345678")),
+]
+
+
+@pytest.mark.parametrize("spec, want", EITHER)
+def test_conditions_find_values_on_either_side(split, spec, want):
+    assert ids(Q.filter_records(*split, spec)) == want
+
+
+def test_unknown_operators_are_refused_on_either_side(split):
+    for bad in ({"age": {"$exists": True}}, {"$or": []}):
+        with pytest.raises(FilterError):
+            Q.filter_records(*split, bad)
+
+
+def logical(done):
+    """The records as a read gives them."""
+    from recordloom.operators.shred import reconstruct
+
+    return {r.uuid: json.loads(r.record) for r in reconstruct(done.structured, "uuid", done.documents).collect()}
+
+
+def test_an_update_replaces_a_value_wherever_it_is(split):
+    done = W.update_where(*split, {"name": "b"}, {"age": 7}, {"age": "SQL"})
+    assert logical(done)["2"] == {"age": 7, "name": "b"} and done.affected.first()[0] == 1
+    by_value = W.update_where(*split, {"age": "abc"}, {"age": 8, "name": "n"}, {"age": "SQL", "name": "SQL"})
+    assert logical(by_value)["2"] == {"age": 8, "name": "n"} and logical(by_value)["7"] == {"age": 8, "name": "n", "x": 2}
+    assert logical(W.update_where(*split, {"age": 2.5}, {"age": "old"}, {"age": "SQL"}))["3"] == {"age": "old", "name": "c"}
+    both = logical(W.update_where(*split, {"age": {"$in": [17, 3000000000]}}, {"age": 1}, {"age": "BOTH"}))
+    assert both["1"]["age"] == both["8"]["age"] == 1
+    # To the documents: an older column value must not stay in the way, and a record without a document gets one.
+    moved = W.update_where(*split, {"age": {"$in": [30, 2]}}, {"age": "text"}, {"age": "MONGO"})
+    assert {r.uuid: r.age for r in moved.structured.collect()}["4"] is None
+    assert logical(moved)["4"] == {"age": "text", "name": "d"} and logical(moved)["6"] == {"age": "text", "name": "f"}
+    # Found by its new value, and no longer by the old one.
+    assert ids(Q.filter_records(moved.structured, moved.documents, {"age": "text"})) == ["4", "6"]
+    assert ids(Q.filter_records(done.structured, done.documents, {"age": "abc"})) == ["7"]
+
+
+def test_a_delete_finds_values_on_either_side(split):
+    gone = W.delete_ids({"root": split[0]}, "root", split[1], {"age": {"$in": ["abc", 30]}}, [])
+    assert ids(gone.tables["root"]) == ["1", "3", "5", "6", "8"]
+
+
+def test_reads_by_a_filter_object(split):
+    got = J.read_by_filter(split[0], {"age": {"$gte": 2.5}, "name": {"$lt": "d"}}, split[1])
+    assert {r.uuid: json.loads(r.record)["age"] for r in got.collect()} == {"1": 17, "3": 2.5}
+
+
 def test_delete_cascades(spark):
     t = {"root": spark.createDataFrame([("1", "x"), ("2", "y")], "uuid string, g string"),
          "kid": spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "2")], "id string, root_id string"),

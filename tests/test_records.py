@@ -38,6 +38,15 @@ def test_malformed_texts_are_rejected(spark):
     assert sorted(r.rec_id for r in parsed.rejected.collect()) == list(range(len(good), len(good + bad)))
 
 
+def test_a_column_of_any_name_is_read(spark):
+    df = spark.createDataFrame([("k1", '{"a": 1}'), ("k2", "nope"), ("k3", None)], "id string, value string").withColumn("raw", F.lit("x"))
+    parsed = read_records(df, "value", "id")
+    assert docs(parsed.records) == {"k1": {"a": 1}}
+    assert {r.rec_id: r.raw for r in parsed.rejected.collect()} == {"k2": "nope", "k3": None}
+    swapped = read_records(df.select(F.col("value").alias("rec_id"), F.col("id").alias("fields")), "rec_id", "fields")
+    assert docs(swapped.records) == {"k1": {"a": 1}}
+
+
 def test_null_and_absent_differ(records):
     rows = records('{"field1": null, "field2": "value"}').select("fields").first()[0]
     assert set(rows) == {"field1", "field2"}

@@ -1,8 +1,9 @@
 import json
+import time
 
 from pyspark.sql import functions as F
 
-from recordloom.functions.walk import nesting_depth
+from recordloom.functions.walk import nesting_depth, real_depth
 from recordloom.operators import design as D
 from recordloom.operators.classify import decide_targets, evolve_schema
 from recordloom.operators.profile import field_profile
@@ -343,3 +344,27 @@ def test_embed_or_reference(records):
     assert objects == {"small": "EMBED", "big": "REFERENCE"}
     arrays = {r.field: (r.decision, r.growth_pattern) for r in D.embed_or_reference_array(records(*texts)).collect()}
     assert arrays == {"logs": ("REFERENCE", "unbounded"), "objs": ("REFERENCE", "bounded"), "few": ("EMBED", "bounded")}
+
+
+def test_brackets_inside_texts_cost_nothing(records):
+    """The walk ends on an empty level: texts full of brackets make no steps."""
+    many = "[" * 64_000 + "{" * 64_000
+    source = assign_uuid(records(json.dumps({"t": many, "k": [{"t": many}]}), json.dumps({"t": many, "o": {"t": many}})))
+    start = time.perf_counter()
+    assert sorted(r.depth for r in shred(source).select("depth").collect()) == [0, 0, 1]
+    assert D.deepest_level(D.nesting_paths(source)).first().deepest_level == 1
+    assert [r[0] for r in source.orderBy("rec_id").select(nesting_depth(F.to_variant_object("fields"))).collect()] == [3, 2]
+    assert time.perf_counter() - start < 20
+
+
+def test_depth_counts_brackets_outside_texts_only(records):
+    rows = records(json.dumps({"v": 'a"[{\\'}), json.dumps({"v": [[], [[]], []]}), json.dumps({"v": {"a": {"b\"[": [1]}}}),
+                   json.dumps({"v": [{}] * 20_000 + ["]]]"]}), json.dumps({"v": '\\"' * 50_000}))
+    assert [r[0] for r in rows.orderBy("rec_id").select(real_depth(F.col("fields")["v"])).collect()] == [0, 3, 3, 2, 0]
+
+
+def test_a_record_of_many_children(records):
+    wide = json.dumps({"k": [{"i": i, "l": [{"j": i}] if i % 1000 == 0 else []} for i in range(30_000)]})
+    rows = shred(assign_uuid(records(wide, "{}")))
+    assert {r.depth: r["count"] for r in rows.groupBy("depth").count().collect()} == {0: 2, 1: 30_000, 2: 30}
+    assert rows.select("uuid").distinct().count() == 30_032
