@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -170,24 +171,42 @@ def test_shingles_lower_ascii_only():
     assert len(s("a a a a")) == 1 and len(s(" \n")) == 0
 
 
+def plain_sentences(text):
+    """Normal forms and sizes by the rule as it is stated, without the operator's code."""
+    out = []
+    for line in text.split("\n"):
+        sentence = []
+        units = re.findall(f"[{spans.UNSPACED}][^\\s\\w]*|[^\\s{spans.UNSPACED}]+", line)
+        for k, unit in enumerate(units):
+            sentence.append(unit.lower())
+            if unit[-1] in ".!?\u3002\uff01\uff1f" or k == len(units) - 1:
+                piece = []
+                for i, word in enumerate(sentence):
+                    piece.append(word)
+                    cut = len(sentence) > 12 and (len(piece) == 12 or zlib.crc32(word.encode()) % 8 == 0)
+                    if cut or i == len(sentence) - 1:
+                        out.append((" ".join(piece), len(piece)))
+                        piece = []
+                sentence = []
+    return out
+
+
 def repeats(rows):
-    """Removed sentences by looking at every run; rows equal in id and text are one occurrence."""
-    first = {}
-    parts = {(d, t): spans.sentences(t or "") for d, t in rows}
-    import xxhash  # noqa: F401  (the operator's order among equal ids is by text hash; ids here are distinct or texts equal)
-
-    order = sorted(parts, key=lambda k: (k[0] is None, k[0] or 0))
-    gone = defaultdict(set)
-    for key in order:
+    """Removed sentences by looking at every run in the order of ids; rows equal in id and text are one occurrence.
+    From each sentence the shortest run of three or more with twelve words; a shorter text with twelve words is one run."""
+    first, gone = set(), defaultdict(set)
+    parts = {(d, t): plain_sentences(t or "") for d, t in rows}
+    for key in sorted(parts, key=lambda k: (k[0] is None, k[0] or 0)):
         p = parts[key]
-        for i in range(len(p) - 2):
-            if sum(x[3] for x in p[i:i + 3]) < spans.RUN_WORDS:
+        for i in range(len(p)):
+            least = 3 if len(p) >= 3 else len(p)
+            end = next((j for j in range(i + least, len(p) + 1) if sum(n for _, n in p[i:j]) >= 12), None)
+            if end is None:
                 continue
-            run = tuple(x[2] for x in p[i:i + 3])
+            run = tuple(t for t, _ in p[i:end])
             if run in first:
-                gone[key].update((i, i + 1, i + 2))
-            else:
-                first[run] = key
+                gone[key].update(range(i, end))
+            first.add(run)
     return {k: (len(parts[k]), len(gone[k])) for k in parts}
 
 
@@ -219,8 +238,29 @@ def test_spans_of_odd_rows(odd, empty):
 
 def test_long_sentences_are_cut_alike():
     words = " ".join(f"w{i}" for i in range(60))
-    a, b = (spans.sentences(x + words + " end.") for x in ("Before this. ", "Another start here.\n"))
-    assert {h for _, h in spans.runs(a)} & {h for _, h in spans.runs(b)}
+    a, b = (spans.runs(*spans.forms(x + words + " end.")) for x in ("Before this. ", "Another start here.\n"))
+    assert set(a) & set(b)
+
+
+def test_both_ways_to_sentences_agree(texts):
+    odd = ["a\x0bb\x1cc. d\x85e! ΑΣ. ΣΑΣ' Σ\n İI ẞ. x", "漢字。かな mixed words. ไทย\n\n . ! ", "", " \n ", "One. Two"]
+    for text in [t or "" for _, t in texts] + odd:
+        forms, counts = spans.forms(text)
+        assert [(f, n) for _, _, f, n in spans.sentences(text)] == list(zip(forms, counts, strict=True)) == plain_sentences(text)
+
+
+def test_short_texts_and_hot_passages(spark, monkeypatch):
+    """Texts of one or two sentences; a passage in every text over many batches, equal rows among them."""
+    two = "one two three four five six seven eight. nine ten eleven twelve thirteen."
+    passage = " ".join(f"All of these know sentence {i} by heart now." for i in range(6))
+    rows = [(k, two) for k in range(3)] + [(10, "Too short."), (11, "Too short.")]
+    rows += [(100 + k, f"Own start {k} is here. {passage} And an own end {k}.") for k in range(200)] + [(150, f"Own start 50 is here. {passage} And an own end 50.")]
+    monkeypatch.setattr(spans, "SALTS", 3)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = Counter((r.doc_id, r.n_sentences, r.n_removed) for r in spans.remove_repeats(df).collect())
+    want = repeats(rows)
+    assert got == Counter((d, *want[d, t]) for d, t in rows)
+    assert [n for (d, _, n) in got if d == 0] == [0] and [n for (d, _, n) in got if d == 2] == [len(spans.sentences(two))]
 
 
 def test_repeats_of_short_sentences_are_found(spark):
