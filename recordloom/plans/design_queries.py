@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import design as D
+from ..operators import normal_forms as NF
 from ..operators import profile as P
 from ..sources.records import read_records
 from . import inputs as I
@@ -185,3 +186,72 @@ UNION ALL SELECT 'primary_key', 'customer', strategy || ' ' || primary_key FROM
 UNION ALL SELECT 'dependency', determinant, dependent FROM ({_fd_sql("customer", _CUSTOMER)})""")
 def a10_design_report(spark, sf):
     return D.design_report(I.order_fields(spark, sf), I.table(spark, sf, "customer"), "customer")
+
+
+def _key_sets_sql(columns: list[str]) -> str:
+    """Minimal keys of one or two columns, looked at set by set."""
+    unique = lambda cs: f"(SELECT COUNT(*) = COUNT(DISTINCT ({', '.join(cs)})) FROM t)"
+    ones = [f"SELECT '{c}' AS key, 1 AS size FROM (SELECT 1) WHERE {unique([c])}" for c in columns]
+    twos = [f"SELECT '{a}, {b}', 2 FROM (SELECT 1) WHERE {unique([a, b])} AND NOT {unique([a])} AND NOT {unique([b])}"
+            for i, a in enumerate(columns) for b in columns[i + 1:]]
+    return " UNION ALL ".join(ones + twos)
+
+
+def _findings_sql(entity: str, source: str, columns: list[str]) -> str:
+    """Single-column dependencies by counting pairs, against the keys."""
+    pairs = " UNION ALL ".join(
+        f"SELECT '{x}' AS x, '{y}' AS y FROM (SELECT 1) WHERE (SELECT COUNT(DISTINCT {x}) = COUNT(DISTINCT ({x}, {y})) FROM t)"
+        for x in columns for y in columns if x != y)
+    held = lambda c: f"EXISTS (SELECT 1 FROM keys WHERE ', ' || key || ', ' LIKE '%, ' || {c} || ', %')"
+    return f"""WITH t AS (SELECT {', '.join(columns)} FROM {source}), keys AS ({_key_sets_sql(columns)}), fd AS ({pairs})
+SELECT '{entity}' AS entity, CASE WHEN {held('y')} THEN 'BCNF' WHEN {held('x')} THEN '2NF' ELSE '3NF' END AS normal_form,
+       CASE WHEN {held('y')} THEN 'prime' WHEN {held('x')} THEN 'partial' ELSE 'transitive' END AS kind, x AS determinant, y AS dependent,
+       (SELECT string_agg(key, '; ' ORDER BY key) FROM keys) AS key
+FROM fd WHERE x NOT IN (SELECT key FROM keys)"""
+
+
+_NATION_REGION = ["n_nationkey", "n_name", "n_regionkey", "r_name"]
+_LINE_PART = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "p_brand", "p_size"]
+_TURNS = ["conv_id", "turn", "role", "lang", "source"]
+_LINE_KEYS = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"]
+
+
+def _joined(spark, sf, *tables):
+    names = [name for name, _ in tables]
+    out = I.table(spark, sf, names[0])
+    for name, on in tables[1:]:
+        out = out.join(I.table(spark, sf, name), F.expr(on))
+    return out
+
+
+@query("a5_composite_keys", f"WITH t AS (SELECT * FROM lineitem), keys AS ({_key_sets_sql(_LINE_KEYS)}) SELECT key, size, (SELECT COUNT(*) FROM t) AS rows FROM keys")
+def a5_composite_keys(spark, sf):
+    return NF.candidate_keys(I.table(spark, sf, "lineitem"), _LINE_KEYS)
+
+
+@query("a5_composite_keys_turns", f"WITH t AS (SELECT * FROM conversations), keys AS ({_key_sets_sql(['conv_id', 'turn', 'role'])}) "
+                                  "SELECT key, size, (SELECT COUNT(*) FROM t) AS rows FROM keys")
+def a5_composite_keys_turns(spark, sf):
+    return NF.candidate_keys(I.table(spark, sf, "conversations"), ["conv_id", "turn", "role"])
+
+
+@query("a6_normal_forms_nation", _findings_sql("nation", "nation JOIN region ON n_regionkey = r_regionkey", _NATION_REGION))
+def a6_normal_forms_nation(spark, sf):
+    return NF.normal_form_findings(_joined(spark, sf, ("nation", ""), ("region", "n_regionkey = r_regionkey")), "nation", _NATION_REGION)
+
+
+@query("a6_normal_forms_lineitem", _findings_sql("lineitem", "lineitem JOIN part ON l_partkey = p_partkey", _LINE_PART))
+def a6_normal_forms_lineitem(spark, sf):
+    return NF.normal_form_findings(_joined(spark, sf, ("lineitem", ""), ("part", "l_partkey = p_partkey")), "lineitem", _LINE_PART)
+
+
+@query("a6_normal_forms_turns", _findings_sql("turns", "conversations JOIN documents ON conv_id = doc_id", _TURNS))
+def a6_normal_forms_turns(spark, sf):
+    """What belongs to a whole conversation depends on a part of the turn's key."""
+    return NF.normal_form_findings(_joined(spark, sf, ("conversations", ""), ("documents", "conv_id = doc_id")), "turns", _TURNS)
+
+
+@query("a6_highest_normal_form", f"""SELECT entity, CASE WHEN COUNT(CASE WHEN normal_form = '3NF' THEN 1 END) > 0 THEN '2NF' ELSE 'BCNF' END AS normal_form, COUNT(*) AS findings
+FROM ({_findings_sql("nation", "nation JOIN region ON n_regionkey = r_regionkey", _NATION_REGION)}) GROUP BY entity""")
+def a6_highest_normal_form(spark, sf):
+    return NF.highest_normal_form(a6_normal_forms_nation(spark, sf), "nation")
