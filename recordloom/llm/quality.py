@@ -18,9 +18,9 @@ UNIT = 10_000
 SKETCH_BITS = 6
 #: A group with fewer documents takes the sketch of its language, merged over sources.
 LEAST_GROUP = 200
-#: How far beyond the middle of its group a document may lie, and the least upper fence: (metric, spreads, floor).
-UPPER = {"symbols": (6, 2_000), "dup_lines": (6, 2_000), "repeats": (6, 2_000), "word_chars": (6, 100_000)}
-LOWER = {"word_chars": (6, 15_000)}
+#: How far beyond the middle of its group a document may lie, in distances from the median to the 90th (10th) percentile.
+UPPER = {"symbols": 2, "dup_lines": 1.5, "repeats": 1.5, "word_chars": 3}
+LOWER = {"word_chars": 4}
 METRICS = tuple(UPPER)
 
 
@@ -70,23 +70,45 @@ def measure(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: s
     )
 
 
+def _share(num: Column, den: Column) -> Column:
+    return F.floor(num * UNIT / den).cast("long")
+
+
 def metric(name: str) -> Column:
     """A metric as an integer: a share in 10,000ths, or 10,000ths of a character per word."""
     num, den = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"),
                 "repeats": ("n_repeat_words", "n_words"), "word_chars": ("word_chars", "n_words")}[name]
-    return F.floor(F.col(num) * UNIT / F.greatest(F.col(den), F.lit(1))).cast("long")
+    return _share(F.col(num), F.greatest(F.col(den), F.lit(1)))
+
+
+#: What one more finding would add: one symbol, one line, one window of words.
+ONE_MORE = {"symbols": 1, "dup_lines": 1, "repeats": WINDOW}
+
+
+def rate(name: str) -> Column:
+    """The metric with one more finding in the text, which the sketches hold.  Most texts have none, and their plain shares say nothing
+    of what is usual; with one more they show how much a single finding weighs in the texts of a group, so
+    that fences follow the group even where it is clean."""
+    num, den = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"),
+                "repeats": ("n_repeat_words", "n_words"), "word_chars": ("word_chars", "n_words")}[name]
+    more = ONE_MORE.get(name)
+    return metric(name) if more is None else _share(F.col(num) + more, F.col(den) + more)
 
 
 def cell(value: Column) -> Column:
     """The lower bound of a value's sketch cell: its leading bits, a relative error below 1/32."""
-    drop = F.greatest(F.length(F.bin(value)) - SKETCH_BITS, F.lit(0)).cast("int")
-    return F.floor(value / F.pow(F.lit(2.0), drop)).cast("long") * F.pow(F.lit(2.0), drop).cast("long")
+    return F.floor(value / width(value)).cast("long") * width(value)
+
+
+def width(value: Column) -> Column:
+    """The width of a value's cell."""
+    return F.pow(F.lit(2.0), F.greatest(F.length(F.bin(value)) - SKETCH_BITS, F.lit(0))).cast("long")
 
 
 def sketches(rows: DataFrame) -> DataFrame:
     """One mergeable sketch per (lang, source, metric): counts per cell.  Partial counts are
     summed before the shuffle, and adding counts merges sketches in any order with the same result."""
-    named = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), cell(metric(m)).alias("cell")) for m in METRICS]))
+    named = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), cell(rate(m)).alias("cell")) for m in METRICS]))
     return (rows.where(F.col("n_words") > 0).select("lang", "source", named.alias("m"))
             .groupBy("lang", "source", "m.metric", "m.cell").agg(F.count("*").alias("n")))
 
@@ -105,7 +127,7 @@ def fences(sketch: DataFrame) -> DataFrame:
     """Thresholds per (lang, source): metric -> (lower, upper) in one row.
 
     The upper fence of a metric lies ``spreads`` times the distance from the median to the 90th
-    percentile above the median, the lower one likewise below, and neither is stricter than its floor.  Values are
+    percentile above the median, the lower one likewise below, and at least one cell of the sketch: quantiles alone decide.  Values are
     compared by their cells.
     """
     own, lang = quantiles(sketch, ["lang", "source"]), quantiles(sketch, ["lang"])
@@ -116,12 +138,12 @@ def fences(sketch: DataFrame) -> DataFrame:
         F.col("own.lang").alias("f_lang"), F.col("own.source").alias("f_source"), F.col("own.metric").alias("metric"),
         pick("low"), pick("mid"), pick("high"))
     columns = []
-    for m, (spreads, floor) in UPPER.items():
-        fence = F.greatest(F.col("mid") + spreads * (F.col("high") - F.col("mid")), F.lit(floor))
-        columns.append(F.max(F.when(F.col("metric") == m, fence)).alias(f"upper_{m}"))
-    for m, (spreads, floor) in LOWER.items():
-        fence = F.least(F.col("mid") - spreads * (F.col("mid") - F.col("low")), F.lit(floor))
-        columns.append(F.max(F.when(F.col("metric") == m, fence)).alias(f"lower_{m}"))
+    for m, spreads in UPPER.items():
+        fence = F.col("mid") + F.greatest(spreads * (F.col("high") - F.col("mid")), width(F.col("mid")))
+        columns.append(F.max(F.when(F.col("metric") == m, fence.cast("double"))).alias(f"upper_{m}"))
+    for m, spreads in LOWER.items():
+        fence = F.col("mid") - F.greatest(spreads * (F.col("mid") - F.col("low")), width(F.col("mid")))
+        columns.append(F.max(F.when(F.col("metric") == m, fence.cast("double"))).alias(f"lower_{m}"))
     return both.groupBy("f_lang", "f_source").agg(*columns)
 
 

@@ -37,11 +37,17 @@ def _quantiles(keys: str) -> str:
 
 _RATIOS = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"), "repeats": ("n_repeat_words", "n_words"),
            "word_chars": ("word_chars", "n_words")}
+_MORE = quality.ONE_MORE
 _VALUES = " UNION ALL ".join(
-    f"SELECT doc_id, lang, source, '{m}' AS metric, {num} * {quality.UNIT} // greatest({den}, 1) AS v FROM m" for m, (num, den) in _RATIOS.items())
-_LIMITS = " UNION ALL ".join(
-    f"SELECT '{m}' AS metric, {s} AS up, {f} AS up_floor, {quality.LOWER.get(m, (0, 0))[0]} AS down, {quality.LOWER.get(m, (0, 0))[1]} AS down_floor"
-    for m, (s, f) in quality.UPPER.items())
+    f"SELECT doc_id, lang, source, '{m}' AS metric, {num} * {quality.UNIT} // greatest({den}, 1) AS v, "
+    + (f"({num} + {_MORE[m]}) * {quality.UNIT} // ({den} + {_MORE[m]})" if m in _MORE else f"{num} * {quality.UNIT} // greatest({den}, 1)")
+    + " AS r FROM m" for m, (num, den) in _RATIOS.items())
+_LIMITS = " UNION ALL ".join(f"SELECT '{m}' AS metric, {s} AS up, {quality.LOWER.get(m, 0)} AS down" for m, s in quality.UPPER.items())
+
+
+def _width(v: str) -> str:
+    return f"(CAST(1 AS BIGINT) << CAST(greatest(length(bin({v})) - {quality.SKETCH_BITS}, 0) AS BIGINT))"
+
 
 OP7 = f"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text,
@@ -55,16 +61,16 @@ m AS (SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(lengt
     CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(len(l) AS BIGINT) AS n_lines, coalesce(n, 0) AS n_repeat_words
   FROM d LEFT JOIN again USING (doc_id)),
 vals AS ({_VALUES}),
-celled AS (SELECT *, (v >> greatest(length(bin(v)) - {quality.SKETCH_BITS}, 0)) << greatest(length(bin(v)) - {quality.SKETCH_BITS}, 0) AS cell FROM vals),
-cells AS (SELECT c.* FROM celled c JOIN m USING (doc_id) WHERE n_words > 0),
+celled AS (SELECT *, v // {_width("v")} * {_width("v")} AS cell, r // {_width("r")} * {_width("r")} AS rcell FROM vals),
+cells AS (SELECT c.lang, c.source, c.metric, c.rcell AS cell FROM celled c JOIN m USING (doc_id) WHERE n_words > 0),
 own AS ({_quantiles("lang, source")}), whole AS ({_quantiles("lang")}), limits AS ({_LIMITS}),
 picked AS (SELECT own.lang, own.source, own.metric,
     CASE WHEN own.docs < {quality.LEAST_GROUP} THEN whole.low ELSE own.low END AS low,
     CASE WHEN own.docs < {quality.LEAST_GROUP} THEN whole.mid ELSE own.mid END AS mid,
     CASE WHEN own.docs < {quality.LEAST_GROUP} THEN whole.high ELSE own.high END AS high
   FROM own JOIN whole ON own.lang IS NOT DISTINCT FROM whole.lang AND own.metric = whole.metric),
-fences AS (SELECT lang, source, metric, greatest(mid + up * (high - mid), up_floor) AS top,
-    CASE WHEN down > 0 THEN least(mid - down * (mid - low), down_floor) ELSE 0 END AS bottom FROM picked JOIN limits USING (metric)),
+fences AS (SELECT lang, source, metric, mid + greatest(up * (high - mid), {_width("mid")}) AS top,
+    CASE WHEN down > 0 THEN mid - greatest(down * (mid - low), {_width("mid")}) ELSE 0 END AS bottom FROM picked JOIN limits USING (metric)),
 good AS (SELECT c.doc_id, bool_and(coalesce(cell <= top AND cell >= bottom, true)) AS ok FROM celled c LEFT JOIN fences f
   ON c.lang IS NOT DISTINCT FROM f.lang AND c.source IS NOT DISTINCT FROM f.source AND c.metric = f.metric GROUP BY 1)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

@@ -101,6 +101,22 @@ def test_fences_follow_their_group_and_merge(spark):
     assert sorted(map(str, quality.quantiles(merged, ["lang"]).collect())) == sorted(map(str, quality.quantiles(sketch, ["lang"]).collect()))
 
 
+def test_quantiles_alone_set_the_fences(spark):
+    """A clean group rejects a document with 19 % symbols, and one with lines repeated; no fence is a fixed value."""
+    words = lambda i, n: " ".join(f"word{(i * 7 + k * k) % 97}" for k in range(n))
+    rows = [(i, "\n".join(words(i + j, 9 + (i + j) % 5) for j in range(4 + i % 9)), "en", "a") for i in range(400)]
+    rows += [(1000 + i, "\n".join(words(i + j, 40) for j in range(30 + i % 9)), "en", "b") for i in range(400)]
+    clean = rows[5][1]
+    rows += [(5000, clean + " " + "#" * (len(clean.replace(" ", "")) * 19 // 81), "en", "a"), (5001, clean + " &", "en", "a"),
+             (5002, "\n".join([*clean.split("\n"), *[f"menu {k} {k}" for k in range(4)] * 9]), "en", "a")]
+    out = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    kept = {r.doc_id: r.kept for r in out}
+    assert not kept[5000] and not kept[5002] and kept[5001]
+    assert sum(kept[r[0]] for r in rows[:800]) >= 0.99 * 800
+    for name in ("upper_symbols", "upper_dup_lines", "upper_repeats"):
+        assert len({r[name] for r in out}) == 2 and max(r[name] for r in out) > 0, name
+
+
 def test_sketch_cells(spark):
     from pyspark.sql import functions as F
 
