@@ -91,34 +91,41 @@ def check_filter(spec: Any, depth: int = 0, max_depth: int = MAX_FILTER_DEPTH, m
 
 
 def document_filter(spec: dict[str, Any], doc: str = "doc", max_depth: int = MAX_FILTER_DEPTH,
-                    max_list: int = MAX_FILTER_LIST) -> Column:
-    """A document filter over a ``MAP<STRING, VARIANT>`` column; dotted names reach into
-    nested objects, also through lists."""
+                    max_list: int = MAX_FILTER_LIST, stored: bool = False) -> Column:
+    """A document filter over a ``MAP<STRING, VARIANT>`` column, or with ``stored`` over a ``VARIANT`` column, of which a scan
+    then reads only the fields asked for; dotted names reach into nested objects, also through lists."""
     check_filter(spec, 0, max_depth, max_list)
     conditions = []
     for key, test in spec.items():
         if key == "$and":
-            conditions.append(_all([document_filter(s, doc, max_depth, max_list) for s in test]))
+            conditions.append(_all([document_filter(s, doc, max_depth, max_list, stored) for s in test]))
         elif key == "$or":
             any_of = F.lit(False)
             for s in test:
-                any_of = any_of | document_filter(s, doc, max_depth, max_list)
+                any_of = any_of | document_filter(s, doc, max_depth, max_list, stored)
             conditions.append(any_of)
         elif key.startswith("$"):
             raise FilterError(f"{key} needs a field")
         else:
-            conditions.append(_field_test(_values_at(F.col(doc), key), test))
+            conditions.append(_field_test(_values_at(F.col(doc), key, stored), test))
     return _all(conditions)
 
 
-def _values_at(doc: Column, path: str) -> Column:
+def _quoted(name: str) -> str:
+    return "$['" + name.replace("'", "\\'") + "']"
+
+
+def field_of(doc: Column, name: str, stored: bool) -> Column:
+    """One field of a document, as a ``VARIANT``; SQL NULL where it is missing."""
+    return F.try_variant_get(doc, _quoted(name), "variant") if stored else F.try_element_at(doc, F.lit(name))
+
+
+def _values_at(doc: Column, path: str, stored: bool) -> Column:
     """The values a dotted path reaches, none when it is missing."""
     head, *rest = path.split(".")
-    found = F.array_compact(F.array(F.try_element_at(doc, F.lit(head))))
+    found = F.array_compact(F.array(field_of(doc, head, stored)))
     for part in rest:
-        quoted = "$['" + part.replace("'", "\\'") + "']"
-
-        found = F.array_compact(F.flatten(F.transform(found, _member_reader(quoted))))
+        found = F.array_compact(F.flatten(F.transform(found, _member_reader(_quoted(part)))))
     return found
 
 

@@ -18,8 +18,8 @@ RING_SIZE = 500
 MAX_RECENT = 200
 MAX_RETRIES = 3
 
-# Numbers a broadcast of cut points may hold over all keys (8 MB).
-BROADCAST_CELLS = 1 << 20
+# One task sorts at most so many distinct values of one key.
+SORT_BOUND = 100_000
 
 
 def error_key(operation: Column, failed: Column) -> Column:
@@ -37,57 +37,68 @@ def _bucket(df: DataFrame, cuts: str, value: str, steps: int) -> DataFrame:
     return out
 
 
-def _narrow(hist: DataFrame, keys: list[str], targets: DataFrame, steps: int, few_keys: bool) -> DataFrame:
+def _narrow(hist: DataFrame, keys: list[str], targets: DataFrame, steps: int) -> DataFrame:
     """Keep, for each target rank, only the value bucket that contains it.
 
     Cut points split each key's distinct values into about equal buckets; bucket totals say
-    where a rank falls.  Bucketing depends on values alone, so a rerun task agrees.
+    where a rank falls.  Bucketing depends on values alone, so a rerun task agrees.  Cut points and hits are one short row a key
+    and are written first, so that the planner knows their size.
     """
-    # A broadcast side holds at most one row of cut points, or three ranks, per key.
-    side = F.broadcast if few_keys else (lambda df: df)
     buckets = 1 << steps
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = hist.groupBy(*keys).agg(F.percentile_approx("value", shares, buckets * 10).alias("_cuts"))
-    marked = _bucket(hist.join(side(cuts), keys), "_cuts", "value", steps).drop("_cuts")
+    cuts = landed(hist.groupBy(*keys).agg(F.percentile_approx("value", shares, buckets * 10).alias("_cuts")), "cuts")
+    marked = _bucket(hist.join(cuts, keys), "_cuts", "value", steps).drop("_cuts")
     running = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = marked.groupBy(*keys, "_b").agg(F.sum("n").alias("_n")).withColumn("_upto", F.sum("_n").over(running))
-    hit = (
+    hit = landed(
         sums.join(targets, keys)
         .filter((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_n")))
-        .select(*keys, "_b", "label", (F.col("rank") - F.col("_upto") + F.col("_n")).alias("rank"))
-    )
-    return marked.join(side(hit), [*keys, "_b"]).drop("_b")
+        .select(*keys, "_b", "label", (F.col("rank") - F.col("_upto") + F.col("_n")).alias("rank")),
+        "ranks")
+    return marked.join(hit, [*keys, "_b"]).drop("_b")
+
+
+def _picked(near: DataFrame, by: list[str]) -> tuple[DataFrame, Column]:
+    """Rows with their running count, and the test that a rank falls on a row."""
+    running = Window.partitionBy(*by).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = near.withColumn("_upto", F.sum("n").over(running))
+    return counted, (F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("n"))
 
 
-def values_at_ranks(hist: DataFrame, keys: list[str], targets: DataFrame, steps: int = 7, levels: int = 1,
-                    few_keys: bool = False) -> DataFrame:
+def values_at_ranks(hist: DataFrame, keys: list[str], targets: DataFrame, steps: int = 7, bound: int = SORT_BOUND) -> DataFrame:
     """Exact values at 0-based ranks: ``hist (keys…, value, n)``, ``targets (keys…, label, rank)``.
 
-    A key with endless distinct values is never sorted as a whole: each level divides what
-    one task sorts by ``2**steps``.  ``few_keys`` says that the number of keys was checked to
-    be small enough for broadcasts.
+    Keys of up to ``bound`` distinct values are sorted as they are.  For the others a rank is narrowed to one of ``2**steps``
+    buckets of its key, again and again, until what is left for each rank is within the bound; the data say how often.
     """
-    near = _narrow(hist, keys, targets, steps, few_keys)
-    for _ in range(levels - 1):
-        again = near.groupBy(*keys, "label").agg(F.max("rank").alias("rank")).withColumnRenamed("label", "_of")
+    sizes = landed(hist.groupBy(*keys).agg(F.count(F.lit(1)).alias("_values")), "sizes")
+    few = sizes.filter(F.col("_values") <= bound).select(*keys)
+    counted, at_rank = _picked(hist.join(few, keys, "left_semi"), keys)
+    out = counted.join(targets, keys).filter(at_rank).select(*keys, "label", "value")
+    most = sizes.agg(F.max("_values")).first()[0] or 0
+    if most <= bound:
+        return out
+    many = sizes.filter(F.col("_values") > bound).select(*keys)
+    near = landed(_narrow(hist.join(many, keys, "left_semi"), keys, targets, steps), "near")
+    while True:
+        left = near.groupBy(*keys, "label").agg(F.count(F.lit(1)).alias("_values")).agg(F.max("_values")).first()[0]
+        if left <= bound or left >= most:  # distinct values always part, so the second ends no search early
+            break
+        most = left
+        again = near.groupBy(*keys, "label").agg(F.max("rank").alias("rank")).withColumn("_of", F.col("label"))
         inner = near.drop("rank").withColumnRenamed("label", "_of")
-        again = again.withColumn("label", F.col("_of"))
-        near = _narrow(inner, [*keys, "_of"], again, steps, few_keys).drop("_of")
-    running = Window.partitionBy(*keys, "label").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        near.withColumn("_upto", F.sum("n").over(running))
-        .filter((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("n")))
-        .select(*keys, "label", "value")
-    )
+        near = landed(_narrow(inner, [*keys, "_of"], again, steps).drop("_of"), "near")
+    counted, at_rank = _picked(near, [*keys, "label"])
+    return out.unionByName(counted.filter(at_rank).select(*keys, "label", "value"))
 
 
-def latency_stats(log: DataFrame, operation: str, duration: str, steps: int = 7, levels: int = 1) -> DataFrame:
+def latency_stats(log: DataFrame, operation: str, duration: str, steps: int = 7, bound: int = SORT_BOUND) -> DataFrame:
     """Per operation: count, total, average, least, greatest and the exact values at sorted
     positions ``floor(share * count)``.
 
     Repeated durations collapse to (value, count) before the shuffle, spread by operation and
     value, so one dominant operation loads no single task.  That histogram is written once,
-    since it is read several times; no later step moves all of it.
+    since it is read several times; of an operation with many values no step sorts more than ``bound`` in a task.
     """
     hist = landed(
         log.filter(F.col(duration).isNotNull())
@@ -104,13 +115,12 @@ def latency_stats(log: DataFrame, operation: str, duration: str, steps: int = 7,
         ),
         "totals",
     )
-    few_keys = totals.count() <= BROADCAST_CELLS >> steps
     ranks = F.array(*[
         F.struct(F.lit(name).alias("label"), F.floor(F.col("count") * share).alias("rank"))
         for name, share in PERCENTILES.items()
     ])
     targets = totals.select("operation", F.inline(ranks))
-    found = values_at_ranks(hist, ["operation"], targets, steps, levels, few_keys)
+    found = values_at_ranks(hist, ["operation"], targets, steps, bound)
     wide = found.groupBy("operation").agg(
         *[F.max(F.when(F.col("label") == name, F.col("value"))).alias(name) for name in PERCENTILES]
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.either_side import matching
-from ..functions.filters import document_filter, filter_conditions, structured_filter
+from ..functions.filters import document_filter, field_of, filter_conditions, structured_filter
 from ..functions.values import plain_text, type_name
 
 # Row limits of the read calls.
@@ -22,8 +22,14 @@ def filter_rows(df: DataFrame, spec: dict[str, Any]) -> DataFrame:
     return df.filter(structured_filter(spec))
 
 
+def is_stored(documents: DataFrame) -> bool:
+    """Are documents one ``VARIANT`` each, as shredded files hold them, and not maps of fields?"""
+    return dict(documents.dtypes)["doc"] == "variant"
+
+
 def filter_documents(documents: DataFrame, spec: dict[str, Any]) -> DataFrame:
-    return documents.filter(document_filter(spec))
+    """Documents that satisfy a filter object.  Of shredded files only the fields of the filter are read."""
+    return documents.filter(document_filter(spec, stored=is_stored(documents)))
 
 
 def filter_by_conditions(df: DataFrame, conditions: list[dict[str, Any]], documents: bool = False) -> DataFrame:
@@ -41,10 +47,11 @@ def project_fields(df: DataFrame, fields: Sequence[str] | None) -> DataFrame:
 
 
 def project_document_fields(documents: DataFrame, fields: Sequence[str], keep: Sequence[str] = ("uuid",)) -> DataFrame:
-    """Requested document fields as text, NULL where a document lacks one."""
+    """Requested document fields as text, NULL where a document lacks one.  Of shredded files only these fields are read."""
+    stored = is_stored(documents)
 
     def text(name: str) -> Column:
-        value = F.try_element_at("doc", F.lit(name))
+        value = field_of(F.col("doc"), name, stored)
         kind = type_name(value)
         return F.when(kind.isin("dict", "list"), F.to_json(value)).when(kind != "NoneType", plain_text(value, kind))
 

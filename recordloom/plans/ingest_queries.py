@@ -20,6 +20,7 @@ from ..sources.tables import (
     store_counts,
     table_preview,
     write_documents,
+    write_shredded,
     write_structured,
     write_tables,
 )
@@ -128,6 +129,18 @@ def s5_write_documents(spark, sf):
         F.count(F.lit(1)).alias("documents"), F.sum(F.length(text)).alias("chars"))
 
 
+@query("s5_write_shredded", """
+SELECT 'turns_' || role AS collection, COUNT(*) AS documents, CAST(SUM(length(text)) AS BIGINT) AS chars
+FROM conversations GROUP BY role""")
+def s5_write_shredded(spark, sf):
+    """The same documents as shredded files, and one of their fields."""
+    path = work_folder(spark, "s5s")
+    write_shredded(_turn_documents(spark, sf), path)
+    text = F.try_variant_get("doc", "$.text", "string")
+    return spark.read.parquet(path).groupBy("collection").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum(F.length(text)).alias("chars"))
+
+
 @query("s6_write_tables", f"""
 WITH {I.ORDER_SQL}
 SELECT 'root' AS "table", COUNT(*) AS rows, CAST(SUM(cents) AS BIGINT) AS cents, 0 AS orphans FROM o

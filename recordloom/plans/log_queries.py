@@ -52,7 +52,7 @@ def t1_latency_stats(spark, sf):
 
 @query("t1_latency_stats_two_levels", f"WITH {_LOG} {_stats_sql()}")
 def t1_latency_stats_two_levels(spark, sf):
-    return _rounded(T.latency_stats(_log(spark, sf), "operation", "duration_ms", steps=4, levels=2))
+    return _rounded(T.latency_stats(_log(spark, sf), "operation", "duration_ms", steps=4, bound=200))
 
 
 @query("t2_slow_operations", f"WITH {_LOG} SELECT event_id, operation, duration_ms FROM log WHERE duration_ms > 1000")

@@ -11,8 +11,10 @@ from ..operators import query as Q
 from ..operators.classify import decide_targets
 from ..operators.profile import field_profile
 from ..operators.route import decompose_large
+from ..session import work_folder
+from ..sources.tables import write_shredded
 from . import inputs as I
-from .registry import query
+from .registry import SQL, query
 
 _ACCOUNT = """acct AS (SELECT CAST(c_custkey AS VARCHAR) AS uuid, c_name AS username, c_mktsegment AS segment,
   CAST(c_nationkey AS BIGINT) AS nation, c_acctbal AS balance FROM customer)"""
@@ -81,6 +83,32 @@ def q2_filter_documents_rows(spark, sf):
     return hit.select("o_orderkey", F.try_variant_get(F.col("doc")["customer"], "$.custKey", "bigint").alias("o_custkey"))
 
 
+def _shredded_orders(spark, sf):
+    """Order documents as shredded files, read back."""
+    path = work_folder(spark, "shredded")
+    write_shredded(_order_docs(spark, sf), path, "orders")
+    return spark.read.parquet(path)
+
+
+@query("q2_filter_shredded", SQL["q2_filter_documents"])
+def q2_filter_shredded(spark, sf):
+    """Every test over stored documents: the scan reads the tested fields."""
+    from ..functions.filters import document_filter
+
+    flags = _shredded_orders(spark, sf).select(
+        "o_orderkey", *[document_filter(s, stored=True).alias(n) for n, (s, _) in _DOC_TESTS.items()])
+    hits = flags.select("o_orderkey", F.inline(F.array(*[F.struct(F.lit(n).alias("test"), F.col(n).alias("hit")) for n in _DOC_TESTS])))
+    return hits.groupBy("test").agg(
+        F.count(F.when(F.col("hit"), 1)).alias("documents"),
+        F.coalesce(F.sum(F.when(F.col("hit"), F.col("o_orderkey"))), F.lit(0)).alias("keys"))
+
+
+@query("q2_filter_shredded_rows", SQL["q2_filter_documents_rows"])
+def q2_filter_shredded_rows(spark, sf):
+    hit = Q.filter_documents(_shredded_orders(spark, sf), {"customer.custKey": {"$gt": 1000}, "tags": "2-HIGH"})
+    return hit.select("o_orderkey", F.try_variant_get("doc", "$.customer.custKey", "bigint").alias("o_custkey"))
+
+
 @query("q2_filter_numbers", """
 SELECT o_orderkey, o_orderkey % 5 AS form FROM orders WHERE o_orderkey % 5 IN (0, 1, 2) OR (o_orderkey % 5 = 3 AND o_custkey > 5)""")
 def q2_filter_numbers(spark, sf):
@@ -131,6 +159,11 @@ def q4_project_document_fields(spark, sf):
     return Q.project_document_fields(_order_docs(spark, sf), ["orderStatus", "totalCents", "tags", "absent"], keep=("o_orderkey",))
 
 
+@query("q4_project_shredded", SQL["q4_project_document_fields"])
+def q4_project_shredded(spark, sf):
+    return Q.project_document_fields(_shredded_orders(spark, sf), ["orderStatus", "totalCents", "tags", "absent"], keep=("o_orderkey",))
+
+
 @query("q5_read_fields", f"""WITH {_ACCOUNT}
 SELECT * FROM (SELECT 'structured' AS side, uuid, segment, CAST(NULL AS VARCHAR) AS note FROM acct)
 UNION ALL SELECT * FROM (SELECT 'documents', uuid, segment, username FROM acct)""")

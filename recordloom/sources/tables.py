@@ -34,6 +34,19 @@ def write_documents(documents: DataFrame, path: str, collection: str | None = No
     out.write.mode(mode).partitionBy("collection").parquet(path)
 
 
+def write_shredded(documents: DataFrame, path: str, collection: str | None = None, mode: str = "append") -> None:
+    """Append documents ``(…, doc[, collection])`` as shredded ``VARIANT`` files, one folder per collection.
+
+    Spark takes the fields that a file's documents share into Parquet columns of their own and keeps in the remainder what differs in kind or
+    is rare, so any document fits and none is changed.  Readers get whole documents as one ``VARIANT`` or, when they ask for
+    fields, only those columns.  A document's keys come back in sorted order.
+    """
+    name = F.lit(collection) if collection else F.col("collection")
+    rest = [c for c in documents.columns if c not in ("collection", "doc")]
+    out = documents.select(name.alias("collection"), *rest, F.to_variant_object("doc").alias("doc"))
+    out.write.mode(mode).partitionBy("collection").parquet(path)
+
+
 def write_side(side: DataFrame, path: str, mode: str = "append") -> None:
     """Append decomposed payloads, one folder per side collection."""
     side.write.mode(mode).partitionBy("collection").parquet(path)

@@ -33,13 +33,18 @@ def test_latency_literals(spark):
     assert (row["count"], row.min_ms, row.max_ms, row.p50_ms, row.p95_ms) == (3, 10.5, 20.3, 15.2, 20.3) and row.avg_ms > 15
 
 
-@pytest.mark.parametrize("steps, levels", [(1, 1), (3, 1), (2, 2), (1, 3)])
-def test_exact_percentiles_match_sorting(spark, steps, levels):
+@pytest.mark.parametrize("steps, bound", [(1, 60), (3, 5), (2, 20), (7, 1), (7, 100_000)])
+def test_exact_percentiles_match_sorting(spark, monkeypatch, steps, bound):
+    """One operation of many distinct values, one of repeats: no task sorts more than the bound."""
+    sorted_at_once = []
+    real = T._picked
+    monkeypatch.setattr(T, "_picked", lambda near, by: sorted_at_once.append(near.groupBy(*by).count().agg(F.max("count")).first()[0] or 0) or real(near, by))
     rng = random.Random(steps)
     data = {"hot": [float(rng.randint(0, 400)) for _ in range(3000)], "one": [5.0], "same": [2.0] * 50,
             "wide": [rng.random() * 1e6 for _ in range(777)]}
     df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs], "operation string, ms double")
-    got = {r.operation: r for r in T.latency_stats(df, "operation", "ms", steps, levels).collect()}
+    got = {r.operation: r for r in T.latency_stats(df, "operation", "ms", steps, bound).collect()}
+    assert max(sorted_at_once) <= bound
     for k, vs in data.items():
         vs = sorted(vs)
         want = [vs[math.floor(len(vs) * q)] for q in (0.5, 0.95, 0.99)]

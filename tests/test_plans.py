@@ -1,8 +1,13 @@
 """Properties of the physical plans that matter at scale."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
+from recordloom.operators import query as Q
 from recordloom.plans import QUERIES
+from recordloom.sources.tables import write_shredded
 
 
 def plan_of(spark, sf, name):
@@ -47,3 +52,26 @@ def test_recent_entries_sort_no_more_than_they_keep(spark, sf):
     assert "TakeOrderedAndProject" in plan_of(spark, sf, "t5_recent_entries")
     assert "WindowGroupLimit" in plan_of(spark, sf, "t5_recent_per_key")
     assert "WindowGroupLimit" in plan_of(spark, sf, "p4_sample_values")
+
+
+def test_filters_over_shredded_documents_read_what_they_ask_for(spark, tmp_path):
+    """Final plans read the asked fields, not whole documents; and every document comes back as it was."""
+    texts = ['{"a": 1, "b": {"c": [1, {"d": 2}]}, "t": "x"}', '{"a": "one", "t": null}', '{"a": [1, "one"], "z z": {"q": 1.50}}', "{}",
+             '{"a": 2.5, "b": [{"c": 5}, {"c": {"d": 7}}]}', '{"a": 99999999999999999999999999, "b": 3}']
+    docs = spark.createDataFrame(list(enumerate(texts)) * 50, "uuid int, j string").select("uuid", F.from_json("j", "map<string,variant>").alias("doc"))
+    write_shredded(docs.repartition(2), str(tmp_path / "d"), "c")
+    stored = spark.read.parquet(str(tmp_path / "d"))
+    whole = lambda df, doc: sorted((r.uuid, r.d) for r in df.select("uuid", F.to_json(doc).alias("d")).collect())
+    assert whole(stored, "doc") == whole(docs, F.to_variant_object("doc"))
+    specs = [{"a": 1}, {"a": "one"}, {"a": {"$ne": 1}}, {"a": {"$gt": 1}}, {"b.c.d": 2}, {"b.c": 5}, {"t": None}, {"t": {"$exists": True}}, {"z z.q": 1.5},
+             {"a": {"$size": 2}}, {"$or": [{"a": 2.5}, {"b": 3}]}, {"b.c.d": {"$in": [2, 7]}, "a": {"$nin": ["one"]}}, {"a": {"$not": {"$gt": 1}}}]
+    for spec in specs:
+        want = sorted(r.uuid for r in Q.filter_documents(docs, spec).collect())
+        found = Q.filter_documents(stored, spec).select("uuid")
+        assert sorted(r.uuid for r in found.collect()) == want, spec
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        read = re.search(r"ReadSchema: struct<(.*?)>$", plan, re.M).group(1)
+        assert re.search(r"doc:struct<(\d+:variant,?)+>", read) and "doc:variant" not in read, plan
+    fields = Q.project_document_fields(stored, ["t", "nothing"])
+    assert "doc:struct<0:variant,1:variant>" in fields._jdf.queryExecution().executedPlan().toString()
+    assert {(r.uuid, r.t) for r in fields.collect() if r.t} == {(0, "x")}
