@@ -29,14 +29,14 @@ LEVEL = 3
 #: A page is a row of the file: frames of consecutive documents up to about so many bytes, and their index.
 PAGE_BYTES = 1 << 20
 #: A worker remembers the encodings of at most twice so many chunks and words.
-CHUNKS, WORDS = 250_000, 150_000
+CHUNKS, WORDS = 400_000, 20_000
 MARKS = ".,;:!?"
 
 PAGE = pa.schema([
-    ("first_doc", pa.int64()), ("dictionary_sha256", pa.string()), ("payload", pa.binary()), ("n_tokens", pa.int64()),
+    ("first_doc", pa.int64()), ("last_doc", pa.int64()), ("dictionary_sha256", pa.string()), ("payload", pa.binary()), ("n_tokens", pa.int64()),
     ("index", pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
                                   ("offset", pa.int64()), ("length", pa.int64())])))])
-PAGE_TYPE = ("first_doc long, dictionary_sha256 string, payload binary, n_tokens long, "
+PAGE_TYPE = ("first_doc long, last_doc long, dictionary_sha256 string, payload binary, n_tokens long, "
              "index array<struct<doc_id:long,start:long,n_tokens:long,offset:long,length:long>>")
 READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
@@ -74,10 +74,10 @@ class Memo(dict):
 class Encoder:
     """Whole texts to ids.
 
-    The tokenizer never joins across a space or a line feed, so the chunks between them are encoded one by one and
-    remembered; the ids are those of the whole text.  A chunk of visible Latin-1 characters takes a short way if
-    the tokenizer's definition is the known one (lower case, words by one pattern, byte-level BPE): its words go to the
-    library's BPE model directly.  Any other chunk, or definition, goes through the whole tokenizer.
+    If the tokenizer's definition is the known one (lower case, white space dropped, words by one pattern, byte-level BPE), it
+    never joins across a space or a line feed, so the chunks between them are encoded one by one and remembered, and words of
+    visible Latin-1 characters go to the library's BPE model directly.  The ids are those of the whole text.  By any other
+    definition whole texts go through the whole tokenizer.
     """
 
     #: What the short way stands for, as it is written in a tokenizer's definition.
@@ -101,22 +101,30 @@ class Encoder:
         self.chunks[""] = b""
 
     def piece(self, word: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(word.translate(self.alphabet))]).tobytes()
+        """The ids of one word in lower case."""
+        letters = word if word.isascii() else word.translate(self.alphabet)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def chunk(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.short:
-            # A word with marks behind it is the common case; letters and marks never share a piece.
-            word = text.rstrip(MARKS)
-            if word.isalpha() and self.visible.fullmatch(word):
-                rest = text[len(word):]
-                return self.pieces[word.lower()] + self.pieces[rest] if rest else self.pieces[word.lower()]
-            if self.visible.fullmatch(text) and not any(x in text for x in self.special):
-                return b"".join(map(self.pieces.__getitem__, self.words.findall(text.lower())))
+        # A word with marks behind it is the common case; letters and marks never share a piece.
+        word = text.rstrip(MARKS)
+        if word.isalpha() and (word.isascii() or self.visible.fullmatch(word)):
+            lower = word.lower()
+            if lower == text:
+                return self.piece(text)
+            return self.chunks[lower] + self.pieces[text[len(word):]] if len(word) < len(text) else self.chunks[lower]
+        if self.visible.fullmatch(text) and not any(x in text for x in self.special):
+            return b"".join(map(self.pieces.__getitem__, self.words.findall(text.lower())))
+        return self.whole(text)
+
+    def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> np.ndarray:
+        if not self.short:
+            return np.frombuffer(self.whole(text) + END_BYTES, dtype="<u4")
         chunks = text.replace("\n", " ").split(" ")
         return np.frombuffer(b"".join([*map(self.chunks.__getitem__, chunks), END_BYTES]), dtype="<u4")
 
@@ -180,7 +188,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, folder: str, text: str =
 
         def page():
             return pa.RecordBatch.from_arrays([
-                pa.array([index[0]["doc_id"]], pa.int64()), pa.array([name]), pa.array([b"".join(frames)], pa.binary()),
+                pa.array([index[0]["doc_id"]], pa.int64()), pa.array([index[-1]["doc_id"]], pa.int64()), pa.array([name]), pa.array([b"".join(frames)], pa.binary()),
                 pa.array([sum(x["n_tokens"] for x in index)], pa.int64()), pa.array([index], PAGE.field("index").type)], schema=PAGE)
 
         for batch in batches:
@@ -241,7 +249,9 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
 def read_document(spark: SparkSession, folder: str, doc_id: int) -> list[int] | None:
     """Ids of one document through the index: only the row groups whose range may hold it are read."""
     stored = spark.read.parquet(f"{folder}/dictionary").first()
-    hit = spark.read.parquet(f"{folder}/pages").where(F.col("first_doc").isNull() | (F.col("first_doc") <= doc_id)).select(
+    # A page that begins among rows without id has no first one; null ids come first, so its last one bounds it.
+    bounds = (F.col("first_doc").isNull() | (F.col("first_doc") <= doc_id)) & (F.col("last_doc") >= doc_id)
+    hit = spark.read.parquet(f"{folder}/pages").where(bounds).select(
         "payload", F.explode("index").alias("x")).where(F.col("x.doc_id") == doc_id).select(
         F.substring(F.col("payload"), (F.col("x.offset") + 1).cast("int"), F.col("x.length").cast("int")).alias("frame")).first()
     if hit is None:
