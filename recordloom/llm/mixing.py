@@ -200,3 +200,11 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_r
     planned = schedule(docs, weights, block_rows, cap, source, order).where("in_mix")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return planned.repartitionByRange(parts, "place").sortWithinPartitions("place").select("row.*")
+
+
+def stored_order(docs: DataFrame) -> DataFrame:
+    """A mix that was written as Parquet and read again, with ``_file`` and ``_nth``: Spark numbers its part files by partition, and
+    partitions are ranges of the schedule, so (_file, _nth) is the order of the mix whatever splits a reader makes."""
+    name = F.col("_metadata.file_name")
+    number = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long")
+    return docs.select("*", F.struct(number.alias("number"), name.alias("name")).alias("_file"), F.col("_metadata.row_index").alias("_nth"))

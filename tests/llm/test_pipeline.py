@@ -1,19 +1,19 @@
 """The pipeline: what each stage rejects, and its form."""
 
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from recordloom.llm import ngram_join, queries
+from recordloom.llm import mixing, ngram_join, queries
 from recordloom.llm.common import landed
 from tools.check_queries import rows_of
 
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
@@ -46,8 +46,18 @@ def test_stages_keep_columns_and_take_effect(spark, sf):
         if name == "decontamination":
             leaks = {r.doc_id for r in entry.queries()["op1_decontamination"](spark, sf).where("contaminated").collect()}
             assert not ids & leaks and {r.doc_id for r in before.collect()} - ids <= leaks
+        if name == "source_mix":  # rows lie in the order of the mix
+            mixed = [r.doc_id for r in mixing.stored_order(left).orderBy("_file", "_nth").collect()]
+            places = {r.doc_id: r.place for r in mixing.schedule(before, cap=None).select("row.doc_id", "place").collect()}
+            assert [places[d] for d in mixed] == sorted(places.values())
         if name == "sharding":
-            assert left.columns == ["doc_id", "size", "text_crc32", "shard", "slot"]
+            assert left.columns == [*docs.columns, "size", "text_crc32", "shard", "slot"]
+            slots = defaultdict(list)
+            for r in left.orderBy("shard", "slot").collect():
+                assert r.slot == len(slots[r.shard]) and r.text is not None
+                slots[r.shard].append(r.doc_id)
+            order = {d: i for i, d in enumerate(mixed)}
+            assert all([order[d] for d in ids] == sorted(order[d] for d in ids) for ids in slots.values())
     assert corpus_pipeline.run(spark, sf).count() == sizes[-1]
 
 
@@ -56,6 +66,7 @@ def test_stages_bear_odd_rows(spark, sf, odd, empty):
         left = rows
         for name, stage in corpus_pipeline.STAGES:
             left = stage(spark, left, sf)
-            assert name == "sharding" or left.columns == rows.columns
+            added = ["size", "text_crc32", "shard", "slot"]
+            assert left.columns == (rows.columns if name != "sharding" else [*[c for c in rows.columns if c not in added], *added])
             left = landed(left, "odd")
-        assert left.count() <= rows.count()
+        assert left.count() <= rows.count() and left.select("slot").distinct().count() <= left.count()

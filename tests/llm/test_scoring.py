@@ -308,6 +308,27 @@ def test_chunks_encode_as_whole_texts(text):
     assert token_files.Encoder(definition)(text).tolist() == encoded([text])[0]
 
 
+def test_other_tokenizers_take_whole_texts(spark, odd):
+    """Tokens that carry their space, and special tokens in a text: round trip through the files."""
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(file)
+    texts = ["a b  c\nd the cat", " lead", "x <|endoftext|> y", "Don't 123 stop.", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    folder = token_files.write_tokens(df, file, work_folder(spark, "tokens"))
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in token_files.read_tokens(spark, folder).collect()}
+    assert got == {i: t.encode(x or "", add_special_tokens=False).ids + [1] for i, x in enumerate(texts)}
+    assert token_files.read_document(spark, folder, 2) == got[2]
+
+
+def test_one_document_is_read_from_its_page(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "PAGE_BYTES", 200)
+    df = spark.createDataFrame([(None if i < 5 else i, f"text number {i} of the table") for i in range(300)], "doc_id long, text string")
+    folder = token_files.write_tokens(df, public_tokenizers.path("word_bpe_49k.json"), work_folder(spark, "tokens"))
+    pages = spark.read.parquet(f"{folder}/pages")
+    held = pages.where("(first_doc IS NULL OR first_doc <= 150) AND last_doc >= 150")
+    assert held.count() == 1 < pages.count() and token_files.read_document(spark, folder, 150) == encoded(["text number 150 of the table"])[0]
+
+
 def test_toxicity_of_whole_table(spark, sf, con):
     rows = queries.QUERIES["op3_toxicity"](spark, sf).collect()
     labels = dict(con.execute("SELECT doc_id, toxic FROM labels").fetchall())
