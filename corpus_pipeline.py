@@ -1,7 +1,8 @@
 """A training corpus from documents: drop toxic texts, near copies and benchmark leaks, mix sources, and shard.
 
 Each stage gets (spark, docs, folder of the tables) and returns a DataFrame, which is written and read
-again before the next stage.  All but the last return the columns of documents.
+again before the next stage.  All but the last return the columns of documents; the last adds size, text_crc32, shard and
+slot, and the slots of a shard are in the order of the mix.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sharding.shard(docs)
+    # The mix lies in its files in order; the slots of each shard follow it.
+    return sharding.shard_in_order(mixing.stored_order(docs), ("_file", "_nth"))
 
 
 STAGES = [
