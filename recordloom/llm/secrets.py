@@ -31,13 +31,14 @@ CLASSES = (
     ("entropy_base64", re.compile(r"[0-9A-Za-z+/_=-]{20,}"), 3.8),
 )
 KINDS = ("assign", "access", "hex", *(c[0] for c in CLASSES))
-#: Strings that look random and are not secret: identifiers, dates, alphabets, and example values.
-ALLOW = (
+#: Runs that look random and are not secret: identifiers, words, dates and numbers.
+SHAPES = (
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r"(?i).*(example|sample|placeholder|changeme|your[_-]?(key|token|secret)|xxxx|abcdef|012345|qwerty).*"),
     re.compile(r"[A-Za-z]+([-_/][A-Za-z]+)*"),
     re.compile(r"[0-9/=_+-]+"),
 )
+#: What a found span may hold if it is an example or an alphabet.
+EXAMPLES = re.compile(r"(?i)example|sample|placeholder|changeme|your[_-]?(key|token|secret)|xxxx|abcdef|012345|qwerty")
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()),
                     ("n_entropy", pa.int64()), ("base_spans", pa.string()), ("spans", pa.string())])
@@ -68,23 +69,24 @@ def dense_windows(s: str, least: float) -> list[tuple[int, int]]:
 
 
 def entropy_spans(text: str) -> list[tuple[int, str, int]]:
-    """Spans of candidate strings by character class, without those of the allow list."""
+    """Spans of candidate strings by character class, from the narrowest.  The allow list is held against the run and the span found,
+    not the candidate around them, and a span of a wider class goes only where it overlaps one of a narrower class."""
     out = []
     for m in CANDIDATE.finditer(text):
         s = m.group()
-        if any(a.fullmatch(s) for a in ALLOW):
-            continue
+        taken: list[tuple[int, int]] = []
         for kind, runs, least in CLASSES:
-            hit = False
             for run in runs.finditer(s):
-                body = run.group()
-                if not (any(c.isdigit() for c in body) and any(c.isalpha() for c in body)):
+                body, first = run.group(), run.start()
+                if any(a.fullmatch(body) for a in SHAPES) or not (any(c.isdigit() for c in body) and any(c.isalpha() for c in body)):
                     continue
+                ids = [x.span() for x in SHAPES[0].finditer(body)]
                 for a, b in dense_windows(body, least):
-                    out.append((m.start() + run.start() + a, kind, m.start() + run.start() + b))
-                    hit = True
-            if hit:  # the narrowest class that explains the candidate
-                break
+                    if EXAMPLES.search(body, a, b) or any(x < b and a < y for x, y in ids):
+                        continue
+                    if not any(x < first + b and first + a < y for x, y in taken):
+                        out.append((m.start() + first + a, kind, m.start() + first + b))
+                        taken.append((first + a, first + b))
     return out
 
 
@@ -112,8 +114,8 @@ def secret_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     """Spans of secrets in every row: doc_id, counts per kind, base_spans and spans.
 
     Spans are kind:start:end in code points, end exclusive, by start.  A null or empty text has none.
-    Texts are handled one at a time and whole; repeated rows give repeated results; other columns
-    are ignored.  A narrow map: nothing is shuffled.
+    Texts of any length are handled one at a time and whole; repeated rows give repeated results; other columns
+    are ignored; an empty table gives no rows.  A narrow map: nothing is shuffled.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(of_rows(scan, SCHEMA, "doc_id", "text"),
