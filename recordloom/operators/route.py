@@ -102,9 +102,12 @@ def stub_reference(field: Column, uuid: Column) -> Column:
     return F.concat(F.lit(REFERENCE_PREFIX + SIDE_PREFIX), escape(field), F.lit("::"), escape(uuid))
 
 
-def decompose_large(documents: DataFrame, created_at: Column | None = None) -> Decomposed:
+def decompose_large(documents: DataFrame, created_at: Column | None = None, mark: bool = False) -> Decomposed:
     """Move big fields of big documents to side collections and leave reference stubs.
 
+    With ``mark`` the documents get a column ``stubs``, the stubs that were left in each: a text of the user's that only looks like one
+    is then told apart when references are resolved.
+
     A document above 1024 characters loses every field above a tenth of its size (so at
     most nine per document); link fields always stay.
     """
@@ -130,7 +133,8 @@ def decompose_large(documents: DataFrame, created_at: Column | None = None) -> D
         F.to_json(F.col("doc")[F.col("_field")]).alias("data"),
         created.alias("created_at"),
     )
-    return Decomposed(split.select("uuid", stubbed.alias("doc")), side)
+    marks = [F.transform("_moved", lambda k: stub_reference(k, F.col("uuid"))).alias("stubs")] if mark else []
+    return Decomposed(split.select("uuid", stubbed.alias("doc"), *marks), side)
 
 
 # A stub as the whole value of an object member in compact JSON.  Inside a text the quote
@@ -177,7 +181,8 @@ def resolve_references(documents: DataFrame, side: DataFrame, unwrap: bool = Tru
 
     ``unwrap`` writes a single payload as itself, so that decompose and resolve are
     inverse; otherwise every reference becomes a list of payloads, ``[]`` when none is found.
-    A malformed stub stays as it is.  ``nested`` also resolves stubs inside objects and
+    A malformed stub stays as it is.  If the documents have a column ``stubs`` (see ``decompose_large``), only the stubs listed
+    there are references; without it everything that looks like one is.  ``nested`` also resolves stubs inside objects and
     inside objects in lists; payloads are not resolved again and plain texts in lists are
     left alone.
 
@@ -191,6 +196,8 @@ def resolve_references(documents: DataFrame, side: DataFrame, unwrap: bool = Tru
         # Only a text can begin like a stub: other values read as numbers, words or JSON.
         texts = F.transform(F.map_values("doc"), lambda v: v.cast("string"))
         stubs = F.array_distinct(F.filter(texts, is_reference))
+    if "stubs" in documents.columns:
+        stubs = F.array_intersect(stubs, F.coalesce("stubs", F.array().cast("array<string>")))
     marked = once(documents, _stubs=stubs)
     plain = marked.filter(F.size("_stubs") == 0).select("uuid", "doc")
     linked = marked.filter(F.size("_stubs") > 0)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import oplog as T
+from ..operators.profile import field_profile
 from ..operators.route import resolve_references
 from ..session import work_folder
 from ..streaming.ingest import (
@@ -14,7 +15,9 @@ from ..streaming.ingest import (
     read_documents,
     read_side,
     read_structured,
+    running_profile,
     stream_profile,
+    stream_running_profile,
     streamed_profile,
 )
 from ..streaming.sessions import once_per_key, stream_sessions
@@ -245,6 +248,20 @@ def st2_stream_profile(spark, sf):
     return I.round_profile(streamed_profile(spark, base))
 
 
+@query("st2_running_profile", f"""WITH {I.EVENT_SQL}
+SELECT key AS field, COUNT(*) AS count, round(COUNT(*) / (SELECT COUNT(*) FROM ev)::DOUBLE, 6) AS frequency_ratio,
+       CASE WHEN COUNT(DISTINCT type_name) = 1 THEN MIN(type_name) ELSE 'mixed' END AS detected_type, true AS near_unique_count
+FROM ({I.cells_sql()}) GROUP BY key""")
+def st2_running_profile(spark, sf):
+    """The profile kept in the state store; its distinct counts are sketched and must be near the exact ones."""
+    base = work_folder(spark, "st2r")
+    stream_running_profile(_event_stream(spark, sf), base, "raw", "event_id").awaitTermination()
+    exact = field_profile(I.event_records(spark, sf)).select("field", F.col("unique_count").alias("_exact"))
+    near = F.abs(F.col("unique_count") - F.col("_exact")) <= 0.1 * F.col("_exact")
+    return I.round_profile(running_profile(spark, base)).join(exact, "field").select(
+        "field", "count", "frequency_ratio", "detected_type", near.alias("near_unique_count"))
+
+
 _SESSIONS = """
 g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS starts FROM events),
 n AS (SELECT *, SUM(starts) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g),

@@ -12,6 +12,7 @@ from ..operators.classify import decide_targets
 from ..operators.profile import field_profile
 from ..operators.route import decompose_large
 from ..session import work_folder
+from ..sources.buckets import read_buckets, update_stored, write_buckets
 from ..sources.tables import write_shredded
 from . import inputs as I
 from .registry import SQL, query
@@ -454,6 +455,20 @@ def q1_filter_either_side(spark, sf):
     return out
 
 
+@query("w2_update_stored", f"""WITH {_ACCOUNT}, hit AS (SELECT uuid FROM acct WHERE segment = 'BUILDING' AND nation IN (3, 4))
+SELECT uuid, CASE WHEN uuid IN (FROM hit) THEN NULL ELSE balance END AS balance, CASE WHEN uuid IN (FROM hit) THEN 'unknown' END AS doc_balance FROM acct""")
+def w2_update_stored(spark, sf):
+    """Stored sides in buckets: the buckets of the hit records are rewritten."""
+    accounts = I.customer_accounts(spark, sf)
+    docs = accounts.select("uuid", F.create_map(F.lit("nation"), F.col("nation").cast("variant")).alias("doc"))
+    base = work_folder(spark, "buckets")
+    write_buckets(accounts.select("uuid", "segment", "balance"), f"{base}/structured")
+    write_buckets(docs, f"{base}/documents")
+    update_stored(spark, f"{base}/structured", f"{base}/documents", {"segment": "BUILDING", "nation": {"$in": [3, 4]}}, {"balance": "unknown"}, {"balance": "SQL"})
+    text = F.try_variant_get(F.try_element_at("doc", F.lit("balance")), "$", "string").alias("doc_balance")
+    return read_buckets(spark, f"{base}/structured").select("uuid", "balance").join(read_buckets(spark, f"{base}/documents").select("uuid", text), "uuid")
+
+
 @query("w3_delete_by_either_side", f"""WITH {_ACCOUNT}, hit AS (SELECT uuid FROM acct WHERE segment = 'BUILDING' AND nation IN (1, 2, 3, 4, 5))
 SELECT 'root' AS "table", (SELECT COUNT(*) FROM hit) AS deleted, (SELECT COUNT(*) FROM acct) - (SELECT COUNT(*) FROM hit) AS kept
 UNION ALL SELECT 'documents', (SELECT COUNT(*) FROM hit), (SELECT COUNT(*) FROM acct) - (SELECT COUNT(*) FROM hit)""")

@@ -117,6 +117,19 @@ def r4_resolve_as_list(spark, sf):
                        F.array_size(F.try_variant_get(value, "$", "array<variant>")).alias("payloads"))
 
 
+@query("r4_user_text_like_a_stub", """
+SELECT CAST(doc_id AS VARCHAR) AS uuid, md5(text) AS text_digest, 'REF::MONGO::notes::' || doc_id AS note, 'REF::MONGO::x::y' AS inner_note FROM documents""")
+def r4_user_text_like_a_stub(spark, sf):
+    """Texts of users that look like references survive, while the marked ones are resolved."""
+    note = F.concat(F.lit("REF::MONGO::notes::"), F.col("uuid")).cast("variant")
+    inner = F.parse_json(F.lit('{"note": "REF::MONGO::x::y"}'))
+    docs = _documents(spark, sf).select("uuid", F.map_concat("doc", F.create_map(F.lit("note"), note, F.lit("inner"), inner)).alias("doc"))
+    parts = decompose_large(docs, mark=True)
+    back = resolve_references(parts.documents, parts.side, nested=True).documents
+    at = lambda field, path="$": F.try_variant_get(F.col("doc")[field], path, "string")
+    return back.select("uuid", F.md5(at("text")).alias("text_digest"), at("note").alias("note"), at("inner", "$.note").alias("inner_note"))
+
+
 @query("r5_resolve_nested", """
 SELECT CAST(page_id AS VARCHAR) AS uuid, md5(html) AS in_object, md5(html) AS in_list_object,
        'REF::MONGO::decomposed_html::' || page_id AS in_list, 'REF::MONGO::broken' AS malformed, '[]' AS missing FROM pages""")

@@ -28,9 +28,10 @@ def write_structured(df: DataFrame, path: str) -> list[str]:
 
 
 def write_documents(documents: DataFrame, path: str, collection: str | None = None, mode: str = "append") -> None:
-    """Append documents ``(uuid, doc[, collection])`` as JSON text, one folder per collection."""
+    """Append documents ``(uuid, doc[, collection][, stubs])`` as JSON text, one folder per collection."""
     name = F.lit(collection) if collection else F.col("collection")
-    out = documents.select(name.alias("collection"), "uuid", to_document(F.col("doc")).alias("doc"))
+    marks = [c for c in documents.columns if c == "stubs"]
+    out = documents.select(name.alias("collection"), "uuid", to_document(F.col("doc")).alias("doc"), *marks)
     out.write.mode(mode).partitionBy("collection").parquet(path)
 
 

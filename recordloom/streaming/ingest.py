@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.plan import spread
+from ..functions.plan import once, spread
+from ..functions.values import TYPE_BITS, fingerprint, lookup, plain_text, type_name
 from ..operators.classify import decide_targets, detect_drift, migrate_drifted
 from ..operators.profile import (
     cells,
@@ -62,7 +63,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, base: str, json_col: str, id_c
         profile = finish_profile(field_counts(partials), total.scalar())
         decisions = keep(decide_targets(profile, before.get("decisions")))
         routed = route_records(records, decisions)
-        parts = decompose_large(routed.documents)
+        parts = decompose_large(routed.documents, mark=True)
         here = f"batch_id={batch_id}"
         routed.structured.write.mode("overwrite").parquet(f"{base}/structured/{here}")
         write_documents(parts.documents, f"{base}/documents/{here}", "documents", mode="overwrite")
@@ -119,7 +120,7 @@ def read_structured(spark, base: str) -> DataFrame:
 
 def read_documents(spark, base: str) -> DataFrame:
     stored = spark.read.parquet(f"{base}/documents")
-    return stored.select("collection", "uuid", F.from_json("doc", "map<string,variant>").alias("doc"))
+    return stored.select("collection", "uuid", F.from_json("doc", "map<string,variant>").alias("doc"), "stubs")
 
 
 def read_side(spark, base: str) -> DataFrame:
@@ -141,7 +142,7 @@ def current_view(spark, base: str) -> tuple[DataFrame, DataFrame]:
     """Both sides as the newest decisions want them: columns that drifted are gone from the structured side, and
     their values, moved when they drifted, are in the documents."""
     structured = read_structured(spark, base)
-    documents = read_documents(spark, base).select("uuid", "doc")
+    documents = read_documents(spark, base).select("uuid", "doc", "stubs")
     newest = load_catalog(spark, f"{base}/catalog")["decisions"]
     # Only columns of the structured table are asked for, so the answer is schema-sized.
     gone = newest.filter((F.col("target") == "MONGO") & F.col("field").isin(*structured.columns)).select("field")
@@ -155,7 +156,44 @@ def current_view(spark, base: str) -> tuple[DataFrame, DataFrame]:
     doc = F.coalesce("doc", F.create_map().cast("map<string,variant>"))
     whole = F.aggregate(F.coalesce("_all", F.array().cast("array<map<string,variant>>")), doc, lambda d, m: F.map_concat(
         d, F.map_filter(m, lambda k, v: ~F.map_contains_key(d, k))))
-    return structured, joined.select("uuid", whole.alias("doc"))
+    return structured, joined.select("uuid", whole.alias("doc"), "stubs")
+
+
+def stream_running_profile(stream: DataFrame, base: str, json_col: str, id_col: str, available_now: bool = True) -> StreamingQuery:
+    """Running field profile whose state is in the state store: one row a field (count, type mask, HLL sketch of its values) and
+    one for the records, whatever the number of batches.
+
+    A batch is added by partial aggregation, so each task sends one row a field.  The whole profile, small as it is, is
+    written per batch; the two newest are kept, and a restart goes on from the checkpoint.
+    """
+    parsed = normalize_keys(read_records(stream, json_col, id_col).records)
+    # The entry without a key counts the record itself.
+    entries = F.concat(F.map_entries("fields"), F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value"))))
+    cell = once(parsed.select(F.explode(entries).alias("e")).select("e.key", "e.value"), kind=type_name(F.col("value")))
+    state = cell.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_or(lookup(TYPE_BITS, F.col("kind"))).alias("types"),
+        F.hll_sketch_agg(fingerprint(plain_text(F.col("value"), F.col("kind")))).alias("sketch"))
+
+    def step(profile: DataFrame, n: int) -> None:
+        profile.coalesce(1).write.mode("overwrite").parquet(f"{base}/profile/batch_id={n}")
+        _forget(profile.sparkSession, f"{base}/profile/batch_id={n - 2}")
+
+    writer = state.writeStream.outputMode("complete").foreachBatch(step).option("checkpointLocation", f"{base}/_checkpoint")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=BATCH_PAUSE)
+    return writer.start()
+
+
+def _forget(spark, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def running_profile(spark, base: str) -> DataFrame:
+    """The profile as of the last batch."""
+    stored = spark.read.parquet(f"{base}/profile")
+    newest = stored.filter(F.col("batch_id") == stored.agg(F.max("batch_id")).scalar()).drop("batch_id")
+    total = newest.filter(F.col("key").isNull()).agg(F.coalesce(F.max("n"), F.lit(0))).scalar()
+    return finish_profile(field_counts(newest.filter(F.col("key").isNotNull())), total)
 
 
 def stream_profile(stream: DataFrame, base: str, json_col: str, id_col: str, available_now: bool = True) -> StreamingQuery:

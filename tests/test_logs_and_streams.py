@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from recordloom.operators import oplog as T
 from recordloom.operators.profile import field_profile
+from recordloom.operators.records import normalize_keys
 from recordloom.operators.route import resolve_references
 from recordloom.operators.shred import reconstruct
 from recordloom.session import work_folder
@@ -21,7 +22,9 @@ from recordloom.streaming.ingest import (
     read_documents,
     read_side,
     read_structured,
+    running_profile,
     stream_profile,
+    stream_running_profile,
     streamed_profile,
 )
 from recordloom.streaming.sessions import stream_sessions
@@ -140,9 +143,9 @@ def test_exports(spark):
         export_results(df, base, "xml")
 
 
-def write_batches(folder, batches):
+def write_batches(folder, batches, start=0):
     os.makedirs(folder, exist_ok=True)
-    for n, texts in enumerate(batches):
+    for n, texts in enumerate(batches, start):
         path = os.path.join(folder, f"{n:03d}.txt")
         with open(path, "w") as f:
             f.write("\n".join(texts) + "\n")
@@ -258,3 +261,22 @@ def test_streamed_sessions_close_with_the_watermark(spark):
 def test_work_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert work_folder(spark, "x").startswith(base)
+
+
+def test_running_profile_state_follows_fields_and_resumes(spark, tmp_path):
+    """Many batches, a stop in between: the state holds a row a field, and the profile equals that of all records."""
+    folder, base = str(tmp_path / "in"), str(tmp_path / "out")
+    lines = [json.dumps({"a": i, "b": None if i % 3 else "t", "c": {"d": i}} if i % 2 else {"a": str(i)}) for i in range(60)]
+    stream = lambda: stream_records(spark, folder, files_per_trigger=1).withColumn("id", F.sha2("value", 256))
+    write_batches(folder, [lines[i:i + 5] for i in range(0, 30, 5)])
+    query = stream_running_profile(stream(), base, "value", "id")
+    query.awaitTermination()
+    write_batches(folder, [lines[i:i + 5] for i in range(30, 60, 5)], start=6)
+    again = stream_running_profile(stream(), base, "value", "id")
+    again.awaitTermination()
+    assert again.lastProgress["stateOperators"][0]["numRowsTotal"] == 4  # three fields and the records
+    got = {r.field: (r["count"], r.frequency_ratio, r.type_stability, r.detected_type, r.unique_count) for r in running_profile(spark, base).collect()}
+    texts = spark.createDataFrame([(str(i), t) for i, t in enumerate(lines)], "id string, value string")
+    want = field_profile(normalize_keys(read_records(texts, "value", "id").records)).collect()
+    assert got == {r.field: (r["count"], r.frequency_ratio, r.type_stability, r.detected_type, r.unique_count) for r in want}
+    assert len(os.listdir(f"{base}/profile")) <= 2 + 1

@@ -103,3 +103,17 @@ def test_work_folders_are_released(spark):
     folder = os.path.dirname(df.inputFiles()[0].removeprefix("file:"))
     assert df.count() == 3 and os.path.isdir(folder)
     assert release(spark) >= 1 and not os.path.exists(folder) and release(spark) == 0
+
+
+def test_the_example_of_the_readme(spark, tmp_path):
+    import re
+    from pathlib import Path
+
+    lines = ['{"userName": "a", "age": 3, "orders": [{"sku": "x"}, {"sku": "y"}]}', '{"userName": "b", "age": 4}', "broken"]
+    (tmp_path / "in.txt").write_text("\n".join(lines) + "\n")
+    readme = (Path(__file__).resolve().parents[1] / "README.md").read_text()
+    scope = {"spark": spark, "folder": str(tmp_path / "in.txt")}
+    exec(re.search(r"```python\n(.*?)```", readme, re.S).group(1), scope)  # noqa: S102
+    assert scope["parsed"].rejected.count() == 1 and scope["rows"].count() == 2
+    assert scope["sides"].documents.count() == 2 and scope["parts"].documents.count() == 2
+    assert {r["table"] for r in scope["tables"].select("table").collect()} == {"root", "root_orders"}

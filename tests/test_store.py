@@ -1,6 +1,8 @@
 import json
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from recordloom.functions.walk import nesting_depth, real_depth
@@ -368,3 +370,15 @@ def test_a_record_of_many_children(records):
     rows = shred(assign_uuid(records(wide, "{}")))
     assert {r.depth: r["count"] for r in rows.groupBy("depth").count().collect()} == {0: 2, 1: 30_000, 2: 30}
     assert rows.select("uuid").distinct().count() == 30_032
+
+
+@pytest.mark.parametrize("nested", [False, True])
+def test_user_texts_that_look_like_references_survive(spark, records, nested):
+    long = "x" * 2000
+    source = assign_uuid(records(json.dumps({"note": "REF::MONGO::notes::mine", "body": long, "o": {"n": "REF::MONGO::a::b"}}),
+                                 json.dumps({"note": "REF::MONGO::notes::mine", "odd": "REF::"}))).select("uuid", F.col("fields").alias("doc"))
+    parts = decompose_large(source, mark=True)
+    assert sorted(len(r.stubs) for r in parts.documents.collect()) == [0, 1]
+    back = resolve_references(parts.documents, parts.side, nested=nested).documents
+    text = lambda df: {r.uuid: r.t for r in df.select("uuid", to_document(F.col("doc")).alias("t")).collect()}
+    assert text(back) == text(source)
