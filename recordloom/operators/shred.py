@@ -242,7 +242,8 @@ def reconstruct(root: DataFrame, key: str, documents: DataFrame | None = None,
     """
     base = root.select(key, row_fields(root.schema, [c for c in root.columns if c != key]).alias("_own"))
     if documents is not None:
-        base = base.join(documents.select(key, "doc"), key, "left")
+        # A document per root row: shuffled, never broadcast through the driver.
+        base = base.join(documents.select(key, "doc").hint("merge"), key, "left")
         rest = F.map_filter("_own", lambda k, v: ~F.map_contains_key("doc", k))
         base = base.select(
             key, F.when(F.col("doc").isNull(), F.col("_own")).otherwise(F.map_concat(rest, F.col("doc"))).alias("_own")

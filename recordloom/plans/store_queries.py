@@ -433,7 +433,9 @@ def r1_misfits(spark, sf):
     again = merged.select("uuid", F.to_json(F.try_variant_get(F.parse_json("record"), "$.x", "variant")).alias("after"))
     column = parts.structured.select("uuid", F.col("x").isNotNull().cast("long").alias("c"))
     document = parts.documents.select("uuid", F.map_contains_key("doc", "x").cast("long").alias("d"))
-    return whole.join(again, "uuid", "left").join(column, "uuid").join(document, "uuid").groupBy("kind").agg(
+    # Every side holds a row per record: shuffle them, never broadcast one through the driver.
+    return whole.join(again.hint("merge"), "uuid", "left").join(column.hint("merge"), "uuid").join(
+        document.hint("merge"), "uuid").groupBy("kind").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("c").alias("in_column"), F.sum("d").alias("in_document"),
         F.count(F.when(~F.col("before").eqNullSafe(F.col("after")), 1)).alias("lost"))
 

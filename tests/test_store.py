@@ -382,3 +382,16 @@ def test_user_texts_that_look_like_references_survive(spark, records, nested):
     back = resolve_references(parts.documents, parts.side, nested=nested).documents
     text = lambda df: {r.uuid: r.t for r in df.select("uuid", to_document(F.col("doc")).alias("t")).collect()}
     assert text(back) == text(source)
+
+
+def test_misfits_and_reconstruct_broadcast_no_record_side(spark, sf):
+    """Every side of these joins holds a row per record: none may go through the driver, however small it looks."""
+    from recordloom.plans.store_queries import r1_misfits
+
+    root = spark.createDataFrame([("1", 5)], "uuid string, b int")
+    docs = spark.createDataFrame([("1",)], "uuid string").select("uuid", F.create_map(F.lit("c"), F.lit(1).cast("variant")).alias("doc"))
+    for df in (r1_misfits(spark, sf), reconstruct(root, "uuid", docs)):
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
+    assert {r.kind: (r.rows, r.lost) for r in r1_misfits(spark, sf).collect()} == {
+        k: (n, 0) for k, n in zip(("int", "text", "fraction", "list"),
+                                  [spark.read.parquet(f"{sf}/events.parquet").filter(f"event_id % 4 = {i}").count() for i in range(4)])}
