@@ -60,7 +60,8 @@ def column_type_name(dtype: T.DataType) -> str:
 
 
 def is_object(value: Column) -> Column:
-    return F.try_variant_get(value, "$", OBJECT).isNotNull()
+    # Read as a struct of no fields, the members are not taken apart just to ask.
+    return F.try_variant_get(value, "$", "struct<>").isNotNull()
 
 
 def as_object(value: Column) -> Column:
@@ -73,7 +74,7 @@ def as_list(value: Column) -> Column:
 
 def is_object_list(value: Column) -> Column:
     """A non-empty list whose first element is an object (a child table)."""
-    return F.try_variant_get(value, "$[0]", OBJECT).isNotNull()
+    return F.try_variant_get(value, "$[0]", "struct<>").isNotNull()
 
 
 def plain_text(value: Column, kind: Column) -> Column:

@@ -31,6 +31,19 @@ def child_id(parent: Column, key: Column, pos: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", parent, key, pos.cast("string")), 256), 1, 32)
 
 
+def packed_id(ident: Column) -> Column:
+    """An id for a shuffle: 32 hex digits, as ``child_id`` makes them, take 16 bytes; any other text stays as it is.
+    The leading byte tells the two apart."""
+    return F.when(ident.rlike("^[0-9a-f]{32}$"), F.concat(F.unhex(F.lit("01")), F.unhex(ident))).otherwise(
+        F.concat(F.unhex(F.lit("00")), ident.cast("binary")))
+
+
+def unpacked_id(packed: Column) -> Column:
+    """Undo ``packed_id``."""
+    ident = F.substring(packed, 2, 1 << 30)
+    return F.when(F.substring(packed, 1, 1) == F.unhex(F.lit("01")), F.lower(F.hex(ident))).otherwise(ident.cast("string"))
+
+
 def has_child_rows(fields: Column) -> Column:
     """Does a record have a list of objects?"""
     return F.coalesce(F.exists(F.map_values(fields), is_object_list), F.lit(False))

@@ -1,8 +1,9 @@
 """Recursion over rows: nested values are taken apart level by level until a level is empty.
 
-Each level is a table of rows in the shared folder, made from the rows of the level above that have something below them.  So a
-job reads only what it takes apart, a record of any size is spread over rows (nothing is gathered in one), and the number of jobs is
-the depth of the deepest record, whatever its texts hold.
+In ``all_levels`` each level is a table of rows in the shared folder, made from the rows of the level above that have something below
+them.  So a job reads only what it takes apart, a record of any size is spread over rows (nothing is gathered in one), and the number of
+jobs is the depth of the deepest record, whatever its texts hold.  Every such row still holds all that lies below it, so what is stored
+grows with the depth.  Where a row gives its lists away to its child rows, ``split_nodes`` takes a record apart inside its row and stores nothing.
 """
 
 from __future__ import annotations
@@ -55,6 +56,43 @@ def table_nodes(records: DataFrame, root: str = "root", rename: bool = True, dep
     return all_levels(_marked(top, walk.has_child_rows), below, "nodes", depth)
 
 
+def split_nodes(records: DataFrame, root: str = "root", depth: int | None = None) -> DataFrame:
+    """The rows of ``table_nodes``, without the lists that child rows hold in full, so that a record's rows together are about as large
+    as the record.  Lists with an element that is no object stay, and so do all lists of rows at ``depth``.
+
+    A level is an array inside the row, and a record takes as many steps as brackets stand inside each other in it (two a level).
+    """
+    none = F.lit(None).cast("string")
+    top = F.struct(F.lit(root).alias("table"), F.col("uuid"), none.alias("parent_table"), none.alias("parent_id"), none.alias("list_key"),
+                   F.lit(0).alias("pos"), F.lit(0).alias("depth"), F.col("fields"))
+    # The record's own brackets are no level.
+    levels = F.when(walk.has_child_rows(F.col("fields")), F.floor((walk.real_depth(F.to_variant_object("fields")) - 1) / 2)).otherwise(0)
+    steps = F.greatest(F.lit(0), levels if depth is None else F.least(levels, F.lit(depth))).cast("int")
+    counted = once(records.select("uuid", "fields"), _steps=steps)
+
+    # Few lambdas inside each other here: Spark copies what each of them returns.
+    def kids(node: Column) -> Column:
+        lists = F.transform(F.filter(F.map_entries(node["fields"]), lambda e: is_object_list(e["value"])), lambda e: F.struct(
+            e["key"].alias("key"), snake_case(e["key"]).alias("name"), as_list(e["value"]).alias("items")))
+        return F.flatten(F.transform(lists, lambda x: F.filter(F.transform(x["items"], lambda item, pos: F.struct(
+            F.concat_ws("_", node["table"], x["name"]).alias("table"), walk.child_id(node["uuid"], x["name"], pos).alias("uuid"),
+            node["table"].alias("parent_table"), node["uuid"].alias("parent_id"), x["key"].alias("list_key"), pos.alias("pos"),
+            (node["depth"] + 1).alias("depth"), as_object(item).alias("fields"))), lambda c: c["fields"].isNotNull())))
+
+    def own(node: Column) -> Column:
+        rest = F.map_filter(node["fields"], lambda k, v: ~is_object_list(v) | F.exists(as_list(v), lambda i: ~is_object(i)))
+        return F.struct(*[node[c] for c in ("table", "uuid", "parent_table", "parent_id", "list_key", "pos", "depth")], rest.alias("fields"))
+
+    def step(acc: Column, level: Column) -> Column:
+        # The last level has no lists to give away, or keeps them.
+        return F.when(level == F.col("_steps"), F.struct(F.concat(acc["rows"], acc["open"]).alias("rows"), F.slice(acc["open"], 1, 0).alias("open"))).otherwise(
+            F.struct(F.concat(acc["rows"], F.transform(acc["open"], own)).alias("rows"), F.flatten(F.transform(acc["open"], kids)).alias("open")))
+
+    first = F.array(top)
+    nodes = F.aggregate(F.sequence(F.lit(0), F.col("_steps")), F.struct(F.slice(first, 1, 0).alias("rows"), first.alias("open")), step, lambda acc: acc["rows"])
+    return counted.select(F.inline(nodes))
+
+
 def object_nodes(records: DataFrame, root: str = "root") -> DataFrame:
     """Every nested object reached through lists of objects and plain objects:
     ``(path, parent, child, level, is_list, fields)``, the record itself at level 0."""

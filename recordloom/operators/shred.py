@@ -20,7 +20,7 @@ from ..functions.values import (
     type_name,
     typed,
 )
-from .levels import table_nodes
+from .levels import split_nodes, table_nodes
 from .profile import cells
 
 
@@ -42,7 +42,7 @@ def shred(records: DataFrame, root: str = "root", depth: int | None = None) -> D
     lists below ``depth``.  ``names`` maps a column to the member path it came from where that differs, and
     ``list_key`` is the member a child row was an element of.
     """
-    nodes = once(table_nodes(records, root, True, depth), _columns=walk.columns_of(F.col("fields")))
+    nodes = once(split_nodes(records, root, depth), _columns=walk.columns_of(F.col("fields")))
     nodes = once(nodes, _clashes=walk.clashing(F.col("_columns")))
     cut = F.lit(False) if depth is None else F.col("depth") >= depth
     return nodes.select(
@@ -272,38 +272,56 @@ def rebuild_records(rows: DataFrame, depth: int | None = None) -> DataFrame:
         depth = rows.agg(F.max("depth")).first()[0] or 0
     lists = None
     for level in range(depth, -1, -1):
-        here = once(rows.filter(F.col("depth") == level), _own=walk.members_of(F.col("fields"), F.col("names")))
-        whole = _over(F.col("_own"), F.col("rest"))
+        here = once(rows.filter(F.col("depth") == level), _own=_over(walk.members_of(F.col("fields"), F.col("names")), F.col("rest"))).select(
+            walk.packed_id(F.col("uuid")).alias("_id"), walk.packed_id(F.col("parent_id")).alias("_parent"), "list_key", "pos", "_own")
+        whole = F.col("_own")
         if lists is not None:
-            here = here.join(lists, "uuid", "left")
+            here = here.join(lists, "_id", "left")
             # A list kept in the remainder is complete; child rows add to it nothing.
             whole = F.when(F.col("_lists").isNull(), whole).otherwise(_over(F.col("_lists"), whole))
-        full = here.select("uuid", "parent_id", "list_key", "pos", whole.alias("fields"))
         if level == 0:
-            return full.select("uuid", "fields")
-        item = F.struct("pos", F.to_json(F.to_variant_object("fields")).alias("json"))
-        per_list = full.groupBy("parent_id", "list_key").agg(
-            F.array_join(F.transform(F.sort_array(F.collect_list(item)), lambda r: r["json"]), ",").alias("items"))
+            return here.select(walk.unpacked_id(F.col("_id")).alias("uuid"), whole.alias("fields"))
+        item = F.struct("pos", F.to_json(F.to_variant_object(whole)).alias("json"))
+        # Dealt by parent alone, so that both steps and the join above find the rows in place.
+        per_list = here.select("_parent", "list_key", item.alias("item")).repartition("_parent").groupBy("_parent", "list_key").agg(
+            F.array_join(F.transform(F.sort_array(F.collect_list("item")), lambda r: r["json"]), ",").alias("items"))
         value = F.parse_json(F.concat(F.lit("["), F.col("items"), F.lit("]")))
-        lists = per_list.groupBy(F.col("parent_id").alias("uuid")).agg(
+        lists = per_list.groupBy(F.col("_parent").alias("_id")).agg(
             F.map_from_entries(F.collect_list(F.struct("list_key", value.alias("value")))).alias("_lists"))
     return rows.select("uuid", "fields")
 
 
+#: Records meet by a hash of their id in so many parts, whatever the number of tasks.
+CHECK_PARTS = 65_536
+
+
 def lossless_check(source: DataFrame, rebuilt: DataFrame) -> DataFrame:
     """Compare source records ``(uuid, fields)`` with rebuilt ones, member by member: per member the records
-    that have it on either side, and how many values are on one side only.  One aggregation over the union, no join."""
+    that have it on either side, and how many values are on one side only.  One shuffle of a row per record, no join:
+    its member names and, end to end, 128 bits of each member's SHA-256.  Records with a like one on the other side
+    are settled whole, and only the others are compared by member."""
 
     def digests(df: DataFrame, side: int) -> DataFrame:
         # VARIANT objects keep their members sorted, so equal values have equal texts.
-        members = df.select("uuid", F.explode("fields").alias("field", "value"))
-        text = F.concat_ws("|", F.col("uuid"), F.coalesce(F.to_json(F.to_variant_object(F.array("value"))), F.lit("")))
-        return members.select("field", F.sha2(text, 256).alias("digest"), F.lit(side).alias("side"))
-
-    both = digests(source, 1).unionByName(digests(rebuilt, -1)).groupBy("field", "digest").agg(
-        F.count(F.when(F.col("side") == 1, 1)).alias("a"), F.count(F.when(F.col("side") == -1, 1)).alias("b")
-    )
-    return both.groupBy("field").agg(
+        text = lambda v: F.concat_ws("|", F.col("uuid"), F.coalesce(F.to_json(F.to_variant_object(F.array(v))), F.lit("")))
+        members = F.array_sort(F.transform(F.map_entries("fields"), lambda e: F.struct(
+            e["key"].alias("field"), F.substring(F.sha2(text(e["value"]), 256), 1, 32).alias("digest"))))
+        packed = once(df.select("uuid", "fields"), members=members)
+        return packed.select(
+            F.pmod(F.xxhash64("uuid"), F.lit(CHECK_PARTS)).cast("int").alias("part"), F.col("members.field").alias("names"),
+            F.unhex(F.array_join("members.digest", "")).alias("digests"), F.lit(side).alias("side"))
+
+    def counted(df: DataFrame, *keys: str) -> DataFrame:
+        return df.groupBy("part", *keys).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+
+    # All three steps below group within parts, so the rows stay where this shuffle puts them.
+    both = digests(source, 1).unionByName(digests(rebuilt, -1)).repartition("part")
+    whole = counted(both.withColumns({"a": (F.col("side") == 1).cast("bigint"), "b": (F.col("side") == -1).cast("bigint")}), "names", "digests")
+    # As often on either side adds nothing to a difference: such members need no digest, and make one row a part.
+    open_ = F.col("a") != F.col("b")
+    members = whole.select("part", "a", "b", F.inline(F.transform("names", lambda n, i: F.struct(
+        n.alias("field"), F.when(open_, F.substring(F.col("digests"), i * 16 + 1, F.lit(16))).alias("digest")))))
+    return counted(members, "field", "digest").groupBy("field").agg(
         F.sum("a").alias("records_before"), F.sum("b").alias("records_after"),
         F.sum(F.greatest(F.col("a") - F.col("b"), F.lit(0))).alias("missing"),
         F.sum(F.greatest(F.col("b") - F.col("a"), F.lit(0))).alias("extra"),

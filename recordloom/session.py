@@ -58,9 +58,11 @@ def release(spark: SparkSession) -> int:
     return len(made)
 
 
-def landed(df, purpose: str):
+def landed(df, purpose: str, compact: bool = False):
     """Write ``df`` once to the shared folder and read it back: a lineage cut that
-    survives the loss of executors and lets several consumers share one computation."""
+    survives the loss of executors and lets several consumers share one computation.
+    ``compact`` files take more CPU time and memory to write (zstd), which pays for rows with hex ids."""
     path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    writer = df.write.option("compression", "zstd") if compact else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

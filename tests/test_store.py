@@ -1,5 +1,7 @@
 import json
+import random
 import time
+from collections import Counter
 
 import pytest
 
@@ -141,6 +143,48 @@ def test_rebuild_is_lossless(records):
     assert found == {"grid": (1, 0)}
 
 
+def shuffled_rows(df):
+    """Rows that the shuffles of a query have written."""
+    def walked(node):
+        own = node.metrics().apply("shuffleRecordsWritten").value() if node.nodeName() == "Exchange" else 0
+        kids = node.children()
+        return own + sum(walked(kids.apply(i)) for i in range(kids.size()))
+
+    spark = df.sparkSession
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df.collect()
+        return walked(df._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_the_check_shuffles_a_row_per_record(records):
+    source = assign_uuid(records(*[json.dumps({f"m{j}": f"{i} {j}" for j in range(20)}) for i in range(200)])).select("uuid", "fields")
+    # Besides the records only each task's sums of the 21 members.
+    assert shuffled_rows(lossless_check(source, source)) <= 2 * 200 + 21 * 4
+
+
+def test_the_check_counts_by_member_as_brute_force(spark):
+    rng = random.Random(5)
+    sides = [[("u%d" % rng.randrange(30), {k: rng.randrange(3) for k in "abcdef" if rng.random() < 0.8}) for _ in range(300)] for _ in range(2)]
+    sides[1][:150] = sides[0][:150]
+    frames = [spark.createDataFrame([(u, json.dumps(m)) for u, m in rows], "uuid string, raw string").select(
+        "uuid", F.from_json("raw", "map<string,variant>").alias("fields")) for rows in sides]
+    before, after = (Counter((k, u, v) for u, m in rows for k, v in m.items()) for rows in sides)
+    want = {k: (sum(n for x, n in before.items() if x[0] == k), sum(n for x, n in after.items() if x[0] == k),
+                sum(n for x, n in (before - after).items() if x[0] == k), sum(n for x, n in (after - before).items() if x[0] == k)) for k in "abcdef"}
+    got = {r.field: (r.records_before, r.records_after, r.missing, r.extra) for r in lossless_check(*frames).collect()}
+    assert got == want
+
+
+def test_ids_of_any_kind_are_rebuilt(records):
+    ids = ["x", "", "0123456789abcdef0123456789abcdef", "0123456789ABCDEF0123456789ABCDEF", "\u0001\u00e9", "0123456789abcdef"]
+    source = assign_uuid(records(*[json.dumps({"uuid": u, "l": [{"n": i, "m": [{"i": i}, {}]}]}) for i, u in enumerate(ids)]))
+    assert as_values(rebuild_records(landed(shred(source), "rows"))) == as_values(source)
+
+
 def test_a_depth_limit_keeps_what_lies_below(records):
     deep = '{"k": 0}'
     for i in range(14):
