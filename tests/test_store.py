@@ -7,9 +7,11 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from recordloom import session
 from recordloom.functions.walk import nesting_depth, real_depth
 from recordloom.operators import design as D
 from recordloom.operators.classify import decide_targets, evolve_schema
+from recordloom.operators.levels import split_nodes, table_nodes
 from recordloom.operators.profile import field_profile
 from recordloom.operators.records import assign_uuid, stamp_ingest
 from recordloom.operators.route import decompose_large, resolve_references, route_records
@@ -392,6 +394,30 @@ def test_embed_or_reference(records):
     assert arrays == {"logs": ("REFERENCE", "unbounded"), "objs": ("REFERENCE", "bounded"), "few": ("EMBED", "bounded")}
 
 
+def test_shredding_stores_nothing(spark, records):
+    """A level's rows used to be stored with all that lies below them, once a level."""
+    deep = '{"k": 0}'
+    for i in range(15):
+        deep = '{"k": %d, "l": [%s]}' % (i + 1, deep)
+    stored = lambda: len(session._MADE.get(spark.sparkContext.applicationId, []))
+    before = stored()
+    got = {r.depth: r.k for r in shred(assign_uuid(records(deep))).select("depth", F.col("fields")["k"].cast("int").alias("k")).collect()}
+    assert got == {i: 15 - i for i in range(16)} and stored() == before
+
+
+@pytest.mark.parametrize("depth", [None, 0, 1, 2])
+def test_split_nodes_are_the_table_nodes(records, depth):
+    """The same rows; a list leaves its row only where child rows hold all of it."""
+    source = assign_uuid(records(NESTED, ODD, "{}", '{"a": [{}], "aA": [{"b": [{"c": [{"d": 1}]}, {"b": [7]}]}], "t": "[{[{"}'))
+    keys = ["table", "uuid", "parent_table", "parent_id", "list_key", "pos", "depth"]
+    rows = [{tuple(r[k] for k in keys): json.loads(r.t) for r in df.select(*keys, to_document(F.col("fields")).alias("t")).collect()}
+            for df in (table_nodes(source, "root", True, depth), split_nodes(source, "root", depth))]
+    assert rows[0].keys() == rows[1].keys() and len(rows[0]) > (4 if depth else 3)
+    for k, whole in rows[0].items():
+        given = {n for n, v in whole.items() if isinstance(v, list) and v and all(isinstance(x, dict) for x in v)}
+        assert rows[1][k] == {n: v for n, v in whole.items() if depth == k[-1] or n not in given}
+
+
 def test_brackets_inside_texts_cost_nothing(records):
     """The walk ends on an empty level: texts full of brackets make no steps."""
     many = "[" * 64_000 + "{" * 64_000
